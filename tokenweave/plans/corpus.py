@@ -1,0 +1,75 @@
+"""Composed jobs: documents -> tokens -> offsets -> shard segments.
+
+These are the plans every registered query builds on.  Nothing here collects
+data to the driver except the bounded word vocabulary (at most V rows) and
+two scalars (the key range that sizes the offset buckets).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tokenweave.operators import packing, tokens
+from tokenweave.params import PackParams
+from tokenweave.sources.corpus import read_corpus, table_path
+
+MODES = ("words", "bytes", "bpe")
+
+
+def documents(spark: SparkSession, sf_dir: str, where=None) -> DataFrame:
+    return read_corpus(spark, table_path(sf_dir, "documents"), where=where)
+
+
+def vocab_for(docs: DataFrame, params: PackParams) -> DataFrame:
+    return tokens.word_vocab(docs, params.vocab_size)
+
+
+def encode(docs: DataFrame, params: PackParams, mode: str = "words",
+           vocab: DataFrame | None = None, merges: DataFrame | None = None) -> DataFrame:
+    """``(doc_id, n, ids)`` for the chosen token mode."""
+    if mode == "words":
+        return tokens.encode_words(docs, vocab if vocab is not None else vocab_for(docs, params),
+                                   params.vocab_size)
+    if mode == "bytes":
+        return tokens.encode_bytes(docs)
+    if mode == "bpe":
+        from tokenweave.operators import bpe
+        if merges is None:
+            raise ValueError("bpe mode needs a merge table")
+        return bpe.encode_bpe(docs, merges)
+    raise ValueError(f"mode must be one of {MODES}")
+
+
+def jvm_lengths(docs: DataFrame, mode: str) -> DataFrame | None:
+    """Token counts computed on the JVM alone, when the mode allows it."""
+    if mode == "words":
+        return tokens.word_token_lengths(docs)
+    if mode == "bytes":
+        return tokens.byte_token_lengths(docs)
+    return None
+
+
+def offsets(docs: DataFrame, toks: DataFrame, lengths: DataFrame | None = None) -> DataFrame:
+    lo, width = packing.choose_bucket(docs)
+    return packing.doc_offsets(toks, lo, width, lengths=lengths)
+
+
+def segments(spark: SparkSession, sf_dir: str, params: PackParams, mode: str = "words",
+             docs: DataFrame | None = None, merges: DataFrame | None = None) -> DataFrame:
+    """P1-P5 end to end: shard segments with token arrays."""
+    docs = docs if docs is not None else documents(spark, sf_dir)
+    toks = encode(docs, params, mode, merges=merges)
+    return packing.cut_segments(offsets(docs, toks, jvm_lengths(docs, mode)), params.shard_size)
+
+
+def length_segments(spark: SparkSession, sf_dir: str, params: PackParams,
+                    docs: DataFrame | None = None) -> DataFrame:
+    """Words-mode segments without token arrays (lengths are JVM-only)."""
+    docs = docs if docs is not None else documents(spark, sf_dir)
+    lens = tokens.word_token_lengths(docs)
+    return packing.cut_segments(offsets(docs, lens), params.shard_size)
+
+
+def with_eot_flag(df: DataFrame) -> DataFrame:
+    return df.withColumn("is_eot", F.col("src") == 0)
