@@ -140,6 +140,42 @@ def pair_counts(batch_df: DataFrame, *keys: str) -> DataFrame:
         F.count(F.lit(1)).cast("bigint").alias("cnt"))
 
 
+def slot_pairs(segments: DataFrame, BT: int) -> DataFrame:
+    """B4 without buffers: ``(split, shard_index, slot, x, y)``, one row per pair.
+
+    The pair at shard position ``p`` (``x`` at ``p``, ``y`` at ``p+1``) belongs
+    to slot ``p div BT``.  Pairs inside a segment come from a narrow
+    ``posexplode``; the pair across two neighbouring segments comes from an
+    equi-join of segment ends to segment starts (one small row per segment).
+    """
+    n = F.col("n")
+    inner = segments.select(
+        "split", "shard_index", "pos",
+        F.posexplode(F.arrays_zip(F.slice("ids", 1, (n - 1).cast("int")).alias("x"),
+                                  F.slice("ids", 2, (n - 1).cast("int")).alias("y"))).alias("i", "z"))
+    inner = inner.select("split", "shard_index", idiv(F.col("pos") + F.col("i"), BT).alias("slot"),
+                         F.col("z.x").cast("bigint").alias("x"), F.col("z.y").cast("bigint").alias("y"))
+    ends = segments.select("split", "shard_index", (F.col("pos") + n).alias("at"),
+                           idiv(F.col("pos") + n - 1, BT).alias("slot"),
+                           F.element_at("ids", -1).cast("bigint").alias("x"))
+    starts = segments.select("split", "shard_index", F.col("pos").alias("at"),
+                             F.element_at("ids", 1).cast("bigint").alias("y"))
+    border = ends.join(starts, ["split", "shard_index", "at"]).select(
+        "split", "shard_index", "slot", "x", "y")
+    return inner.unionByName(border)
+
+
+def plan_pair_counts(pairs: DataFrame, plan: DataFrame, *keys: str) -> DataFrame:
+    """``(keys..., x, y, cnt)``: pairs of every planned batch, counted.
+
+    A slot planned twice (epoch wrap) counts twice.  The plan has one row
+    per batch; the aggregation combines map-side before its shuffle.
+    """
+    sel = plan.select("split", "shard_index", "slot", *keys)
+    return (pairs.join(sel, ["split", "shard_index", "slot"])
+            .groupBy(*keys, "x", "y").agg(F.count(F.lit(1)).cast("bigint").alias("cnt")))
+
+
 def dropped_tail(lengths: DataFrame, BT: int, P: int) -> DataFrame:
     """Per (rank, shard): batches served, where the rank stops, tokens it never reads."""
     rs = rank_shards(lengths, BT, P)

@@ -15,12 +15,23 @@ from tokenweave.functions.common import uniform_hash
 from tokenweave.session import cut_lineage
 
 
-def softmax_array(col: str) -> Column:
-    """G3 on an array column: ``exp(x - max) / sum(exp(x - max))`` per row."""
-    m = F.array_max(F.col(col)).cast("double")
-    e = F.transform(F.col(col), lambda x: F.exp(x.cast("double") - m))
-    s = F.aggregate(e, F.lit(0.0), lambda a, v: a + v)
-    return F.transform(e, lambda v: v / s)
+def softmax_rows(df: DataFrame, col: str, out: str = "p") -> DataFrame:
+    """G3 on an array column: ``exp(x - max) / sum(exp(x - max))`` per row.
+
+    The row maximum and sum reach the element lambdas through ``zip_with``
+    with ``array_repeat``: they are computed once per row.  Written as an
+    outer column reference inside the lambda, Catalyst inlines the producer
+    into the lambda body and the sum is recomputed for every element.
+    """
+    x = F.col(col)
+    n = F.size(x)
+    e = F.zip_with(x, F.array_repeat(F.array_max(x).cast("double"), n),
+                   lambda v, m: F.exp(v.cast("double") - m))
+    d = df.withColumn("_e", e)
+    s = F.aggregate(F.col("_e"), F.lit(0.0), lambda a, v: a + v)
+    d = d.withColumn(out, F.zip_with(F.col("_e"), F.array_repeat(s, F.size("_e")),
+                                     lambda v, t: v / t))
+    return d.drop("_e")
 
 
 def softmax(df: DataFrame, group: list[str], score: str, out: str = "p") -> DataFrame:

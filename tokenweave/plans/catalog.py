@@ -242,7 +242,7 @@ def q_segment_group_totals(spark, sf):
 
 
 def q_global_norm_clip(spark, sf):
-    emb = read_table(spark, sf, "embeddings").select("vec_id", "embedding")
+    emb = read_table(spark, sf, "embeddings", key="vec_id").select("vec_id", "embedding")
     clipped, norm = evaluate.global_norm_clip(emb, "embedding", 1.0)
     sq = F.aggregate("embedding", F.lit(0.0), lambda a, v: a + v * v)
     return clipped.select("vec_id", F.round(F.lit(norm), 6).alias("global_norm"),
@@ -252,8 +252,10 @@ def q_global_norm_clip(spark, sf):
 # ---------------------------------------------------------------- M5: sampling
 
 def _emb_probs(spark, sf):
-    emb = read_table(spark, sf, "embeddings").select("vec_id", "embedding")
-    d = emb.select("vec_id", F.posexplode(sampling.softmax_array("embedding")).alias("idx", "p"))
+    emb = read_table(spark, sf, "embeddings", key="vec_id").select("vec_id", "embedding")
+    d = sampling.softmax_rows(emb, "embedding", "probs")
+    # outer generator: no inferred filter that would evaluate the arrays twice
+    d = d.select("vec_id", F.posexplode_outer("probs").alias("idx", "p")).filter(F.col("idx").isNotNull())
     return d.withColumn("idx", F.col("idx").cast("bigint"))
 
 

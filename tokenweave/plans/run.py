@@ -62,7 +62,7 @@ class CorpusRun:
 
     def encode_table(self, name: str, key: str) -> DataFrame:
         """Words-mode encoding of another text table (e.g. prompts) with this vocabulary."""
-        src = read_table(self.spark, self.sf_dir, name).select(
+        src = read_table(self.spark, self.sf_dir, name, key=key).select(
             F.col(key).cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
         return tokens.encode_words(src, self.vocab, self.p.vocab_size)
 
@@ -127,10 +127,13 @@ class CorpusRun:
     def plan_batches(self, split: str, plan: DataFrame) -> DataFrame:
         return batching.planned_batches(self.split_segments(split), plan, self.p.BT)
 
+    def split_pairs(self, split: str) -> DataFrame:
+        return batching.slot_pairs(self.split_segments(split), self.p.BT)
+
     @cached_property
     def train_pairs_by_step(self) -> DataFrame:
         """(step, x, y, cnt): next-token pairs of every planned train batch."""
-        return cut_lineage(batching.pair_counts(self.plan_batches("train", self.train_plan), "step"))
+        return cut_lineage(batching.plan_pair_counts(self.split_pairs("train"), self.train_plan, "step"))
 
     @cached_property
     def train_pairs(self) -> DataFrame:
@@ -139,12 +142,13 @@ class CorpusRun:
     @cached_property
     def val_pairs(self) -> DataFrame:
         """(rank, batch_no, x, y, cnt) of the first ``val_batches`` val batches."""
-        return cut_lineage(batching.pair_counts(self.plan_batches("val", self.val_plan),
-                                                "rank", "batch_no"))
+        return cut_lineage(batching.plan_pair_counts(self.split_pairs("val"), self.val_plan,
+                                                     "rank", "batch_no"))
 
     @cached_property
     def model_tables(self):
-        big, ctx, uni, tot = evaluate.ngram_tables(self.train_pairs)
-        big, ctx, uni = cut_lineage(big), cut_lineage(ctx), cut_lineage(uni)
+        big = cut_lineage(evaluate.ngram_tables(self.train_pairs)[0])
+        ctx = cut_lineage(big.groupBy("x").agg(F.sum("cxy").cast("bigint").alias("cx")))
+        uni = cut_lineage(big.groupBy("y").agg(F.sum("cxy").cast("bigint").alias("cy")))
         N = int(uni.agg(F.coalesce(F.sum("cy"), F.lit(0))).first()[0])
         return big, ctx, uni, N

@@ -17,8 +17,23 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(sf_dir, name))
+def spread(df: DataFrame, key: str | None = None) -> DataFrame:
+    """Spread a scan that yields fewer tasks than the cluster has cores.
+
+    A single-row-group file is read by one task however many executors
+    exist; hashing it over the cores costs one small shuffle.  A real corpus
+    (many files, many row groups) already has more splits than cores, and
+    then this is a no-op: the 100 TB scan is never reshuffled.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, key) if key else df.repartition(target)
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, key: str | None = None) -> DataFrame:
+    df = spark.read.parquet(table_path(sf_dir, name))
+    return spread(df, key) if key else df
 
 
 def read_corpus(spark: SparkSession, path: str, key: str = "doc_id", text: str = "text",
@@ -43,10 +58,11 @@ def read_corpus(spark: SparkSession, path: str, key: str = "doc_id", text: str =
     df = reader.format(fmt).load(path)
     if where is not None:
         df = df.filter(where)
-    return df.select(
+    df = df.select(
         F.col(key).cast("bigint").alias("doc_id"),
         F.coalesce(F.col(text), F.lit("")).alias("text"),
     )
+    return spread(df, "doc_id")
 
 
 def corpus_scan(spark: SparkSession, sf_dir: str, where: Column | str | None = None) -> DataFrame:
