@@ -34,19 +34,20 @@ def prob(cxy: Column, cx: Column, cy: Column, N: Column, V: int) -> Column:
     return F.lit(0.5) * big + F.lit(0.5) * (cy + 1).cast("double") / (N + V).cast("double")
 
 
-def ngram_model(pair_counts: DataFrame, V: int) -> DataFrame:
+def ngram_model(big: DataFrame, ctx: DataFrame, uni: DataFrame, N: int, V: int) -> DataFrame:
     """E0 as one table: ``(x, y, cnt, p)`` for every observed pair."""
-    big, ctx, uni, tot = ngram_tables(pair_counts)
-    N = tot.first()["N"]  # a scalar
     m = big.join(ctx, "x").join(F.broadcast(uni), "y")  # unigram side: at most V rows
     return m.select("x", "y", F.col("cxy").alias("cnt"),
                     prob(F.col("cxy"), F.col("cx"), F.col("cy"), F.lit(N), V).alias("p"))
 
 
-def score(pairs: DataFrame, pair_counts_train: DataFrame, V: int) -> DataFrame:
-    """Add ``p`` and ``nll`` to aggregated pairs ``(keys..., x, y, cnt)``."""
-    big, ctx, uni, tot = ngram_tables(pair_counts_train)
-    N = tot.first()["N"]
+def score(pairs: DataFrame, big: DataFrame, ctx: DataFrame, uni: DataFrame, N: int,
+          V: int) -> DataFrame:
+    """Add ``p`` and ``nll`` to aggregated pairs ``(keys..., x, y, cnt)``.
+
+    ``pairs`` is already aggregated (one row per distinct pair and batch),
+    so a frequent pair is one row on the probe side of the join.
+    """
     s = (pairs.join(big, ["x", "y"], "left")
          .join(ctx, "x", "left")
          .join(F.broadcast(uni), "y", "left"))

@@ -153,12 +153,14 @@ def q_tokens_per_step(spark, sf):
 
 def q_ngram_model(spark, sf):
     run = get_run(spark, sf)
-    m = evaluate.ngram_model(run.train_pairs, run.p.vocab_size)
+    big, ctx, uni, N = run.model_tables
+    m = evaluate.ngram_model(big, ctx, uni, N, run.p.vocab_size)
     return m.select("x", "y", "cnt", F.round("p", 9).alias("p"))
 
 
 def _scored_val(run):
-    return evaluate.score(run.val_pairs, run.train_pairs, run.p.vocab_size)
+    big, ctx, uni, N = run.model_tables
+    return evaluate.score(run.val_pairs, big, ctx, uni, N, run.p.vocab_size)
 
 
 def q_cross_entropy(spark, sf):
@@ -178,7 +180,8 @@ def q_val_loss(spark, sf):
 
 
 def _train_loss_by_step(run):
-    scored = evaluate.score(run.train_pairs_by_step, run.train_pairs, run.p.vocab_size)
+    big, ctx, uni, N = run.model_tables
+    scored = evaluate.score(run.train_pairs_by_step, big, ctx, uni, N, run.p.vocab_size)
     return evaluate.mean_loss(scored, ["step"])
 
 
