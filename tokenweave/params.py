@@ -30,6 +30,7 @@ class PackParams:
     num_sequences: int = 10
     max_length: int = 9
     seed: str = "42"
+    bpe_merges: int = 24
     shard_prefix: str = "corpus"
 
     @property

@@ -303,6 +303,18 @@ def q_decode_roundtrip(spark, sf):
     return enc.select("doc_id", F.md5(tokens.decode_bytes("ids")).alias("md5"))
 
 
+def q_learn_bpe_merges(spark, sf):
+    return get_run(spark, sf).bpe_merges
+
+
+def q_bpe_encode(spark, sf):
+    """BPE encode, checked by its round trip: md5 of the decoded text equals md5 of the text."""
+    from tokenweave.operators import bpe
+    run = get_run(spark, sf)
+    enc = run.bpe_tokens
+    return enc.select("doc_id", F.md5(bpe.decode_bpe(F.col("ids"), run.bpe_table)).alias("md5"))
+
+
 QUERIES: dict[str, Query] = {
     "corpus_scan": q_corpus_scan,
     "doc_token_lengths": q_doc_token_lengths,
@@ -343,4 +355,6 @@ QUERIES: dict[str, Query] = {
     "encode_prompts": q_encode_prompts,
     "generate": q_generate,
     "decode_roundtrip": q_decode_roundtrip,
+    "learn_bpe_merges": q_learn_bpe_merges,
+    "bpe_encode": q_bpe_encode,
 }

@@ -347,4 +347,5 @@ ORACLE_SQL: dict[str, str] = {
         SELECT item_id, seq, string_agg(CAST(token AS VARCHAR), ' ' ORDER BY step) AS tokens
         FROM gen GROUP BY item_id, seq""",
     "decode_roundtrip": "SELECT doc_id, md5(coalesce(text, '')) AS md5 FROM documents",
+    "bpe_encode": "SELECT doc_id, md5(coalesce(text, '')) AS md5 FROM documents",
 }

@@ -152,3 +152,19 @@ class CorpusRun:
         uni = cut_lineage(big.groupBy("y").agg(F.sum("cxy").cast("bigint").alias("cy")))
         N = int(uni.agg(F.coalesce(F.sum("cy"), F.lit(0))).first()[0])
         return big, ctx, uni, N
+
+    # ------------------------------------------------------------ byte-pair mode
+    @cached_property
+    def bpe_merges(self) -> DataFrame:
+        from tokenweave.operators import bpe
+        return cut_lineage(bpe.learn_merges(self.docs, self.p.bpe_merges))
+
+    @cached_property
+    def bpe_table(self) -> list:
+        from tokenweave.operators import bpe
+        return bpe.merge_table(self.bpe_merges, self.p.bpe_merges)
+
+    @cached_property
+    def bpe_tokens(self) -> DataFrame:
+        from tokenweave.operators import bpe
+        return bpe.encode_bpe(self.docs, self.bpe_merges, self.p.bpe_merges)
