@@ -133,17 +133,26 @@ def _bytes_kernel(eot: int):
     return run
 
 
-def encode_words(docs: DataFrame, vocab: DataFrame, vocab_size: int) -> DataFrame:
-    """T1/T3 words mode: ``(doc_id, n, ids)``; unknown words map to V-2."""
-    spark = docs.sparkSession
+def vocab_list(vocab: DataFrame, vocab_size: int) -> list[str]:
+    """The vocabulary words in id order (at most V rows: a bounded collect)."""
     rows = bounded_collect(vocab.select("token_id", "word").orderBy("token_id"),
                            vocab_size, "word vocabulary")
     words = [r["word"] for r in rows]
     if [r["token_id"] for r in rows] != list(range(len(words))):
         raise ValueError("word vocabulary ids must be dense from 0")
-    bc = spark.sparkContext.broadcast(words)
+    return words
+
+
+def encode_words_bc(docs: DataFrame, words_bc, vocab_size: int) -> DataFrame:
+    """Words-mode encode with an already broadcast vocabulary list."""
     src = docs.select("doc_id", words_of(F.col("text")).alias("words"))
-    return src.mapInArrow(_words_kernel(bc, vocab_size - 2, vocab_size - 1), TOKENS_SCHEMA)
+    return src.mapInArrow(_words_kernel(words_bc, vocab_size - 2, vocab_size - 1), TOKENS_SCHEMA)
+
+
+def encode_words(docs: DataFrame, vocab: DataFrame, vocab_size: int) -> DataFrame:
+    """T1/T3 words mode: ``(doc_id, n, ids)``; unknown words map to V-2."""
+    bc = docs.sparkSession.sparkContext.broadcast(vocab_list(vocab, vocab_size))
+    return encode_words_bc(docs, bc, vocab_size)
 
 
 def encode_bytes(docs: DataFrame) -> DataFrame:

@@ -31,6 +31,7 @@ class PackParams:
     max_length: int = 9
     seed: str = "42"
     bpe_merges: int = 24
+    stream_files: int = 4
     shard_prefix: str = "corpus"
 
     @property

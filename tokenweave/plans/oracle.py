@@ -220,17 +220,20 @@ cte("gen", " UNION ALL ".join(f"SELECT * FROM {d}" for d in _GEN), *_GEN)
 
 
 # ---------------------------------------------------------------- the oracle per key
+_SEGMENT_SUMMARY = with_("segs", "tp") + """
+        SELECT s.split, s.shard_index, s.pos, s.doc_id, s.src, s.n, s.doc_n,
+               CAST(sum(t.id) AS BIGINT) AS id_sum, arg_min(t.id, t.pos) AS first_id,
+               arg_max(t.id, t.pos) AS last_id
+        FROM segs s JOIN tp t ON t.doc_id = s.doc_id AND t.shard_index = s.shard_index
+        GROUP BY ALL"""
+
 ORACLE_SQL: dict[str, str] = {
     "corpus_scan": "SELECT doc_id, CAST(length(coalesce(text, '')) AS BIGINT) AS n_chars, "
                    "CAST(strlen(coalesce(text, '')) AS BIGINT) AS n_bytes FROM documents",
     "doc_token_lengths": with_("lens") + "SELECT doc_id, n FROM lens",
     "doc_offsets": with_("offs") + "SELECT doc_id, n, off FROM offs",
-    "shard_segments": with_("segs", "tp") + """
-        SELECT s.split, s.shard_index, s.pos, s.doc_id, s.src, s.n, s.doc_n,
-               CAST(sum(t.id) AS BIGINT) AS id_sum, arg_min(t.id, t.pos) AS first_id,
-               arg_max(t.id, t.pos) AS last_id
-        FROM segs s JOIN tp t ON t.doc_id = s.doc_id AND t.shard_index = s.shard_index
-        GROUP BY ALL""",
+    "shard_segments": _SEGMENT_SUMMARY,
+    "stream_pack": _SEGMENT_SUMMARY,
     "shard_manifest": with_("segs") + f"""
         SELECT split, shard_index, CAST(sum(n) AS BIGINT) AS n_tokens,
                CAST(count(*) AS BIGINT) AS n_segments, min(doc_id) AS first_doc,

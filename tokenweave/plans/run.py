@@ -55,10 +55,7 @@ class CorpusRun:
 
     @cached_property
     def vocab_words(self) -> list[str]:
-        from tokenweave.functions.common import bounded_collect
-        rows = bounded_collect(self.vocab.select("token_id", "word").orderBy("token_id"),
-                               self.p.vocab_size, "word vocabulary")
-        return [r["word"] for r in rows]
+        return tokens.vocab_list(self.vocab, self.p.vocab_size)
 
     def encode_table(self, name: str, key: str) -> DataFrame:
         """Words-mode encoding of another text table (e.g. prompts) with this vocabulary."""
