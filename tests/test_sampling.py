@@ -35,3 +35,18 @@ def test_weighted_draw_repeatable_and_proportional(spark):
     assert ra == sorted(tuple(r) for r in b.collect())
     share = sum(1 for _, item in ra if item == 1) / n
     assert abs(share - 0.75) < 0.03
+
+
+def test_generate_handles_unseen_context(spark):
+    from tokenweave.operators import evaluate
+
+    pairs = spark.createDataFrame([(1, 2, 5), (2, 3, 4), (3, 1, 1), (2, 1, 2)], "x bigint, y bigint, cnt bigint")
+    big, ctx, uni, _ = evaluate.ngram_tables(pairs)
+    N = 12
+    table = sampling.next_token_topk(big, ctx, uni, N, 10, 2).unionByName(
+        sampling.unseen_context_rows(uni, N, 10, 2))
+    prompts = spark.createDataFrame([(0, [1]), (1, [7])], "item_id bigint, ids array<int>")
+    out = sampling.generate(prompts, table, 3, 2, "s").collect()
+    # both prompts, 3 sequences each, 2 steps: the unseen context 7 still draws
+    assert len(out) == 2 * 3 * 2
+    assert {r.token for r in out if r.item_id == 1 and r.step == 0} <= {1, 2, 3}

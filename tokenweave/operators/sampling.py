@@ -69,25 +69,26 @@ def weighted_draw(df: DataFrame, group: list[str], item: str, weight: str, seed:
     return d.groupBy(*group).agg(F.max_by(item, "_key").alias(item))
 
 
-def next_token_topk(contexts: DataFrame, big: DataFrame, ctx: DataFrame, uni: DataFrame,
-                    N: int, V: int, k: int) -> DataFrame:
-    """G4 on the next-token table: the ``k`` best targets for each context in ``contexts``.
+def next_token_topk(big: DataFrame, ctx: DataFrame, uni: DataFrame, N: int, V: int,
+                    k: int) -> DataFrame:
+    """G4 on the next-token table: ``(x, y, p)``, the ``k`` best targets of every context.
 
     For a context, an unobserved target scores its unigram half alone, so the
     best unobserved targets are among the ``k`` best unigram tokens.  The
     candidates are the observed pairs plus those ``k`` (attached with an
-    ``explode`` of a k-element literal), never all of V.
+    ``explode`` of a k-element literal), never all of V; the result has at
+    most ``contexts * k <= V * k`` rows, a bound set by parameters.
     """
     from tokenweave.functions.common import bounded_collect
     from tokenweave.operators.evaluate import prob
 
     top_uni = bounded_collect(uni.select("y", "cy").orderBy(F.desc("cy"), F.asc("y")).limit(k),
                               k, "unigram top-k")
-    uni_lit = F.array(*[F.struct(F.lit(int(r["y"])).alias("y"), F.lit(int(r["cy"])).alias("cy"))
-                        for r in top_uni]) if top_uni else F.array()
-    xs = contexts.select("x").distinct()
-    observed = xs.join(big, "x").join(F.broadcast(uni), "y").select("x", "y", "cxy", "cy")
-    unseen = (xs.select("x", F.explode(uni_lit).alias("u"))
+    uni_lit = F.array(*[F.struct(F.lit(int(r["y"])).cast("bigint").alias("y"),
+                                 F.lit(int(r["cy"])).cast("bigint").alias("cy"))
+                        for r in top_uni])
+    observed = big.join(F.broadcast(uni), "y").select("x", "y", "cxy", "cy")
+    unseen = (ctx.select("x", F.explode(uni_lit).alias("u"))
               .select("x", F.col("u.y").alias("y"), F.lit(0).cast("bigint").alias("cxy"),
                       F.col("u.cy").alias("cy")))
     cand = (observed.unionByName(unseen)
@@ -98,27 +99,45 @@ def next_token_topk(contexts: DataFrame, big: DataFrame, ctx: DataFrame, uni: Da
     return topk(cand.withColumn("p", p), ["x"], "p", k, "y").select("x", "y", "p")
 
 
-def generate(prompts: DataFrame, big: DataFrame, ctx: DataFrame, uni: DataFrame, N: int,
-             V: int, num_sequences: int, steps: int, k: int, seed: str,
+UNSEEN_CONTEXT = -1
+
+
+def unseen_context_rows(uni: DataFrame, N: int, V: int, k: int) -> DataFrame:
+    """``(x = -1, y, p)``: candidates of a context never seen in training.
+
+    Such a context scores every target by its unigram half alone, so its
+    top-k are the k best unigram tokens.
+    """
+    pu = F.lit(0.5) * (F.col("cy") + 1).cast("double") / F.lit(float(N + V))
+    best = topk(uni.withColumn("p", pu).withColumn("g", F.lit(0)), ["g"], "p", k, "y")
+    return best.select(F.lit(UNSEEN_CONTEXT).cast("bigint").alias("x"), "y", "p")
+
+
+def generate(prompts: DataFrame, table: DataFrame, num_sequences: int, steps: int, seed: str,
              checkpoint_every: int = 1, eot: int | None = None,
              stop_at_eot: bool = False) -> DataFrame:
     """``(item_id, seq, step, token)`` for ``steps`` new tokens per sequence.
 
     Each prompt ``(item_id, ids)`` is replicated ``num_sequences`` times
     (explode, G1).  A step takes the last token of every sequence (G2),
-    joins it to the top-k table of that context (G4), draws one candidate
-    per sequence (G5/G6) and appends it (G7).  The loop is bounded by
-    ``steps`` (G8); lineage is cut with a reliable checkpoint every few steps.
-    The model tables should be materialised by the caller.
+    joins it to the precomputed top-k table ``(x, y, p)`` (G4), draws one
+    candidate per sequence (G5/G6) and appends it (G7).  The loop is bounded
+    by ``steps`` (G8); each step's draws are checkpointed to the shared
+    folder, so a step never replays its predecessors.
     """
     seqs = prompts.select("item_id", F.explode(F.sequence(F.lit(0).cast("bigint"),
                                                           F.lit(num_sequences - 1).cast("bigint")))
                           .alias("seq"), F.element_at("ids", -1).cast("bigint").alias("x"))
+    contexts = table.select("x").distinct().withColumn("_seen", F.lit(True))
     out = []
     frontier = seqs
     for t in range(steps):
-        table = next_token_topk(frontier, big, ctx, uni, N, V, k)
-        cand = frontier.join(table, "x")
+        # a context absent from the table uses the unseen-context rows (x = -1)
+        keyed = (frontier.join(contexts, "x", "left")
+                 .withColumn("x", F.when(F.col("_seen"), F.col("x"))
+                             .otherwise(F.lit(UNSEEN_CONTEXT).cast("bigint")))
+                 .drop("_seen"))
+        cand = keyed.join(table, "x")
         drawn = weighted_draw(cand, ["item_id", "seq"], "y", "p", seed, step=F.lit(t))
         drawn = drawn.select("item_id", "seq", F.lit(t).cast("bigint").alias("step"),
                              F.col("y").alias("token"))

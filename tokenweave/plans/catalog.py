@@ -288,9 +288,8 @@ def q_encode_prompts(spark, sf):
 def q_generate(spark, sf):
     run = get_run(spark, sf)
     prompts = run.encode_table("benchmark", "item_id").withColumnRenamed("doc_id", "item_id")
-    big, ctx, uni, N = run.model_tables
-    g = sampling.generate(prompts, big, ctx, uni, N, run.p.vocab_size, run.p.num_sequences,
-                          run.p.max_length - 1, run.p.top_k, run.p.seed)
+    g = sampling.generate(prompts, run.next_table, run.p.num_sequences, run.p.max_length - 1,
+                          run.p.seed)
     seqs = g.groupBy("item_id", "seq").agg(
         F.array_sort(F.collect_list(F.struct("step", "token"))).alias("s"))
     return seqs.select("item_id", "seq", F.array_join(F.transform("s", lambda e: e["token"]), " ")

@@ -150,6 +150,15 @@ class CorpusRun:
         N = int(uni.agg(F.coalesce(F.sum("cy"), F.lit(0))).first()[0])
         return big, ctx, uni, N
 
+    @cached_property
+    def next_table(self) -> DataFrame:
+        """Top-k next tokens of every context (at most V * k rows), materialised once."""
+        from tokenweave.operators import sampling
+        big, ctx, uni, N = self.model_tables
+        V, k = self.p.vocab_size, self.p.top_k
+        table = sampling.next_token_topk(big, ctx, uni, N, V, k)
+        return cut_lineage(table.unionByName(sampling.unseen_context_rows(uni, N, V, k)))
+
     # ------------------------------------------------------------ byte-pair mode
     @cached_property
     def bpe_merges(self) -> DataFrame:
