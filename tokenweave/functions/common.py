@@ -60,3 +60,13 @@ def bounded_collect(df: DataFrame, bound: int, what: str) -> list:
 def shard_label(prefix: str, split: Column, shard_index: Column) -> Column:
     """S4 file label: ``{prefix}_{split}_{index:06d}``."""
     return F.format_string(f"{prefix}_%s_%06d", split, shard_index)
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
+    """Broadcast hint only after checking the row count; a plain join beyond it.
+
+    Meant for derived tables that are small by construction (one row per
+    batch, per shard, per bucket); the check is one cheap count job.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df

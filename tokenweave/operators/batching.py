@@ -26,6 +26,9 @@ from pyspark.sql import functions as F
 
 from tokenweave.functions.common import idiv
 
+# A plan row is ~40 bytes: 2M rows stay well under the broadcast budget.
+PLAN_BROADCAST_ROWS = 2_000_000
+
 
 def shard_lengths(segments: DataFrame) -> DataFrame:
     """``(split, shard_index, L)``: one row per shard."""
@@ -171,7 +174,11 @@ def plan_pair_counts(pairs: DataFrame, plan: DataFrame, *keys: str) -> DataFrame
     A slot planned twice (epoch wrap) counts twice.  The plan has one row
     per batch; the aggregation combines map-side before its shuffle.
     """
-    sel = plan.select("split", "shard_index", "slot", *keys)
+    from tokenweave.functions.common import broadcast_if_small
+
+    # one row per planned batch: broadcast when the plan is small enough, so
+    # the token-level pairs are never shuffled for this join
+    sel = broadcast_if_small(plan.select("split", "shard_index", "slot", *keys), PLAN_BROADCAST_ROWS)
     return (pairs.join(sel, ["split", "shard_index", "slot"])
             .groupBy(*keys, "x", "y").agg(F.count(F.lit(1)).cast("bigint").alias("cnt")))
 

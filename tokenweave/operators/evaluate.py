@@ -42,12 +42,19 @@ def ngram_model(big: DataFrame, ctx: DataFrame, uni: DataFrame, N: int, V: int)
 
 
 def score(pairs: DataFrame, big: DataFrame, ctx: DataFrame, uni: DataFrame, N: int,
-          V: int) -> DataFrame:
+          V: int, bounded: bool = False) -> DataFrame:
     """Add ``p`` and ``nll`` to aggregated pairs ``(keys..., x, y, cnt)``.
 
     ``pairs`` is already aggregated (one row per distinct pair and batch),
-    so a frequent pair is one row on the probe side of the join.
+    so a frequent pair is one row on the probe side of the join.  With
+    ``bounded`` (held-out batches: at most val_batches * ranks * B*T pairs)
+    the model tables are first cut to the pairs needed by a broadcast semi
+    join, so the full bigram table is scanned once and never shuffled.
     """
+    if bounded:
+        need = pairs.select("x", "y").distinct()
+        big = big.join(F.broadcast(need), ["x", "y"], "left_semi")
+        ctx = ctx.join(F.broadcast(need.select("x").distinct()), "x", "left_semi")
     s = (pairs.join(big, ["x", "y"], "left")
          .join(ctx, "x", "left")
          .join(F.broadcast(uni), "y", "left"))
@@ -94,9 +101,10 @@ def val_curve(train_pc_by_step: DataFrame, val_pc: DataFrame, steps: int, every:
         return (agg.select(*keys, "c", later.alias("ei"))
                 .groupBy("ei", *keys).agg(F.sum("c").cast("bigint").alias(name)))
 
-    big = spread(tp.join(vxy, ["x", "y"], "left_semi"), ["x", "y"], "cxy")
-    ctx = spread(tp.join(vx, "x", "left_semi"), ["x"], "cx")
-    uni = spread(tp.join(vy, "y", "left_semi"), ["y"], "cy")
+    # the val side is bounded by val_batches * ranks * B*T pairs: broadcast it
+    big = spread(tp.join(F.broadcast(vxy), ["x", "y"], "left_semi"), ["x", "y"], "cxy")
+    ctx = spread(tp.join(F.broadcast(vx), "x", "left_semi"), ["x"], "cx")
+    uni = spread(tp.join(F.broadcast(vy), "y", "left_semi"), ["y"], "cy")
     tot = spread(tp, [], "N")
 
     pts = val_pc.withColumn("ei", F.explode(F.sequence(F.lit(0).cast("bigint"),

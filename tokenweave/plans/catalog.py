@@ -160,7 +160,7 @@ def q_ngram_model(spark, sf):
 
 def _scored_val(run):
     big, ctx, uni, N = run.model_tables
-    return evaluate.score(run.val_pairs, big, ctx, uni, N, run.p.vocab_size)
+    return evaluate.score(run.val_pairs, big, ctx, uni, N, run.p.vocab_size, bounded=True)
 
 
 def q_cross_entropy(spark, sf):
