@@ -115,11 +115,13 @@ class CorpusRun:
     def train_plan(self) -> DataFrame:
         if self.max_steps <= 0:
             raise ValueError("train split is smaller than one total batch")
-        return batching.accumulation_plan(self.schedule("train"), self.max_steps, self.p.accum_steps)
+        # one row per planned batch: small, reused by several queries and a size check
+        return cut_lineage(batching.accumulation_plan(self.schedule("train"), self.max_steps,
+                                                      self.p.accum_steps))
 
     @cached_property
     def val_plan(self) -> DataFrame:
-        return batching.val_plan(self.schedule("val"), self.p.val_batches)
+        return cut_lineage(batching.val_plan(self.schedule("val"), self.p.val_batches))
 
     def plan_batches(self, split: str, plan: DataFrame) -> DataFrame:
         return batching.planned_batches(self.split_segments(split), plan, self.p.BT)

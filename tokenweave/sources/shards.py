@@ -23,17 +23,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+# Target tokens per written file (int32 ids: about 16 MB before compression).
+TOKENS_PER_FILE = 4_000_000
+
+
 def write_shards(segments: DataFrame, path: str, shard_size: int,
-                 files_per_shard: int = 1, mode: str = "overwrite") -> str:
+                 files_per_shard: int | None = None, mode: str = "overwrite") -> str:
     """Write segments as ``split=…/shard_index=…`` parquet.
 
-    Rows are hash-partitioned on ``(shard_index, pos div (S/files_per_shard))``:
-    a shard is bounded by S tokens, each writing task holds whole chunks of
-    one shard, and a shard becomes ``files_per_shard`` files instead of one
-    file per (task, shard).  No range sampling, so the upstream plan is not
-    run twice.  The directory is created by the writer (S3).
+    Rows are hash-partitioned on ``(shard_index, pos div chunk)``: a shard is
+    bounded by S tokens, each writing task holds whole chunks of one shard,
+    and a shard becomes ``files_per_shard`` files (by default one per
+    ``TOKENS_PER_FILE`` tokens: a 1e8-token shard is written by 25 tasks)
+    instead of one file per (task, shard).  No range sampling, so the
+    upstream plan is not run twice.  The directory is created by the writer (S3).
     """
-    chunk = max(1, shard_size // max(1, files_per_shard))
+    if files_per_shard is None:
+        files_per_shard = max(1, -(-shard_size // TOKENS_PER_FILE))
+    chunk = max(1, -(-shard_size // max(1, files_per_shard)))
     (segments
      .repartition(F.col("shard_index"), idiv(F.col("pos"), chunk))
      .sortWithinPartitions("shard_index", "pos")
