@@ -25,7 +25,8 @@ HEADLINE = [
     "corpus_scan", "doc_token_lengths", "word_vocab", "doc_offsets", "shard_segments",
     "shard_manifest", "shard_token_checksum", "token_range_check", "list_shards",
     "batch_schedule", "batches", "next_token_pairs", "accumulation_plan", "tokens_per_step",
-    "ngram_model", "cross_entropy", "val_loss", "train_loss_by_step", "val_curve",
+    "ngram_model", "cross_entropy", "val_loss", "train_loss_by_step", "train_loss_online",
+    "val_curve",
     "softmax", "topk_per_group", "weighted_sample", "global_norm_clip", "encode_prompts",
     "decode_roundtrip", "generate",
 ]

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tokenweave.functions.common import idiv
@@ -121,6 +121,33 @@ def val_curve(train_pc_by_step: DataFrame, val_pc: DataFrame, steps: int, every:
             .select((F.col("ei") * every).alias("step"), F.lit("val").alias("split"), "loss"))
 
 
+def online_step_loss(train_pc_by_step: DataFrame, V: int) -> DataFrame:
+    """E4 online: loss of each step's pairs under the table built from earlier steps.
+
+    The reference logs a step's loss before that step's update.  Counts
+    "before step s" are running sums ordered by step, excluding the current
+    row; the partitions are one pair, one context or one target, and each
+    holds at most one row per step, so a frequent word cannot grow a group
+    beyond the number of steps.  Step totals (one row per step) get a global
+    running sum and are broadcast.
+    """
+    before = lambda *keys: (Window.partitionBy(*keys).orderBy("step")
+                            .rowsBetween(Window.unboundedPreceding, -1))
+    z = F.lit(0).cast("bigint")
+    tp = train_pc_by_step.withColumn(
+        "cxy", F.coalesce(F.sum("cnt").over(before("x", "y")), z))
+    cx = (train_pc_by_step.groupBy("step", "x").agg(F.sum("cnt").alias("c"))
+          .select("step", "x", F.coalesce(F.sum("c").over(before("x")), z).alias("cx")))
+    cy = (train_pc_by_step.groupBy("step", "y").agg(F.sum("cnt").alias("c"))
+          .select("step", "y", F.coalesce(F.sum("c").over(before("y")), z).alias("cy")))
+    tot = (train_pc_by_step.groupBy("step").agg(F.sum("cnt").alias("c"))
+           .select("step", F.coalesce(F.sum("c").over(Window.orderBy("step").rowsBetween(
+               Window.unboundedPreceding, -1)), z).alias("N")))
+    s = (tp.join(cx, ["step", "x"]).join(cy, ["step", "y"]).join(F.broadcast(tot), "step"))
+    p = prob(F.col("cxy"), F.col("cx"), F.col("cy"), F.col("N"), V)
+    return mean_loss(s.withColumn("nll", -F.log(p)), ["step"])
+
+
 def eval_schedule(steps_df: DataFrame, every: int, ckpt_every: int, last_step: int) -> DataFrame:
     """evaluation steps (``step % every == 0``) and which of them save a checkpoint."""
     s = F.col("step")

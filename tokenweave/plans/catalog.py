@@ -189,6 +189,12 @@ def q_train_loss_by_step(spark, sf):
     return _train_loss_by_step(get_run(spark, sf)).select("step", F.round("loss", 4).alias("loss"))
 
 
+def q_train_loss_online(spark, sf):
+    run = get_run(spark, sf)
+    loss = evaluate.online_step_loss(run.train_pairs_by_step, run.p.vocab_size)
+    return loss.select("step", F.round("loss", 4).alias("loss"))
+
+
 def _val_curve(run):
     return evaluate.val_curve(run.train_pairs_by_step, run.val_pairs, run.max_steps,
                               run.p.eval_every, run.p.vocab_size)
@@ -366,6 +372,7 @@ QUERIES: dict[str, Query] = {
     "val_loss_by_rank": q_val_loss_by_rank,
     "val_loss": q_val_loss,
     "train_loss_by_step": q_train_loss_by_step,
+    "train_loss_online": q_train_loss_online,
     "val_curve": q_val_curve,
     "eval_schedule": q_eval_schedule,
     "lr_schedule": q_lr_schedule,

@@ -303,6 +303,14 @@ ORACLE_SQL: dict[str, str] = {
     "val_loss_by_rank": with_("vrank") + "SELECT rank, round(loss, 4) AS loss FROM vrank",
     "val_loss": with_("vrank") + "SELECT round(avg(loss), 4) AS loss FROM vrank",
     "train_loss_by_step": with_("tstep") + "SELECT step, round(loss, 4) AS loss FROM tstep",
+    "train_loss_online": with_("tps", "ntot") + f"""
+        SELECT step, round(sum(cnt * -ln({_p('cxy', 'cx', 'cy', 'nb')})) / sum(cnt), 4) AS loss FROM (
+          SELECT t.step, t.cnt,
+                 coalesce((SELECT sum(a.cnt) FROM tps a WHERE a.x = t.x AND a.y = t.y AND a.step < t.step), 0) AS cxy,
+                 coalesce((SELECT sum(a.cnt) FROM tps a WHERE a.x = t.x AND a.step < t.step), 0) AS cx,
+                 coalesce((SELECT sum(a.cnt) FROM tps a WHERE a.y = t.y AND a.step < t.step), 0) AS cy,
+                 coalesce((SELECT sum(a.cnt) FROM tps a WHERE a.step < t.step), 0) AS nb
+          FROM tps t) GROUP BY step""",
     "val_curve": with_("curve") + "SELECT step, split, round(loss, 4) AS loss FROM curve",
     "eval_schedule": with_("steps", "max_steps") + f"""
         SELECT step, (step > 0 AND (step % {CKPT} = 0 OR step = (SELECT m FROM max_steps) - 1))
