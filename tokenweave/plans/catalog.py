@@ -31,6 +31,11 @@ def q_corpus_scan(spark, sf):
     return _corpus_scan(spark, sf)
 
 
+def q_corpus_split_scan(spark, sf):
+    """The split choice at the source; the filter reaches the parquet scan."""
+    return _corpus_scan(spark, sf, where="lang = 'en'")
+
+
 def q_doc_token_lengths(spark, sf):
     return tokens.word_token_lengths(get_run(spark, sf).docs)
 
@@ -348,6 +353,7 @@ def q_stream_pack(spark, sf):
 
 QUERIES: dict[str, Query] = {
     "corpus_scan": q_corpus_scan,
+    "corpus_split_scan": q_corpus_split_scan,
     "doc_token_lengths": q_doc_token_lengths,
     "doc_offsets": q_doc_offsets,
     "shard_segments": q_shard_segments,

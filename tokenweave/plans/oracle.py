@@ -230,6 +230,9 @@ _SEGMENT_SUMMARY = with_("segs", "tp") + """
 ORACLE_SQL: dict[str, str] = {
     "corpus_scan": "SELECT doc_id, CAST(length(coalesce(text, '')) AS BIGINT) AS n_chars, "
                    "CAST(strlen(coalesce(text, '')) AS BIGINT) AS n_bytes FROM documents",
+    "corpus_split_scan": "SELECT doc_id, CAST(length(coalesce(text, '')) AS BIGINT) AS n_chars, "
+                         "CAST(strlen(coalesce(text, '')) AS BIGINT) AS n_bytes FROM documents "
+                         "WHERE lang = 'en'",
     "doc_token_lengths": with_("lens") + "SELECT doc_id, n FROM lens",
     "doc_offsets": with_("offs") + "SELECT doc_id, n, off FROM offs",
     "shard_segments": _SEGMENT_SUMMARY,
