@@ -31,7 +31,7 @@ class PackParams:
     max_length: int = 9
     seed: str = "42"
     bpe_merges: int = 24
-    stream_files: int = 4
+    stream_docs_per_file: int = 250
     shard_prefix: str = "corpus"
 
     @property

@@ -328,21 +328,21 @@ def q_bpe_encode(spark, sf):
 def q_stream_pack(spark, sf):
     """The corpus arrives as files in doc_id order and is packed incrementally.
 
-    The arrival files are derived from ``documents`` (contiguous doc_id
-    ranges, written one after another); the packed segments must equal the
-    batch packer's, so the oracle is the same as ``shard_segments``.
+    The arrival files are derived from ``documents``: contiguous doc_id
+    ranges at most ``stream_docs_per_file`` ids wide (so each file, written
+    by one task, is bounded by a parameter, not by the corpus), written one
+    after another so arrival order is doc_id order.  The packed segments must
+    equal the batch packer's, so the oracle is the same as ``shard_segments``.
     """
     from tokenweave.streaming.pack_stream import pack_stream
     run = get_run(spark, sf)
     docs = read_table(spark, sf, "documents").select("doc_id", "text")
     lo, hi = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
     src = shard_io.scratch_path(spark, "stream-src")
-    parts = run.p.stream_files
-    step = (int(hi) - int(lo)) // parts + 1
-    for i in range(parts):
-        a = int(lo) + i * step
-        (docs.filter((F.col("doc_id") >= a) & (F.col("doc_id") < a + step))
-         .coalesce(1).write.mode("overwrite").parquet(f"{src}/arrival={i:04d}"))
+    width = run.p.stream_docs_per_file
+    for i, a in enumerate(range(int(lo), int(hi) + 1, width)):
+        (docs.filter((F.col("doc_id") >= a) & (F.col("doc_id") < a + width))
+         .coalesce(1).write.mode("overwrite").parquet(f"{src}/arrival={i:06d}"))
     sink = shard_io.scratch_path(spark, "stream-sink")
     seg = pack_stream(spark, src, sink, run.vocab_words, run.p.vocab_size, run.p.shard_size)
     return seg.select("split", "shard_index", "pos", "doc_id", "src", "n", "doc_n",
