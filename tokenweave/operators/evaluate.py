@@ -77,38 +77,60 @@ def val_losses(scored: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     return per_batch, per_rank, overall
 
 
+def asof_cumulative(counts: DataFrame, points: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """Counts summed over intervals ``eb < ei`` for every (key, ei) of ``points``.
+
+    ``counts`` is ``(keys..., eb, c)`` (one row per key and interval); a
+    running sum per key is carried to every evaluation point by an as-of
+    lookup: interval rows at position ``eb+1`` and evaluation rows at ``ei``
+    are unioned and ``last(cum, ignorenulls)`` fills the evaluation rows.  A
+    window partition holds one key's intervals and points (at most 2(E+1)
+    rows), so the work is linear in the inputs however many points there are.
+    """
+    upto = lambda *o: Window.partitionBy(*keys).orderBy(*o).rowsBetween(Window.unboundedPreceding, 0)
+    cum = counts.select(*keys, (F.col("eb") + 1).alias("at"), F.lit(0).alias("kind"),
+                        F.sum("c").over(upto("eb")).cast("bigint").alias("cum"))
+    ev = points.select(*keys, F.col("ei").alias("at"), F.lit(1).alias("kind"),
+                       F.lit(None).cast("bigint").alias("cum"))
+    u = cum.unionByName(ev).withColumn("v", F.last("cum", ignorenulls=True).over(upto("at", "kind")))
+    return u.filter(F.col("kind") == 1).select(*keys, F.col("at").alias("ei"),
+                                               F.coalesce("v", F.lit(0).cast("bigint")).alias(name))
+
+
 def val_curve(train_pc_by_step: DataFrame, val_pc: DataFrame, steps: int, every: int,
               V: int) -> DataFrame:
     """E5: val loss of the table built from steps ``< m``, for ``m`` in the schedule.
 
     Evaluation points are ``m = i*every`` for ``i = 0..E`` with ``m < steps``.
-    Train counts are first summed per evaluation interval, restricted to the
+    Train counts are summed per evaluation interval and restricted to the
     pairs, contexts and targets the val batches need (a set bounded by the
-    val batches), then spread to the later evaluation points with a bounded
-    ``explode`` (at most E+1 per row).  No join on an inequality.
+    val batches, broadcast for the semi joins); the count before each point
+    is an as-of lookup (``asof_cumulative``).  No join on an inequality and
+    no per-point copy of the train counts.
     """
     E = (steps - 1) // every if steps > 0 else 0
     tp = train_pc_by_step.withColumn("eb", idiv(F.col("step"), every))
-    later = F.explode(F.sequence(F.col("eb") + 1, F.lit(E).cast("bigint")))
+    pts_all = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(E).cast("bigint")))
 
     vxy = val_pc.select("x", "y").distinct()
     vx = vxy.select("x").distinct()
     vy = vxy.select("y").distinct()
 
-    def spread(df: DataFrame, keys: list[str], name: str) -> DataFrame:
-        agg = df.groupBy("eb", *keys).agg(F.sum("cnt").alias("c"))
-        agg = agg.filter(F.col("eb") < E)
-        return (agg.select(*keys, "c", later.alias("ei"))
-                .groupBy("ei", *keys).agg(F.sum("c").cast("bigint").alias(name)))
+    def counts(df: DataFrame, keys: list[str]) -> DataFrame:
+        return df.groupBy(*keys, "eb").agg(F.sum("cnt").alias("c"))
 
     # the val side is bounded by val_batches * ranks * B*T pairs: broadcast it
-    big = spread(tp.join(F.broadcast(vxy), ["x", "y"], "left_semi"), ["x", "y"], "cxy")
-    ctx = spread(tp.join(F.broadcast(vx), "x", "left_semi"), ["x"], "cx")
-    uni = spread(tp.join(F.broadcast(vy), "y", "left_semi"), ["y"], "cy")
-    tot = spread(tp, [], "N")
-
-    pts = val_pc.withColumn("ei", F.explode(F.sequence(F.lit(0).cast("bigint"),
-                                                       F.lit(E).cast("bigint"))))
+    big = asof_cumulative(counts(tp.join(F.broadcast(vxy), ["x", "y"], "left_semi"), ["x", "y"]),
+                          vxy.select("x", "y", pts_all.alias("ei")), ["x", "y"], "cxy")
+    ctx = asof_cumulative(counts(tp.join(F.broadcast(vx), "x", "left_semi"), ["x"]),
+                          vx.select("x", pts_all.alias("ei")), ["x"], "cx")
+    uni = asof_cumulative(counts(tp.join(F.broadcast(vy), "y", "left_semi"), ["y"]),
+                          vy.select("y", pts_all.alias("ei")), ["y"], "cy")
+    tot_c = counts(tp.withColumn("g", F.lit(0)), ["g"])
+    tot = asof_cumulative(tot_c, tot_c.select("g").distinct().select("g", pts_all.alias("ei")),
+                          ["g"], "N").drop("g")
+
+    pts = val_pc.withColumn("ei", pts_all)
     s = (pts.join(big, ["ei", "x", "y"], "left").join(ctx, ["ei", "x"], "left")
          .join(uni, ["ei", "y"], "left").join(F.broadcast(tot), "ei", "left"))
     z = F.lit(0).cast("bigint")
