@@ -61,3 +61,17 @@ def test_range_assert_fails_job(spark):
         tokens.assert_token_range(bad).collect()
     rep = tokens.token_range_report(bad).first()
     assert rep.n_out_of_range == 1 and rep.max_id == 70000
+
+
+def test_byte_mode_pipeline_and_vocab(spark, docs):
+    from tokenweave.operators import packing
+    from tokenweave.params import PackParams
+    from tokenweave.plans import corpus
+
+    vocab = {r.token_id: r.token_hex for r in tokens.byte_vocab(spark).collect()}
+    assert len(vocab) == 257 and vocab[65] == "41" and vocab[256] == ""
+    seg = corpus.segments(spark, SF001, PackParams(shard_size=100_000), mode="bytes", docs=docs)
+    total = sum(len(r.text.encode("utf-8")) + 1 for r in docs.collect())
+    man = packing.shard_manifest(seg).collect()
+    assert sum(r.n_tokens for r in man) == total
+    assert {r.split for r in man} == ({"val", "train"} if total > 100_000 else {"val"})

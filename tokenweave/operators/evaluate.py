@@ -206,7 +206,3 @@ def global_norm_clip(df: DataFrame, col: str, cap: float = 1.0) -> tuple[DataFra
     scale = min(1.0, cap / norm) if norm > 0 else 1.0
     out = df.withColumn(col, F.transform(F.col(col), lambda v: v.cast("double") * scale))
     return out, norm
-
-
-def steps_table(spark: SparkSession, plan: DataFrame) -> DataFrame:
-    return plan.select("step").distinct()

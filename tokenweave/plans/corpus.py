@@ -61,15 +61,3 @@ def segments(spark: SparkSession, sf_dir: str, params: PackParams, mode: str = "
     docs = docs if docs is not None else documents(spark, sf_dir)
     toks = encode(docs, params, mode, merges=merges)
     return packing.cut_segments(offsets(docs, toks, jvm_lengths(docs, mode)), params.shard_size)
-
-
-def length_segments(spark: SparkSession, sf_dir: str, params: PackParams,
-                    docs: DataFrame | None = None) -> DataFrame:
-    """Words-mode segments without token arrays (lengths are JVM-only)."""
-    docs = docs if docs is not None else documents(spark, sf_dir)
-    lens = tokens.word_token_lengths(docs)
-    return packing.cut_segments(offsets(docs, lens), params.shard_size)
-
-
-def with_eot_flag(df: DataFrame) -> DataFrame:
-    return df.withColumn("is_eot", F.col("src") == 0)
