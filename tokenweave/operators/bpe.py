@@ -2,11 +2,11 @@
 
 Learning runs on the table of *distinct* pre-tokens with their corpus
 counts (a ``groupBy`` with map-side combine), so its cost follows the
-vocabulary of pre-tokens, not the corpus.  Each merge is one Spark job:
+vocabulary of pre-tokens, not the corpus.  Each merge is a Spark job:
 adjacent pairs are exploded and summed (partial aggregation per task), the
 best pair is one scalar brought to the driver, and the merge is applied to
-every symbol array with ``aggregate``.  Lineage is cut with a reliable
-checkpoint every few merges.
+every symbol array with ``aggregate``.  The merged (small) table is
+checkpointed after every merge, so lineage never grows.
 
 Encoding is one narrow pass: Spark splits text into pre-tokens on the JVM;
 an Arrow helper encodes each *unique* pre-token of a batch once (lowest rank
