@@ -158,11 +158,14 @@ def slot_pairs(segments: DataFrame, BT: int) -> DataFrame:
                                   F.slice("ids", 2, (n - 1).cast("int")).alias("y"))).alias("i", "z"))
     inner = inner.select("split", "shard_index", idiv(F.col("pos") + F.col("i"), BT).alias("slot"),
                          F.col("z.x").cast("bigint").alias("x"), F.col("z.y").cast("bigint").alias("y"))
+    has_ends = "first_id" in segments.columns and "last_id" in segments.columns
+    last = F.col("last_id") if has_ends else F.element_at("ids", -1)
+    first = F.col("first_id") if has_ends else F.element_at("ids", 1)
     ends = segments.select("split", "shard_index", (F.col("pos") + n).alias("at"),
                            idiv(F.col("pos") + n - 1, BT).alias("slot"),
-                           F.element_at("ids", -1).cast("bigint").alias("x"))
+                           last.cast("bigint").alias("x"))
     starts = segments.select("split", "shard_index", F.col("pos").alias("at"),
-                             F.element_at("ids", 1).cast("bigint").alias("y"))
+                             first.cast("bigint").alias("y"))
     border = ends.join(starts, ["split", "shard_index", "at"]).select(
         "split", "shard_index", "slot", "x", "y")
     return inner.unionByName(border)

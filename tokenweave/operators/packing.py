@@ -69,9 +69,9 @@ def doc_offsets(rows: DataFrame, lo: int, width: int, key: str = "doc_id",
 def cut_segments(offsets: DataFrame, shard_size: int) -> DataFrame:
     """Cut every document at shard borders.
 
-    Output ``(split, shard_index, pos, doc_id, src, n, doc_n, ids)``: ``pos``
-    is the place in the shard, ``src`` the place in the document, ``n`` the
-    piece length, ``doc_n`` the whole document's length.  A document may span any number of shards (Q1) and a shard that
+    Output ``(split, shard_index, pos, doc_id, src, n, doc_n, ids, first_id,
+    last_id)``: ``pos`` is the place in the shard, ``src`` the place in the
+    document, ``n`` the piece length, ``doc_n`` the whole document's length.  A document may span any number of shards (Q1) and a shard that
     fills exactly is never followed by an empty one (Q3, P6).
     """
     S = int(shard_size)
@@ -89,7 +89,11 @@ def cut_segments(offsets: DataFrame, shard_size: int) -> DataFrame:
         F.col("n").cast("bigint").alias("doc_n"),
     ]
     if "ids" in offsets.columns:
-        cols.append(F.slice("ids", (a - F.col("off") + 1).cast("int"), (b - a).cast("int")).alias("ids"))
+        cols += [F.slice("ids", (a - F.col("off") + 1).cast("int"), (b - a).cast("int")).alias("ids"),
+                 # end tokens as scalars: the border pairs between segments then read
+                 # two small columns instead of the token arrays
+                 F.element_at("ids", (a - F.col("off") + 1).cast("int")).alias("first_id"),
+                 F.element_at("ids", (b - F.col("off")).cast("int")).alias("last_id")]
     return d.select(*cols)
 
 

@@ -51,8 +51,8 @@ def q_shard_segments(spark, sf):
     seg = get_run(spark, sf).segments
     return seg.select("split", "shard_index", "pos", "doc_id", "src", "n", "doc_n",
                       asum("ids").alias("id_sum"),
-                      F.element_at("ids", 1).cast("bigint").alias("first_id"),
-                      F.element_at("ids", -1).cast("bigint").alias("last_id"))
+                      F.col("first_id").cast("bigint").alias("first_id"),
+                      F.col("last_id").cast("bigint").alias("last_id"))
 
 
 def q_shard_manifest(spark, sf):
