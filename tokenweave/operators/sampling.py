@@ -57,16 +57,20 @@ def gumbel_key(weight: Column, u: Column) -> Column:
 
 
 def weighted_draw(df: DataFrame, group: list[str], item: str, weight: str, seed: str,
-                  step: Column | None = None) -> DataFrame:
+                  step: Column | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
     """One item per group, drawn with probability proportional to weight.
 
     Weights need not sum to one (the reference does not renormalise the
-    top-k probabilities; a multinomial draw does not need it).
+    top-k probabilities; a multinomial draw does not need it).  ``carry``
+    columns travel with the winning row.
     """
     step = step if step is not None else F.lit(0)
     u = uniform_hash(F.lit(seed), *[F.col(g) for g in group], step, F.col(item))
     d = df.withColumn("_key", gumbel_key(F.col(weight), u))
-    return d.groupBy(*group).agg(F.max_by(item, "_key").alias(item))
+    if not carry:
+        return d.groupBy(*group).agg(F.max_by(item, "_key").alias(item))
+    won = d.groupBy(*group).agg(F.max_by(F.struct(item, *carry), "_key").alias("_w"))
+    return won.select(*group, *[F.col(f"_w.{c}").alias(c) for c in (item, *carry)])
 
 
 def next_token_topk(big: DataFrame, ctx: DataFrame, uni: DataFrame, N: int, V: int,
@@ -113,6 +117,14 @@ def unseen_context_rows(uni: DataFrame, N: int, V: int, k: int) -> DataFrame:
     return best.select(F.lit(UNSEEN_CONTEXT).cast("bigint").alias("x"), "y", "p")
 
 
+def with_next_context(table: DataFrame) -> DataFrame:
+    """Add ``nx``: the table context a drawn ``y`` leads to (``-1`` if ``y`` is no context)."""
+    contexts = table.select(F.col("x").alias("_c")).distinct()
+    return (table.join(contexts, F.col("y") == F.col("_c"), "left")
+            .withColumn("nx", F.coalesce(F.col("_c"), F.lit(UNSEEN_CONTEXT).cast("bigint")))
+            .drop("_c"))
+
+
 def generate(prompts: DataFrame, table: DataFrame, num_sequences: int, steps: int, seed: str,
              checkpoint_every: int = 1, eot: int | None = None,
              stop_at_eot: bool = False) -> DataFrame:
@@ -121,33 +133,37 @@ def generate(prompts: DataFrame, table: DataFrame, num_sequences: int, steps: in
     Each prompt ``(item_id, ids)`` is replicated ``num_sequences`` times
     (explode, G1).  A step takes the last token of every sequence (G2),
     joins it to the precomputed top-k table ``(x, y, p)`` (G4), draws one
-    candidate per sequence (G5/G6) and appends it (G7).  The loop is bounded
+    candidate per sequence (G5/G6) and appends it (G7).  Each candidate
+    carries the table context its token leads to (``x = -1`` when the token
+    was never a training context), so a step is a single join.  The loop is bounded
     by ``steps`` (G8); each step's draws are checkpointed to the shared
     folder, so a step never replays its predecessors.
     """
     seqs = prompts.select("item_id", F.explode(F.sequence(F.lit(0).cast("bigint"),
                                                           F.lit(num_sequences - 1).cast("bigint")))
                           .alias("seq"), F.element_at("ids", -1).cast("bigint").alias("x"))
-    contexts = table.select("x").distinct().withColumn("_seen", F.lit(True))
+    # a context absent from the table uses the unseen-context rows (x = -1); every
+    # candidate carries the context its token leads to, so a step is one join
+    if "nx" not in table.columns:
+        # at most V*k rows, reused by every step: materialised once
+        table = cut_lineage(with_next_context(table))
+    contexts = table.select(F.col("x").alias("_c")).distinct()
+    frontier = (seqs.join(contexts, F.col("x") == F.col("_c"), "left")
+                .withColumn("x", F.coalesce(F.col("_c"), F.lit(UNSEEN_CONTEXT).cast("bigint")))
+                .drop("_c"))
     out = []
-    frontier = seqs
     for t in range(steps):
-        # a context absent from the table uses the unseen-context rows (x = -1)
-        keyed = (frontier.join(contexts, "x", "left")
-                 .withColumn("x", F.when(F.col("_seen"), F.col("x"))
-                             .otherwise(F.lit(UNSEEN_CONTEXT).cast("bigint")))
-                 .drop("_seen"))
-        cand = keyed.join(table, "x")
-        drawn = weighted_draw(cand, ["item_id", "seq"], "y", "p", seed, step=F.lit(t))
+        cand = frontier.join(table, "x")
+        drawn = weighted_draw(cand, ["item_id", "seq"], "y", "p", seed, step=F.lit(t), carry=("nx",))
         drawn = drawn.select("item_id", "seq", F.lit(t).cast("bigint").alias("step"),
-                             F.col("y").alias("token"))
+                             F.col("y").alias("token"), "nx")
         if (t + 1) % checkpoint_every == 0:
             drawn = cut_lineage(drawn)
-        out.append(drawn)
-        nxt = drawn.select("item_id", "seq", F.col("token").alias("x"))
+        out.append(drawn.drop("nx"))
+        nxt = drawn.select("item_id", "seq", F.col("nx").alias("x"), "token")
         if stop_at_eot and eot is not None:
-            nxt = nxt.filter(F.col("x") != eot)
-        frontier = nxt
+            nxt = nxt.filter(F.col("token") != eot)
+        frontier = nxt.drop("token")
     res = out[0]
     for d in out[1:]:
         res = res.unionByName(d)

@@ -159,7 +159,8 @@ class CorpusRun:
         big, ctx, uni, N = self.model_tables
         V, k = self.p.vocab_size, self.p.top_k
         table = sampling.next_token_topk(big, ctx, uni, N, V, k)
-        return cut_lineage(table.unionByName(sampling.unseen_context_rows(uni, N, V, k)))
+        table = cut_lineage(table.unionByName(sampling.unseen_context_rows(uni, N, V, k)))
+        return cut_lineage(sampling.with_next_context(table))
 
     # ------------------------------------------------------------ byte-pair mode
     @cached_property
