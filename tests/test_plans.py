@@ -1,17 +1,29 @@
-"""Plan shape of every registered query: no products, no row-at-a-time Python."""
+"""Plan shape of every registered query.
+
+No products, no row-at-a-time Python, and no single-partition exchange
+over token-, document- or pair-level rows (SURVEY §4 and §5): whatever goes
+to one task is a table bounded by parameters or a merge of partial results.
+"""
+
+import re
 
 import pytest
 
-from conftest import SF001
+from conftest import SF001, exchange_inputs
 
 import __spark_entry__ as E
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython")
+ROW_LEVEL = {"ids", "text", "doc_id", "pos", "x", "y", "word", "pretoken", "sym", "buf"}
 
 
 @pytest.mark.parametrize("name", sorted(E.queries()))
-def test_no_cross_join_or_row_udf(spark, name):
+def test_plan_shape(spark, name):
     df = E.queries()[name](spark, SF001)
     plan = df._jdf.queryExecution().executedPlan().toString()
     for bad in FORBIDDEN:
         assert bad not in plan, f"{name}: {bad} in plan"
+    for args, inputs in exchange_inputs(df):
+        if "SinglePartition" in args:
+            cols = {re.sub(r"#\d+L?$", "", c.strip()) for c in inputs.split("[", 1)[-1].rstrip("]").split(",")}
+            assert not (cols & ROW_LEVEL), f"{name}: single-partition exchange over {cols & ROW_LEVEL}"
