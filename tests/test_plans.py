@@ -17,6 +17,22 @@ FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython")
 ROW_LEVEL = {"ids", "text", "doc_id", "pos", "x", "y", "word", "pretoken", "sym", "buf"}
 
 
+def input_columns(line: str) -> set[str]:
+    """Column names of an ``Input [n]: [a#1L, b#2]`` line of the formatted plan."""
+    m = re.search(r"Input \[\d+\]: \[(.*)\]", line)
+    return {re.sub(r"#\d+L?$", "", c.strip()) for c in m.group(1).split(",")} if m else set()
+
+
+def test_check_flags_a_global_running_sum(spark):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    df = spark.range(100).select(F.col("id").alias("doc_id"), F.lit(3).alias("n"))
+    bad = df.withColumn("off", F.sum("n").over(Window.orderBy("doc_id")))
+    single = [input_columns(i) for a, i in exchange_inputs(bad) if "SinglePartition" in a]
+    assert single and all("doc_id" in c for c in single)
+
+
 @pytest.mark.parametrize("name", sorted(E.queries()))
 def test_plan_shape(spark, name):
     df = E.queries()[name](spark, SF001)
@@ -25,5 +41,5 @@ def test_plan_shape(spark, name):
         assert bad not in plan, f"{name}: {bad} in plan"
     for args, inputs in exchange_inputs(df):
         if "SinglePartition" in args:
-            cols = {re.sub(r"#\d+L?$", "", c.strip()) for c in inputs.split("[", 1)[-1].rstrip("]").split(",")}
+            cols = input_columns(inputs)
             assert not (cols & ROW_LEVEL), f"{name}: single-partition exchange over {cols & ROW_LEVEL}"
