@@ -1,7 +1,6 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import exchange_inputs, lengths_frame
 from seqref import fold_pieces

@@ -1,7 +1,6 @@
 """Corpus readers, shard sink/discovery, metrics log."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import SF001
 from tokenweave.sources import metrics as metrics_io

@@ -8,7 +8,6 @@ two scalars (the key range that sizes the offset buckets).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tokenweave.operators import packing, tokens
 from tokenweave.params import PackParams
