@@ -313,6 +313,13 @@ def q_decode_roundtrip(spark, sf):
     return enc.select("doc_id", F.md5(tokens.decode_bytes("ids")).alias("md5"))
 
 
+def q_decode_words_roundtrip(spark, sf):
+    """T5 words mode: decode every encoded document (md5 of the decoded text)."""
+    run = get_run(spark, sf)
+    text = tokens.decode_words(F.col("ids"), run.vocab_words, run.p.vocab_size)
+    return run.doc_tokens.select("doc_id", F.md5(text).alias("md5"))
+
+
 def q_learn_bpe_merges(spark, sf):
     return get_run(spark, sf).bpe_merges
 
@@ -393,6 +400,7 @@ QUERIES: dict[str, Query] = {
     "encode_prompts": q_encode_prompts,
     "generate": q_generate,
     "decode_roundtrip": q_decode_roundtrip,
+    "decode_words_roundtrip": q_decode_words_roundtrip,
     "learn_bpe_merges": q_learn_bpe_merges,
     "bpe_encode": q_bpe_encode,
     "stream_pack": q_stream_pack,

@@ -362,4 +362,9 @@ ORACLE_SQL: dict[str, str] = {
         FROM gen GROUP BY item_id, seq""",
     "decode_roundtrip": "SELECT doc_id, md5(coalesce(text, '')) AS md5 FROM documents",
     "bpe_encode": "SELECT doc_id, md5(coalesce(text, '')) AS md5 FROM documents",
+    "decode_words_roundtrip": with_("tw", "vocab", "wl") + """
+        SELECT w.doc_id, md5(CASE WHEN d.t IS NULL THEN '<|eot|>' ELSE '<|eot|> ' || d.t END) AS md5
+        FROM wl w LEFT JOIN (
+          SELECT tw.doc_id, string_agg(coalesce(v.word, '<|unk|>'), ' ' ORDER BY tw.i) AS t
+          FROM tw LEFT JOIN vocab v ON v.word = tw.word GROUP BY tw.doc_id) d ON d.doc_id = w.doc_id""",
 }
