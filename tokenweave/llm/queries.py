@@ -93,9 +93,9 @@ def _pii_sql() -> str:
         p = plain.get(k.name, k.pattern.replace("(?:", "("))
         near = f"(?i)(^|[^A-Za-z])({k.words})([^A-Za-z]|$)"
         parts.append(f"""
-SELECT doc_id, row_no, {rank} AS rank, '{k.name}' AS kind, at AS s, at + length(hit) AS e FROM (
+SELECT doc_id, row_no, {rank} AS rank, '{k.name}' AS kind, pos AS s, pos + length(hit) AS e FROM (
  SELECT doc_id, row_no, hits[i] AS hit,
-  (SELECT 0) + list_sum(list_transform(gaps[1:i], g -> length(g))) + coalesce(list_sum(list_transform(hits[1:i-1], h -> length(h))), 0) AS at,
+  list_sum(list_transform(gaps[1:i], g -> length(g))) + coalesce(list_sum(list_transform(hits[1:i-1], h -> length(h))), 0) AS pos,
   regexp_matches(right(gaps[i], {pii.CONTEXT_CHARS}), '{near}') OR regexp_matches(left(gaps[i+1], {pii.CONTEXT_CHARS}), '{near}') AS near
  FROM (SELECT doc_id, row_no, gaps, hits, unnest(range(1, len(hits) + 1)) AS i FROM (
   SELECT doc_id, row_no, string_split_regex(t, '{p}') AS gaps, regexp_extract_all(t, '{p}') AS hits FROM d)))
