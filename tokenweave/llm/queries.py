@@ -77,14 +77,14 @@ def _pii_sql() -> str:
              "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+",
              "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
     digits = "regexp_replace(hit, '[^0-9]', '', 'g')"
-    luhn = (f"list_sum(list_transform(range(1, length({digits}) + 1), i -> CASE WHEN i % 2 = 1 THEN "
+    luhn = (f"list_sum(list_transform(range(1, length({digits}) + 1), lambda i: CASE WHEN i % 2 = 1 THEN "
             f"substr(reverse({digits}), i, 1)::INT ELSE (2 * substr(reverse({digits}), i, 1)::INT) % 10 + "
             f"(2 * substr(reverse({digits}), i, 1)::INT) // 10 END)) % 10 = 0")
     rotated = "substr(replace(hit, ' ', ''), 5) || substr(replace(hit, ' ', ''), 1, 4)"
-    mod97 = (f"list_reduce(list_prepend(0, list_transform(string_split({rotated}, ''), c -> CASE WHEN c BETWEEN '0' AND '9' "
-             "THEN c::INT ELSE ascii(c) - 55 END)), (a, v) -> (a * CASE WHEN v < 10 THEN 10 ELSE 100 END + v) % 97) = 1")
+    mod97 = (f"list_reduce(list_prepend(0, list_transform(string_split({rotated}, ''), lambda c: CASE WHEN c BETWEEN '0' AND '9' "
+             "THEN c::INT ELSE ascii(c) - 55 END)), lambda a, v: (a * CASE WHEN v < 10 THEN 10 ELSE 100 END + v) % 97) = 1")
     # a letter's value is at least 10, a digit's below, so the value alone tells how far to shift
-    ok = {"email": "true", "ip": "len(list_filter(string_split(hit, '.'), p -> length(ltrim(p, '0')) > 3 OR "
+    ok = {"email": "true", "ip": "len(list_filter(string_split(hit, '.'), lambda p: length(ltrim(p, '0')) > 3 OR "
           "(length(ltrim(p, '0')) > 0 AND ltrim(p, '0')::INT > 255))) = 0",
           "card": f"length({digits}) BETWEEN 14 AND 19 AND {luhn}", "phone": f"length({digits}) BETWEEN 10 AND 15",
           "iban": mod97, "ssn": "near"}
@@ -95,7 +95,7 @@ def _pii_sql() -> str:
         parts.append(f"""
 SELECT doc_id, row_no, {rank} AS rank, '{k.name}' AS kind, pos AS s, pos + length(hit) AS e FROM (
  SELECT doc_id, row_no, hits[i] AS hit,
-  list_sum(list_transform(gaps[1:i], g -> length(g))) + coalesce(list_sum(list_transform(hits[1:i-1], h -> length(h))), 0) AS pos,
+  list_sum(list_transform(gaps[1:i], lambda g: length(g))) + coalesce(list_sum(list_transform(hits[1:i-1], lambda h: length(h))), 0) AS pos,
   regexp_matches(right(gaps[i], {pii.CONTEXT_CHARS}), '{near}') OR regexp_matches(left(gaps[i+1], {pii.CONTEXT_CHARS}), '{near}') AS near
  FROM (SELECT doc_id, row_no, gaps, hits, unnest(range(1, len(hits) + 1)) AS i FROM (
   SELECT doc_id, row_no, string_split_regex(t, '{p}') AS gaps, regexp_extract_all(t, '{p}') AS hits FROM d)))
