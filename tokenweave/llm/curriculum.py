@@ -145,4 +145,5 @@ def training_order(mixed: DataFrame) -> DataFrame:
     """
     due = F.coalesce(F.col("first_position"), F.lit(2.0))
     # the number of ranges follows spark.sql.shuffle.partitions
-    return mixed.repartitionByRange(due, "size").sortWithinPartitions(due)
+    # and documents that share a position are spread by a hash
+    return mixed.repartitionByRange(due, F.xxhash64(*mixed.columns)).sortWithinPartitions(due)

@@ -11,13 +11,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenweave.llm import chat, curriculum, merkle, pii, simhash, warc
-from tokenweave.llm.common import shared_path, table
+from tokenweave.llm import chat, curriculum, decontam, merkle, pii, qda, simhash, warc
+from tokenweave.llm.common import crc_mod, shared_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Fixed values of the contracts.
 SIMHASH_SHINGLE, SIMHASH_RADIUS = 3, 2
+QUALITY_THRESHOLD = 0.3
 PROBE_CHAT = "</s>[INST] ok [/INST]"
 
 
@@ -36,6 +37,15 @@ def op2_pii(spark: SparkSession, sf: str) -> DataFrame:
         joined(F.col("pii")).alias("spans"))
 
 
+def op3_quality(spark: SparkSession, sf: str) -> DataFrame:
+    held_out = crc_mod(F.col("id"), 5) == 0
+    stats = qda.document_statistics(table(spark, sf, "documents"))
+    model = qda.fit(stats.where(~held_out), table(spark, sf, "labels"))
+    return qda.score(stats, model).select(
+        F.col("id").alias("doc_id"), held_out.alias("held_out"), "score",
+        F.when(F.col("score") >= QUALITY_THRESHOLD, 1).otherwise(0).alias("predicted"))
+
+
 def op5_chat_format(spark: SparkSession, sf: str) -> DataFrame:
     turns = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
     probe = spark.sql(f"SELECT * FROM VALUES (-7L, 0L, 'user', '{PROBE_CHAT}'), (-7L, 1L, 'assistant', '{PROBE_CHAT}') "
@@ -49,6 +59,12 @@ def op5_chat_format(spark: SparkSession, sf: str) -> DataFrame:
         F.length("formatted").cast("bigint").alias("formatted_chars"))
 
 
+def op6_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    found = decontam.find_leaks(docs, table(spark, sf, "benchmark"))
+    return found.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
+
+
 def op7_mixing(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text", "source")
     mixed = curriculum.mix(docs).select("doc_id", "size", "source_size", "target", "taken", "epochs", "first_position")
@@ -69,7 +85,7 @@ def op10_simhash_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_merkle_fingerprints, op2_pii, op5_chat_format, op7_mixing, op9_warc, op10_simhash_dedup)}
+    op1_merkle_fingerprints, op2_pii, op3_quality, op5_chat_format, op6_decontamination, op7_mixing, op9_warc, op10_simhash_dedup)}
 
 
 def _pii_sql() -> str:
