@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenweave.llm import chat, curriculum, decontam, merkle, pii, qda, simhash, warc
+from tokenweave.llm import chat, curriculum, decontam, maxent, merkle, pii, qda, simhash, warc
 from tokenweave.llm.common import crc_mod, shared_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +46,10 @@ def op3_quality(spark: SparkSession, sf: str) -> DataFrame:
         F.when(F.col("score") >= QUALITY_THRESHOLD, 1).otherwise(0).alias("predicted"))
 
 
+def op4_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
+    return maxent.score_texts(table(spark, sf, "documents"), crc_mod(F.col("doc_id"), 7) == 2)
+
+
 def op5_chat_format(spark: SparkSession, sf: str) -> DataFrame:
     turns = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
     probe = spark.sql(f"SELECT * FROM VALUES (-7L, 0L, 'user', '{PROBE_CHAT}'), (-7L, 1L, 'assistant', '{PROBE_CHAT}') "
@@ -85,7 +89,7 @@ def op10_simhash_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_merkle_fingerprints, op2_pii, op3_quality, op5_chat_format, op6_decontamination, op7_mixing, op9_warc, op10_simhash_dedup)}
+    op1_merkle_fingerprints, op2_pii, op3_quality, op4_lm_scoring, op5_chat_format, op6_decontamination, op7_mixing, op9_warc, op10_simhash_dedup)}
 
 
 def _pii_sql() -> str:
