@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenweave.llm import chat, curriculum, decontam, maxent, merkle, pii, qda, simhash, warc
+from tokenweave.llm import chat, curriculum, decontam, maxent, merkle, pii, qda, simhash, suffix, warc
 from tokenweave.llm.common import crc_mod, shared_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,6 +75,10 @@ def op7_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return curriculum.training_order(mixed).drop("first_position")
 
 
+def op8_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return suffix.remove_repeats(table(spark, sf, "documents"), keep_bytes=False)
+
+
 def op9_warc(spark: SparkSession, sf: str) -> DataFrame:
     path = shared_path(spark, "warc")
     warc.write_archives(table(spark, sf, "pages"), path)
@@ -89,7 +93,7 @@ def op10_simhash_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_merkle_fingerprints, op2_pii, op3_quality, op4_lm_scoring, op5_chat_format, op6_decontamination, op7_mixing, op9_warc, op10_simhash_dedup)}
+    op1_merkle_fingerprints, op2_pii, op3_quality, op4_lm_scoring, op5_chat_format, op6_decontamination, op7_mixing, op8_suffix_dedup, op9_warc, op10_simhash_dedup)}
 
 
 def _pii_sql() -> str:
