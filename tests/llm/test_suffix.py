@@ -61,7 +61,8 @@ def test_equals_brute_force(spark, seed, p):
 
 
 def test_edge_rows(spark):
-    long = "".join(random.Random(5).choice("abcdefgh ") for _ in range(5000))
+    rng = random.Random(5)
+    long = "".join(rng.choice("abcdefgh ") for _ in range(5000))
     rows = [(1, None), (1, long), (None, "x" + long[100:900]), (None, None), (7, "y"), (7, "y")]
     df = spark.createDataFrame([(a, b, 0, "q") for a, b in rows], "doc_id bigint, text string, begin int, marks string")
     got = suffix.remove_repeats(df, SuffixParams(length=50, seed=10), keep_bytes=False).collect()
@@ -71,7 +72,8 @@ def test_edge_rows(spark):
 
 
 def test_repeated_rows_remove_each_other(spark):
-    text = "".join(random.Random(6).choice("abcdefgh ") for _ in range(700))
+    rng = random.Random(6)
+    text = "".join(rng.choice("abcdefgh ") for _ in range(700))
     df = spark.createDataFrame([(3, text), (3, text), (4, text[:199])], "doc_id bigint, text string")
     got = sorted((r.doc_id, r.n_removed) for r in suffix.remove_repeats(df).collect())
     assert got == [(3, 700), (3, 700), (4, 0)]
