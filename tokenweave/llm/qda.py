@@ -21,7 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tokenweave.functions.common import ship_by_value
@@ -207,3 +207,14 @@ def score(stats: DataFrame, model: Model) -> DataFrame:
         for b in batches:
             yield pa.RecordBatch.from_arrays([column(b, "id"), pa.array(model.score(_matrix(b)))], names=["id", "score"])
     return stats.mapInArrow(run, "id bigint, score double")
+
+
+def score_column(model: Model, text: Column) -> Column:
+    """The score of a text column, row by row; nothing is shuffled."""
+    def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for part in texts:
+            x = np.array([statistics(t) for t in as_bytes(part)]).reshape(-1, len(FEATURES))
+            yield pa.array(model.score(x))
+
+    run.__annotations__ = {"texts": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return F.arrow_udf(run, "double")(text)

@@ -89,7 +89,7 @@ def op9_warc(spark: SparkSession, sf: str) -> DataFrame:
 
 def op10_simhash_dedup(spark: SparkSession, sf: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf, "documents"), SIMHASH_SHINGLE, SIMHASH_RADIUS)
-    return found.select("doc_id", simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
+    return found.select(F.col("id").alias("doc_id"), simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (

@@ -23,7 +23,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tokenweave.functions.common import ship_by_value
@@ -56,14 +56,14 @@ def _fingerprints(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches, 2000):
             fps = np.array([fingerprint(t, shingle) for t in as_bytes(column(b, "text"))], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([column(b, "id"), pa.array(fps)], names=["id", "fp"])
+            yield pa.RecordBatch.from_arrays([column(b, "id"), column(b, "text_hash"), pa.array(fps)], names=["id", "text_hash", "fp"])
     return run
 
 
 def fingerprints(docs: DataFrame, shingle: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id`` and ``fp`` (the 64 bits as a signed bigint) of every document."""
-    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(_fingerprints(shingle), "id bigint, fp bigint")
+    """``id``, ``text_hash`` and ``fp`` (the 64 bits as a signed bigint) of every document."""
+    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
+    return rows.mapInArrow(_fingerprints(shingle), "id bigint, text_hash bigint, fp bigint")
 
 
 def _signed(x: int) -> int:
@@ -211,7 +211,10 @@ def components(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, shingle: int, radius: int, id_col: str = "doc_id", text_col: str = "text",
                     split_rows: int = 4096) -> DataFrame:
-    """``id_col``, ``fp`` and ``component_id``: the smallest id reachable over links within ``radius`` bits."""
+    """One row per document: ``id``, ``text_hash``, ``fp``, ``root`` (its component's name) and ``component_id``.
+
+    ``component_id`` is the smallest id reachable over links within ``radius`` bits.
+    """
     fps = materialise(fingerprints(docs, shingle, id_col, text_col), "simhash")
     distinct = fps.groupBy("fp").agg(F.min("id").alias("rep"))
     parts = index_parts(distinct.select("fp"), radius, split_rows)
@@ -220,8 +223,25 @@ def near_duplicates(docs: DataFrame, shingle: int, radius: int, id_col: str = "d
     comp = components(edges)
     joined = distinct.join(comp.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     lowest = joined.groupBy("root").agg(F.min("rep").alias("component_id"))
-    named = joined.select("fp", "root").join(lowest, "root").select("fp", "component_id")
-    return fps.join(named, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
+    named = joined.select("fp", "root").join(lowest, "root")
+    return fps.join(named, "fp").select("id", "text_hash", "fp", "root", "component_id")
+
+
+def keep_one(docs: DataFrame, shingle: int, radius: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each component: the smallest id's (a null id only if there is no other).
+
+    Rows that repeat that id and text are one document, of which one row stays.  The texts are shuffled once.
+    """
+    found = near_duplicates(docs, shingle, radius, id_col, text_col)
+    first = found.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("_sh_null"), F.coalesce("id", F.lit(0)).alias("_sh_id"),
+                                                     F.col("text_hash").alias("_sh_hash"))).alias("first"))
+    own = F.col(id_col).cast("bigint")
+    keys = ["_sh_null", "_sh_id", "_sh_hash"]
+    rows = (docs.withColumn("_sh_null", own.isNull()).withColumn("_sh_id", F.coalesce(own, F.lit(0)))
+            .withColumn("_sh_hash", F.xxhash64(text_col)))
+    kept = rows.join(first.select("first.*"), keys, "left_semi")
+    one = Window.partitionBy(*keys).orderBy(*keys)
+    return kept.withColumn("_sh_row", F.row_number().over(one)).where("_sh_row = 1").select(*docs.columns)
 
 
 def hex_fingerprint(fp: Column) -> Column:
