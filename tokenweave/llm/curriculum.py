@@ -78,7 +78,7 @@ def position(offset: Column, total: Column, drift: Column) -> Column:
     """
     u = F.when(total > 0, offset / total).otherwise(F.lit(0.0))
     a = F.lit(1.0) - drift
-    return 2 * u / (a + F.sqrt(a * a + 4 * drift * u))
+    return F.when(u > 0, 2 * u / (a + F.sqrt(a * a + 4 * drift * u))).otherwise(F.lit(0.0))
 
 
 def mix(docs: DataFrame, params: MixParams = MixParams(), id_col: str = "doc_id",

@@ -35,6 +35,7 @@ FEATURES = ("log_bytes", "log_words", "word_length", "word_spread", "longest_wor
 _SYMBOL = np.array([c in b"#$%&*+/<=>@[\\]^_`{}~" for c in range(256)])
 BINS, BIN_LIMIT = 400, 40.0
 CLIP = 8.0  # standard deviations
+RIDGE = 3e-3  # least variance of a standardised statistic
 SHORT = 10  # words at which a deviation counts by the root of a half
 
 
@@ -134,14 +135,15 @@ def densities(n: np.ndarray, s: np.ndarray, q: np.ndarray, pooled_share: float,
     centre = s / n[:, None]
     cov = q / n[:, None, None] - centre[:, :, None] * centre[:, None, :]
     pooled = (cov * n[:, None, None]).sum(axis=0) / n.sum()
-    scale = np.sqrt(np.maximum(np.diag(pooled), 1e-8))
     mean = s.sum(axis=0) / n.sum()
+    # spread over all rows: one within classes would be 0 for a statistic that tells the classes apart exactly
+    scale = np.sqrt(np.maximum(np.diag(q.sum(axis=0)) / n.sum() - mean ** 2, 1e-8))
     z = (centre - mean) / scale
     cov, pooled = cov / np.outer(scale, scale), pooled / np.outer(scale, scale)
     factors, dets = [], []
     for c in cov:
         shrunk = (1 - pooled_share) * c + pooled_share * pooled
-        shrunk = (1 - diagonal_share) * shrunk + diagonal_share * np.diag(np.diag(shrunk)) + 1e-3 * np.eye(d)
+        shrunk = (1 - diagonal_share) * shrunk + diagonal_share * np.diag(np.diag(shrunk)) + RIDGE * np.eye(d)
         lower = np.linalg.cholesky(shrunk)
         factors.append(np.linalg.inv(lower))
         dets.append(2 * np.log(np.diag(lower)).sum())
