@@ -33,8 +33,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that contain a benchmark item."""
-    found = decontam.find_leaks(docs, table(spark, sf_dir, "benchmark"))
-    return found.where(F.size("leaks") == 0).drop("leaks")
+    found = decontam.find_leaks(docs, table(spark, sf_dir, "benchmark"), out_col="_leaks")
+    return found.where(F.size("_leaks") == 0).drop("_leaks")
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -192,10 +192,10 @@ def _finder(items: list[tuple[int, bytes]], shingle: int, threshold: float):
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, shingle: int = 5, threshold: float = 0.8, text_col: str = "text",
                item_col: str = "item_id", item_text_col: str = "text", block_items: int = 4096,
-               block_bytes: int = 32 << 20) -> DataFrame:
-    """``docs`` with ``leaks``: the benchmark items each text contains, and where (words)."""
-    base = drop_columns_ignoring_case(docs, ["leaks"])
+               block_bytes: int = 32 << 20, out_col: str = "leaks") -> DataFrame:
+    """``docs`` with ``out_col``: the benchmark items each text contains, and where (words)."""
+    base = drop_columns_ignoring_case(docs, [out_col])
     found = [_finder(block, shingle, threshold)(F.col(text_col))
              for block in item_blocks(benchmark, item_col, item_text_col, block_items, block_bytes)]
     leaks = F.concat(*found) if len(found) > 1 else found[0] if found else F.array().cast(MATCH)
-    return base.withColumn("leaks", leaks)
+    return base.withColumn(out_col, leaks)

@@ -121,12 +121,12 @@ def kind_spans(text: Column, kind: Kind, rank: int) -> Column:
         F.array().cast(f"array<{SPAN}>"))
 
 
-def find_pii(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``pii``: spans sorted by start, then kind (code points, end exclusive)."""
-    base = docs if text_col.lower() == "pii" else drop_columns_ignoring_case(docs, ["pii"])
+def find_pii(docs: DataFrame, text_col: str = "text", out_col: str = "pii") -> DataFrame:
+    """``docs`` with ``out_col``: spans sorted by start, then kind (code points, end exclusive)."""
+    base = drop_columns_ignoring_case(docs, [out_col])
     text = F.coalesce(F.col(text_col), F.lit(""))
     spans = F.array_sort(F.concat(*[kind_spans(text, k, i) for i, k in enumerate(KINDS)]))
-    return base.withColumn("pii", spans)
+    return base.withColumn(out_col, spans)
 
 
 def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -134,7 +134,7 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
     A null text stays null.
     """
-    found = find_pii(docs, text_col)
+    found = find_pii(docs, text_col, "_pii_spans")
     blank = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<struct<from:bigint,to:bigint,tag:string>>").alias("cuts"))
 
     def step(acc: Column, s: Column) -> Column:
@@ -147,10 +147,10 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
                         F.concat(acc["cuts"], F.array(F.when(inside, more).otherwise(cut))).alias("cuts"))
 
     text = F.col(text_col)
-    plan = F.aggregate("pii", blank, step)
+    plan = F.aggregate("_pii_spans", blank, step)
     return (found.withColumn("_pii_plan", plan)
-            .withColumn(text_col, F.when(F.size("pii") == 0, text).otherwise(F.concat(
+            .withColumn(text_col, F.when(F.size("_pii_spans") == 0, text).otherwise(F.concat(
                 F.array_join(F.transform("_pii_plan.cuts", lambda c: F.concat(
                     F.substr(text, (c["from"] + 1).cast("int"), (c["to"] - c["from"]).cast("int")), c["tag"])), ""),
                 F.substr(text, (F.col("_pii_plan.at") + 1).cast("int")))))
-            .drop("_pii_plan", "pii"))
+            .drop("_pii_plan", "_pii_spans"))

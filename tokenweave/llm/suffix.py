@@ -51,7 +51,7 @@ class SuffixParams:
 
     length: int = 200
     seed: int = 32
-    group_rows: int = 2000
+    group_rows: int = 10_000
     run_rows: int = 50_000
     pair_rows: int = 24
 
@@ -132,9 +132,10 @@ Suffix = tuple[bytes, bytes, int, int, int]
 
 
 def suffix(text: bytes, seed: int, at: int, doc: int, salt: int, p: SuffixParams) -> Suffix:
-    place = at >> 16
-    return ((seed & 0xFFFFFFFFFFFFFFFF).to_bytes(8, "big") + text[place:place + p.length],
-            text[max(0, place - p.span + 1):place][::-1], doc, salt, at)
+    # only as far as the pick's own windows reach: equal windows are owned by picks at the same distance
+    place, near, far = at >> 16, at >> 8 & 255, at & 255
+    return ((seed & 0xFFFFFFFFFFFFFFFF).to_bytes(8, "big") + text[place:place - near + p.length],
+            text[place - far:place][::-1], doc, salt, at)
 
 
 def encode_run(run: list[Suffix]) -> bytes:
@@ -303,11 +304,11 @@ def _runs(p: SuffixParams, parts: int):
     return run
 
 
-RANGE_SCHEMA = "doc bigint, salt bigint, begin bigint, end bigint"
+RANGE_SCHEMA = "doc bigint, salt int, begin bigint, end bigint"
 
 
 def _range_batch(rows: list[tuple]) -> pa.RecordBatch:
-    types = (pa.int64(), pa.int64(), pa.int64(), pa.int64())
+    types = (pa.int64(), pa.int32(), pa.int64(), pa.int64())
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=["doc", "salt", "begin", "end"])
 
 
@@ -361,7 +362,7 @@ def _hot_rows(p: SuffixParams):
                         windows = b"".join([digest(text[place - d:place - d + p.length]) for d in range(at >> 8 & 255, (at & 255) + 1)])
                     rows.append((context, doc, salt, at, windows))
             if rows:
-                types = (pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+                types = (pa.binary(), pa.int64(), pa.int32(), pa.int64(), pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)],
                                                  names=["context", "doc", "salt", "at", "windows"])
     return run
@@ -388,7 +389,7 @@ def _hot_spans(marked: DataFrame, p: SuffixParams) -> DataFrame:
     Equal contexts are counted before anything is compared, in the map tasks first, so a passage that a third of all
     rows share is a few rows a task.
     """
-    rows = materialise(marked.mapInArrow(_hot_rows(p), "context binary, doc bigint, salt bigint, at bigint, windows binary"), "hot-suffixes")
+    rows = materialise(marked.mapInArrow(_hot_rows(p), "context binary, doc bigint, salt int, at bigint, windows binary"), "hot-suffixes")
     contexts = rows.groupBy("context").agg(F.count("*").alias("n"), F.max("windows").alias("windows"))
     windows = (contexts.select("context", "n", "windows", F.explode(F.sequence(F.lit(0), (F.octet_length("windows") / 16 - 1).cast("int"))).alias("i"))
                .select("context", "n", "i", F.substring(F.col("windows"), F.col("i") * 16 + 1, F.lit(16)).alias("digest")))
@@ -399,15 +400,19 @@ def _hot_spans(marked: DataFrame, p: SuffixParams) -> DataFrame:
 
 
 def repeated_ranges(docs: DataFrame, p: SuffixParams) -> DataFrame:
-    """Byte ranges that repeated strings cover (``doc``, ``salt``, ``begin``, ``end``); ranges may overlap."""
+    """Byte ranges that repeated strings cover (``doc``, ``salt``, ``begin``, ``end``); ranges may overlap.
+
+    ``docs`` has ``id``, ``doc``, ``salt`` and ``text``.
+    """
     spark = docs.sparkSession
-    found = materialise(docs.mapInArrow(_picks(p), "doc bigint, salt bigint, at bigint, seed bigint"), "suffix-picks")
+    found = materialise(docs.drop("id").mapInArrow(_picks(p), "doc bigint, salt int, at bigint, seed bigint"), "suffix-picks")
     counts = found.groupBy("seed").agg(F.count("*").alias("n")).where("n > 1")
     marks = found.join(counts, "seed")
 
     def with_text(rows: DataFrame) -> DataFrame:
         own = rows.groupBy("doc", "salt").agg(F.collect_list(F.struct("at", "seed")).alias("marks"))
-        return docs.join(own, ["doc", "salt"]).select("doc", "salt", "text", "marks")
+        # all columns, so that the exchange of the texts is one with that of the last join
+        return docs.join(own, ["doc", "salt"]).select(*docs.columns, "marks")
 
     # parts of the key range: the keys begin with a hash, so equal ranges hold equal shares
     parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -451,8 +456,9 @@ def remove_repeats(docs: DataFrame, p: SuffixParams = SuffixParams(), id_col: st
     own = F.col(id_col).cast("bigint")
     # the salt tells rows of one id apart; rows equal in both are copies and share their ranges
     rows = docs.select(own.alias("id"), F.coalesce(own, F.lit(0)).alias("doc"),
-                       F.xxhash64(text, own.isNull()).alias("salt"), text.alias("text"))
-    ranges = (repeated_ranges(rows.drop("id"), p).groupBy("doc", "salt")
+                       F.xxhash64(text, own.isNull()).bitwiseAND(F.lit((1 << 31) - 1)).cast("int").alias("salt"),
+                       text.alias("text"))
+    ranges = (repeated_ranges(rows, p).groupBy("doc", "salt")
               .agg(F.collect_list(F.struct("begin", "end")).alias("ranges")))
     out = (rows.join(ranges, ["doc", "salt"], "left").select("id", "text", "ranges")
            .mapInArrow(_keep, "id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary"))
