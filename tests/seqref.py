@@ -1,5 +1,7 @@
 """Tiny sequential restatements of the reference's fold and loader (test oracles)."""
 
+from itertools import cycle, islice
+
 
 def fold_pieces(lengths, S):
     """Cut documents into shards in order: (shard, pos, doc, src, n) pieces.
@@ -21,24 +23,14 @@ def fold_pieces(lengths, S):
 
 
 def loader_batches(shard_lengths, B, T, P, rank, n):
-    """The reference loader's first ``n`` (shard, start) batches for one rank.
+    """The first ``n`` (shard, start) batches that a sequential loader serves to one rank.
 
-    A shard too short for the rank's first buffer is skipped (the reference
-    crashes there, Q6); returns None if no shard can serve the rank.
+    Starts of a shard are ``rank * BT`` and every ``P * BT`` after it; the first is served if its
+    ``BT + 1`` tokens fit, a later one if the whole stride of ``P * BT + 1`` tokens does (Q5, Q6).
+    The shards' starts form one epoch, which repeats.  None if no shard serves the rank.
     """
     BT = B * T
-    ok = [L >= rank * BT + BT + 1 for L in shard_lengths]
-    if not any(ok):
-        return None
-    out, shard, pos = [], 0, rank * BT
-    while not ok[shard]:
-        shard = (shard + 1) % len(shard_lengths)
-    while len(out) < n:
-        out.append((shard, pos))
-        pos += BT * P
-        if pos + (BT * P + 1) > shard_lengths[shard]:
-            shard = (shard + 1) % len(shard_lengths)
-            while not ok[shard]:
-                shard = (shard + 1) % len(shard_lengths)
-            pos = rank * BT
-    return out
+    epoch = [(shard, start) for shard, L in enumerate(shard_lengths)
+             for start in range(rank * BT, L, BT * P)
+             if start + (BT if start == rank * BT else BT * P) + 1 <= L]
+    return list(islice(cycle(epoch), n)) if epoch else None

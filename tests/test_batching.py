@@ -82,7 +82,7 @@ def test_batch_rows_reshape(spark):
 
 def test_accumulation_plan_steps(spark):
     sched = batching.batch_schedule(lengths_df(spark, [1000, 1000]), 8, 2)
-    plan = batching.accumulation_plan(sched, steps=5, accum=4).collect()
+    plan = batching.accumulation_plan(sched, steps=5, accum=4, ranks=int(sched.selectExpr('max(rank) + 1').first()[0])).collect()
     assert len(plan) == 5 * 4 * 2
     for r in plan:
         assert r.step == r.batch_no // 4 and r.micro_step == r.batch_no % 4

@@ -76,3 +76,40 @@ def test_decode_round_trip(spark, small_docs):
     dec = {r.doc_id: r.t for r in enc.select("doc_id", bpe.decode_bpe(F.col("ids"), table).alias("t")).collect()}
     for r in small_docs.collect():
         assert dec[r.doc_id] == r.text
+
+
+def test_long_pieces_merge_like_short_ones(spark, small_docs):
+    table = bpe.merge_table(bpe.learn_merges(small_docs, 24), 24)
+    ranks = {(a, b): (r, t) for r, (a, b, t) in enumerate(table)}
+    import random
+    rng = random.Random(1)
+    for n in (65, 200, 1000):
+        data = bytes(rng.choice(b"thearni ") for _ in range(n))
+        parts = list(data)
+        while True:  # the rule: lowest rank first, leftmost of equals
+            found = [(ranks[p][0], i) for i, p in enumerate(zip(parts, parts[1:])) if p in ranks]
+            if not found:
+                break
+            r, i = min(found)
+            parts[i:i + 2] = [table[r][2]]
+        assert bpe.bpe_word(data, ranks) == parts
+    assert bpe.bpe_word(b"the " * 20_000, ranks)
+
+
+def test_given_ranks_equal_the_tokenizer_library(spark):
+    tokenizers = pytest.importorskip("tokenizers")
+    from tokenweave.params import PackParams
+
+    path = PackParams().rank_file
+    table = bpe.load_ranks(path)
+    library = tokenizers.Tokenizer.from_file(path.replace(".tiktoken", ".json"))
+    library.encode_special_tokens = True
+    docs = read_corpus(spark, table_path(SF001, "documents")).filter(F.col("doc_id") < 60)
+    extra = spark.createDataFrame([(900, ""), (901, "x <|endoftext|> y"), (902, "é😀 I'll  go\n\n 12345")], "doc_id bigint, text string")
+    docs = docs.unionByName(extra)
+    rows = {r.doc_id: r for r in bpe.encode_ranks(docs, table).select(
+        "doc_id", "n", "ids", bpe.decode_ranks(F.col("ids"), table).alias("data")).collect()}
+    for r in docs.collect():
+        own = rows[r.doc_id]
+        assert list(own.ids) == [len(table)] + library.encode(r.text, add_special_tokens=False).ids
+        assert own.n == len(own.ids) and bytes(own.data).decode() == r.text

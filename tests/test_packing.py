@@ -7,8 +7,12 @@ from seqref import fold_pieces
 from tokenweave.operators import packing
 
 
+def every(width, n):
+    return [float(k) for k in range(width - 1, n, width)]
+
+
 def spark_pieces(spark, lengths, S, width=4):
-    offs = packing.doc_offsets(lengths_frame(spark, lengths), 0, width)
+    offs = packing.doc_offsets(lengths_frame(spark, lengths), every(width, len(lengths)))
     seg = packing.cut_segments(offs, S)
     rows = seg.select("shard_index", "pos", "doc_id", "src", "n").collect()
     return sorted(tuple(int(v) for v in r) for r in rows)
@@ -55,14 +59,14 @@ def test_conservation_and_coverage(spark):
 
 def test_offsets_are_running_sum(spark):
     lengths = [5, 1, 9, 2, 2, 7, 1, 1, 30, 4]
-    offs = packing.doc_offsets(lengths_frame(spark, lengths), 0, 3).orderBy("doc_id")
+    offs = packing.doc_offsets(lengths_frame(spark, lengths), every(3, 10)).orderBy("doc_id")
     got = [r["off"] for r in offs.collect()]
     want = [sum(lengths[:i]) for i in range(len(lengths))]
     assert got == want
 
 
 def test_split_labels_and_manifest(spark):
-    offs = packing.doc_offsets(lengths_frame(spark, [7, 8, 12]), 0, 2)
+    offs = packing.doc_offsets(lengths_frame(spark, [7, 8, 12]), every(2, 3))
     man = packing.shard_manifest(packing.cut_segments(offs, 10)).orderBy("shard_index").collect()
     assert [(r.split, r.shard_index, r.n_tokens) for r in man] == [
         ("val", 0, 10), ("train", 1, 10), ("train", 2, 7)]
@@ -71,7 +75,7 @@ def test_split_labels_and_manifest(spark):
 
 def test_no_single_partition_exchange_over_documents(spark):
     """The running sum must not move every document to one task."""
-    offs = packing.doc_offsets(lengths_frame(spark, list(range(1, 500))), 0, 64)
+    offs = packing.doc_offsets(lengths_frame(spark, list(range(1, 500))), every(64, 500))
     ex = exchange_inputs(offs)
     single = [inp for args, inp in ex if "SinglePartition" in args]
     # the only single-partition exchange carries bucket totals (one row per bucket)
@@ -79,7 +83,27 @@ def test_no_single_partition_exchange_over_documents(spark):
     assert any("hashpartitioning(bucket" in args for args, _ in ex)
 
 
-def test_choose_bucket_bounds_bucket_count(spark):
-    df = spark.range(0, 10_000_000, 7).withColumnRenamed("id", "doc_id")
-    lo, width = packing.choose_bucket(df, max_buckets=1000)
-    assert lo == 0 and (10_000_000 // width) <= 1000
+@pytest.mark.parametrize("ids", [
+    list(range(5000)) + [1 << 50],  # an outlier
+    [(i * 2654435761 + 12345) % (1 << 61) - (1 << 60) for i in range(5000)],  # hashed
+    [7] * 40 + list(range(0, 70_000, 14)),  # repeated
+    [None] * 30 + list(range(5000)),
+])
+def test_offsets_for_any_key(spark, ids):
+    rng = random.Random(5)
+    rows = [(k, rng.randint(1, 9), [rng.randint(0, 9)]) for k in ids]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "doc_id bigint, n bigint, ids array<int>")
+    bounds = packing.key_bounds(df, rows_per_bucket=250)
+    assert len(bounds) >= 15
+    sizes = df.groupBy(packing.bucket_of(df.doc_id, bounds).alias("b")).count().collect()
+    assert max(r["count"] for r in sizes) <= 2 * 250  # a bucket is bounded by rows, not by key span
+    out = packing.doc_offsets(df, bounds).collect()
+    assert len(out) == len(rows)
+    at = 0
+    for r in sorted(out, key=lambda r: r.off):  # no hole, no overlap
+        assert r.off == at
+        at += r.n
+    keys = [r.doc_id for r in sorted(out, key=lambda r: r.off)]
+    assert keys == sorted(keys, key=lambda k: (k is None, k or 0))
+    assert packing.key_bounds(df.limit(0)) == []

@@ -11,7 +11,7 @@ import pytest
 
 from conftest import SF001, exchange_inputs
 
-import __spark_entry__ as E
+from tokenweave.plans.catalog import QUERIES
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython")
 ROW_LEVEL = {"ids", "text", "doc_id", "pos", "x", "y", "word", "pretoken", "sym", "buf"}
@@ -33,9 +33,9 @@ def test_check_flags_a_global_running_sum(spark):
     assert single and all("doc_id" in c for c in single)
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_plan_shape(spark, name):
-    df = E.queries()[name](spark, SF001)
+    df = QUERIES[name](spark, SF001)
     plan = df._jdf.queryExecution().executedPlan().toString()
     for bad in FORBIDDEN:
         assert bad not in plan, f"{name}: {bad} in plan"
@@ -43,3 +43,22 @@ def test_plan_shape(spark, name):
         if "SinglePartition" in args:
             cols = input_columns(inputs)
             assert not (cols & ROW_LEVEL), f"{name}: single-partition exchange over {cols & ROW_LEVEL}"
+
+
+def test_lengths_need_no_encoder(spark):
+    for name in ("shard_manifest", "segment_group_totals", "doc_offsets"):
+        plan = QUERIES[name](spark, SF001)._jdf.queryExecution().executedPlan().toString()
+        assert "Arrow" not in plan, name
+
+
+def test_planned_slots_are_chosen_before_the_regroup(spark):
+    plan = QUERIES["val_batches"](spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    lines = [x.strip(" :+-*()0123456789") for x in plan.splitlines()]
+    semi = next(i for i, x in enumerate(lines) if "Join" in x and "LeftSemi" in x)
+    regroup = [i for i, x in enumerate(lines) if x.startswith("ObjectHashAggregate") and "collect_list" in x]
+    assert semi > min(regroup), "the semi join stands below the aggregation"
+
+
+def test_tokens_per_step_reads_no_token(spark):
+    plan = QUERIES["tokens_per_step"](spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    assert "ids" not in plan

@@ -37,16 +37,45 @@ def test_weighted_draw_repeatable_and_proportional(spark):
     assert abs(share - 0.75) < 0.03
 
 
-def test_generate_handles_unseen_context(spark):
+def _table(spark):
     from tokenweave.operators import evaluate
 
     pairs = spark.createDataFrame([(1, 2, 5), (2, 3, 4), (3, 1, 1), (2, 1, 2)], "x bigint, y bigint, cnt bigint")
     big, ctx, uni, _ = evaluate.ngram_tables(pairs)
-    N = 12
-    table = sampling.next_token_topk(big, ctx, uni, N, 10, 2).unionByName(
-        sampling.unseen_context_rows(uni, N, 10, 2))
-    prompts = spark.createDataFrame([(0, [1]), (1, [7])], "item_id bigint, ids array<int>")
-    out = sampling.generate(prompts, table, 3, 2, "s").collect()
-    # both prompts, 3 sequences each, 2 steps: the unseen context 7 still draws
-    assert len(out) == 2 * 3 * 2
-    assert {r.token for r in out if r.item_id == 1 and r.step == 0} <= {1, 2, 3}
+    return sampling.next_token_topk(big, ctx, uni, 12, 10, 2).unionByName(sampling.unseen_context_rows(uni, 12, 10, 2))
+
+
+def test_generation_stops_at_max_length_with_the_prompt(spark):
+    prompts = {0: [1], 1: [7], 2: [1, 2, 3, 1], 3: [1, 2, 3, 1, 2], 4: [3, 2, 1, 3, 2, 1, 3], 5: []}
+    df = spark.createDataFrame(list(prompts.items()), "item_id bigint, ids array<int>")
+    out = sampling.generate(df, _table(spark), 3, 5, "s", checkpoint_every=2).collect()
+    assert len(out) == 3 * len(prompts)
+    for r in out:
+        own = prompts[r.item_id]
+        assert len(r.ids) == 5 and list(r.ids[:len(own)]) == own[:5]  # shorter, equal and longer prompts
+    # a context never seen, and an empty prompt, still draw
+    assert {r.ids[1] for r in out if r.item_id == 1} | {r.ids[0] for r in out if r.item_id == 5} <= {1, 2, 3}
+    again = sampling.generate(df.repartition(3), _table(spark), 3, 5, "s").collect()
+    assert sorted((r.item_id, r.seq, tuple(r.ids)) for r in out) == sorted((r.item_id, r.seq, tuple(r.ids)) for r in again)
+
+
+def test_generation_draws_by_weight(spark):
+    table = spark.createDataFrame([(1, 1, 0.25), (1, 2, 0.75), (2, 1, 0.5), (2, 2, 0.5), (-1, 1, 1.0)], "x bigint, y bigint, p double")
+    df = spark.createDataFrame([(0, [1])], "item_id bigint, ids array<int>")
+    out = sampling.generate(df, table, 4000, 2, "seed").collect()
+    assert abs(sum(r.ids[1] == 2 for r in out) / 4000 - 0.75) < 0.03
+
+
+def test_generated_text_is_the_bytes(spark):
+    from conftest import SF001
+
+    from tokenweave.plans.catalog import QUERIES
+
+    key = lambda r: (r.item_id, r.seq)
+    ids = {key(r): bytes(int(t) for t in r.tokens.split() if int(t) < 256) for r in QUERIES["generate"](spark, SF001).collect()}
+    text = {key(r): r.text for r in QUERIES["generate_text"](spark, SF001).collect()}
+    assert ids.keys() == text.keys()
+    for k, data in ids.items():
+        want = data.decode("utf-8", errors="replace")
+        assert text[k].replace("\ufffd", "") == want.replace("\ufffd", "")
+        assert ("\ufffd" in text[k]) == ("\ufffd" in want)

@@ -27,8 +27,7 @@ def test_skewed_corpus_packs_and_batches_exactly(spark):
     vocab = tokens.word_vocab(df, V)
     assert vocab.orderBy("token_id").first().word == "hot"
     toks = tokens.encode_words(df, vocab, V)
-    lo, width = packing.choose_bucket(df, min_bucket=16)
-    seg = packing.cut_segments(packing.doc_offsets(toks, lo, width), S)
+    seg = packing.cut_segments(packing.doc_offsets(toks, packing.key_bounds(df, rows_per_bucket=16)), S)
 
     lengths = [len(t.split()) + 1 for _, t in sorted(docs)]
     got = sorted((r.shard_index, r.pos, r.doc_id, r.src, r.n) for r in seg.collect())

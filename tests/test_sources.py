@@ -34,7 +34,7 @@ def test_missing_split_raises(spark, tmp_path):
                                  "split string, shard_index bigint, pos bigint, doc_id bigint, "
                                  "src bigint, n bigint, doc_n bigint, ids array<int>")
     path = shard_io.write_shards(segs, str(tmp_path / "s"), 10)
-    with pytest.raises(ValueError, match="no shards found for split train"):
+    with pytest.raises(ValueError, match="train table"):
         shard_io.list_shards(spark, path, "train")
     with pytest.raises(ValueError):
         shard_io.read_shards(spark, path, "test")
@@ -52,3 +52,17 @@ def test_metrics_truncate_then_append(spark, tmp_path):
     # a new run truncates
     metrics_io.write_metrics(metrics_io.metrics_lines(rows.filter("step = 0")), path, truncate=True)
     assert spark.read.text(path).count() == 1
+
+
+def test_out_of_range_ids_never_reach_a_shard(spark, tmp_path):
+    segs = spark.createDataFrame([("val", 0, 0, 0, 0, 2, 2, [1, 65536])],
+                                 "split string, shard_index bigint, pos bigint, doc_id bigint, "
+                                 "src bigint, n bigint, doc_n bigint, ids array<int>")
+    with pytest.raises(Exception, match="16 bits"):
+        shard_io.write_shards(segs, str(tmp_path / "s"), 10)
+
+
+def test_step_report_rate(spark):
+    df = spark.createDataFrame([(3, 2.5, 1000, 0.5)], "step bigint, loss double, tokens bigint, sec double")
+    assert metrics_io.step_report(df).first().line == "step    3 | loss: 2.500000 | tokens: 1000"
+    assert metrics_io.step_report(df, "sec").first().line.endswith(" | tok/sec: 2000.00")

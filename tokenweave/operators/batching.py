@@ -91,17 +91,21 @@ def wrap_batches(schedule: DataFrame, wanted: DataFrame) -> DataFrame:
     return w.join(sched, ["split", "rank", "local_no"]).drop("per_epoch")
 
 
-def slot_buffers(segments: DataFrame, BT: int) -> DataFrame:
+def slot_buffers(segments: DataFrame, BT: int, wanted: DataFrame | None = None) -> DataFrame:
     """``(split, shard_index, slot, buf)`` with ``buf`` = BT+1 tokens from ``slot*BT``.
 
     Each segment is exploded only to the slots it touches; the regroup is a
     bounded group (BT+1 tokens) and the pieces are ordered by position.
+    ``wanted`` (split, shard_index, slot) keeps only those slots, before
+    anything is regrouped.
     """
     first = F.greatest(F.lit(0).cast("bigint"), idiv(F.col("pos") - 1, BT))
     first = F.when(F.col("pos") == 0, F.lit(0).cast("bigint")).otherwise(first)
     last = idiv(F.col("pos") + F.col("n") - 1, BT)
     d = segments.select("split", "shard_index", "pos", "n", "ids",
                         F.explode(F.sequence(first, last)).alias("slot"))
+    if wanted is not None:
+        d = d.join(wanted, ["split", "shard_index", "slot"], "left_semi")
     lo = F.greatest(F.col("pos"), F.col("slot") * BT)
     hi = F.least(F.col("pos") + F.col("n"), F.col("slot") * BT + BT + 1)
     piece = F.slice("ids", (lo - F.col("pos") + 1).cast("int"), (hi - lo).cast("int"))
@@ -195,33 +199,43 @@ def dropped_tail(lengths: DataFrame, BT: int, P: int) -> DataFrame:
                      .otherwise(next_start).alias("stop_at"))
 
 
-def accumulation_plan(schedule: DataFrame, steps: int, accum: int) -> DataFrame:
+def _wanted(schedule: DataFrame, count: int, ranks: int) -> DataFrame:
+    """``(split, rank, batch_no)`` for the first ``count`` batch numbers of every rank, made by many tasks."""
+    spark = schedule.sparkSession
+    rank = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(ranks - 1).cast("bigint")))
+    numbers = spark.range(count).select(F.col("id").alias("batch_no"), rank.alias("rank"))
+    return numbers.join(F.broadcast(schedule.select("split", "rank").distinct()), "rank")  # at most 2 * ranks rows
+
+
+def accumulation_plan(schedule: DataFrame, steps: int, accum: int, ranks: int) -> DataFrame:
     """Micro-batches of ``steps`` optimizer steps, ``accum`` per step per rank.
 
     Batch numbers past one epoch wrap around the split (B7).
     """
-    ranks = schedule.select("split", "rank").distinct()
-    wanted = ranks.withColumn("batch_no", F.explode(F.sequence(
-        F.lit(0).cast("bigint"), F.lit(steps * accum - 1).cast("bigint"))))
-    plan = wrap_batches(schedule, wanted)
+    plan = wrap_batches(schedule, _wanted(schedule, steps * accum, ranks))
     return plan.select("split", "rank", "batch_no",
                        idiv(F.col("batch_no"), accum).alias("step"),
                        (F.col("batch_no") % accum).alias("micro_step"),
                        "epoch", "shard_index", "slot")
 
 
-def val_plan(schedule: DataFrame, val_batches: int) -> DataFrame:
+def tokens_per_step(plan: DataFrame, BT: int) -> DataFrame:
+    """Tokens of every step; a planned batch has BT of them, so no token is read."""
+    return plan.groupBy("step").agg((F.count(F.lit(1)) * BT).cast("bigint").alias("tokens"))
+
+
+def val_plan(schedule: DataFrame, val_batches: int, ranks: int) -> DataFrame:
     """The first ``val_batches`` batches of every rank after a reset."""
-    ranks = schedule.select("split", "rank").distinct()
-    wanted = ranks.withColumn("batch_no", F.explode(F.sequence(
-        F.lit(0).cast("bigint"), F.lit(val_batches - 1).cast("bigint"))))
-    return wrap_batches(schedule, wanted).select("split", "rank", "batch_no", "epoch",
+    return wrap_batches(schedule, _wanted(schedule, val_batches, ranks)).select("split", "rank", "batch_no", "epoch",
                                                  "shard_index", "slot")
 
 
 def planned_batches(segments: DataFrame, plan: DataFrame, BT: int) -> DataFrame:
     """Token buffers for a plan (``split, rank, batch_no, shard_index, slot, ...``)."""
-    bufs = slot_buffers(segments, BT)
+    from tokenweave.functions.common import broadcast_if_small
+
+    wanted = broadcast_if_small(plan.select("split", "shard_index", "slot").distinct(), PLAN_BROADCAST_ROWS)
+    bufs = slot_buffers(segments, BT, wanted)
     b = plan.join(bufs, ["split", "shard_index", "slot"])
     extra = [c for c in plan.columns if c not in ("split", "shard_index", "slot")]
     return b.select("split", "shard_index", "slot", *extra,

@@ -118,6 +118,8 @@ def token_bytes(table: list[tuple[int, int, int]]) -> list[bytes]:
 def bpe_word(data: bytes, ranks: dict) -> list[int]:
     """Byte-level BPE of one pre-token: merge the lowest-rank adjacent pair until none is left."""
     parts = list(data)
+    if len(parts) > LONG_PIECE:
+        return _bpe_long(parts, ranks)
     while len(parts) > 1:
         best, at = None, -1
         for i in range(len(parts) - 1):
@@ -130,6 +132,40 @@ def bpe_word(data: bytes, ranks: dict) -> list[int]:
     return parts
 
 
+LONG_PIECE = 64
+MEMO_PIECES = 200_000
+
+
+def _bpe_long(parts: list[int], ranks: dict) -> list[int]:
+    """The same merges for a long piece, best pair first from a heap: n log n steps."""
+    import heapq
+
+    n = len(parts)
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    heap: list = []
+
+    def offer(i: int) -> None:
+        j = after[i]
+        if j < n and (r := ranks.get((parts[i], parts[j]))) is not None:
+            heapq.heappush(heap, (r[0], i, parts[i], parts[j], r[1]))
+
+    for i in range(n - 1):
+        offer(i)
+    while heap:
+        _, i, a, b, new = heapq.heappop(heap)
+        j = after[i] if parts[i] is not None else n
+        if j >= n or parts[i] != a or parts[j] != b:
+            continue  # a part of the pair was merged meanwhile
+        parts[i], parts[j] = new, None
+        after[i] = after[j]
+        if after[i] < n:
+            before[after[i]] = i
+        if before[i] >= 0:
+            offer(before[i])
+        offer(i)
+    return [p for p in parts if p is not None]
+
+
 def _bpe_kernel(table_bc, eot: int):
     def run(batches):
         import numpy as np
@@ -146,6 +182,8 @@ def _bpe_kernel(table_bc, eot: int):
             for u in uniq.to_pylist():
                 e = memo.get(u)
                 if e is None:
+                    if len(memo) >= MEMO_PIECES:
+                        memo.clear()
                     e = memo[u] = bpe_word(u.encode("utf-8"), ranks)
                 enc.append(e)
             ulen = np.array([len(e) for e in enc], dtype=np.int64)
@@ -188,3 +226,55 @@ def decode_bpe(ids: Column, table: list[tuple[int, int, int]], drop_eot: bool =
     arr = F.filter(ids, lambda x: x != eot) if drop_eot else ids
     hexed = F.array_join(F.transform(arr, lambda x: F.element_at(vocab, x + 1)), "")
     return F.decode(F.unhex(hexed), "UTF-8")
+
+
+# ---------------------------------------------------------------- a given rank table
+
+def load_ranks(path: str) -> list[bytes]:
+    """Token bytes by rank from a rank file: lines of the token in base 64 and its rank.
+
+    Read on the driver (the file is a parameter of the job, of bounded size)
+    and shipped to the tasks as a broadcast variable.
+    """
+    import base64
+
+    with open(path, "rb") as f:
+        pairs = sorted((int(rank), base64.b64decode(token)) for token, rank in (line.split() for line in f if line.strip()))
+    if [r for r, _ in pairs] != list(range(len(pairs))):
+        raise ValueError(f"ranks of {path} must be dense from 0")
+    return [t for _, t in pairs]
+
+
+# Fixed value: the pre-token pattern as the tokenizer library writes it.
+LIBRARY_PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+def _rank_kernel(table_bc):
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        import tiktoken
+
+        table = table_bc.value
+        library = tiktoken.Encoding("given", pat_str=LIBRARY_PATTERN, special_tokens={},
+                                    mergeable_ranks={t: i for i, t in enumerate(table)})
+        for rb in batches:
+            ids = [library.encode_ordinary(t) for t in rb.column(1).to_pylist()]
+            lens = np.array([len(x) for x in ids], dtype=np.int64)
+            values = np.fromiter((i for x in ids for i in x), np.int32, int(lens.sum()))
+            arr, n = _with_eot(lens, values, len(table))
+            yield pa.RecordBatch.from_arrays([rb.column(0), pa.array(n), arr], names=["doc_id", "n", "ids"])
+    return run
+
+
+def encode_ranks(docs: DataFrame, table: list[bytes]) -> DataFrame:
+    """T1/T3 under a given rank table: ``(doc_id, n, ids)``, end-of-text (one past the last rank) first."""
+    bc = docs.sparkSession.sparkContext.broadcast(table)
+    return docs.select("doc_id", "text").mapInArrow(_rank_kernel(bc), TOKENS_SCHEMA)
+
+
+def decode_ranks(ids: Column, table: list[bytes]) -> Column:
+    """T5 under a given rank table: ids -> UTF-8 bytes, without end-of-text."""
+    vocab = F.split(F.lit(" ".join(t.hex() for t in table)), " ")
+    own = F.filter(ids, lambda x: x < len(table))
+    return F.unhex(F.array_join(F.transform(own, lambda x: F.element_at(vocab, x + 1)), ""))

@@ -17,7 +17,10 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tokenweave.functions.common import idiv
+from tokenweave.functions.common import broadcast_if_small, idiv
+
+# Distinct held-out pairs up to which the side that needs them is broadcast.
+HELD_OUT_PAIRS = 2_000_000
 
 
 def ngram_tables(pair_counts: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
@@ -52,11 +55,10 @@ def score(pairs: DataFrame, big: DataFrame, ctx: DataFrame, uni: DataFrame, N: i
     join, so the full bigram table is scanned once and never shuffled.
     """
     if bounded:
-        need = pairs.select("x", "y").distinct()
-        big = big.join(F.broadcast(need), ["x", "y"], "left_semi")
-        ctx = ctx.join(F.broadcast(need.select("x").distinct()), "x", "left_semi")
+        need = broadcast_if_small(pairs.select("x", "y").distinct(), HELD_OUT_PAIRS)
+        big = big.join(need, ["x", "y"], "left_semi")
     s = (pairs.join(big, ["x", "y"], "left")
-         .join(ctx, "x", "left")
+         .join(F.broadcast(ctx), "x", "left")  # contexts and targets: at most V rows each
          .join(F.broadcast(uni), "y", "left"))
     z = F.lit(0).cast("bigint")
     p = prob(F.coalesce("cxy", z), F.coalesce("cx", z), F.coalesce("cy", z), F.lit(N), V)
@@ -113,18 +115,19 @@ def val_curve(train_pc_by_step: DataFrame, val_pc: DataFrame, steps: int, every:
     pts_all = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(E).cast("bigint")))
 
     vxy = val_pc.select("x", "y").distinct()
+    sent = lambda df: broadcast_if_small(df, HELD_OUT_PAIRS)
     vx = vxy.select("x").distinct()
     vy = vxy.select("y").distinct()
 
     def counts(df: DataFrame, keys: list[str]) -> DataFrame:
         return df.groupBy(*keys, "eb").agg(F.sum("cnt").alias("c"))
 
-    # the val side is bounded by val_batches * ranks * B*T pairs: broadcast it
-    big = asof_cumulative(counts(tp.join(F.broadcast(vxy), ["x", "y"], "left_semi"), ["x", "y"]),
+    # the val side is bounded by val_batches * ranks * B*T pairs; its size is checked before it is broadcast
+    big = asof_cumulative(counts(tp.join(sent(vxy), ["x", "y"], "left_semi"), ["x", "y"]),
                           vxy.select("x", "y", pts_all.alias("ei")), ["x", "y"], "cxy")
-    ctx = asof_cumulative(counts(tp.join(F.broadcast(vx), "x", "left_semi"), ["x"]),
+    ctx = asof_cumulative(counts(tp.join(sent(vx), "x", "left_semi"), ["x"]),
                           vx.select("x", pts_all.alias("ei")), ["x"], "cx")
-    uni = asof_cumulative(counts(tp.join(F.broadcast(vy), "y", "left_semi"), ["y"]),
+    uni = asof_cumulative(counts(tp.join(sent(vy), "y", "left_semi"), ["y"]),
                           vy.select("y", pts_all.alias("ei")), ["y"], "cy")
     tot_c = counts(tp.withColumn("g", F.lit(0)), ["g"])
     tot = asof_cumulative(tot_c, tot_c.select("g").distinct().select("g", pts_all.alias("ei")),
@@ -179,16 +182,20 @@ def eval_schedule(steps_df: DataFrame, every: int, ckpt_every: int, last_step: i
 
 def lr_expr(step: Column, warmup: int, max_steps: int, max_lr: float, min_lr: float) -> Column:
     """Linear warm-up, cosine decay to ``min_lr``, floor after ``max_steps``."""
-    it = step.cast("double")
-    ratio = (it - warmup) / float(max(1, max_steps - warmup))
-    coeff = F.lit(0.5) * (F.lit(1.0) + F.cos(F.lit(math.pi) * ratio))
-    return (F.when(step < warmup, F.lit(max_lr) * (it + 1) / float(warmup))
+    at = step.cast("double")
+    done = (at - warmup) / float(max(1, max_steps - warmup))
+    share = F.lit(0.5) * (F.lit(1.0) + F.cos(F.lit(math.pi) * done))
+    return (F.when(step < warmup, F.lit(max_lr) * (at + 1) / float(warmup))
             .when(step > max_steps, F.lit(min_lr))
-            .otherwise(F.lit(min_lr) + coeff * (max_lr - min_lr)))
+            .otherwise(F.lit(min_lr) + share * (max_lr - min_lr)))
+
+
+# The schedule's highest and lowest rate.
+MAX_LR, MIN_LR = 6e-4, 6e-5
 
 
-def lr_schedule(steps_df: DataFrame, warmup: int, max_steps: int, max_lr: float = 6e-4,
-                min_lr: float = 6e-5) -> DataFrame:
+def lr_schedule(steps_df: DataFrame, warmup: int, max_steps: int, max_lr: float = MAX_LR,
+                min_lr: float = MIN_LR) -> DataFrame:
     if not 0 < warmup <= max_steps:
         raise ValueError("warm-up must be within the run")
     return steps_df.select("step", lr_expr(F.col("step"), warmup, max_steps, max_lr, min_lr).alias("lr"))

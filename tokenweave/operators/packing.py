@@ -10,37 +10,53 @@ The offsets themselves are a running sum in ``doc_id`` order.  A single
 ``sum() over (order by doc_id)`` would move every document to one task, so
 it runs in two levels:
 
-1. ``bucket = (doc_id - lo) div K``; a window partitioned by bucket gives the
-   offset inside the bucket (one hash exchange, ``K`` bounds a bucket).
-2. Bucket totals (aggregated on the same partitioning, no extra exchange)
-   get their own running sum; ``K`` is chosen so there are at most
-   ``MAX_BUCKETS`` of them, which bounds the broadcast of the bucket bases.
+1. Buckets are ranges of the key between observed quantiles, so each holds
+   about ``ROWS_PER_BUCKET`` documents whatever the keys look like (sparse,
+   hashed, with outliers); a window partitioned by bucket gives the offset
+   inside the bucket (one hash exchange).
+2. Bucket totals get their own running sum; there are at most ``MAX_BUCKETS``
+   of them, which bounds the broadcast of the bucket bases.
+
+Order: key, then length and token hash among equal keys; null keys come last.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tokenweave.functions.common import idiv, shard_label
 
 MAX_BUCKETS = 65_536
-MIN_BUCKET = 1_024
-
-
-def choose_bucket(docs: DataFrame, key: str = "doc_id", max_buckets: int = MAX_BUCKETS,
-                  min_bucket: int = MIN_BUCKET) -> tuple[int, int]:
-    """Bucket origin and width from the key range (one scalar job on one column)."""
-    lo, hi = docs.agg(F.min(key), F.max(key)).first()
-    if lo is None:
-        return 0, min_bucket
-    span = int(hi) - int(lo) + 1
-    return int(lo), max(min_bucket, math.ceil(span / max_buckets))
-
-
-def doc_offsets(rows: DataFrame, lo: int, width: int, key: str = "doc_id",
+ROWS_PER_BUCKET = 16_384
+_COARSE = 256
+
+
+def key_bounds(docs: DataFrame, key: str = "doc_id", max_buckets: int = MAX_BUCKETS,
+               rows_per_bucket: int = ROWS_PER_BUCKET) -> list[float]:
+    """Upper bounds of the key buckets: quantiles observed in one pass over the key column."""
+    n = docs.count()
+    buckets = min(max_buckets, -(-n // rows_per_bucket))
+    if buckets <= 1:
+        return []
+    cuts = [i / buckets for i in range(1, buckets)]
+    found = docs.select(F.col(key).cast("double").alias("k")).approxQuantile("k", cuts, 0.25 / buckets)
+    return sorted(set(found))
+
+
+def bucket_of(key: Column, bounds: list[float]) -> Column:
+    """Number of bounds below the key, found in two steps; null keys go after the last bucket."""
+    k = key.cast("double")  # monotonic, so equal keys share a bucket and order is kept
+    if not bounds:
+        return F.when(k.isNull(), F.lit(1)).otherwise(F.lit(0))
+    array = lambda xs: F.array(*[F.lit(float(x)) for x in xs])
+    block = F.size(F.filter(array(bounds[::_COARSE]), lambda b: b < k))
+    under = F.greatest(block - 1, F.lit(0)) * _COARSE
+    fine = F.size(F.filter(F.slice(array(bounds), under + 1, F.lit(_COARSE)), lambda b: b < k))
+    return F.when(k.isNull(), F.lit(len(bounds) + 1)).otherwise(under + fine)
+
+
+def doc_offsets(rows: DataFrame, bounds: list[float], key: str = "doc_id",
                 lengths: DataFrame | None = None) -> DataFrame:
     """Add ``off`` (tokens before this document in key order) to every row.
 
@@ -50,15 +66,16 @@ def doc_offsets(rows: DataFrame, lo: int, width: int, key: str = "doc_id",
     (e.g. JVM-only, without the encoder) used for the bucket totals, so the
     expensive branch is not computed twice.
     """
-    bucket = idiv(F.col(key) - F.lit(lo), width)
+    bucket = bucket_of(F.col(key), bounds)
     d = rows.withColumn("bucket", bucket)
-    inner_w = (Window.partitionBy("bucket").orderBy(key)
+    ties = ["n", *([F.xxhash64("ids")] if "ids" in rows.columns else [])]
+    inner_w = (Window.partitionBy("bucket").orderBy(F.col(key).asc_nulls_last(), *ties)
                .rowsBetween(Window.unboundedPreceding, -1))
     d = d.withColumn("off_in", F.coalesce(F.sum("n").over(inner_w), F.lit(0)).cast("bigint"))
     src = d if lengths is None else lengths.withColumn("bucket", bucket)
     # Partial aggregation per task: only (bucket, partial sum) rows are shuffled.
     totals = src.groupBy("bucket").agg(F.sum("n").cast("bigint").alias("bucket_n"))
-    # One row per bucket, at most MAX_BUCKETS rows: a single-partition window is fine.
+    # One row per bucket, at most MAX_BUCKETS + 1 rows: a single-partition window is fine.
     base_w = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     bases = totals.select("bucket", F.coalesce(F.sum("bucket_n").over(base_w), F.lit(0))
                           .cast("bigint").alias("base"))

@@ -117,54 +117,42 @@ def unseen_context_rows(uni: DataFrame, N: int, V: int, k: int) -> DataFrame:
     return best.select(F.lit(UNSEEN_CONTEXT).cast("bigint").alias("x"), "y", "p")
 
 
-def with_next_context(table: DataFrame) -> DataFrame:
-    """Add ``nx``: the table context a drawn ``y`` leads to (``-1`` if ``y`` is no context)."""
-    contexts = table.select(F.col("x").alias("_c")).distinct()
-    return (table.join(contexts, F.col("y") == F.col("_c"), "left")
-            .withColumn("nx", F.coalesce(F.col("_c"), F.lit(UNSEEN_CONTEXT).cast("bigint")))
-            .drop("_c"))
+def candidate_arrays(table: DataFrame) -> DataFrame:
+    """``(x, cands)``: the candidates ``(y, p)`` of every context in one row (at most k entries)."""
+    return table.groupBy("x").agg(F.collect_list(F.struct("y", "p")).alias("cands"))
 
 
-def generate(prompts: DataFrame, table: DataFrame, num_sequences: int, steps: int, seed: str,
-             checkpoint_every: int = 1, eot: int | None = None,
-             stop_at_eot: bool = False) -> DataFrame:
-    """``(item_id, seq, step, token)`` for ``steps`` new tokens per sequence.
+def generate(prompts: DataFrame, table: DataFrame, num_sequences: int, max_length: int, seed: str,
+             max_contexts: int = 65_537, checkpoint_every: int = 8) -> DataFrame:
+    """``(item_id, seq, ids)``, each prompt continued to ``max_length`` ids, itself included.
 
     Each prompt ``(item_id, ids)`` is replicated ``num_sequences`` times
-    (explode, G1).  A step takes the last token of every sequence (G2),
-    joins it to the precomputed top-k table ``(x, y, p)`` (G4), draws one
-    candidate per sequence (G5/G6) and appends it (G7).  Each candidate
-    carries the table context its token leads to (``x = -1`` when the token
-    was never a training context), so a step is a single join.  The loop is bounded
-    by ``steps`` (G8); each step's draws are checkpointed to the shared
-    folder, so a step never replays its predecessors.
+    (explode, G1).  A step looks up the candidates of the last token (G2, G4),
+    draws one (G5/G6) and appends it (G7), until the sequence has
+    ``max_length`` ids; a longer prompt is cut to that length.  A context has
+    its candidates in one row, so a step is a lookup in a table of at most
+    ``max_contexts`` rows (one per token id; its size is checked before it is
+    broadcast, beyond it the lookup is a shuffle join) and a draw inside the
+    row: no group, no hot key.  A context never seen in training, or an empty
+    prompt, uses the rows ``x = -1``.
     """
-    seqs = prompts.select("item_id", F.explode(F.sequence(F.lit(0).cast("bigint"),
-                                                          F.lit(num_sequences - 1).cast("bigint")))
-                          .alias("seq"), F.element_at("ids", -1).cast("bigint").alias("x"))
-    # a context absent from the table uses the unseen-context rows (x = -1); every
-    # candidate carries the context its token leads to, so a step is one join
-    if "nx" not in table.columns:
-        # at most V*k rows, reused by every step: materialised once
-        table = cut_lineage(with_next_context(table))
-    contexts = table.select(F.col("x").alias("_c")).distinct()
-    frontier = (seqs.join(contexts, F.col("x") == F.col("_c"), "left")
-                .withColumn("x", F.coalesce(F.col("_c"), F.lit(UNSEEN_CONTEXT).cast("bigint")))
-                .drop("_c"))
-    out = []
-    for t in range(steps):
-        cand = frontier.join(table, "x")
-        drawn = weighted_draw(cand, ["item_id", "seq"], "y", "p", seed, step=F.lit(t), carry=("nx",))
-        drawn = drawn.select("item_id", "seq", F.lit(t).cast("bigint").alias("step"),
-                             F.col("y").alias("token"), "nx")
+    from tokenweave.functions.common import bounded_collect, broadcast_if_small
+
+    rows = cut_lineage(candidate_arrays(table))
+    unseen = bounded_collect(rows.where(F.col("x") == UNSEEN_CONTEXT).select(F.explode("cands").alias("c")).select("c.*"),
+                             65_536, "candidates of an unseen context")
+    fallback = F.array(*[F.struct(F.lit(int(r["y"])).cast("bigint").alias("y"), F.lit(float(r["p"])).alias("p")) for r in unseen])
+    lookup = broadcast_if_small(rows, max_contexts)
+    seqs = prompts.select("item_id", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(num_sequences - 1).cast("bigint"))).alias("seq"),
+                          F.slice("ids", 1, max_length).cast("array<bigint>").alias("ids"))
+    shortest = prompts.agg(F.min(F.size("ids"))).first()[0]
+    for t in range(max_length - shortest if shortest is not None else 0):
+        x = F.get(F.col("ids"), F.size("ids") - 1)
+        step = seqs.withColumn("x", x).join(lookup, "x", "left").withColumn("cands", F.coalesce("cands", fallback))
+        key = lambda c: gumbel_key(c["p"], uniform_hash(F.lit(seed), F.col("item_id"), F.col("seq"), F.lit(t), c["y"]))  # noqa: B023, E731
+        best = F.array_max(F.transform("cands", lambda c: F.struct(key(c).alias("key"), c["y"].alias("y"))))  # noqa: B023
+        seqs = step.select("item_id", "seq", F.when(F.size("ids") < max_length, F.concat("ids", F.array(best["y"])))
+                           .otherwise(F.col("ids")).alias("ids"))
         if (t + 1) % checkpoint_every == 0:
-            drawn = cut_lineage(drawn)
-        out.append(drawn.drop("nx"))
-        nxt = drawn.select("item_id", "seq", F.col("nx").alias("x"), "token")
-        if stop_at_eot and eot is not None:
-            nxt = nxt.filter(F.col("token") != eot)
-        frontier = nxt.drop("token")
-    res = out[0]
-    for d in out[1:]:
-        res = res.unionByName(d)
-    return res
+            seqs = cut_lineage(seqs)
+    return seqs

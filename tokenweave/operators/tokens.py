@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tokenweave.functions.common import TOKEN_ID_LIMIT, WORD_PATTERN, bounded_collect, ship_by_value
+from tokenweave.session import cut_lineage
 
 ship_by_value(__name__)
 
@@ -45,13 +46,22 @@ def word_vocab(docs: DataFrame, vocab_size: int) -> DataFrame:
     """``(token_id, word, cnt)`` for the V-2 most frequent words.
 
     Order is count descending, then word (binary order), so ties at the cut
-    are deterministic.  ``orderBy().limit()`` plans as a top-k
-    (TakeOrderedAndProject), so only V-2 rows per task leave the map side.
+    are deterministic.  A histogram of the counts tells which words can be
+    among the first V-2, so only those (and the ties of the last) are sorted.
     """
     keep = vocab_size - 2
     if keep <= 0:
         raise ValueError("vocab_size must leave room for unknown and end-of-text")
-    top = word_counts(docs).orderBy(F.desc("cnt"), F.asc("word")).limit(keep)
+    counts = cut_lineage(word_counts(docs))
+    level = F.floor(F.log2("cnt") * 16).cast("int")
+    total, lowest = 0, None
+    # at most 16 * 63 rows
+    for r in sorted(counts.groupBy(level.alias("level")).count().collect(), key=lambda r: -r["level"]):
+        total, lowest = total + r["count"], r["level"]
+        if total >= keep:
+            break
+    some = counts if lowest is None else counts.where(level >= lowest)
+    top = some.orderBy(F.desc("cnt"), F.asc("word")).limit(keep)
     w = Window.orderBy(F.desc("cnt"), F.asc("word"))  # bounded: at most V-2 rows
     return top.select((F.row_number().over(w) - 1).cast("int").alias("token_id"), "word",
                       F.col("cnt").cast("bigint").alias("cnt"))
@@ -80,13 +90,17 @@ def byte_token_lengths(docs: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- encoding
 
 def _with_eot(lens, values, eot):
-    """Arrow list array of ``[eot] + values[slice]`` for every row (numpy, no loop)."""
+    """Arrow list array of ``[eot] + values[slice]`` for every row (numpy, no loop); no ``eot`` if None."""
     import numpy as np
     import pyarrow as pa
 
-    n = lens.astype(np.int64) + 1
+    n = lens.astype(np.int64) + (eot is not None)
     offsets = np.zeros(len(n) + 1, dtype=np.int64)
     np.cumsum(n, out=offsets[1:])
+    if offsets[-1] >= 1 << 31:
+        raise ValueError("a batch holds 2**31 ids or more; lower spark.sql.execution.arrow.maxRecordsPerBatch")
+    if eot is None:
+        return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values.astype(np.int32))), n
     out = np.empty(int(offsets[-1]), dtype=np.int32)
     heads = offsets[:-1]
     out[heads] = eot
@@ -114,7 +128,7 @@ def _words_kernel(vocab_bc, unk: int, eot: int):
     return run
 
 
-def _bytes_kernel(eot: int):
+def _bytes_kernel(eot: int | None):
     def run(batches):
         import numpy as np
         import pyarrow as pa
@@ -155,9 +169,9 @@ def encode_words(docs: DataFrame, vocab: DataFrame, vocab_size: int) -> DataFram
     return encode_words_bc(docs, bc, vocab_size)
 
 
-def encode_bytes(docs: DataFrame) -> DataFrame:
-    """T8 bytes mode: ids are the UTF-8 bytes, end-of-text 256."""
-    return docs.select("doc_id", "text").mapInArrow(_bytes_kernel(BYTE_EOT), TOKENS_SCHEMA)
+def encode_bytes(docs: DataFrame, eot: bool = True) -> DataFrame:
+    """T8 bytes mode: ids are the UTF-8 bytes, end-of-text 256 first (prompts have none: ``eot=False``)."""
+    return docs.select("doc_id", "text").mapInArrow(_bytes_kernel(BYTE_EOT if eot else None), TOKENS_SCHEMA)
 
 
 # ---------------------------------------------------------------- decoding
@@ -174,6 +188,12 @@ def decode_bytes(seqs: DataFrame, ids: str = "ids", max_length: int | None = Non
     return F.decode(F.unhex(hexed), "UTF-8")
 
 
+def bytes_of(ids: Column) -> Column:
+    """T5 bytes mode as binary: the bytes of the ids, without end-of-text."""
+    own = F.filter(ids, lambda x: x < BYTE_EOT)
+    return F.unhex(F.array_join(F.transform(own, lambda x: F.lpad(F.hex(x), 2, "0")), ""))
+
+
 def vocab_array(words: list[str]) -> Column:
     """A literal ARRAY<STRING> of the vocabulary, indexable by id + 1.
 
@@ -201,7 +221,7 @@ def assert_token_range(tokens: DataFrame, ids: str = "ids") -> DataFrame:
     """F2 enforce form: the job fails on any id outside [0, 2**16)."""
     ok = F.forall(F.col(ids), lambda x: (x >= 0) & (x < TOKEN_ID_LIMIT))
     # A filter (not a dropped column) so column pruning cannot remove the check.
-    return tokens.filter(F.assert_true(ok, "token dictionary too large for uint16").isNull())
+    return tokens.filter(F.assert_true(ok, "an id does not fit the 16 bits of a shard token").isNull())
 
 
 def token_range_report(tokens: DataFrame, ids: str = "ids") -> DataFrame:

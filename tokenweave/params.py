@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
+from tokenweave.functions.common import TOKEN_ID_LIMIT
+
 SPLITS = ("train", "val")
 
 
@@ -12,27 +14,32 @@ class PackParams:
     """Parameters of one tokenise -> pack -> batch -> evaluate run.
 
     Defaults are the small-scale stand-ins used by the tests and the
-    registered queries (shard of 25,000 tokens instead of 1e8, B=4, T=64
-    instead of 8, 1024, four readers).
+    registered queries (shard of 150,000 byte tokens instead of 1e8, B=4,
+    T=384 instead of 8, 1024, four readers).  The pipeline runs on lossless
+    ids: UTF-8 bytes, or a byte-pair rank table.  The word vocabulary (T7) is
+    capped and serves counts and decoding only.
     """
 
-    shard_size: int = 25_000
+    shard_size: int = 150_000
     B: int = 4
-    T: int = 64
+    T: int = 384
     ranks: int = 4
-    vocab_size: int = 20_000  # words mode: id V-2 = unknown, V-1 = end-of-text
-    total_batch: int = 16_384
+    vocab_size: int = 257  # ids of the pipeline's tokens: 256 bytes and end-of-text
+    word_vocab_size: int = 20_000  # words mode: id V-2 = unknown, V-1 = end-of-text
+    total_batch: int = 98_304
     val_batches: int = 20
     block_size: int = 1024
     eval_every: int = 5
     checkpoint_every: int = 10
     top_k: int = 50
     num_sequences: int = 10
-    max_length: int = 9
+    max_length: int = 30  # of a generated sequence, its prompt included
+    prompt_words: int = 4
     seed: str = "42"
     bpe_merges: int = 24
-    stream_docs_per_file: int = 250
+    stream_files: int = 4
     shard_prefix: str = "corpus"
+    rank_file: str = "/opt/tokenizers/byte_bpe_50k.tiktoken"  # byte-pair ranks, read on the driver
 
     @property
     def BT(self) -> int:
@@ -40,11 +47,11 @@ class PackParams:
 
     @property
     def unk_id(self) -> int:
-        return self.vocab_size - 2
+        return self.word_vocab_size - 2
 
     @property
     def eot_id(self) -> int:
-        return self.vocab_size - 1
+        return self.word_vocab_size - 1
 
     @property
     def accum_steps(self) -> int:
@@ -59,6 +66,8 @@ class PackParams:
             raise ValueError("shard_size must be positive")
         if self.B <= 0 or self.T <= 0 or self.ranks <= 0:
             raise ValueError("B, T and ranks must be positive")
+        if not 0 < self.vocab_size <= TOKEN_ID_LIMIT or not 2 < self.word_vocab_size <= TOKEN_ID_LIMIT:
+            raise ValueError(f"a vocabulary has at most {TOKEN_ID_LIMIT} ids")
         check_seq_len(self.T, self.block_size)
         check_divisible(self.total_batch, self.B, self.T, self.ranks)
         return self

@@ -42,9 +42,7 @@ def q_doc_token_lengths(spark, sf):
 
 def q_doc_offsets(spark, sf):
     run = get_run(spark, sf)
-    lo, width = run.bucket
-    lens = tokens.word_token_lengths(run.docs)
-    return packing.doc_offsets(lens, lo, width).select("doc_id", "n", "off")
+    return packing.doc_offsets(tokens.byte_token_lengths(run.docs), run.bounds).select("doc_id", "n", "off")
 
 
 def q_shard_segments(spark, sf):
@@ -57,7 +55,7 @@ def q_shard_segments(spark, sf):
 
 def q_shard_manifest(spark, sf):
     run = get_run(spark, sf)
-    return packing.shard_manifest(run.segments, run.p.shard_prefix)
+    return packing.shard_manifest(run.layout, run.p.shard_prefix)
 
 
 # ---------------------------------------------------------------- M2: token values, sink, discovery
@@ -81,12 +79,12 @@ def q_shard_token_checksum(spark, sf):
 
 def q_list_shards(spark, sf):
     run = get_run(spark, sf)
-    return shard_io.list_shards(spark, run.shards_path, "train", run.p.shard_prefix)
+    return shard_io.list_shards(spark, run.shards_path, prefix=run.p.shard_prefix)
 
 
 def q_load_shard_tokens(spark, sf):
     run = get_run(spark, sf)
-    seg = shard_io.load_shard_tokens(spark, run.shards_path, "val")
+    seg = shard_io.load_shard_tokens(spark, run.shards_path)
     return seg.select("split", "shard_index", "pos", "doc_id", "n",
                       asum("ids").alias("id_sum"),
                       F.element_at("ids", -1).alias("last_id"))
@@ -95,15 +93,16 @@ def q_load_shard_tokens(spark, sf):
 # ---------------------------------------------------------------- M3: batching
 
 def q_batch_schedule(spark, sf):
-    return get_run(spark, sf).schedule("train")
+    return get_run(spark, sf).schedule()
 
 
-def _train_epoch_batches(run):
-    return batching.batches(run.split_segments("train"), run.schedule("train"), run.p.BT)
+def _epoch_batches(run):
+    """Every batch of one epoch, of both splits."""
+    return batching.batches(run.split_segments(), run.schedule(), run.p.BT)
 
 
 def q_batches(spark, sf):
-    b = _train_epoch_batches(get_run(spark, sf))
+    b = _epoch_batches(get_run(spark, sf))
     return b.select("split", "rank", "batch_no", "shard_index", "slot",
                     asum("x").alias("x_sum"), asum("y").alias("y_sum"),
                     awsum("x").alias("x_wsum"), awsum("y").alias("y_wsum"))
@@ -111,16 +110,13 @@ def q_batches(spark, sf):
 
 def q_batch_rows(spark, sf):
     run = get_run(spark, sf)
-    b = batching.batches(run.split_segments("val"), run.schedule("val"), run.p.BT)
-    r = batching.batch_rows(b, run.p.B, run.p.T)
+    r = batching.batch_rows(_epoch_batches(run), run.p.B, run.p.T)
     return r.select("split", "rank", "batch_no", F.col("row").cast("bigint").alias("row"),
                     asum("x").alias("x_sum"), awsum("y").alias("y_wsum"))
 
 
 def q_next_token_pairs(spark, sf):
-    run = get_run(spark, sf)
-    b = batching.batches(run.split_segments("val"), run.schedule("val"), run.p.BT)
-    return batching.pair_counts(b)
+    return batching.pair_counts(_epoch_batches(get_run(spark, sf)), "split")
 
 
 def q_val_batches(spark, sf):
@@ -150,8 +146,7 @@ def q_dropped_tail(spark, sf):
 
 def q_tokens_per_step(spark, sf):
     run = get_run(spark, sf)
-    b = run.plan_batches("train", run.train_plan)
-    return b.groupBy("step").agg(F.sum(F.size("x")).cast("bigint").alias("tokens"))
+    return batching.tokens_per_step(run.train_plan, run.p.BT)
 
 
 # ---------------------------------------------------------------- M4: evaluation
@@ -200,13 +195,8 @@ def q_train_loss_online(spark, sf):
     return loss.select("step", F.round("loss", 4).alias("loss"))
 
 
-def _val_curve(run):
-    return evaluate.val_curve(run.train_pairs_by_step, run.val_pairs, run.max_steps,
-                              run.p.eval_every, run.p.vocab_size)
-
-
 def q_val_curve(spark, sf):
-    return _val_curve(get_run(spark, sf)).select("step", "split", F.round("loss", 4).alias("loss"))
+    return get_run(spark, sf).curve.select("step", "split", F.round("loss", 4).alias("loss"))
 
 
 def _steps(run):
@@ -227,12 +217,12 @@ def q_lr_schedule(spark, sf):
 
 
 def q_metrics_log_lines(spark, sf):
-    return metrics_io.metrics_lines(_val_curve(get_run(spark, sf)))
+    return metrics_io.metrics_lines(get_run(spark, sf).curve)
 
 
 def q_parse_metrics_log(spark, sf):
     run = get_run(spark, sf)
-    lines = metrics_io.metrics_lines(_val_curve(run))
+    lines = metrics_io.metrics_lines(run.curve)
     path = shard_io.scratch_path(spark, "metrics")
     first = lines.filter(F.col("step") == 0)
     metrics_io.write_metrics(first, path, truncate=True)
@@ -242,17 +232,11 @@ def q_parse_metrics_log(spark, sf):
 
 def q_step_report(spark, sf):
     run = get_run(spark, sf)
-    loss = _train_loss_by_step(run)
-    toks = run.plan_batches("train", run.train_plan).groupBy("step").agg(
-        F.sum(F.size("x")).cast("bigint").alias("tokens"))
-    d = loss.join(toks, "step").withColumn("tokens_per_sec", F.lit(None).cast("double"))
-    return d.select("step", F.format_string("step %4d | loss: %.6f | tokens: %d",
-                                            F.col("step").cast("int"), F.col("loss"),
-                                            F.col("tokens")).alias("line"))
+    return metrics_io.step_report(_train_loss_by_step(run).join(batching.tokens_per_step(run.train_plan, run.p.BT), "step"))
 
 
 def q_segment_group_totals(spark, sf):
-    return packing.segment_group_totals(get_run(spark, sf).segments)
+    return packing.segment_group_totals(get_run(spark, sf).layout)
 
 
 def q_global_norm_clip(spark, sf):
@@ -291,20 +275,43 @@ def q_weighted_sample(spark, sf):
 
 
 def q_encode_prompts(spark, sf):
-    enc = get_run(spark, sf).encode_table("benchmark", "item_id")
-    return enc.select(F.col("doc_id").alias("item_id"), "n", asum("ids").alias("id_sum"),
-                      awsum("ids").alias("id_wsum"))
+    enc = get_run(spark, sf).prompts()
+    return enc.select("item_id", "n", asum("ids").alias("id_sum"), awsum("ids").alias("id_wsum"))
 
 
 def q_generate(spark, sf):
+    """Prompt and continuation of every sequence: its ids, and their bytes in hex (T5)."""
+    return get_run(spark, sf).generated.select(
+        "item_id", "seq", F.size("ids").cast("bigint").alias("n"), F.array_join("ids", " ").alias("tokens"),
+        F.hex(tokens.bytes_of(F.col("ids"))).alias("bytes_hex"))
+
+
+def q_generate_text(spark, sf):
+    """T5 on generated sequences: their text; bytes that are no UTF-8 become replacement characters."""
+    run = get_run(spark, sf)
+    return run.generated.select("item_id", "seq", F.call_function(
+        "make_valid_utf8", tokens.bytes_of(F.col("ids")).cast("string")).alias("text"))
+
+
+def _read_back(spark, path, decode):
+    """Documents decoded from written shards: the pieces in order, then the text's md5."""
+    pieces = shard_io.read_shards(spark, path).groupBy("doc_id").agg(
+        F.array_sort(F.collect_list(F.struct("src", "ids"))).alias("parts"))
+    ids = F.flatten(F.transform("parts", lambda p: p["ids"]))
+    text = pieces.select("doc_id", ids.alias("ids")).select("doc_id", decode(F.col("ids")).alias("data"))
+    return text.select("doc_id", F.octet_length("data").cast("bigint").alias("n_bytes"), F.md5("data").alias("md5"))
+
+
+def q_shards_roundtrip(spark, sf):
+    """Every document read back from the written shards of the pipeline."""
+    return _read_back(spark, get_run(spark, sf).shards_path, tokens.bytes_of)
+
+
+def q_bpe_shards_roundtrip(spark, sf):
+    """The same through byte-pair tokens of the given rank table: encode, pack, write, read, decode."""
+    from tokenweave.operators import bpe
     run = get_run(spark, sf)
-    prompts = run.encode_table("benchmark", "item_id").withColumnRenamed("doc_id", "item_id")
-    g = sampling.generate(prompts, run.next_table, run.p.num_sequences, run.p.max_length - 1,
-                          run.p.seed)
-    seqs = g.groupBy("item_id", "seq").agg(
-        F.array_sort(F.collect_list(F.struct("step", "token"))).alias("s"))
-    return seqs.select("item_id", "seq", F.array_join(F.transform("s", lambda e: e["token"]), " ")
-                       .alias("tokens"))
+    return _read_back(spark, run.bpe_shards_path, lambda ids: bpe.decode_ranks(ids, run.rank_table))
 
 
 def q_decode_roundtrip(spark, sf):
@@ -316,8 +323,8 @@ def q_decode_roundtrip(spark, sf):
 def q_decode_words_roundtrip(spark, sf):
     """T5 words mode: decode every encoded document (md5 of the decoded text)."""
     run = get_run(spark, sf)
-    text = tokens.decode_words(F.col("ids"), run.vocab_words, run.p.vocab_size)
-    return run.doc_tokens.select("doc_id", F.md5(text).alias("md5"))
+    text = tokens.decode_words(F.col("ids"), run.vocab_words, run.p.word_vocab_size)
+    return run.word_tokens.select("doc_id", F.md5(text).alias("md5"))
 
 
 def q_learn_bpe_merges(spark, sf):
@@ -335,23 +342,22 @@ def q_bpe_encode(spark, sf):
 def q_stream_pack(spark, sf):
     """The corpus arrives as files in doc_id order and is packed incrementally.
 
-    The arrival files are derived from ``documents``: contiguous doc_id
-    ranges at most ``stream_docs_per_file`` ids wide (so each file, written
-    by one task, is bounded by a parameter, not by the corpus), written one
-    after another so arrival order is doc_id order.  The packed segments must
-    equal the batch packer's, so the oracle is the same as ``shard_segments``.
+    ``stream_files`` arrivals, each a range of doc_ids between observed
+    quantiles and written by one job of many tasks, are packed one after the
+    other by a stream that is started again for each, as it is in use.  The
+    packed segments must equal the batch packer's, so the oracle is the same
+    as ``shard_segments``.
     """
     from tokenweave.streaming.pack_stream import pack_stream
     run = get_run(spark, sf)
-    docs = read_table(spark, sf, "documents").select("doc_id", "text")
-    lo, hi = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
-    src = shard_io.scratch_path(spark, "stream-src")
-    width = run.p.stream_docs_per_file
-    for i, a in enumerate(range(int(lo), int(hi) + 1, width)):
-        (docs.filter((F.col("doc_id") >= a) & (F.col("doc_id") < a + width))
-         .coalesce(1).write.mode("overwrite").parquet(f"{src}/arrival={i:06d}"))
-    sink = shard_io.scratch_path(spark, "stream-sink")
-    seg = pack_stream(spark, src, sink, run.vocab_words, run.p.vocab_size, run.p.shard_size)
+    docs = read_table(spark, sf, "documents").select(F.col("doc_id").cast("bigint"), "text")
+    parts = run.p.stream_files
+    cuts = docs.select(F.col("doc_id").cast("double").alias("k")).approxQuantile("k", [i / parts for i in range(1, parts)], 0.01)
+    arrival = packing.bucket_of(F.col("doc_id"), sorted(set(cuts)))
+    src, sink = shard_io.scratch_path(spark, "stream-src"), shard_io.scratch_path(spark, "stream-sink")
+    for i in range(len(set(cuts)) + 1):
+        docs.where(arrival == i).write.parquet(f"{src}/arrival={i:06d}")
+        seg = pack_stream(spark, src, sink, run.p.shard_size)
     return seg.select("split", "shard_index", "pos", "doc_id", "src", "n", "doc_n",
                       asum("ids").alias("id_sum"),
                       F.element_at("ids", 1).cast("bigint").alias("first_id"),
@@ -399,6 +405,9 @@ QUERIES: dict[str, Query] = {
     "weighted_sample": q_weighted_sample,
     "encode_prompts": q_encode_prompts,
     "generate": q_generate,
+    "generate_text": q_generate_text,
+    "shards_roundtrip": q_shards_roundtrip,
+    "bpe_shards_roundtrip": q_bpe_shards_roundtrip,
     "decode_roundtrip": q_decode_roundtrip,
     "decode_words_roundtrip": q_decode_words_roundtrip,
     "learn_bpe_merges": q_learn_bpe_merges,

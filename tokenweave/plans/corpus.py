@@ -1,8 +1,8 @@
 """Composed jobs: documents -> tokens -> offsets -> shard segments.
 
 These are the plans every registered query builds on.  Nothing here collects
-data to the driver except the bounded word vocabulary (at most V rows) and
-two scalars (the key range that sizes the offset buckets).
+data to the driver except bounded vocabularies and the bounds of the offset
+buckets (at most ``packing.MAX_BUCKETS`` numbers).
 """
 
 from __future__ import annotations
@@ -21,15 +21,15 @@ def documents(spark: SparkSession, sf_dir: str, where=None) -> DataFrame:
 
 
 def vocab_for(docs: DataFrame, params: PackParams) -> DataFrame:
-    return tokens.word_vocab(docs, params.vocab_size)
+    return tokens.word_vocab(docs, params.word_vocab_size)
 
 
-def encode(docs: DataFrame, params: PackParams, mode: str = "words",
+def encode(docs: DataFrame, params: PackParams, mode: str = "bytes",
            vocab: DataFrame | None = None, merges: DataFrame | None = None) -> DataFrame:
     """``(doc_id, n, ids)`` for the chosen token mode."""
     if mode == "words":
         return tokens.encode_words(docs, vocab if vocab is not None else vocab_for(docs, params),
-                                   params.vocab_size)
+                                   params.word_vocab_size)
     if mode == "bytes":
         return tokens.encode_bytes(docs)
     if mode == "bpe":
@@ -50,11 +50,10 @@ def jvm_lengths(docs: DataFrame, mode: str) -> DataFrame | None:
 
 
 def offsets(docs: DataFrame, toks: DataFrame, lengths: DataFrame | None = None) -> DataFrame:
-    lo, width = packing.choose_bucket(docs)
-    return packing.doc_offsets(toks, lo, width, lengths=lengths)
+    return packing.doc_offsets(toks, packing.key_bounds(docs), lengths=lengths)
 
 
-def segments(spark: SparkSession, sf_dir: str, params: PackParams, mode: str = "words",
+def segments(spark: SparkSession, sf_dir: str, params: PackParams, mode: str = "bytes",
              docs: DataFrame | None = None, merges: DataFrame | None = None) -> DataFrame:
     """P1-P5 end to end: shard segments with token arrays."""
     docs = docs if docs is not None else documents(spark, sf_dir)

@@ -1,22 +1,29 @@
 """DuckDB oracle SQL for every registered query.
 
-Plain SQL over the raw parquet views, written row-at-a-time (one row per
-token, a global running sum, a self-join for next-token pairs) so it shares
-no structure with the Spark plans it checks.  Parameters come from the same
-``PackParams`` defaults as the Spark side.
+Plain SQL over the raw parquet views, written row-at-a-time where that is
+possible (one row per token, a global running sum, a self-join for
+next-token pairs; segments are token rows grouped by document and shard).
+The batch schedule uses the same closed form as the Spark side; the tests
+check that form against a sequential loader.  Parameters come from the same
+``PackParams`` defaults.
 """
 
 from __future__ import annotations
 
+from tokenweave.operators.evaluate import MAX_LR, MIN_LR
+from tokenweave.operators.tokens import BYTE_EOT
 from tokenweave.params import PackParams
+from tokenweave.plans.run import prompt_pattern
+from tokenweave.sources.metrics import STEP_LINE
 
 P_ = PackParams()
 S = P_.shard_size
 B, T, BT, R = P_.B, P_.T, P_.BT, P_.ranks
-V, UNK, EOT = P_.vocab_size, P_.unk_id, P_.eot_id
+V, EOT = P_.vocab_size, BYTE_EOT
+WV, UNK, WORD_EOT = P_.word_vocab_size, P_.unk_id, P_.eot_id
 TOTAL, ACC = P_.total_batch, P_.accum_steps
 NVAL, EVERY, CKPT = P_.val_batches, P_.eval_every, P_.checkpoint_every
-K, NSEQ, STEPS, SEED = P_.top_k, P_.num_sequences, P_.max_length - 1, P_.seed
+K, NSEQ, MAXLEN, SEED = P_.top_k, P_.num_sequences, P_.max_length, P_.seed
 PREFIX = P_.shard_prefix
 
 _CTE: dict[str, tuple[str, tuple[str, ...]]] = {}
@@ -44,27 +51,26 @@ def with_(*names: str) -> str:
 # ---------------------------------------------------------------- tokens, offsets, segments
 cte("docs", "SELECT doc_id, coalesce(text, '') AS text FROM documents")
 cte("wl", r"SELECT doc_id, regexp_extract_all(text, '[^ \t\r\n]+') AS w FROM docs", "docs")
-cte("lens", "SELECT doc_id, CAST(len(w) + 1 AS BIGINT) AS n FROM wl", "wl")
+cte("wlens", "SELECT doc_id, CAST(len(w) + 1 AS BIGINT) AS n FROM wl", "wl")
+cte("lens", "SELECT doc_id, CAST(strlen(text) + 1 AS BIGINT) AS n FROM docs", "docs")
 cte("offs", """SELECT doc_id, n, CAST(coalesce(sum(n) OVER (ORDER BY doc_id
         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS off FROM lens""", "lens")
 cte("wc", "SELECT word, count(*) AS cnt FROM (SELECT unnest(w) AS word FROM wl) GROUP BY word", "wl")
 cte("vocab", f"""SELECT * FROM (SELECT CAST(row_number() OVER (ORDER BY cnt DESC, word) - 1 AS INTEGER)
-        AS token_id, word, CAST(cnt AS BIGINT) AS cnt FROM wc) WHERE token_id < {V - 2}""", "wc")
+        AS token_id, word, CAST(cnt AS BIGINT) AS cnt FROM wc) WHERE token_id < {WV - 2}""", "wc")
 cte("tw", "SELECT doc_id, unnest(w) AS word, unnest(generate_series(1, len(w))) AS i FROM wl", "wl")
-cte("toks", f"""SELECT doc_id, CAST(0 AS BIGINT) AS i, CAST({EOT} AS BIGINT) AS id FROM wl
+cte("toks", f"""SELECT doc_id, CAST(0 AS BIGINT) AS i, CAST({EOT} AS BIGINT) AS id FROM docs
         UNION ALL
-        SELECT tw.doc_id, CAST(tw.i AS BIGINT), CAST(coalesce(v.token_id, {UNK}) AS BIGINT)
-        FROM tw LEFT JOIN vocab v ON v.word = tw.word""", "tw", "vocab", "wl")
+        SELECT doc_id, CAST(unnest(generate_series(1, len(h))) AS BIGINT), CAST('0x' || unnest(h) AS BIGINT)
+        FROM (SELECT doc_id, regexp_extract_all(hex(text), '..') AS h FROM docs)""", "docs")
 cte("tp", f"""SELECT t.doc_id, t.i, t.id, (o.off + t.i) // {S} AS shard_index,
         (o.off + t.i) % {S} AS pos FROM toks t JOIN offs o USING (doc_id)""", "toks", "offs")
-cte("segs", f"""SELECT CASE WHEN s = 0 THEN 'val' ELSE 'train' END AS split,
-        CAST(s AS BIGINT) AS shard_index,
-        CAST(greatest(off, s * {S}) - s * {S} AS BIGINT) AS pos, doc_id,
-        CAST(greatest(off, s * {S}) - off AS BIGINT) AS src,
-        CAST(least(off + dn, (s + 1) * {S}) - greatest(off, s * {S}) AS BIGINT) AS n,
-        dn AS doc_n
-        FROM (SELECT doc_id, n AS dn, off,
-              unnest(generate_series(off // {S}, (off + n - 1) // {S})) AS s FROM offs)""", "offs")
+cte("segs", """SELECT CASE WHEN shard_index = 0 THEN 'val' ELSE 'train' END AS split,
+        CAST(shard_index AS BIGINT) AS shard_index, CAST(min(pos) AS BIGINT) AS pos, doc_id,
+        CAST(min(i) AS BIGINT) AS src, CAST(count(*) AS BIGINT) AS n,
+        CAST(any_value(dn) AS BIGINT) AS doc_n
+        FROM (SELECT tp.*, l.n AS dn FROM tp JOIN lens l USING (doc_id))
+        GROUP BY doc_id, shard_index""", "tp", "lens")
 
 # ---------------------------------------------------------------- batching
 cte("sl", """SELECT CASE WHEN shard_index = 0 THEN 'val' ELSE 'train' END AS split,
@@ -164,13 +170,12 @@ cte("curve", f"""SELECT ei * {EVERY} AS step, 'val' AS split, avg(loss) AS loss
 cte("steps", "SELECT DISTINCT step FROM tplan", "tplan")
 
 # ---------------------------------------------------------------- prompts and sampling
-cte("bench_w", r"""SELECT item_id, regexp_extract_all(coalesce(text, ''), '[^ \t\r\n]+') AS w
-        FROM benchmark""")
-cte("ptoks", f"""SELECT item_id, CAST(0 AS BIGINT) AS i, CAST({EOT} AS BIGINT) AS id FROM bench_w
-        UNION ALL
-        SELECT b.item_id, CAST(b.i AS BIGINT), CAST(coalesce(v.token_id, {UNK}) AS BIGINT)
-        FROM (SELECT item_id, unnest(w) AS word, unnest(generate_series(1, len(w))) AS i FROM bench_w) b
-        LEFT JOIN vocab v ON v.word = b.word""", "bench_w", "vocab")
+cte("bench", "SELECT item_id, coalesce(text, '') AS text FROM benchmark")
+cte("ptoks", """SELECT item_id, CAST(unnest(generate_series(1, len(h))) - 1 AS BIGINT) AS i,
+        CAST('0x' || unnest(h) AS BIGINT) AS id
+        FROM (SELECT item_id, regexp_extract_all(hex(text), '..') AS h FROM bench)""", "bench")
+cte("starts", f"""SELECT item_id, list_transform(regexp_extract_all(hex(regexp_extract(text, '{prompt_pattern(P_.prompt_words)}', 1)), '..'),
+        lambda b: CAST('0x' || b AS BIGINT))[1:{MAXLEN}] AS ids FROM bench""", "bench")
 cte("emb_p", """SELECT vec_id, idx, e / sum(e) OVER (PARTITION BY vec_id) AS p FROM (
         SELECT vec_id, idx, exp(v - max(v) OVER (PARTITION BY vec_id)) AS e FROM (
           SELECT vec_id, CAST(unnest(generate_series(1, len(embedding))) - 1 AS BIGINT) AS idx,
@@ -186,37 +191,28 @@ def _u(*parts: str) -> str:
 
 
 cte("top_uni", f"SELECT y, cy FROM uni ORDER BY cy DESC, y LIMIT {K}", "uni")
-
-
-def _generation_ctes() -> list[str]:
-    cte("f0", f"""SELECT p.item_id, CAST(s AS BIGINT) AS seq, l.id AS x
-        FROM (SELECT DISTINCT item_id FROM ptoks) p, range({NSEQ}) t(s),
-             (SELECT item_id, arg_max(id, i) AS id FROM ptoks GROUP BY item_id) l
-        WHERE l.item_id = p.item_id""", "ptoks")
-    names = []
-    for t in range(STEPS):
-        f = f"f{t}"
-        cte(f"c{t}", f"""SELECT x, y, p FROM (
-            SELECT x, y, p, row_number() OVER (PARTITION BY x ORDER BY p DESC, y) AS rk FROM (
-              SELECT k.x, k.y, {_p('k.cxy', 'coalesce(c.cx, 0)', 'k.cy', '(SELECT N FROM ntot)')} AS p
-              FROM (SELECT x, y, max(cxy) AS cxy, max(cy) AS cy FROM (
-                      SELECT xs.x, b.y, b.cxy, u.cy FROM (SELECT DISTINCT x FROM {f}) xs
-                        JOIN big b ON b.x = xs.x JOIN uni u ON u.y = b.y
-                      UNION ALL
-                      SELECT xs.x, tu.y, 0 AS cxy, tu.cy FROM (SELECT DISTINCT x FROM {f}) xs, top_uni tu)
-                    GROUP BY x, y) k
-              LEFT JOIN ctx c ON c.x = k.x)) WHERE rk <= {K}""", f, "big", "uni", "ctx", "ntot", "top_uni")
-        cte(f"d{t}", f"""SELECT f.item_id, f.seq, CAST({t} AS BIGINT) AS step,
-            arg_max(c.y, ln(c.p) - ln(-ln({_u(f"'{SEED}'", 'f.item_id', 'f.seq', str(t), 'c.y')})))
-              AS token
-            FROM {f} f JOIN c{t} c ON c.x = f.x GROUP BY f.item_id, f.seq""", f, f"c{t}")
-        cte(f"f{t + 1}", f"SELECT item_id, seq, token AS x FROM d{t}", f"d{t}")
-        names.append(f"d{t}")
-    return names
-
-
-_GEN = _generation_ctes()
-cte("gen", " UNION ALL ".join(f"SELECT * FROM {d}" for d in _GEN), *_GEN)
+# the candidates of every context, and those of one never seen (x = -1)
+cte("cands", f"""SELECT x, y, p FROM (
+        SELECT x, y, p, row_number() OVER (PARTITION BY x ORDER BY p DESC, y) AS rk FROM (
+          SELECT k.x, k.y, {_p('k.cxy', 'coalesce(c.cx, 0)', 'k.cy', '(SELECT N FROM ntot)')} AS p
+          FROM (SELECT x, y, max(cxy) AS cxy, max(cy) AS cy FROM (
+                  SELECT b.x, b.y, b.cxy, u.cy FROM big b JOIN uni u ON u.y = b.y
+                  UNION ALL SELECT ctx.x, tu.y, 0, tu.cy FROM ctx, top_uni tu
+                  UNION ALL SELECT -1, tu.y, 0, tu.cy FROM top_uni tu) GROUP BY x, y) k
+          LEFT JOIN ctx c ON c.x = k.x)) WHERE rk <= {K}""", "big", "uni", "ctx", "ntot", "top_uni")
+_STEP_KEY = f"ln(c.p) - ln(-ln({_u(f"'{SEED}'", 'g.item_id', 'g.seq', 'g.t', 'c.y')}))"
+
+
+def _generation(select: str) -> str:
+    """Sequences grown one token at a time by a recursive query, until each has its full length."""
+    body = with_("starts", "cands").removeprefix("WITH ")
+    return f"""WITH RECURSIVE {body}, known AS (SELECT DISTINCT x FROM cands),
+        g AS (SELECT item_id, CAST(s AS BIGINT) AS seq, CAST(0 AS BIGINT) AS t, ids FROM starts, range({NSEQ}) r(s)
+          UNION ALL
+          SELECT g.item_id, g.seq, any_value(g.t) + 1, list_append(any_value(g.ids), arg_max(c.y, {_STEP_KEY}))
+          FROM g LEFT JOIN known k ON k.x = g.ids[-1] JOIN cands c ON c.x = coalesce(k.x, -1)
+          WHERE len(g.ids) < {MAXLEN} GROUP BY g.item_id, g.seq)
+        {select} FROM (SELECT item_id, seq, arg_max(ids, t) AS ids FROM g GROUP BY item_id, seq)"""
 
 
 # ---------------------------------------------------------------- the oracle per key
@@ -233,7 +229,7 @@ ORACLE_SQL: dict[str, str] = {
     "corpus_split_scan": "SELECT doc_id, CAST(length(coalesce(text, '')) AS BIGINT) AS n_chars, "
                          "CAST(strlen(coalesce(text, '')) AS BIGINT) AS n_bytes FROM documents "
                          "WHERE lang = 'en'",
-    "doc_token_lengths": with_("lens") + "SELECT doc_id, n FROM lens",
+    "doc_token_lengths": with_("wlens") + "SELECT doc_id, n FROM wlens",
     "doc_offsets": with_("offs") + "SELECT doc_id, n, off FROM offs",
     "shard_segments": _SEGMENT_SUMMARY,
     "stream_pack": _SEGMENT_SUMMARY,
@@ -257,17 +253,17 @@ ORACLE_SQL: dict[str, str] = {
     "list_shards": with_("segs") + f"""
         SELECT split, shard_index, CAST(sum(n) AS BIGINT) AS n_tokens,
                printf('{PREFIX}_%s_%06d', split, shard_index) AS label
-        FROM segs WHERE split = 'train' GROUP BY split, shard_index""",
+        FROM segs GROUP BY split, shard_index""",
     "load_shard_tokens": with_("segs", "tp") + """
         SELECT s.split, s.shard_index, s.pos, s.doc_id, s.n, CAST(sum(t.id) AS BIGINT) AS id_sum,
                arg_max(t.id, t.pos) AS last_id
         FROM segs s JOIN tp t ON t.doc_id = s.doc_id AND t.shard_index = s.shard_index
-        WHERE s.split = 'val' GROUP BY ALL""",
-    "batch_schedule": with_("sched") + "SELECT * FROM sched WHERE split = 'train'",
+        GROUP BY ALL""",
+    "batch_schedule": with_("sched") + "SELECT * FROM sched",
     "batches": with_("sched", "xs", "ys") + """
         SELECT s.split, s.rank, s.batch_no, s.shard_index, s.slot, x.x_sum, y.y_sum, x.x_wsum, y.y_wsum
         FROM sched s JOIN xs x ON x.shard_index = s.shard_index AND x.slot = s.slot
-        JOIN ys y ON y.shard_index = s.shard_index AND y.slot = s.slot WHERE s.split = 'train'""",
+        JOIN ys y ON y.shard_index = s.shard_index AND y.slot = s.slot""",
     "batch_rows": with_("sched", "tp") + f"""
         SELECT s.split, s.rank, s.batch_no, xr.row, xr.x_sum, yr.y_wsum FROM sched s
         JOIN (SELECT shard_index, pos // {BT} AS slot, CAST((pos % {BT}) // {T} AS BIGINT) AS row,
@@ -276,12 +272,10 @@ ORACLE_SQL: dict[str, str] = {
         JOIN (SELECT shard_index, (pos - 1) // {BT} AS slot, CAST(((pos - 1) % {BT}) // {T} AS BIGINT) AS row,
                      CAST(sum(id * (((pos - 1) % {T}) % 1009 + 1)) AS BIGINT) AS y_wsum
               FROM tp WHERE pos >= 1 GROUP BY ALL) yr
-          ON yr.shard_index = s.shard_index AND yr.slot = s.slot AND yr.row = xr.row
-        WHERE s.split = 'val'""",
+          ON yr.shard_index = s.shard_index AND yr.slot = s.slot AND yr.row = xr.row""",
     "next_token_pairs": with_("sched", "slot_pairs") + """
-        SELECT p.x, p.y, CAST(sum(p.cnt) AS BIGINT) AS cnt FROM sched s
-        JOIN slot_pairs p ON p.shard_index = s.shard_index AND p.slot = s.slot
-        WHERE s.split = 'val' GROUP BY ALL""",
+        SELECT s.split, p.x, p.y, CAST(sum(p.cnt) AS BIGINT) AS cnt FROM sched s
+        JOIN slot_pairs p ON p.shard_index = s.shard_index AND p.slot = s.slot GROUP BY ALL""",
     "val_batches": with_("vplan", "xs", "ys") + """
         SELECT v.rank, v.batch_no, v.epoch, v.shard_index, v.slot, x.x_sum, y.y_wsum
         FROM vplan v JOIN xs x ON x.shard_index = v.shard_index AND x.slot = v.slot
@@ -318,18 +312,18 @@ ORACLE_SQL: dict[str, str] = {
     "eval_schedule": with_("steps", "max_steps") + f"""
         SELECT step, (step > 0 AND (step % {CKPT} = 0 OR step = (SELECT m FROM max_steps) - 1))
                AS is_checkpoint FROM steps WHERE step % {EVERY} = 0""",
-    "lr_schedule": with_("steps", "max_steps") + """
-        SELECT step, round(CASE WHEN step < w THEN 6e-4 * (step + 1) / w
-                                WHEN step > m THEN 6e-5
-                                ELSE 6e-5 + 0.5 * (1.0 + cos(pi() * ((step - w) / greatest(1, m - w))))
-                                     * (6e-4 - 6e-5) END, 9) AS lr
+    "lr_schedule": with_("steps", "max_steps") + f"""
+        SELECT step, round(CASE WHEN step < w THEN {MAX_LR} * (step + 1) / w
+                                WHEN step > m THEN {MIN_LR}
+                                ELSE {MIN_LR} + 0.5 * (1.0 + cos(pi() * ((step - w) / greatest(1, m - w))))
+                                     * ({MAX_LR} - {MIN_LR}) END, 9) AS lr
         FROM steps, (SELECT m, CAST(greatest(1, m // 10) AS DOUBLE) AS w FROM max_steps) p""",
     "metrics_log_lines": with_("curve") + """
         SELECT CAST(step AS BIGINT) AS step, printf('%d %s %.4f', step, split, loss) AS value FROM curve""",
     "parse_metrics_log": with_("curve") + """
         SELECT CAST(step AS BIGINT) AS step, split, CAST(printf('%.4f', loss) AS DOUBLE) AS loss FROM curve""",
     "step_report": with_("tstep", "tplan") + f"""
-        SELECT s.step, printf('step %4d | loss: %.6f | tokens: %d', s.step, s.loss, t.tokens) AS line
+        SELECT s.step, printf('{STEP_LINE}', s.step, s.loss, t.tokens) AS line
         FROM tstep s JOIN (SELECT step, count(*) * {BT} AS tokens FROM tplan GROUP BY step) t
           ON t.step = s.step""",
     "segment_group_totals": with_("segs") + """
@@ -357,9 +351,12 @@ ORACLE_SQL: dict[str, str] = {
     "encode_prompts": with_("ptoks") + """
         SELECT item_id, CAST(count(*) AS BIGINT) AS n, CAST(sum(id) AS BIGINT) AS id_sum,
                CAST(sum(id * (i % 1009 + 1)) AS BIGINT) AS id_wsum FROM ptoks GROUP BY item_id""",
-    "generate": with_("gen") + """
-        SELECT item_id, seq, string_agg(CAST(token AS VARCHAR), ' ' ORDER BY step) AS tokens
-        FROM gen GROUP BY item_id, seq""",
+    "generate": _generation(f"""SELECT item_id, seq, CAST(len(ids) AS BIGINT) AS n, array_to_string(ids, ' ') AS tokens,
+        upper(array_to_string(list_transform(list_filter(ids, lambda i: i < {EOT}), lambda i: printf('%02x', i)), '')) AS bytes_hex"""),
+    "shards_roundtrip": "SELECT doc_id, CAST(strlen(coalesce(text, '')) AS BIGINT) AS n_bytes, md5(coalesce(text, '')) AS md5 "
+                        "FROM documents",
+    "bpe_shards_roundtrip": "SELECT doc_id, CAST(strlen(coalesce(text, '')) AS BIGINT) AS n_bytes, md5(coalesce(text, '')) AS md5 "
+                            "FROM documents",
     "decode_roundtrip": "SELECT doc_id, md5(coalesce(text, '')) AS md5 FROM documents",
     "bpe_encode": "SELECT doc_id, md5(coalesce(text, '')) AS md5 FROM documents",
     "decode_words_roundtrip": with_("tw", "vocab", "wl") + """

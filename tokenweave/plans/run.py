@@ -26,8 +26,17 @@ DEFAULT_PARAMS = PackParams()
 _RUNS: dict = {}
 
 
+def prompt_pattern(words: int) -> str:
+    """The first ``words`` words of a text."""
+    return rf"^[ \t\r\n]*((?:[^ \t\r\n]+[ \t\r\n]+){{0,{words - 1}}}[^ \t\r\n]+)"
+
+
 def get_run(spark: SparkSession, sf_dir: str, params: PackParams = DEFAULT_PARAMS) -> "CorpusRun":
-    key = (id(spark), sf_dir.rstrip("/"), params)
+    """The run over one folder; runs of stopped sessions are forgotten."""
+    app = spark.sparkContext.applicationId
+    for old in [k for k in _RUNS if k[0] != app]:
+        del _RUNS[old]
+    key = (app, sf_dir.rstrip("/"), params)
     run = _RUNS.get(key)
     if run is None:
         run = _RUNS[key] = CorpusRun(spark, sf_dir, params)
@@ -51,35 +60,49 @@ class CorpusRun:
 
     @cached_property
     def vocab(self) -> DataFrame:
-        return tokens.word_vocab(self.docs, self.p.vocab_size)
+        """T7, materialised once: at most V rows."""
+        return cut_lineage(tokens.word_vocab(self.docs, self.p.word_vocab_size))
 
     @cached_property
     def vocab_words(self) -> list[str]:
-        return tokens.vocab_list(self.vocab, self.p.vocab_size)
+        return tokens.vocab_list(self.vocab, self.p.word_vocab_size)
 
-    def encode_table(self, name: str, key: str) -> DataFrame:
-        """Words-mode encoding of another text table (e.g. prompts) with this vocabulary."""
-        src = read_table(self.spark, self.sf_dir, name, key=key).select(
-            F.col(key).cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-        return tokens.encode_words(src, self.vocab, self.p.vocab_size)
+    def prompts(self, words: int | None = None) -> DataFrame:
+        """T4: the benchmark texts as prompts (their first ``words`` words), without end-of-text."""
+        text = F.coalesce("text", F.lit(""))
+        if words is not None:
+            text = F.regexp_extract(text, prompt_pattern(words), 1)
+        src = read_table(self.spark, self.sf_dir, "benchmark", key="item_id").select(
+            F.col("item_id").cast("bigint").alias("doc_id"), text.alias("text"))
+        return tokens.encode_bytes(src, eot=False).withColumnRenamed("doc_id", "item_id")
+
+    @cached_property
+    def word_tokens(self) -> DataFrame:
+        """Words-mode tokens (T7): capped, for counts and decoding only."""
+        return tokens.encode_words(self.docs, self.vocab, self.p.word_vocab_size)
 
     @cached_property
     def doc_tokens(self) -> DataFrame:
-        return tokens.encode_words(self.docs, self.vocab, self.p.vocab_size)
+        """The pipeline's tokens: lossless, one id per UTF-8 byte, end-of-text first."""
+        return tokens.encode_bytes(self.docs)
 
     @cached_property
-    def bucket(self) -> tuple[int, int]:
-        return packing.choose_bucket(self.docs)
+    def bounds(self) -> list[float]:
+        return packing.key_bounds(self.docs)
 
     @cached_property
     def offsets(self) -> DataFrame:
-        lo, width = self.bucket
-        return packing.doc_offsets(self.doc_tokens, lo, width,
-                                   lengths=tokens.word_token_lengths(self.docs))
+        return packing.doc_offsets(self.doc_tokens, self.bounds, lengths=tokens.byte_token_lengths(self.docs))
+
+    @cached_property
+    def layout(self) -> DataFrame:
+        """Shard segments without tokens: lengths come from the JVM, nothing is encoded."""
+        lengths = tokens.byte_token_lengths(self.docs)
+        return packing.cut_segments(packing.doc_offsets(lengths, self.bounds), self.p.shard_size)
 
     @cached_property
     def segments(self) -> DataFrame:
-        """Live plan of the shard segments (words mode, with token arrays)."""
+        """Live plan of the shard segments with token arrays."""
         return packing.cut_segments(self.offsets, self.p.shard_size)
 
     # ------------------------------------------------------------ shards on storage
@@ -88,7 +111,21 @@ class CorpusRun:
         path = shard_io.scratch_path(self.spark, "shards")
         return shard_io.write_shards(self.segments, path, self.p.shard_size)
 
-    def split_segments(self, split: str) -> DataFrame:
+    @cached_property
+    def rank_table(self) -> list[bytes]:
+        from tokenweave.operators import bpe
+        return bpe.load_ranks(self.p.rank_file)
+
+    @cached_property
+    def bpe_shards_path(self) -> str:
+        """Shards of byte-pair tokens under the given rank table."""
+        from tokenweave.operators import bpe
+        # the encoder runs once; offsets need its lengths before its ids are cut
+        toks = cut_lineage(bpe.encode_ranks(self.docs, self.rank_table))
+        segments = packing.cut_segments(packing.doc_offsets(toks, self.bounds), self.p.shard_size)
+        return shard_io.write_shards(segments, shard_io.scratch_path(self.spark, "bpe-shards"), self.p.shard_size)
+
+    def split_segments(self, split: str | None = None) -> DataFrame:
         return shard_io.read_shards(self.spark, self.shards_path, split)
 
     @cached_property
@@ -96,9 +133,10 @@ class CorpusRun:
         """(split, shard_index, L) of the written shards (small: one row per shard)."""
         return cut_lineage(batching.shard_lengths(shard_io.read_shards(self.spark, self.shards_path)))
 
-    def schedule(self, split: str) -> DataFrame:
-        return batching.batch_schedule(self.lengths.filter(F.col("split") == split),
-                                       self.p.BT, self.p.ranks)
+    def schedule(self, split: str | None = None) -> DataFrame:
+        """The batches of one split, or of both."""
+        lengths = self.lengths if split is None else self.lengths.filter(F.col("split") == split)
+        return batching.batch_schedule(lengths, self.p.BT, self.p.ranks)
 
     # ------------------------------------------------------------ plans
     @cached_property
@@ -117,11 +155,11 @@ class CorpusRun:
             raise ValueError("train split is smaller than one total batch")
         # one row per planned batch: small, reused by several queries and a size check
         return cut_lineage(batching.accumulation_plan(self.schedule("train"), self.max_steps,
-                                                      self.p.accum_steps))
+                                                      self.p.accum_steps, self.p.ranks))
 
     @cached_property
     def val_plan(self) -> DataFrame:
-        return cut_lineage(batching.val_plan(self.schedule("val"), self.p.val_batches))
+        return cut_lineage(batching.val_plan(self.schedule("val"), self.p.val_batches, self.p.ranks))
 
     def plan_batches(self, split: str, plan: DataFrame) -> DataFrame:
         return batching.planned_batches(self.split_segments(split), plan, self.p.BT)
@@ -159,8 +197,20 @@ class CorpusRun:
         big, ctx, uni, N = self.model_tables
         V, k = self.p.vocab_size, self.p.top_k
         table = sampling.next_token_topk(big, ctx, uni, N, V, k)
-        table = cut_lineage(table.unionByName(sampling.unseen_context_rows(uni, N, V, k)))
-        return cut_lineage(sampling.with_next_context(table))
+        return cut_lineage(table.unionByName(sampling.unseen_context_rows(uni, N, V, k)))
+
+    @cached_property
+    def generated(self) -> DataFrame:
+        """The continued prompts: at most ``num_sequences`` rows a prompt."""
+        from tokenweave.operators import sampling
+        return cut_lineage(sampling.generate(self.prompts(self.p.prompt_words), self.next_table, self.p.num_sequences,
+                                             self.p.max_length, self.p.seed))
+
+    @cached_property
+    def curve(self) -> DataFrame:
+        """E5, materialised: one row per evaluation."""
+        return cut_lineage(evaluate.val_curve(self.train_pairs_by_step, self.val_pairs, self.max_steps,
+                                              self.p.eval_every, self.p.vocab_size))
 
     # ------------------------------------------------------------ byte-pair mode
     @cached_property

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-READERS = ("parquet", "json", "csv", "text", "orc")
+READERS = ("parquet", "json", "csv", "orc")
 
 
 def table_path(sf_dir: str, name: str) -> str:

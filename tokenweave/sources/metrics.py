@@ -36,11 +36,19 @@ def parse_metrics(spark: SparkSession, path: str) -> DataFrame:
                     parts.getItem(2).cast("double").alias("loss")))
 
 
-def step_report(df: DataFrame) -> DataFrame:
-    """The per-step console line, as data (rate in tokens per second, Q7)."""
-    return df.select(
-        "step",
-        F.format_string("step %4d | loss: %.6f | tokens: %d | tok/sec: %.2f",
-                        F.col("step").cast("int"), F.col("loss").cast("double"),
-                        F.col("tokens").cast("bigint"),
-                        F.col("tokens_per_sec").cast("double")).alias("line"))
+# Fixed value: the console line of a step.
+STEP_LINE = "step %4d | loss: %.6f | tokens: %d"
+
+
+def step_report(df: DataFrame, seconds: str | None = None) -> DataFrame:
+    """The per-step console line, as data.
+
+    ``seconds``, a column with a step's duration, adds the rate in tokens per
+    second (Q7).  A duration differs from run to run, so the line is
+    deterministic only without it.
+    """
+    parts = [F.col("step").cast("int"), F.col("loss").cast("double"), F.col("tokens").cast("bigint")]
+    if seconds is None:
+        return df.select("step", F.format_string(STEP_LINE, *parts).alias("line"))
+    rate = F.col("tokens") / F.col(seconds)
+    return df.select("step", F.format_string(STEP_LINE + " | tok/sec: %.2f", *parts, rate).alias("line"))

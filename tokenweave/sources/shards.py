@@ -14,12 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tokenweave.functions.common import idiv, shard_label
+from tokenweave.operators.tokens import assert_token_range
 from tokenweave.params import check_split
 from tokenweave.session import ensure_checkpoint_dir
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint folder (never machine-local)."""
+    """A fresh folder under the shared checkpoint folder."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
@@ -41,7 +42,7 @@ def write_shards(segments: DataFrame, path: str, shard_size: int,
     if files_per_shard is None:
         files_per_shard = max(1, -(-shard_size // TOKENS_PER_FILE))
     chunk = max(1, -(-shard_size // max(1, files_per_shard)))
-    (segments
+    (assert_token_range(segments)  # nothing out of range reaches a shard
      .repartition(F.col("shard_index"), idiv(F.col("pos"), chunk))
      .sortWithinPartitions("shard_index", "pos")
      .write.mode(mode).partitionBy("split", "shard_index").parquet(path))
@@ -56,9 +57,9 @@ def read_shards(spark: SparkSession, path: str, split: str | None = None) -> Dat
     return df
 
 
-def list_shards(spark: SparkSession, path: str, split: str, prefix: str = "corpus",
+def list_shards(spark: SparkSession, path: str, split: str | None = None, prefix: str = "corpus",
                 require: bool = True) -> DataFrame:
-    """The split's shards in order, with their labels and sizes.
+    """The shards of one split, or of both, in order, with their labels and sizes.
 
     Raises (S6) when the split has no shard, as the reference's loader does.
     """
@@ -67,8 +68,8 @@ def list_shards(spark: SparkSession, path: str, split: str, prefix: str = "corpu
               .agg(F.sum("n").cast("bigint").alias("n_tokens"))
               .withColumn("label", shard_label(prefix, F.col("split"), F.col("shard_index"))))
     if require and shards.limit(1).count() == 0:
-        raise ValueError(f"no shards found for split {split}")
-    return shards
+        raise ValueError(f"the {split or 'shard'} table at {path} is empty")
+    return shards.orderBy("split", "shard_index")
 
 
 def load_shard_tokens(spark: SparkSession, path: str, split: str | None = None) -> DataFrame:

@@ -5,71 +5,80 @@ state (buffer, shard index, token count).  With the closed form of the cut,
 the only state needed is the global offset of the next document.  Each
 micro-batch (``foreachBatch``):
 
-1. reads the carry written by the previous batch (a one-row-per-batch table
-   next to the sink),
-2. encodes its documents and gives them offsets from that carry (two-level
-   running sum inside the batch, in ``doc_id`` order),
-3. cuts them into shard segments and overwrites ``batch_id=<id>`` of the sink,
-4. writes its own carry row.
+1. reads the carry row written by the batch before it,
+2. checks that its documents come after that batch's last key,
+3. encodes them and gives them offsets from that carry (two-level running
+   sum inside the batch, in ``doc_id`` order),
+4. cuts them into shard segments and overwrites ``batch_id=<id>`` of the sink,
+5. writes its own carry row.
 
 Replaying a batch after a failure reads the same carry and overwrites the
-same output, so the sink is exact once the query finishes.  Arrival order
-is the stream order: files must arrive in ``doc_id`` order (a late smaller
-``doc_id`` is appended at the end, never inserted), as at the reference.
+same output, so the sink is exact once the query finishes.  A carry that is
+missing or unreadable, a null key or a key that arrives out of order stops
+the stream: a guess would lay documents over each other.
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tokenweave.operators import packing, tokens
 
 DOC_SCHEMA = "doc_id bigint, text string"
+CARRY_SCHEMA = "batch_id bigint, carry_in bigint, carry_out bigint, last_key bigint"
 
 
-def _carry_in(spark: SparkSession, carry_dir: str, batch_id: int) -> int:
-    try:
-        prev = spark.read.parquet(carry_dir).filter(F.col("batch_id") < batch_id)
-    except Exception:  # no carry yet: first batch
-        return 0
-    row = prev.orderBy(F.desc("batch_id")).select("carry_out").limit(1).collect()
-    return int(row[0]["carry_out"]) if row else 0
+def _carry_in(spark: SparkSession, carry_dir: str, batch_id: int) -> tuple[int, int | None]:
+    """Offset and last key that the batch before left; only the first batch has none."""
+    if batch_id == 0:
+        return 0, None
+    rows = spark.read.schema(CARRY_SCHEMA).parquet(f"{carry_dir}/batch_id={batch_id - 1}").collect()
+    if len(rows) != 1:
+        raise ValueError(f"batch {batch_id - 1} left {len(rows)} carry rows at {carry_dir}")
+    return int(rows[0]["carry_out"]), rows[0]["last_key"]
 
 
-def pack_batch(batch: DataFrame, batch_id: int, sink_dir: str, words_bc, vocab_size: int,
-               shard_size: int) -> None:
+def pack_batch(batch: DataFrame, batch_id: int, sink_dir: str, shard_size: int) -> None:
     """One micro-batch of the incremental packer (idempotent for a given batch_id)."""
     spark = batch.sparkSession
     carry_dir = f"{sink_dir}/_carry"
-    carry = _carry_in(spark, carry_dir, batch_id)
-    docs = batch.select(F.col("doc_id").cast("bigint"), F.coalesce("text", F.lit("")).alias("text"))
-    lo, width = packing.choose_bucket(docs)
-    toks = tokens.encode_words_bc(docs, words_bc, vocab_size)
-    offs = packing.doc_offsets(toks, lo, width, lengths=tokens.word_token_lengths(docs))
-    offs = offs.withColumn("off", F.col("off") + F.lit(carry))
-    segs = packing.cut_segments(offs, shard_size)
-    (segs.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-     .write.mode("overwrite").parquet(f"{sink_dir}/segments/batch_id={batch_id}"))
-    added = tokens.word_token_lengths(docs).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    (spark.createDataFrame([(batch_id, carry, carry + int(added))],
-                           "batch_id bigint, carry_in bigint, carry_out bigint")
-     .write.mode("overwrite").parquet(f"{carry_dir}/batch_id={batch_id}"))
+    carry, last_key = _carry_in(spark, carry_dir, batch_id)
+    # the source is read once; checks, bounds and encoding work on the kept rows
+    docs = (batch.select(F.col("doc_id").cast("bigint"), F.coalesce("text", F.lit("")).alias("text"))
+            .persist(StorageLevel.MEMORY_AND_DISK))
+    try:
+        lengths = tokens.byte_token_lengths(docs)
+        first, last, nulls, added = lengths.agg(
+            F.min("doc_id"), F.max("doc_id"), F.count(F.when(F.col("doc_id").isNull(), 1)),
+            F.coalesce(F.sum("n"), F.lit(0))).first()
+        if nulls:
+            raise ValueError(f"batch {batch_id} has {nulls} documents without a key")
+        if first is not None and last_key is not None and first <= last_key:
+            raise ValueError(f"batch {batch_id} begins at key {first}, but key {last_key} is packed already")
+        offs = packing.doc_offsets(tokens.encode_bytes(docs), packing.key_bounds(docs), lengths=lengths)
+        segs = packing.cut_segments(offs.withColumn("off", F.col("off") + F.lit(carry)), shard_size)
+        (segs.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+         .write.mode("overwrite").parquet(f"{sink_dir}/segments/batch_id={batch_id}"))
+        (spark.createDataFrame([(batch_id, carry, carry + int(added), last if last is not None else last_key)], CARRY_SCHEMA)
+         .write.mode("overwrite").parquet(f"{carry_dir}/batch_id={batch_id}"))
+    finally:
+        docs.unpersist()
 
 
-def pack_stream(spark: SparkSession, source_dir: str, sink_dir: str, vocab_words: list[str],
-                vocab_size: int, shard_size: int, files_per_trigger: int = 1) -> DataFrame:
-    """Run the packer over every file in ``source_dir`` (trigger ``availableNow``).
+def pack_stream(spark: SparkSession, source_dir: str, sink_dir: str, shard_size: int,
+                files_per_trigger: int | None = None) -> DataFrame:
+    """Run the packer over the files in ``source_dir`` it has not packed yet (trigger ``availableNow``).
 
-    Returns the packed segments read back from the sink.
+    Without ``files_per_trigger`` all new files are one batch, so their order among each other does not
+    matter.  Returns the packed segments read back from the sink.
     """
-    words_bc = spark.sparkContext.broadcast(vocab_words)
-    stream = (spark.readStream.schema(DOC_SCHEMA)
-              .option("maxFilesPerTrigger", files_per_trigger)
-              .option("recursiveFileLookup", "true")
-              .parquet(source_dir))
-    q = (stream.writeStream
-         .foreachBatch(lambda df, bid: pack_batch(df, bid, sink_dir, words_bc, vocab_size, shard_size))
+    stream = spark.readStream.schema(DOC_SCHEMA).option("recursiveFileLookup", "true")
+    if files_per_trigger is not None:
+        stream = stream.option("maxFilesPerTrigger", files_per_trigger)
+    q = (stream.parquet(source_dir).writeStream
+         .foreachBatch(lambda df, bid: pack_batch(df, bid, sink_dir, shard_size))
          .option("checkpointLocation", f"{sink_dir}/_checkpoint")
          .trigger(availableNow=True)
          .start())
