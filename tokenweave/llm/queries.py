@@ -185,9 +185,25 @@ SELECT page_id, payload_bytes, payload_digest,
  CASE WHEN payload_bytes >= 1000 AND page_id < top THEN 'revisit' ELSE 'response' END AS record_type,
  CASE WHEN payload_bytes >= 1000 AND page_id < top THEN top END AS refers_to FROM g"""
 
+# Bytes as hex pairs: every window of 200 bytes by brute force.
+_SUFFIX_SQL = """
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, hex(coalesce(text, '')) AS h, strlen(coalesce(text, ''))::BIGINT AS n FROM documents),
+w AS (SELECT r, i, md5(substr(h, (2 * i + 1)::BIGINT, 400)) AS k FROM (SELECT r, h, unnest(range(n - 199)) AS i FROM d WHERE n >= 200)),
+hit AS (SELECT r, i FROM w WHERE k IN (SELECT k FROM w GROUP BY k HAVING count(*) > 1)),
+mark AS (SELECT r, i, CASE WHEN i <= lag(i) OVER (PARTITION BY r ORDER BY i) + 200 THEN 0 ELSE 1 END AS new FROM hit),
+run AS (SELECT r, i, sum(new) OVER (PARTITION BY r ORDER BY i) AS g FROM mark),
+span AS (SELECT r, min(i) AS s, max(i) + 200 AS e FROM run GROUP BY r, g),
+cut AS (SELECT span.*, coalesce(lag(e) OVER (PARTITION BY r ORDER BY s), 0) AS last FROM span),
+kept AS (SELECT r, sum(e - s)::BIGINT AS n_removed, count(*) AS n_spans, max(e) AS tail,
+  string_agg(substr(h, (2 * last + 1)::BIGINT, (2 * (s - last))::BIGINT), '' ORDER BY s) AS front FROM cut JOIN d USING (r) GROUP BY r)
+SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+ sha256(unhex(CASE WHEN n_removed IS NULL THEN h ELSE front || substr(h, (2 * tail + 1)::BIGINT) END)) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)"""
+
 ORACLE_SQL: dict[str, str] = {
     "op2_pii": _pii_sql(),
     "op5_chat_format": _chat_sql(),
     "op7_mixing": _MIX_SQL,
+    "op8_suffix_dedup": _SUFFIX_SQL,
     "op9_warc": _WARC_SQL,
 }
