@@ -41,6 +41,7 @@ ship_by_value(__name__)
 
 _B = 0x9E3779B97F4A7C15
 _B_INV = pow(_B, -1, 1 << 64)
+HELD_CONTEXTS = 20_000  # with their digests, in a task
 _STEP = 1 << 19  # window starts handled at once; places fit in 20 bits
 _powers: dict[int, np.ndarray] = {}
 
@@ -51,8 +52,8 @@ class SuffixParams:
 
     length: int = 200
     seed: int = 32
-    group_rows: int = 10_000
-    run_rows: int = 50_000
+    group_rows: int = 4096
+    run_rows: int = 20_000
     pair_rows: int = 24
 
     @property
@@ -343,28 +344,44 @@ def _merge(p: SuffixParams):
     return run
 
 
+HOT_SCHEMA = "context binary, doc bigint, salt int, at bigint, windows binary, n bigint"
+
+
 def _hot_rows(p: SuffixParams):
-    """Contexts of frequent seeds by digest; a task sends a context's window digests once."""
+    """Suffixes of frequent seeds, equal contexts counted in the task.
+
+    A context is one row, with its first suffix, the number of its suffixes and its window digests; each further suffix
+    is a row without context: its windows are repeated whatever else the corpus holds.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[bytes] = set()
+        seen: dict[bytes, list] = {}
         digest = xxhash.xxh3_128_digest
+        types = (pa.binary(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.int64())
+
+        def batch(rows: list) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)],
+                                              names=["context", "doc", "salt", "at", "windows", "n"])
+
         for b in batches:
             rows = []
             for text, doc, salt, marks in _marked(b):
                 for at, seed in marks:
                     key, left, *_ = suffix(text, seed, at, doc, salt, p)
                     context = digest(len(left).to_bytes(2, "big") + left + key)
-                    place, windows = at >> 16, b""
-                    if context not in seen:
-                        if len(seen) > 200_000:
-                            seen.clear()
-                        seen.add(context)
-                        windows = b"".join([digest(text[place - d:place - d + p.length]) for d in range(at >> 8 & 255, (at & 255) + 1)])
-                    rows.append((context, doc, salt, at, windows))
+                    if context in seen:
+                        seen[context][-1] += 1
+                        rows.append((None, doc, salt, at, None, 1))
+                        continue
+                    place = at >> 16
+                    windows = b"".join([digest(text[place - d:place - d + p.length]) for d in range(at >> 8 & 255, (at & 255) + 1)])
+                    seen[context] = [context, doc, salt, at, windows, 1]
+                    if len(seen) > HELD_CONTEXTS:
+                        yield batch(list(seen.values()))
+                        seen.clear()
             if rows:
-                types = (pa.binary(), pa.int64(), pa.int32(), pa.int64(), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)],
-                                                 names=["context", "doc", "salt", "at", "windows"])
+                yield batch(rows)
+        if seen:
+            yield batch(list(seen.values()))
     return run
 
 
@@ -386,17 +403,23 @@ def _hot_ranges(p: SuffixParams):
 def _hot_spans(marked: DataFrame, p: SuffixParams) -> DataFrame:
     """Removed ranges of suffixes whose seed is too frequent for one task: windows compared by digest.
 
-    Equal contexts are counted before anything is compared, in the map tasks first, so a passage that a third of all
-    rows share is a few rows a task.
+    Equal contexts are counted in the map tasks before anything moves, so a passage that a third of all rows share is a
+    few rows a task, and only suffixes whose context is alone in its task wait for the comparison.
     """
-    rows = materialise(marked.mapInArrow(_hot_rows(p), "context binary, doc bigint, salt int, at bigint, windows binary"), "hot-suffixes")
-    contexts = rows.groupBy("context").agg(F.count("*").alias("n"), F.max("windows").alias("windows"))
+    rows = materialise(marked.mapInArrow(_hot_rows(p), HOT_SCHEMA), "hot-suffixes")
+    distinct = rows.where("context is not null")
+    contexts = distinct.groupBy("context").agg(F.sum("n").alias("n"), F.max("windows").alias("windows"))
     windows = (contexts.select("context", "n", "windows", F.explode(F.sequence(F.lit(0), (F.octet_length("windows") / 16 - 1).cast("int"))).alias("i"))
                .select("context", "n", "i", F.substring(F.col("windows"), F.col("i") * 16 + 1, F.lit(16)).alias("digest")))
     repeated = windows.groupBy("digest").agg(F.sum("n").alias("n")).where("n > 1").select("digest")
     hits = windows.join(repeated, "digest").groupBy("context").agg(F.collect_list("i").alias("hits"))
-    return (rows.select("context", "doc", "salt", "at").join(hits, "context").select("doc", "salt", "at", "hits")
-            .mapInArrow(_hot_ranges(p), RANGE_SCHEMA))
+    alone = (distinct.where("n = 1").select("context", "doc", "salt", "at").join(hits, "context")
+             .select("doc", "salt", "at", "hits").mapInArrow(_hot_ranges(p), RANGE_SCHEMA))
+    place = F.shiftright("at", 16)
+    sure = rows.where("context is null or n > 1").select(
+        "doc", "salt", (place - F.col("at").bitwiseAND(F.lit(255))).alias("begin"),
+        (place - F.shiftright("at", 8).bitwiseAND(F.lit(255)) + p.length).alias("end"))
+    return alone.unionByName(sure)
 
 
 def repeated_ranges(docs: DataFrame, p: SuffixParams) -> DataFrame:
@@ -406,8 +429,9 @@ def repeated_ranges(docs: DataFrame, p: SuffixParams) -> DataFrame:
     """
     spark = docs.sparkSession
     found = materialise(docs.drop("id").mapInArrow(_picks(p), "doc bigint, salt int, at bigint, seed bigint"), "suffix-picks")
-    counts = found.groupBy("seed").agg(F.count("*").alias("n")).where("n > 1")
-    marks = found.join(counts, "seed")
+    # written, so that the join deals both sides anew and can split a frequent seed
+    counts = materialise(found.groupBy("seed").agg(F.count("*").alias("n")).where("n > 1"), "suffix-seeds")
+    marks = materialise(found.join(counts, "seed"), "suffix-marks")
 
     def with_text(rows: DataFrame) -> DataFrame:
         own = rows.groupBy("doc", "salt").agg(F.collect_list(F.struct("at", "seed")).alias("marks"))
@@ -415,9 +439,11 @@ def repeated_ranges(docs: DataFrame, p: SuffixParams) -> DataFrame:
         return docs.join(own, ["doc", "salt"]).select(*docs.columns, "marks")
 
     # parts of the key range: the keys begin with a hash, so equal ranges hold equal shares
-    parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = 4 * tasks
     runs = with_text(marks.where(F.col("n") <= p.group_rows)).mapInArrow(_runs(p, parts), "part int, run binary")
-    out = runs.repartition("part").sortWithinPartitions("part").mapInArrow(_merge(p), RANGE_SCHEMA)
+    # small by bytes but long by work, so the tasks are counted, not sized
+    out = runs.repartition(tasks, "part").sortWithinPartitions("part").mapInArrow(_merge(p), RANGE_SCHEMA)
     if counts.where(F.col("n") > p.group_rows).limit(1).collect():
         out = out.unionByName(_hot_spans(with_text(marks.where(F.col("n") > p.group_rows)), p))
     return out
