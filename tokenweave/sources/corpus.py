@@ -17,15 +17,18 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
+SPREAD_TASKS = 64
+
+
 def spread(df: DataFrame, key: str | None = None) -> DataFrame:
     """Spread a scan that yields fewer tasks than the cluster has cores.
 
     A single-row-group file is read by one task however many executors
     exist; hashing it over the cores costs one small shuffle.  A real corpus
-    (many files, many row groups) already has more splits than cores, and
-    then this is a no-op: the 100 TB scan is never reshuffled.
+    (many files, many row groups) has more than ``SPREAD_TASKS`` splits, and
+    then this is a no-op whatever the cluster's size: it is never reshuffled.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
+    target = min(SPREAD_TASKS, df.sparkSession.sparkContext.defaultParallelism)
     if df.rdd.getNumPartitions() >= target:
         return df
     return df.repartition(target, key) if key else df.repartition(target)

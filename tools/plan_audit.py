@@ -15,7 +15,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
+from tokenweave.plans.catalog import QUERIES  # noqa: E402
 from tokenweave.session import build_session  # noqa: E402
 
 
@@ -54,7 +54,7 @@ def main() -> None:
     print("or is the final merge of per-task partial aggregates (one row per task).\n")
     print("| query | shuffles | broadcasts | Arrow stages | single-partition exchanges (inputs) | scans (read schema) |")
     print("|---|---|---|---|---|---|")
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         a = audit(formatted(fn(spark, sf)))
         single = "; ".join(a["single"]) or "—"
         schemas = "<br>".join(f"`{s}`" for s in a["schemas"]) or "checkpoint / written table"
