@@ -332,11 +332,12 @@ def q_learn_bpe_merges(spark, sf):
 
 
 def q_bpe_encode(spark, sf):
-    """BPE encode, checked by its round trip: md5 of the decoded text equals md5 of the text."""
+    """BPE encode: token counts and id sums, and the md5 of the decoded text."""
     from tokenweave.operators import bpe
     run = get_run(spark, sf)
     enc = run.bpe_tokens
-    return enc.select("doc_id", F.md5(bpe.decode_bpe(F.col("ids"), run.bpe_table)).alias("md5"))
+    return enc.select("doc_id", F.md5(bpe.decode_bpe(F.col("ids"), run.bpe_table)).alias("md5"), "n",
+                      asum("ids").alias("id_sum"))
 
 
 def q_stream_pack(spark, sf):

@@ -215,6 +215,25 @@ def _generation(select: str) -> str:
         {select} FROM (SELECT item_id, seq, arg_max(ids, t) AS ids FROM g GROUP BY item_id, seq)"""
 
 
+# ---------------------------------------------------------------- byte-pair merges, one after the other
+# RE2 has no look-ahead: a marker before the last blank of a run that a word follows splits the run there.
+cte("pre", r"""SELECT doc_id, unnest(regexp_extract_all(regexp_replace(text, '(\s)(\S)', chr(1) || '\1\2', 'g'),
+        '''(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}\x01]+|\s+')) AS piece FROM docs""", "docs")
+# a piece's symbols as a string: <116><104> for the bytes of "th", so a merge is a replacement
+cte("m0", """SELECT piece, count(*) AS cnt, array_to_string(list_transform(regexp_extract_all(hex(piece), '..'),
+        lambda b: '<' || CAST('0x' || b AS INTEGER) || '>'), '') AS sym FROM pre GROUP BY piece""", "pre")
+for _r in range(P_.bpe_merges):
+    cte(f"q{_r}", f"""SELECT a, b, sum(cnt) AS c FROM (SELECT cnt, unnest(ids[:-2]) AS a, unnest(ids[2:]) AS b FROM (
+          SELECT cnt, list_transform(regexp_extract_all(sym, '<(\\d+)>', 1), lambda s: CAST(s AS INTEGER)) AS ids FROM m{_r})
+          WHERE len(ids) >= 2) GROUP BY a, b ORDER BY c DESC, a, b LIMIT 1""", f"m{_r}")
+    cte(f"m{_r + 1}", f"""SELECT piece, cnt, coalesce(replace(sym, '<' || q.a || '><' || q.b || '>', '<{256 + _r}>'), sym) AS sym
+          FROM m{_r} LEFT JOIN q{_r} q ON true""", f"m{_r}", f"q{_r}")
+
+
+def _materialised(sql: str) -> str:
+    return sql.replace(" AS (", " AS MATERIALIZED (")
+
+
 # ---------------------------------------------------------------- the oracle per key
 _SEGMENT_SUMMARY = with_("segs", "tp") + """
         SELECT s.split, s.shard_index, s.pos, s.doc_id, s.src, s.n, s.doc_n,
@@ -358,7 +377,16 @@ ORACLE_SQL: dict[str, str] = {
     "bpe_shards_roundtrip": "SELECT doc_id, CAST(strlen(coalesce(text, '')) AS BIGINT) AS n_bytes, md5(coalesce(text, '')) AS md5 "
                             "FROM documents",
     "decode_roundtrip": "SELECT doc_id, md5(coalesce(text, '')) AS md5 FROM documents",
-    "bpe_encode": "SELECT doc_id, md5(coalesce(text, '')) AS md5 FROM documents",
+    "learn_bpe_merges": _materialised(with_(*(f"q{r}" for r in range(P_.bpe_merges)))) + " UNION ALL ".join(
+        f"SELECT {r} AS rank, a AS left, b AS right, {256 + r} AS token_id, CAST(c AS BIGINT) AS cnt FROM q{r}"
+        for r in range(P_.bpe_merges)),
+    "bpe_encode": _materialised(with_("docs", "pre", f"m{P_.bpe_merges}")) + f"""
+        SELECT d.doc_id, md5(d.text) AS md5, CAST(coalesce(t.n, 0) + 1 AS BIGINT) AS n,
+               CAST(coalesce(t.s, 0) + {256 + P_.bpe_merges} AS BIGINT) AS id_sum
+        FROM docs d LEFT JOIN (
+          SELECT p.doc_id, sum(len(ids)) AS n, sum(list_sum(ids)) AS s FROM pre p
+          JOIN (SELECT piece, list_transform(regexp_extract_all(sym, '<(\\d+)>', 1), lambda s: CAST(s AS INTEGER)) AS ids
+                FROM m{P_.bpe_merges}) m ON m.piece = p.piece GROUP BY p.doc_id) t ON t.doc_id = d.doc_id""",
     "decode_words_roundtrip": with_("tw", "vocab", "wl") + """
         SELECT w.doc_id, md5(CASE WHEN d.t IS NULL THEN '<|eot|>' ELSE '<|eot|> ' || d.t END) AS md5
         FROM wl w LEFT JOIN (
