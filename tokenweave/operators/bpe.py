@@ -4,9 +4,9 @@ Learning runs on the table of *distinct* pre-tokens with their corpus
 counts (a ``groupBy`` with map-side combine), so its cost follows the
 vocabulary of pre-tokens, not the corpus.  Each merge is a Spark job:
 adjacent pairs are exploded and summed (partial aggregation per task), the
-best pair is one scalar brought to the driver, and the merge is applied to
-every symbol array with ``aggregate``.  The merged (small) table is
-checkpointed after every merge, so lineage never grows.
+best pair is one scalar brought to the driver, and the merge is a string
+replacement on every piece's symbols.  The (small) table of pieces is
+checkpointed every few merges, so lineage stays short.
 
 Encoding is one narrow pass: Spark splits text into pre-tokens on the JVM;
 an Arrow helper encodes each *unique* pre-token of a batch once (lowest rank
@@ -41,62 +41,69 @@ def pretokens_of(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(PRETOKEN_PATTERN), 0)
 
 
-def utf8_ids(s: Column) -> Column:
-    """UTF-8 bytes of a string as ``ARRAY<INT>`` (JVM: hex, then pairs)."""
-    h = F.hex(F.encode(s, "UTF-8"))
-    n = F.octet_length(s)
-    return F.when(n == 0, F.array().cast("array<int>")).otherwise(
-        F.transform(F.sequence(F.lit(0), n - 1),
-                    lambda i: F.conv(F.substring(h, i * 2 + 1, 2), 16, 10).cast("int")))
+def symbols_of(piece: Column) -> Column:
+    """The UTF-8 bytes of a piece as a string of symbols: ``<116><104>`` for ``th``."""
+    ids = F.transform(F.regexp_extract_all(F.hex(F.encode(piece, "UTF-8")), F.lit(".."), F.lit(0)),
+                      lambda h: F.conv(h, 16, 10))
+    return F.concat(F.lit("<"), F.array_join(ids, "><"), F.lit(">"))
 
 
 def pretoken_counts(docs: DataFrame) -> DataFrame:
-    """Distinct pre-tokens with counts and their byte symbols."""
+    """Distinct pre-tokens of two or more bytes, as symbols, with their corpus counts."""
     counts = (docs.select(F.explode(pretokens_of(F.col("text"))).alias("pretoken"))
               .groupBy("pretoken").agg(F.count(F.lit(1)).cast("bigint").alias("cnt")))
-    return counts.select("pretoken", "cnt", utf8_ids(F.col("pretoken")).alias("sym"))
+    return counts.where(F.octet_length("pretoken") > 1).select(symbols_of(F.col("pretoken")).alias("sym"), "cnt")
 
 
-def _merge_expr(sym: Column, a: int, b: int, new: int) -> Column:
-    """Replace every left-to-right occurrence of (a, b) by ``new``."""
-    empty = F.array().cast("array<int>")
+MERGES_PER_CHECKPOINT = 16
 
-    def step(acc, s):
-        hit = (F.size(acc) > 0) & (F.element_at(acc, -1) == F.lit(a)) & (s == F.lit(b))
-        return F.when(hit, F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.lit(new)))) \
-            .otherwise(F.concat(acc, F.array(s)))
 
-    return F.aggregate(sym, empty, step)
+def _pairs(sym: Column) -> Column:
+    """Adjacent symbol pairs of a piece."""
+    ids = F.transform(F.regexp_extract_all(sym, F.lit(r"<(\d+)>"), F.lit(1)), lambda s: s.cast("int"))
+    return F.transform(F.array(ids), lambda x: F.zip_with(F.slice(x, F.lit(1), F.size(x) - 1), F.slice(x, F.lit(2), F.size(x) - 1),
+                                                          lambda a, b: F.struct(a.alias("a"), b.alias("b"))))[0]
+
+
+def _pair_sums(signed: DataFrame, bound: int) -> dict[tuple[int, int], int]:
+    """Sums by pair of rows ``(p, c)``, zeros left out."""
+    sums = signed.groupBy("p.a", "p.b").agg(F.sum("c").cast("bigint").alias("c")).where("c <> 0")
+    return {(int(r["a"]), int(r["b"])): int(r["c"]) for r in bounded_collect(sums, bound, "symbol pairs")}
 
 
 def learn_merges(docs: DataFrame, merges: int) -> DataFrame:
     """``(rank, left, right, token_id, cnt)`` for up to ``merges`` merges.
 
     Ties between equally frequent pairs go to the smaller (left, right).
-    After each merge the (small) pre-token table is checkpointed to the
-    shared folder: a merge then costs two jobs over the distinct pre-tokens,
-    never a replay of the earlier merges, and a lost executor costs one merge.
-    The size filter runs on the checkpointed rows, so it cannot be pushed
-    into (and re-evaluate) the merge expression.
+    Pair counts are kept between merges (at most 256 ** 2 at first; a merge
+    adds pairs of the new symbol only, at most two for each symbol).  A merge
+    is a string replacement over the distinct pre-tokens (left to right, not
+    overlapping); its job explodes only the pieces that hold the merged pair
+    and returns how the counts change.  The pieces are checkpointed to the
+    shared folder every ``MERGES_PER_CHECKPOINT`` merges, which bounds what a
+    job repeats and what a lost executor costs.
     """
     spark = docs.sparkSession
-    table = cut_lineage(pretoken_counts(docs).select("sym", "cnt"))
+    table = cut_lineage(pretoken_counts(docs))
+    counts = _pair_sums(table.select(F.explode(_pairs(F.col("sym"))).alias("p"), F.col("cnt").alias("c")), 256 ** 2)
     learned = []
     for r in range(merges):
-        words = table.filter(F.size("sym") >= 2)
-        n = F.size("sym")
-        left, right = F.slice("sym", 1, n - 1), F.slice("sym", 2, n - 1)
-        pairs = words.select(F.explode(F.zip_with(left, right, lambda a, b: F.struct(
-            a.alias("a"), b.alias("b")))).alias("p"), "cnt")
-        best = (pairs.groupBy(F.col("p.a").alias("a"), F.col("p.b").alias("b"))
-                .agg(F.sum("cnt").alias("c"))
-                .orderBy(F.desc("c"), "a", "b").limit(1).collect())
-        if not best:
+        if not counts:
             break
-        a, b, c = int(best[0]["a"]), int(best[0]["b"]), int(best[0]["c"])
+        (a, b), c = min(counts.items(), key=lambda kv: (-kv[1], kv[0]))
         new = 256 + r
         learned.append((r, a, b, new, c))
-        table = cut_lineage(words.select(_merge_expr(F.col("sym"), a, b, new).alias("sym"), "cnt"))
+        old, merged = F.lit(f"<{a}><{b}>"), F.lit(f"<{new}>")
+        hit = table.where(F.contains("sym", old))
+        change = F.concat(F.transform(_pairs(F.col("sym")), lambda p: F.struct(p.alias("p"), (-F.col("cnt")).alias("c"))),
+                          F.transform(_pairs(F.replace("sym", old, merged)), lambda p: F.struct(p.alias("p"), F.col("cnt").alias("c"))))
+        for pair, d in _pair_sums(hit.select(F.explode(change).alias("x")).select("x.p", "x.c"), 4 * (new + 1)).items():
+            counts[pair] = counts.get(pair, 0) + d
+            if not counts[pair]:
+                del counts[pair]
+        table = table.withColumn("sym", F.replace("sym", old, merged))
+        if (r + 1) % MERGES_PER_CHECKPOINT == 0:
+            table = cut_lineage(table.where(F.contains("sym", F.lit("><"))))
     return spark.createDataFrame(learned, MERGES_SCHEMA)
 
 
