@@ -13,8 +13,8 @@ detection, as in prefix-doubling string sorts).  The others are sorted:
 
 Suffixes of one seed are neighbours there.  Two of them, equal on ``r`` bytes to the right and ``l`` to the left of the
 seed's start, share the windows that start ``length - r`` to ``l`` bytes before it; a window is repeated if some other
-suffix shares it.  A seed that occurs over ``group_rows`` times is not sorted in one task: equal contexts are counted
-first, and the windows of the distinct ones are compared by 128-bit digests in further shuffles (``_hot_spans``).
+suffix shares it.  A seed that occurs over ``group_rows`` times is not sorted in one task: its windows are compared
+by 128-bit digests, equal ones counted in the map tasks before they are shuffled (``_hot_spans``).
 
 Defined cases: a null text counts as empty; a text shorter than ``length`` keeps all; repeated rows remove each other's
 strings like any copies; null ids are kept; an empty table gives an empty result; only the named columns are read.
@@ -41,7 +41,7 @@ ship_by_value(__name__)
 
 _B = 0x9E3779B97F4A7C15
 _B_INV = pow(_B, -1, 1 << 64)
-HELD_CONTEXTS = 20_000  # with their digests, in a task
+HELD_WINDOWS = 200_000  # distinct windows of frequent seeds that a task holds before it passes them on
 _STEP = 1 << 19  # window starts handled at once; places fit in 20 bits
 _powers: dict[int, np.ndarray] = {}
 
@@ -52,7 +52,7 @@ class SuffixParams:
 
     length: int = 200
     seed: int = 32
-    group_rows: int = 4096
+    group_rows: int = 10_000
     run_rows: int = 20_000
     pair_rows: int = 24
 
@@ -135,7 +135,8 @@ Suffix = tuple[bytes, bytes, int, int, int]
 def suffix(text: bytes, seed: int, at: int, doc: int, salt: int, p: SuffixParams) -> Suffix:
     # only as far as the pick's own windows reach: equal windows are owned by picks at the same distance
     place, near, far = at >> 16, at >> 8 & 255, at & 255
-    return ((seed & 0xFFFFFFFFFFFFFFFF).to_bytes(8, "big") + text[place:place - near + p.length],
+    # picks have small hashes, so the key begins with a product that spreads them over the whole range
+    return ((seed * _B & 0xFFFFFFFFFFFFFFFF).to_bytes(8, "big") + text[place:place - near + p.length],
             text[place - far:place][::-1], doc, salt, at)
 
 
@@ -344,82 +345,65 @@ def _merge(p: SuffixParams):
     return run
 
 
-HOT_SCHEMA = "context binary, doc bigint, salt int, at bigint, windows binary, n bigint"
+HOT_SCHEMA = "digest binary, n bigint, doc bigint, salt int, begin bigint, end bigint"
 
 
 def _hot_rows(p: SuffixParams):
-    """Suffixes of frequent seeds, equal contexts counted in the task.
+    """Windows of suffixes with frequent seeds, equal ones counted in the task.
 
-    A context is one row, with its first suffix, the number of its suffixes and its window digests; each further suffix
-    is a row without context: its windows are repeated whatever else the corpus holds.
+    Windows that the task has met twice are repeated whatever else the corpus holds: their ranges are rows without
+    digest.  Each distinct window is one row with its digest and count; a window met once carries its own range.
     """
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[bytes, list] = {}
-        digest = xxhash.xxh3_128_digest
-        types = (pa.binary(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.int64())
-
-        def batch(rows: list) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)],
-                                              names=["context", "doc", "salt", "at", "windows", "n"])
-
-        for b in batches:
-            rows = []
-            for text, doc, salt, marks in _marked(b):
-                for at, seed in marks:
-                    key, left, *_ = suffix(text, seed, at, doc, salt, p)
-                    context = digest(len(left).to_bytes(2, "big") + left + key)
-                    if context in seen:
-                        seen[context][-1] += 1
-                        rows.append((None, doc, salt, at, None, 1))
-                        continue
-                    place = at >> 16
-                    windows = b"".join([digest(text[place - d:place - d + p.length]) for d in range(at >> 8 & 255, (at & 255) + 1)])
-                    seen[context] = [context, doc, salt, at, windows, 1]
-                    if len(seen) > HELD_CONTEXTS:
-                        yield batch(list(seen.values()))
-                        seen.clear()
-            if rows:
-                yield batch(rows)
-        if seen:
-            yield batch(list(seen.values()))
-    return run
-
+    types = (pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64())
+    names = ["digest", "n", "doc", "salt", "begin", "end"]
+
+    def known(held: list, counts: dict) -> Iterator[pa.RecordBatch]:
+        rows = []
+        for doc, salt, place, near, digests in held:
+            twice = np.array([counts[x] > 1 for x in digests])
+            d = np.flatnonzero(twice) + near
+            if len(d):
+                cut = np.flatnonzero(np.diff(d) > 1)
+                for a, z in zip(d[np.concatenate(([0], cut + 1))].tolist(), d[np.append(cut, len(d) - 1)].tolist()):
+                    rows.append((None, None, doc, salt, place - z, place - a + p.length))
+            for i in np.flatnonzero(~twice).tolist():
+                start = place - near - i
+                rows.append((digests[i], 1, doc, salt, start, start + p.length))
+        rows += [(x, n, None, None, None, None) for x, n in counts.items() if n > 1]
+        for i in range(0, len(rows), 50_000):
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[i:i + 50_000]), types)], names=names)
 
-def _hot_ranges(p: SuffixParams):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        counts: dict[bytes, int] = defaultdict(int)
         for b in batches:
-            rows = []
-            for doc, salt, at, hits in zip(*(column(b, c).to_pylist() for c in ("doc", "salt", "at", "hits"))):
-                place, near = at >> 16, at >> 8 & 255
-                d = np.sort(np.array(hits)) + near
-                cut = np.flatnonzero(np.diff(d) > 1)
-                for a, z in zip(d[np.concatenate(([0], cut + 1))].tolist(), d[np.append(cut, len(d) - 1)].tolist()):
-                    rows.append((doc, salt, place - z, place - a + p.length))
-            if rows:
-                yield _range_batch(rows)
+            for text, doc, salt, marks in _marked(b):
+                for at, _ in marks:
+                    place, near, far = at >> 16, at >> 8 & 255, at & 255
+                    digests = [xxhash.xxh3_128_digest(text[place - d:place - d + p.length]) for d in range(near, far + 1)]
+                    for x in digests:
+                        counts[x] += 1
+                    held.append((doc, salt, place, near, digests))
+                    if len(counts) > HELD_WINDOWS or len(held) > HELD_WINDOWS:
+                        yield from known(held, counts)
+                        held, counts = [], defaultdict(int)
+        if held:
+            yield from known(held, counts)
     return run
 
 
 def _hot_spans(marked: DataFrame, p: SuffixParams) -> DataFrame:
-    """Removed ranges of suffixes whose seed is too frequent for one task: windows compared by digest.
+    """Removed ranges of suffixes whose seed is too frequent for one task: their windows compared by digest.
 
-    Equal contexts are counted in the map tasks before anything moves, so a passage that a third of all rows share is a
-    few rows a task, and only suffixes whose context is alone in its task wait for the comparison.
+    Equal windows are counted in the map tasks before anything moves, so a passage that a third of all rows share is
+    a few rows a task, and only windows that are alone in their task wait for the comparison.
     """
-    rows = materialise(marked.mapInArrow(_hot_rows(p), HOT_SCHEMA), "hot-suffixes")
-    distinct = rows.where("context is not null")
-    contexts = distinct.groupBy("context").agg(F.sum("n").alias("n"), F.max("windows").alias("windows"))
-    windows = (contexts.select("context", "n", "windows", F.explode(F.sequence(F.lit(0), (F.octet_length("windows") / 16 - 1).cast("int"))).alias("i"))
-               .select("context", "n", "i", F.substring(F.col("windows"), F.col("i") * 16 + 1, F.lit(16)).alias("digest")))
-    repeated = windows.groupBy("digest").agg(F.sum("n").alias("n")).where("n > 1").select("digest")
-    hits = windows.join(repeated, "digest").groupBy("context").agg(F.collect_list("i").alias("hits"))
-    alone = (distinct.where("n = 1").select("context", "doc", "salt", "at").join(hits, "context")
-             .select("doc", "salt", "at", "hits").mapInArrow(_hot_ranges(p), RANGE_SCHEMA))
-    place = F.shiftright("at", 16)
-    sure = rows.where("context is null or n > 1").select(
-        "doc", "salt", (place - F.col("at").bitwiseAND(F.lit(255))).alias("begin"),
-        (place - F.shiftright("at", 8).bitwiseAND(F.lit(255)) + p.length).alias("end"))
-    return alone.unionByName(sure)
+    rows = materialise(marked.mapInArrow(_hot_rows(p), HOT_SCHEMA), "hot-windows")
+    windows = rows.where("digest is not null")
+    repeated = windows.groupBy("digest").agg(F.sum("n").alias("all")).where("all > 1").select("digest")
+    alone = windows.where("n = 1").join(repeated, "digest")
+    span = ["doc", "salt", "begin", "end"]
+    return alone.select(*span).unionByName(rows.where("digest is null").select(*span))
 
 
 def repeated_ranges(docs: DataFrame, p: SuffixParams) -> DataFrame:
