@@ -291,6 +291,30 @@ def test_training_raises_the_fit_and_normalises(spark):
     assert np.allclose(total, 1)
 
 
+def test_each_class_context_has_its_own_trigram_row():
+    p = maxent.LMParams()
+    rows = maxent.Weights(p).features(np.arange(p.classes ** 2))[3]
+    assert len(np.unique(rows)) == p.classes ** 2 and rows.max() < p.hashed
+
+
+def test_own_trigram_rows_learn_each_context(spark):
+    # the class after depends on both classes before: their sum modulo 16
+    rng = random.Random(9)
+    texts = []
+    for _ in range(60):
+        t = [rng.randrange(16), rng.randrange(16)]
+        for _ in range(60):
+            t.append((t[-1] + t[-2]) % 16 if rng.random() < 0.9 else rng.randrange(16))
+        texts.append(bytes(t))
+    rows = spark.createDataFrame([(False, bytearray(t)) for t in texts], "held_out boolean, classes binary").repartition(3)
+    fits = {}
+    for hashed, tasks in ((256, 1), (256, 4), (32, 4)):
+        weights, fits[hashed, tasks] = maxent.train(rows, maxent.LMParams(head=6, tail=10, hashed=hashed, gradient_tasks=tasks))
+        assert np.allclose(np.exp(weights.log_probabilities(np.arange(256))).sum(axis=1), 1)
+    assert np.allclose(fits[256, 1], fits[256, 4], rtol=1e-4)
+    assert fits[256, 4][-1] > fits[32, 4][-1]
+
+
 def test_language_model_without_training_rows(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, None)], SCHEMA)
     p = maxent.LMParams(head=4, tail=4, hashed=16, rounds=2)
