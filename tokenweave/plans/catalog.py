@@ -293,9 +293,13 @@ def q_generate_text(spark, sf):
         "make_valid_utf8", tokens.bytes_of(F.col("ids")).cast("string")).alias("text"))
 
 
-def _read_back(spark, path, decode):
-    """Documents decoded from written shards: the pieces in order, then the text's md5."""
-    pieces = shard_io.read_shards(spark, path).groupBy("doc_id").agg(
+def _read_back(spark, path, shard_size, decode):
+    """Documents decoded from written shards: the pieces in order, then the text's md5.
+
+    A document is known by its place in the token stream, as ids can be null or repeated.
+    """
+    off = F.col("shard_index").cast("bigint") * shard_size + F.col("pos") - F.col("src")
+    pieces = shard_io.read_shards(spark, path).groupBy("doc_id", off.alias("off")).agg(
         F.array_sort(F.collect_list(F.struct("src", "ids"))).alias("parts"))
     ids = F.flatten(F.transform("parts", lambda p: p["ids"]))
     text = pieces.select("doc_id", ids.alias("ids")).select("doc_id", decode(F.col("ids")).alias("data"))
@@ -304,14 +308,15 @@ def _read_back(spark, path, decode):
 
 def q_shards_roundtrip(spark, sf):
     """Every document read back from the written shards of the pipeline."""
-    return _read_back(spark, get_run(spark, sf).shards_path, tokens.bytes_of)
+    run = get_run(spark, sf)
+    return _read_back(spark, run.shards_path, run.p.shard_size, tokens.bytes_of)
 
 
 def q_bpe_shards_roundtrip(spark, sf):
     """The same through byte-pair tokens of the given rank table: encode, pack, write, read, decode."""
     from tokenweave.operators import bpe
     run = get_run(spark, sf)
-    return _read_back(spark, run.bpe_shards_path, lambda ids: bpe.decode_ranks(ids, run.rank_table))
+    return _read_back(spark, run.bpe_shards_path, run.p.shard_size, lambda ids: bpe.decode_ranks(ids, run.rank_table))
 
 
 def q_decode_roundtrip(spark, sf):
@@ -345,7 +350,8 @@ def q_stream_pack(spark, sf):
 
     ``stream_files`` arrivals, each a range of doc_ids between observed
     quantiles and written by one job of many tasks, are packed one after the
-    other by a stream that is started again for each, as it is in use.  The
+    other by a stream that is started again for each, as it is in use.
+    Documents without a doc_id are one more arrival, the last.  The
     packed segments must equal the batch packer's, so the oracle is the same
     as ``shard_segments``.
     """
@@ -356,9 +362,13 @@ def q_stream_pack(spark, sf):
     cuts = docs.select(F.col("doc_id").cast("double").alias("k")).approxQuantile("k", [i / parts for i in range(1, parts)], 0.01)
     arrival = packing.bucket_of(F.col("doc_id"), sorted(set(cuts)))
     src, sink = shard_io.scratch_path(spark, "stream-src"), shard_io.scratch_path(spark, "stream-sink")
-    for i in range(len(set(cuts)) + 1):
-        docs.where(arrival == i).write.parquet(f"{src}/arrival={i:06d}")
-        seg = pack_stream(spark, src, sink, run.p.shard_size)
+    last = len(set(cuts)) + 1  # the bucket of null keys
+    for i in range(last + 1):
+        rows = docs.where(arrival == i)
+        if i == last and not rows.limit(1).collect():
+            break
+        rows.write.parquet(f"{src}/arrival={i:06d}")
+        seg = pack_stream(spark, src, sink, run.p.shard_size, closing=i == last)
     return seg.select("split", "shard_index", "pos", "doc_id", "src", "n", "doc_n",
                       asum("ids").alias("id_sum"),
                       F.element_at("ids", 1).cast("bigint").alias("first_id"),
