@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 from tokenweave.llm import suffix
 from tokenweave.llm.suffix import SuffixParams
 
@@ -102,3 +103,15 @@ def test_merge_orders_and_shares_prefixes():
     assert keys == sorted(s[0] for r in runs for s in r)
     assert [c for c, _ in merged[1:]] == [suffix.common_prefix(a, b) for a, b in zip(keys, keys[1:])]
     assert list(suffix.merge_runs([])) == []
+
+
+def test_null_ids_whose_hashes_agree_in_31_bits_keep_their_own_ranges(spark):
+    text = F.concat(*[F.sha2(F.concat("id", F.lit(c)).cast("string"), 256) for c in "abcd"])
+    low = F.xxhash64(text.cast("binary"), F.lit(True)).bitwiseAND(F.lit((1 << 31) - 1))
+    pair = (spark.range(200_000).select(low.alias("h"), text.alias("text")).groupBy("h")
+            .agg(F.sort_array(F.collect_list("text")).alias("texts")).where(F.size("texts") == 2).first())
+    a, b = pair.texts
+    df = spark.createDataFrame([(None, a), (None, b), (1, "é" + a)], "doc_id bigint, text string")
+    got = suffix.remove_repeats(df).collect()
+    assert sorted((r.doc_id or 0, r.n_bytes, r.n_removed, bytes(r.kept)) for r in got) == sorted([
+        (0, 256, 256, b""), (0, 256, 0, b.encode()), (1, 258, 256, "é".encode())])

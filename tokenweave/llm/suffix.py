@@ -306,11 +306,11 @@ def _runs(p: SuffixParams, parts: int):
     return run
 
 
-RANGE_SCHEMA = "doc bigint, salt int, begin bigint, end bigint"
+RANGE_SCHEMA = "doc bigint, salt bigint, begin bigint, end bigint"
 
 
 def _range_batch(rows: list[tuple]) -> pa.RecordBatch:
-    types = (pa.int64(), pa.int32(), pa.int64(), pa.int64())
+    types = (pa.int64(), pa.int64(), pa.int64(), pa.int64())
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=["doc", "salt", "begin", "end"])
 
 
@@ -345,7 +345,7 @@ def _merge(p: SuffixParams):
     return run
 
 
-HOT_SCHEMA = "digest binary, n bigint, doc bigint, salt int, begin bigint, end bigint"
+HOT_SCHEMA = "digest binary, n bigint, doc bigint, salt bigint, begin bigint, end bigint"
 
 
 def _hot_rows(p: SuffixParams):
@@ -354,7 +354,7 @@ def _hot_rows(p: SuffixParams):
     Windows that the task has met twice are repeated whatever else the corpus holds: their ranges are rows without
     digest.  Each distinct window is one row with its digest and count; a window met once carries its own range.
     """
-    types = (pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64())
+    types = (pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
     names = ["digest", "n", "doc", "salt", "begin", "end"]
 
     def known(held: list, counts: dict) -> Iterator[pa.RecordBatch]:
@@ -412,7 +412,7 @@ def repeated_ranges(docs: DataFrame, p: SuffixParams) -> DataFrame:
     ``docs`` has ``id``, ``doc``, ``salt`` and ``text``.
     """
     spark = docs.sparkSession
-    found = materialise(docs.drop("id").mapInArrow(_picks(p), "doc bigint, salt int, at bigint, seed bigint"), "suffix-picks")
+    found = materialise(docs.drop("id").mapInArrow(_picks(p), "doc bigint, salt bigint, at bigint, seed bigint"), "suffix-picks")
     # written, so that the join deals both sides anew and can split a frequent seed
     counts = materialise(found.groupBy("seed").agg(F.count("*").alias("n")).where("n > 1"), "suffix-seeds")
     marks = materialise(found.join(counts, "seed"), "suffix-marks")
@@ -466,8 +466,7 @@ def remove_repeats(docs: DataFrame, p: SuffixParams = SuffixParams(), id_col: st
     own = F.col(id_col).cast("bigint")
     # the salt tells rows of one id apart; rows equal in both are copies and share their ranges
     rows = docs.select(own.alias("id"), F.coalesce(own, F.lit(0)).alias("doc"),
-                       F.xxhash64(text, own.isNull()).bitwiseAND(F.lit((1 << 31) - 1)).cast("int").alias("salt"),
-                       text.alias("text"))
+                       F.xxhash64(text, own.isNull()).alias("salt"), text.alias("text"))
     ranges = (repeated_ranges(rows, p).groupBy("doc", "salt")
               .agg(F.collect_list(F.struct("begin", "end")).alias("ranges")))
     out = (rows.join(ranges, ["doc", "salt"], "left").select("id", "text", "ranges")
