@@ -6,10 +6,10 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tokenweave.functions.common import ship_by_value
+from tokenweave.functions.common import broadcast_if_small, ship_by_value
 from tokenweave.session import ensure_checkpoint_dir
 
 ship_by_value(__name__)
@@ -64,3 +64,44 @@ def drop_columns_ignoring_case(df: DataFrame, names: list[str]) -> DataFrame:
     """Input columns that an operator's output columns would clash with go."""
     low = {n.lower() for n in names}
     return df.drop(*[c for c in df.columns if c.lower() in low])
+
+
+RUNS_BROADCAST = 500_000
+COPIES_AT_ONCE = 65_536
+
+
+def numbered_copies(df: DataFrame, keys: list[str], carry: dict[str, Column] | None = None) -> DataFrame:
+    """Rows that agree in ``keys`` told apart by ``copy`` (from 0), so that a range sort can split them.
+
+    Equal rows are counted before the shuffle and written out again in blocks.  ``carry`` names aggregates of
+    columns that follow from the keys.
+    """
+    counted = df.groupBy(*keys).agg(F.count("*").alias("_copies"), *[c.alias(n) for n, c in (carry or {}).items()])
+    blocks = counted.withColumn("_block", F.explode(F.expr(f"sequence(0L, (_copies - 1) div {COPIES_AT_ONCE})")))
+    return blocks.withColumn("copy", F.explode(F.expr(
+        f"sequence(_block * {COPIES_AT_ONCE}, least(_copies, (_block + 1) * {COPIES_AT_ONCE}) - 1)"))).drop("_copies", "_block")
+
+
+def place_in_groups(df: DataFrame, groups: list[str], order: list[str], what: str, weight: str | None = None) -> DataFrame:
+    """``df`` with ``place``: how many rows (or how much ``weight``) of its group come before the row.
+
+    Rows are range-sorted by group and order (nulls first) and written once, so a large group is spread over as many
+    tasks as its share of the rows; each part then only needs the sum of the parts before it.  ``groups`` must not be
+    null and ``order`` should tell a group's rows apart.
+    """
+    ranges = df.repartitionByRange(*groups, *order) if groups or order else df
+    rows = materialise(ranges.sortWithinPartitions(*groups, *order).withColumn("_at", F.monotonically_increasing_id()), what)
+    rows = rows.withColumn("_part", F.shiftright("_at", 33))  # the id is part and row in one number
+    keys = [*groups, "_part"]
+    size = F.count("*") if weight is None else F.sum(weight)
+    runs = rows.groupBy(*keys).agg(F.min("_at").alias("_first"), size.cast("bigint").alias("_size"))
+    earlier = Window.partitionBy(*groups).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = runs.select(*keys, "_first", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).cast("bigint").alias("_base"))
+    if weight is None:
+        inside = F.col("_at") - F.col("_first")
+    else:
+        before = Window.partitionBy(*keys).orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+        rows = rows.withColumn("_run", F.coalesce(F.sum(weight).over(before), F.lit(0)).cast("bigint"))
+        inside = F.col("_run")
+    joined = rows.join(broadcast_if_small(bases, RUNS_BROADCAST), keys)
+    return joined.withColumn("place", F.col("_base") + inside).drop("_at", "_part", "_first", "_base", "_run")

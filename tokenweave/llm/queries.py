@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenweave.llm import chat, curriculum, decontam, maxent, merkle, pii, qda, simhash, suffix, warc
+from tokenweave.llm import chat, curriculum, decontam, manifest, maxent, merkle, pii, qda, simhash, suffix, warc
+from tokenweave.functions.common import broadcast_if_small
 from tokenweave.llm.common import crc_mod, shared_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,8 +93,24 @@ def op10_simhash_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op13_dataset_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    """Every leaf proved; where 5 divides the id's crc32 (a null id counts as empty text), the claim is a tampered row."""
+    docs = table(spark, sf, "documents")
+    columns = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")]
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    claim = F.when(crc_mod(F.col("doc_id"), 5) == 0, manifest.row_hash([*columns[:-1], lower]))
+    rows = docs.select(F.col("doc_id").alias("id"), "source", manifest.row_hash(columns).alias("leaf"), claim.alias("claim"))
+    made = manifest.build_manifest(rows, ["claim"])
+    proved = manifest.prove(made, F.col("claim"), ["id"])
+    subroots = broadcast_if_small(made.sources.select("tree", "subroot"), manifest.BROADCAST_NODES)
+    return proved.join(subroots, "tree").select(
+        F.col("id").alias("doc_id"), F.col("hash").alias("leaf"), "subroot", "root", "proof_sha256", "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_merkle_fingerprints, op2_pii, op3_quality, op4_lm_scoring, op5_chat_format, op6_decontamination, op7_mixing, op8_suffix_dedup, op9_warc, op10_simhash_dedup)}
+    op1_merkle_fingerprints, op2_pii, op3_quality, op4_lm_scoring, op5_chat_format, op6_decontamination, op7_mixing, op8_suffix_dedup, op9_warc, op10_simhash_dedup,
+    op13_dataset_manifest)}
 
 
 def _pii_sql() -> str:
@@ -200,10 +217,56 @@ SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spa
  sha256(unhex(CASE WHEN n_removed IS NULL THEN h ELSE front || substr(h, (2 * tail + 1)::BIGINT) END)) AS kept_sha256
 FROM d LEFT JOIN kept USING (r)"""
 
+
+
+def _manifest_sql() -> str:
+    part = lambda c: f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen({c}::VARCHAR)::VARCHAR || ':' || {c}::VARCHAR END"
+    row = lambda text: "sha256(" + " || ".join(part(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    fan = manifest.FAN
+    # crc32 bit by bit over the decimal text: eight steps a byte
+    step = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+    byte = "list_reduce(list_prepend(xor(a, ascii(x)), range(8)), lambda c, i: " + step + ")"
+    crc = ("xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda y: ascii(y)::BIGINT)), "
+           f"lambda a, x: {byte.replace('ascii(x)', 'x')}), 4294967295)")
+    tree = lambda leaves, keys: f"""
+ SELECT {keys}, 0 AS lvl, i, h, n FROM {leaves}
+ UNION ALL SELECT {keys}, lvl + 1, i // {fan}, sha256(string_agg(h, '' ORDER BY i)), (n + {fan - 1}) // {fan}
+ FROM """
+    return f"""
+WITH RECURSIVE d AS (SELECT doc_id, source, {row('text')} AS leaf,
+  CASE WHEN doc_id IS NULL OR ({crc}) % 5 = 0 THEN {row(lower)} ELSE {row('text')} END AS claim FROM documents),
+s AS (SELECT source, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS t, n FROM (SELECT source, count(*) AS n FROM d GROUP BY source)),
+l AS (SELECT d.doc_id, d.leaf AS h, d.claim, s.t, s.n, row_number() OVER (PARTITION BY s.t ORDER BY d.doc_id NULLS FIRST, d.leaf) - 1 AS i
+  FROM d JOIN s ON d.source IS NOT DISTINCT FROM s.source),
+node AS ({tree('l', 't')}node WHERE n > 1 GROUP BY t, lvl, i // {fan}, n),
+sub AS (SELECT t, h, (SELECT count(*) FROM s) AS n, t AS i FROM node WHERE n = 1),
+top AS ({tree('sub', '-1 AS t')}top WHERE n > 1 GROUP BY lvl, i // {fan}, n),
+-- the way up of every leaf: in its source's tree, then in the top tree
+way AS (SELECT l.t, l.i, node.lvl AS step, node.t AS tree, node.lvl, l.i // ({fan} ** node.lvl)::BIGINT AS at
+  FROM l JOIN (SELECT DISTINCT t, lvl, n FROM node) node ON node.t = l.t AND node.n > 1
+ UNION ALL SELECT l.t, l.i, 1000 + top.lvl, -1, top.lvl, l.t // ({fan} ** top.lvl)::BIGINT
+  FROM l, (SELECT DISTINCT lvl, n FROM top) top WHERE top.n > 1),
+both_trees AS (SELECT t, lvl, i, h FROM node UNION ALL SELECT t, lvl, i, h FROM top),
+run AS (SELECT w.t, w.i, row_number() OVER (PARTITION BY w.t, w.i ORDER BY w.step) AS step,
+  coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i < w.at), '') AS before,
+  coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i > w.at), '') AS after
+  FROM way w JOIN both_trees b ON b.t = w.tree AND b.lvl = w.lvl AND b.i // {fan} = w.at // {fan} GROUP BY w.t, w.i, w.step, w.at),
+fold AS (SELECT t, i, 0 AS step, claim AS v FROM l
+ UNION ALL SELECT f.t, f.i, f.step + 1, sha256(r.before || f.v || r.after) FROM fold f JOIN run r ON r.t = f.t AND r.i = f.i AND r.step = f.step + 1),
+folded AS (SELECT t, i, arg_max(v, step) AS v FROM fold GROUP BY t, i),
+proof AS (SELECT t, i, sha256(string_agg(before || after, '' ORDER BY step)) AS p FROM run GROUP BY t, i),
+root AS (SELECT h FROM top WHERE n = 1)
+SELECT l.doc_id, l.h AS leaf, sub.h AS subroot, root.h AS root, coalesce(proof.p, sha256('')) AS proof_sha256, folded.v AS folded_root,
+ folded.v = root.h AS verified
+FROM l JOIN sub USING (t) JOIN folded ON folded.t = l.t AND folded.i = l.i LEFT JOIN proof ON proof.t = l.t AND proof.i = l.i, root"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op2_pii": _pii_sql(),
     "op5_chat_format": _chat_sql(),
     "op7_mixing": _MIX_SQL,
     "op8_suffix_dedup": _SUFFIX_SQL,
     "op9_warc": _WARC_SQL,
+    "op13_dataset_manifest": _manifest_sql(),
 }
