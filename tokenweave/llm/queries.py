@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenweave.llm import chat, curriculum, decontam, manifest, maxent, merkle, pii, qda, simhash, suffix, warc
+from tokenweave.llm import chat, curriculum, decontam, langid, manifest, maxent, merkle, pii, qda, simhash, suffix, warc
 from tokenweave.functions.common import broadcast_if_small
 from tokenweave.llm.common import crc_mod, shared_path, table
 
@@ -93,6 +93,13 @@ def op10_simhash_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op12_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    net = langid.fit(docs.where(crc_mod(F.col("doc_id"), 4) != 2).select("text", "lang"))
+    held_out = (crc_mod(F.col("id"), 4) == 2).alias("held_out")
+    return langid.predict(docs, net).select(F.col("id").alias("doc_id"), held_out, "lang_pred", "score")
+
+
 def op13_dataset_manifest(spark: SparkSession, sf: str) -> DataFrame:
     """Every leaf proved; where 5 divides the id's crc32 (a null id counts as empty text), the claim is a tampered row."""
     docs = table(spark, sf, "documents")
@@ -110,7 +117,7 @@ def op13_dataset_manifest(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_merkle_fingerprints, op2_pii, op3_quality, op4_lm_scoring, op5_chat_format, op6_decontamination, op7_mixing, op8_suffix_dedup, op9_warc, op10_simhash_dedup,
-    op13_dataset_manifest)}
+    op12_language_id, op13_dataset_manifest)}
 
 
 def _pii_sql() -> str:
