@@ -1,5 +1,5 @@
 """Training-data operators: fingerprints, personal data, quality, language model,
-chat formatting, decontamination, mixing, suffix dedup, WARC and SimHash.
+chat formatting, decontamination, mixing, suffix dedup, WARC, SimHash, prefix trie, language and dataset manifest.
 
 Nothing else in the package imports this subpackage.
 """

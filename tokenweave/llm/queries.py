@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenweave.llm import chat, curriculum, decontam, langid, manifest, maxent, merkle, pii, qda, simhash, suffix, warc
+from tokenweave.llm import chat, curriculum, decontam, langid, manifest, maxent, merkle, pii, qda, simhash, suffix, trie, warc
 from tokenweave.functions.common import broadcast_if_small
 from tokenweave.llm.common import crc_mod, shared_path, table
 
@@ -93,6 +93,10 @@ def op10_simhash_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op11_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, sf, "conversations"))
+
+
 def op12_language_id(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     net = langid.fit(docs.where(crc_mod(F.col("doc_id"), 4) != 2).select("text", "lang"))
@@ -117,7 +121,7 @@ def op13_dataset_manifest(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_merkle_fingerprints, op2_pii, op3_quality, op4_lm_scoring, op5_chat_format, op6_decontamination, op7_mixing, op8_suffix_dedup, op9_warc, op10_simhash_dedup,
-    op12_language_id, op13_dataset_manifest)}
+    op11_prefix_trie, op12_language_id, op13_dataset_manifest)}
 
 
 def _pii_sql() -> str:
@@ -226,23 +230,26 @@ FROM d LEFT JOIN kept USING (r)"""
 
 
 
+def _crc_sql(value: str) -> str:
+    """crc32 of a number's decimal text, bit by bit: eight steps a byte."""
+    step = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+    byte = f"list_reduce(list_prepend(xor(a, x), range(8)), lambda c, i: {step})"
+    codes = f"list_transform(string_split({value}::VARCHAR, ''), lambda y: ascii(y)::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), lambda a, x: {byte}), 4294967295)"
+
+
 def _manifest_sql() -> str:
     part = lambda c: f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen({c}::VARCHAR)::VARCHAR || ':' || {c}::VARCHAR END"
     row = lambda text: "sha256(" + " || ".join(part(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
     lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     fan = manifest.FAN
-    # crc32 bit by bit over the decimal text: eight steps a byte
-    step = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
-    byte = "list_reduce(list_prepend(xor(a, ascii(x)), range(8)), lambda c, i: " + step + ")"
-    crc = ("xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda y: ascii(y)::BIGINT)), "
-           f"lambda a, x: {byte.replace('ascii(x)', 'x')}), 4294967295)")
     tree = lambda leaves, keys: f"""
  SELECT {keys}, 0 AS lvl, i, h, n FROM {leaves}
  UNION ALL SELECT {keys}, lvl + 1, i // {fan}, sha256(string_agg(h, '' ORDER BY i)), (n + {fan - 1}) // {fan}
  FROM """
     return f"""
 WITH RECURSIVE d AS (SELECT doc_id, source, {row('text')} AS leaf,
-  CASE WHEN doc_id IS NULL OR ({crc}) % 5 = 0 THEN {row(lower)} ELSE {row('text')} END AS claim FROM documents),
+  CASE WHEN doc_id IS NULL OR {_crc_sql('doc_id')} % 5 = 0 THEN {row(lower)} ELSE {row('text')} END AS claim FROM documents),
 s AS (SELECT source, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS t, n FROM (SELECT source, count(*) AS n FROM d GROUP BY source)),
 l AS (SELECT d.doc_id, d.leaf AS h, d.claim, s.t, s.n, row_number() OVER (PARTITION BY s.t ORDER BY d.doc_id NULLS FIRST, d.leaf) - 1 AS i
   FROM d JOIN s ON d.source IS NOT DISTINCT FROM s.source),
@@ -269,11 +276,35 @@ SELECT l.doc_id, l.h AS leaf, sub.h AS subroot, root.h AS root, coalesce(proof.p
 FROM l JOIN sub USING (t) JOIN folded ON folded.t = l.t AND folded.i = l.i LEFT JOIN proof ON proof.t = l.t AND proof.i = l.i, root"""
 
 
+_TRIE_SQL = f"""
+WITH t AS (SELECT conv_id AS c, code, words, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, code) AS k FROM (
+  SELECT conv_id, turn, md5(strlen(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) AS code,
+   len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS words FROM conversations WHERE conv_id IS NOT NULL)),
+s AS (SELECT c, count(*) AS n, {_crc_sql('c')} % 4 AS h, c - c % 20 AS base FROM t GROUP BY c),
+v AS (SELECT s.c, s.n, s.h, s.base, least(s.h, coalesce(b.n, 0)) AS taken FROM s LEFT JOIN s b ON b.c = s.base),
+r AS (SELECT v.c, t.k AS d, t.code, t.words FROM v JOIN t ON t.c = v.base AND t.k <= v.h
+ UNION ALL SELECT v.c, t.k - v.h + v.taken, t.code, t.words FROM v JOIN t USING (c) WHERE t.k > v.h),
+p AS (SELECT c, d, words, md5(string_agg(code, '' ) OVER (PARTITION BY c ORDER BY d)) AS key FROM r
+ UNION ALL SELECT c, 0, 0, '' FROM s),
+q AS (SELECT *, lag(key) OVER (PARTITION BY c ORDER BY d) AS up, d = max(d) OVER (PARTITION BY c) AS last FROM p),
+node AS (SELECT d, key, min(up) AS up, min(c) AS m, count(*) AS n, min(words) AS w,
+  sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (last), '')) AS ends FROM q GROUP BY d, key),
+kid AS (SELECT d - 1 AS d, up AS key, count(*) AS k FROM node WHERE d > 0 GROUP BY d, up),
+own AS (SELECT node.*, coalesce(k, 0) AS k FROM node LEFT JOIN kid USING (d, key)),
+-- a node's ancestors are the prefixes of its smallest member
+total AS (SELECT q.d, q.key, count(*) FILTER (o.k = 0) AS leaves, sum((o.n - 1) * o.w)::BIGINT AS saved
+  FROM own o JOIN q ON q.c = o.m AND q.d <= o.d GROUP BY q.d, q.key)
+SELECT o.m AS conv_id, o.d AS depth, x.m AS parent_conv_id, o.n AS n_convs, o.k AS n_children, leaves AS n_leaves, saved AS saved_tokens,
+ o.ends AS ends_sha256
+FROM own o JOIN total USING (d, key) LEFT JOIN node x ON x.d = o.d - 1 AND x.key = o.up"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op2_pii": _pii_sql(),
     "op5_chat_format": _chat_sql(),
     "op7_mixing": _MIX_SQL,
     "op8_suffix_dedup": _SUFFIX_SQL,
     "op9_warc": _WARC_SQL,
+    "op11_prefix_trie": _TRIE_SQL,
     "op13_dataset_manifest": _manifest_sql(),
 }
