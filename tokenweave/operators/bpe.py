@@ -123,8 +123,12 @@ def token_bytes(table: list[tuple[int, int, int]]) -> list[bytes]:
 
 
 def bpe_word(data: bytes, ranks: dict) -> list[int]:
-    """Byte-level BPE of one pre-token: merge the lowest-rank adjacent pair until none is left."""
-    parts = list(data)
+    """Byte-level BPE of one pre-token."""
+    return merge_parts(list(data), ranks)
+
+
+def merge_parts(parts: list[int], ranks) -> list[int]:
+    """Merge the lowest-rank adjacent pair until none is left; ``ranks.get(pair)`` is (rank, id) or None."""
     if len(parts) > LONG_PIECE:
         return _bpe_long(parts, ranks)
     while len(parts) > 1:
@@ -143,7 +147,7 @@ LONG_PIECE = 64
 MEMO_PIECES = 200_000
 
 
-def _bpe_long(parts: list[int], ranks: dict) -> list[int]:
+def _bpe_long(parts: list[int], ranks) -> list[int]:
     """The same merges for a long piece, best pair first from a heap: n log n steps."""
     import heapq
 
@@ -252,34 +256,6 @@ def load_ranks(path: str) -> list[bytes]:
     return [t for _, t in pairs]
 
 
-# Fixed value: the pre-token pattern as the tokenizer library writes it.
-LIBRARY_PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-
-
-def _rank_kernel(table_bc):
-    def run(batches):
-        import numpy as np
-        import pyarrow as pa
-        import tiktoken
-
-        table = table_bc.value
-        library = tiktoken.Encoding("given", pat_str=LIBRARY_PATTERN, special_tokens={},
-                                    mergeable_ranks={t: i for i, t in enumerate(table)})
-        for rb in batches:
-            ids = [library.encode_ordinary(t) for t in rb.column(1).to_pylist()]
-            lens = np.array([len(x) for x in ids], dtype=np.int64)
-            values = np.fromiter((i for x in ids for i in x), np.int32, int(lens.sum()))
-            arr, n = _with_eot(lens, values, len(table))
-            yield pa.RecordBatch.from_arrays([rb.column(0), pa.array(n), arr], names=["doc_id", "n", "ids"])
-    return run
-
-
-def encode_ranks(docs: DataFrame, table: list[bytes]) -> DataFrame:
-    """T1/T3 under a given rank table: ``(doc_id, n, ids)``, end-of-text (one past the last rank) first."""
-    bc = docs.sparkSession.sparkContext.broadcast(table)
-    return docs.select("doc_id", "text").mapInArrow(_rank_kernel(bc), TOKENS_SCHEMA)
-
-
 def decode_ranks(ids: Column, table: list[bytes]) -> Column:
     """T5 under a given rank table: ids -> UTF-8 bytes, without end-of-text."""
     vocab = F.split(F.lit(" ".join(t.hex() for t in table)), " ")

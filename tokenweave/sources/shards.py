@@ -24,6 +24,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write a derived table once below the shared folder and read it back.
+
+    One job computes and writes the rows; a lost executor costs a re-read.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 # Target tokens per written file (int32 ids: about 16 MB before compression).
 TOKENS_PER_FILE = 4_000_000
 
