@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF001
-from tokenweave.operators import bpe
+from tokenweave.operators import bpe, dictionary, packed
 from tokenweave.sources.corpus import read_corpus, table_path
 
 
@@ -96,20 +96,55 @@ def test_long_pieces_merge_like_short_ones(spark, small_docs):
     assert bpe.bpe_word(b"the " * 20_000, ranks)
 
 
-def test_given_ranks_equal_the_tokenizer_library(spark):
-    tokenizers = pytest.importorskip("tokenizers")
-    from tokenweave.params import PackParams
+@pytest.fixture(scope="module")
+def rank_table():
+    from tokenweave.params import RANKED, rank_path
+
+    return bpe.load_ranks(rank_path(RANKED))
+
 
-    path = PackParams().rank_file
-    table = bpe.load_ranks(path)
-    library = tokenizers.Tokenizer.from_file(path.replace(".tiktoken", ".json"))
+@pytest.mark.parametrize("hot_pieces", [0, 300, dictionary.HOT_PIECES])
+def test_given_ranks_equal_the_tokenizer_library(spark, rank_table, hot_pieces):
+    """Every document, whether its pieces come from the broadcast dictionary, the join or both."""
+    tokenizers = pytest.importorskip("tokenizers")
+    public = pytest.importorskip("public_tokenizers")
+    library = tokenizers.Tokenizer.from_file(public.path("byte_bpe_50k.json"))
     library.encode_special_tokens = True
-    docs = read_corpus(spark, table_path(SF001, "documents")).filter(F.col("doc_id") < 60)
-    extra = spark.createDataFrame([(900, ""), (901, "x <|endoftext|> y"), (902, "é😀 I'll  go\n\n 12345")], "doc_id bigint, text string")
+    docs = read_corpus(spark, table_path(SF001, "documents"))
+    # null, repeated and empty rows, special strings, a long piece
+    extra = spark.createDataFrame([(900, ""), (901, "x <|endoftext|> y"), (902, "é😀 I'll  go\n\n 12345"), (None, "no key"), (None, None),
+                                   (903, "twice"), (903, "twice"), (904, "ab" * 3000)], "doc_id bigint, text string")
     docs = docs.unionByName(extra)
-    rows = {r.doc_id: r for r in bpe.encode_ranks(docs, table).select(
-        "doc_id", "n", "ids", bpe.decode_ranks(F.col("ids"), table).alias("data")).collect()}
-    for r in docs.collect():
-        own = rows[r.doc_id]
-        assert list(own.ids) == [len(table)] + library.encode(r.text, add_special_tokens=False).ids
-        assert own.n == len(own.ids) and bytes(own.data).decode() == r.text
+    found = dictionary.piece_dictionary(docs, rank_table)
+    rows = dictionary.encode_pieces(docs, found, len(rank_table), hot_pieces).collect()
+    want = [(r.doc_id, [len(rank_table)] + library.encode(r.text or "", add_special_tokens=False).ids) for r in docs.collect()]
+    assert sorted(((r.doc_id, list(r.ids)) for r in rows), key=repr) == sorted(want, key=repr)
+    assert all(r.n == len(r.ids) for r in rows)
+
+
+def test_packed_ranks_decode_to_the_text(spark, rank_table, small_docs):
+    enc = dictionary.encode_pieces(small_docs, dictionary.piece_dictionary(small_docs, rank_table), len(rank_table), 500)
+    back = {r.doc_id: bytes(r.data).decode() for r in packed.decode(packed.pack(enc), rank_table).collect()}
+    assert back == {r.doc_id: r.text for r in small_docs.collect()}
+
+
+def test_frequent_pieces_fit_the_limit(spark):
+    found = spark.createDataFrame([(f"p{i}", c, [1]) for i, c in enumerate([1] * 50 + [3] * 10 + [100] * 4)], "piece string, cnt bigint, ids array<int>")
+    assert [dictionary.frequent_pieces(found, k) for k in (64, 63, 14, 13, 4, 3, 0)] == [1, 2, 2, 64, 64, 1 << 62, 1 << 62]
+
+
+def test_rank_file_is_configuration(spark, monkeypatch, tmp_path):
+    import sys
+
+    from tokenweave import params
+
+    path = str(tmp_path / "own.ranks")
+    assert params.rank_path(params.PackParams(rank_file=path)) == path
+    spark.conf.set(params.RANK_FILE_CONF, path + "2")
+    assert params.rank_path(params.RANKED, spark) == path + "2"
+    spark.conf.unset(params.RANK_FILE_CONF)
+    monkeypatch.setitem(sys.modules, "public_tokenizers", None)
+    with pytest.raises(ValueError, match="rank"):
+        params.rank_path(params.RANKED, spark)
+    with pytest.raises(ValueError, match="every single byte"):
+        dictionary.piece_dictionary(spark.createDataFrame([], "doc_id bigint, text string"), [b"a"])

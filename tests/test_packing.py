@@ -1,18 +1,16 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import exchange_inputs, lengths_frame
 from seqref import fold_pieces
 from tokenweave.operators import packing
+from tokenweave.operators.prefix import ordered_offsets, scan_parts
 
 
-def every(width, n):
-    return [float(k) for k in range(width - 1, n, width)]
-
-
-def spark_pieces(spark, lengths, S, width=4):
-    offs = packing.doc_offsets(lengths_frame(spark, lengths), every(width, len(lengths)))
+def spark_pieces(spark, lengths, S, fan=2):
+    offs = ordered_offsets(lengths_frame(spark, lengths), ["doc_id"], fan=fan)
     seg = packing.cut_segments(offs, S)
     rows = seg.select("shard_index", "pos", "doc_id", "src", "n").collect()
     return sorted(tuple(int(v) for v in r) for r in rows)
@@ -40,18 +38,18 @@ def test_edge_cases(spark, name, S, lengths, expect):
 def test_closed_form_matches_fold_random(spark):
     rng = random.Random(7)
     cases = []
-    for _ in range(40):
+    for _ in range(12):
         S = rng.randint(3, 30)
         lengths = [rng.choice([1, 1, 2, rng.randint(1, 3 * S)]) for _ in range(rng.randint(1, 25))]
         cases.append((S, lengths))
     for S, lengths in cases:
-        assert spark_pieces(spark, lengths, S, width=3) == sorted(fold_pieces(lengths, S)), (S, lengths)
+        assert spark_pieces(spark, lengths, S) == sorted(fold_pieces(lengths, S)), (S, lengths)
 
 
 def test_conservation_and_coverage(spark):
     lengths = [random.Random(3).randint(1, 50) for _ in range(200)]
     S = 37
-    pieces = spark_pieces(spark, lengths, S, width=16)
+    pieces = spark_pieces(spark, lengths, S)
     assert sum(p[4] for p in pieces) == sum(lengths)
     covered = sorted((s * S + pos + k) for s, pos, _, _, n in pieces for k in range(n))
     assert covered == list(range(sum(lengths)))
@@ -59,14 +57,14 @@ def test_conservation_and_coverage(spark):
 
 def test_offsets_are_running_sum(spark):
     lengths = [5, 1, 9, 2, 2, 7, 1, 1, 30, 4]
-    offs = packing.doc_offsets(lengths_frame(spark, lengths), every(3, 10)).orderBy("doc_id")
+    offs = ordered_offsets(lengths_frame(spark, lengths), ["doc_id"], fan=2).orderBy("doc_id")
     got = [r["off"] for r in offs.collect()]
     want = [sum(lengths[:i]) for i in range(len(lengths))]
     assert got == want
 
 
 def test_split_labels_and_manifest(spark):
-    offs = packing.doc_offsets(lengths_frame(spark, [7, 8, 12]), every(2, 3))
+    offs = ordered_offsets(lengths_frame(spark, [7, 8, 12]), ["doc_id"])
     man = packing.shard_manifest(packing.cut_segments(offs, 10)).orderBy("shard_index").collect()
     assert [(r.split, r.shard_index, r.n_tokens) for r in man] == [
         ("val", 0, 10), ("train", 1, 10), ("train", 2, 7)]
@@ -75,35 +73,52 @@ def test_split_labels_and_manifest(spark):
 
 def test_no_single_partition_exchange_over_documents(spark):
     """The running sum must not move every document to one task."""
-    offs = packing.doc_offsets(lengths_frame(spark, list(range(1, 500))), every(64, 500))
-    ex = exchange_inputs(offs)
-    single = [inp for args, inp in ex if "SinglePartition" in args]
-    # the only single-partition exchange carries bucket totals (one row per bucket)
-    assert single and all("bucket_n" in inp and "doc_id" not in inp for inp in single)
-    assert any("hashpartitioning(bucket" in args for args, _ in ex)
+    offs = ordered_offsets(lengths_frame(spark, list(range(1, 500))), ["doc_id"], fan=4)
+    single = [inp for args, inp in exchange_inputs(offs) if "SinglePartition" in args]
+    # the only single-partition exchange carries totals of groups of parts
+    assert all("doc_id" not in inp for inp in single)
+
+
+@pytest.mark.parametrize("parts,fan", [(0, 4), (1, 4), (4, 4), (5, 4), (70, 4), (300, 7)])
+def test_tree_scan_of_any_depth(spark, parts, fan):
+    """Levels above the leaves: as many as the number of parts asks for."""
+    rng = random.Random(parts)
+    rows = [(i, rng.randint(0, 9)) for i in range(parts)]
+    got = {r.part: r.base for r in scan_parts(spark.createDataFrame(rows, "part bigint, total bigint"), fan).collect()}
+    assert got == {i: sum(t for _, t in rows[:i]) for i, _ in rows}
 
 
 @pytest.mark.parametrize("ids", [
-    list(range(5000)) + [1 << 50],  # an outlier
-    [(i * 2654435761 + 12345) % (1 << 61) - (1 << 60) for i in range(5000)],  # hashed
-    [7] * 40 + list(range(0, 70_000, 14)),  # repeated
-    [None] * 30 + list(range(5000)),
+    list(range(3000)) + [1 << 50],  # an outlier
+    [(i * 2654435761 + 12345) % (1 << 61) - (1 << 60) for i in range(3000)],  # hashed
+    [7] * 1000 + list(range(0, 28_000, 14)),  # a third of the rows share a key
+    [None] * 1000 + list(range(2000)),  # or have none
 ])
 def test_offsets_for_any_key(spark, ids):
     rng = random.Random(5)
-    rows = [(k, rng.randint(1, 9), [rng.randint(0, 9)]) for k in ids]
+    rows = [(k, rng.randint(1, 9), bytearray(rng.randbytes(6))) for k in ids]
     rng.shuffle(rows)
-    df = spark.createDataFrame(rows, "doc_id bigint, n bigint, ids array<int>")
-    bounds = packing.key_bounds(df, rows_per_bucket=250)
-    assert len(bounds) >= 15
-    sizes = df.groupBy(packing.bucket_of(df.doc_id, bounds).alias("b")).count().collect()
-    assert max(r["count"] for r in sizes) <= 2 * 250  # a bucket is bounded by rows, not by key span
-    out = packing.doc_offsets(df, bounds).collect()
+    df = spark.createDataFrame(rows, "doc_id bigint, n bigint, data binary").repartition(4)
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(coalesce, "false")  # so few rows would be one part
+    try:
+        offs = ordered_offsets(df, [F.col("doc_id").asc_nulls_last(), "n", F.xxhash64("data")], fan=3)
+    finally:
+        spark.conf.unset(coalesce)
+    # no part holds much more than its share, whatever key the rows have
+    parts = [r["count"] for r in leaves_of(offs).groupBy("part").count().collect()]
+    assert len(parts) >= 6 and max(parts) <= 2.5 * len(rows) / 8
+    out = sorted(offs.collect(), key=lambda r: r.off)
     assert len(out) == len(rows)
     at = 0
-    for r in sorted(out, key=lambda r: r.off):  # no hole, no overlap
+    for r in out:  # no hole, no overlap
         assert r.off == at
         at += r.n
-    keys = [r.doc_id for r in sorted(out, key=lambda r: r.off)]
+    keys = [r.doc_id for r in out]
     assert keys == sorted(keys, key=lambda k: (k is None, k or 0))
-    assert packing.key_bounds(df.limit(0)) == []
+
+
+def leaves_of(offs):
+    """The written leaves that offsets were made from."""
+    path = next(p for p in offs.inputFiles() if "/ordered-" in p).rsplit("/", 1)[0]
+    return offs.sparkSession.read.parquet(path)

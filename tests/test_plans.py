@@ -51,12 +51,11 @@ def test_lengths_need_no_encoder(spark):
         assert "Arrow" not in plan, name
 
 
-def test_planned_slots_are_chosen_before_the_regroup(spark):
-    plan = QUERIES["val_batches"](spark, SF001)._jdf.queryExecution().executedPlan().toString()
-    lines = [x.strip(" :+-*()0123456789") for x in plan.splitlines()]
-    semi = next(i for i, x in enumerate(lines) if "Join" in x and "LeftSemi" in x)
-    regroup = [i for i, x in enumerate(lines) if x.startswith("ObjectHashAggregate") and "collect_list" in x]
-    assert semi > min(regroup), "the semi join stands below the aggregation"
+@pytest.mark.parametrize("name", ["batches", "batch_rows", "val_batches", "next_token_pairs", "shard_token_checksum", "bpe_batches"])
+def test_batch_queries_shuffle_no_tokens(spark, name):
+    """The slot table is scanned where it lies: only counts and sums are exchanged."""
+    for args, inputs in exchange_inputs(QUERIES[name](spark, SF001)):
+        assert not input_columns(inputs) & {"buf", "data", "ids", "piece"}, (name, args, inputs)
 
 
 def test_tokens_per_step_reads_no_token(spark):

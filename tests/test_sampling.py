@@ -1,3 +1,4 @@
+import pytest
 import math
 
 from pyspark.sql import functions as F
@@ -59,6 +60,15 @@ def test_generation_stops_at_max_length_with_the_prompt(spark):
     assert sorted((r.item_id, r.seq, tuple(r.ids)) for r in out) == sorted((r.item_id, r.seq, tuple(r.ids)) for r in again)
 
 
+def test_whole_prompts_are_continued(spark):
+    prompts = {0: [1], 1: [1, 2, 3, 1, 2, 3, 1], 2: []}
+    df = spark.createDataFrame(list(prompts.items()), "item_id bigint, ids array<int>")
+    out = sampling.generate(df, _table(spark), 2, None, "s", new_tokens=4).collect()
+    assert len(out) == 6 and all(len(r.ids) == len(prompts[r.item_id]) + 4 and list(r.ids[:-4]) == prompts[r.item_id] for r in out)
+    with pytest.raises(ValueError):
+        sampling.generate(df, _table(spark), 2, 5, "s", new_tokens=4)
+
+
 def test_generation_draws_by_weight(spark):
     table = spark.createDataFrame([(1, 1, 0.25), (1, 2, 0.75), (2, 1, 0.5), (2, 2, 0.5), (-1, 1, 1.0)], "x bigint, y bigint, p double")
     df = spark.createDataFrame([(0, [1])], "item_id bigint, ids array<int>")
@@ -66,14 +76,19 @@ def test_generation_draws_by_weight(spark):
     assert abs(sum(r.ids[1] == 2 for r in out) / 4000 - 0.75) < 0.03
 
 
-def test_generated_text_is_the_bytes(spark):
+@pytest.mark.parametrize("mode", ["", "bpe_"])
+def test_generated_text_is_the_bytes(spark, mode):
     from conftest import SF001
 
+    from tokenweave.params import RANKED
+    from tokenweave.plans.run import DEFAULT_PARAMS, get_run
+
     from tokenweave.plans.catalog import QUERIES
 
     key = lambda r: (r.item_id, r.seq)
-    ids = {key(r): bytes(int(t) for t in r.tokens.split() if int(t) < 256) for r in QUERIES["generate"](spark, SF001).collect()}
-    text = {key(r): r.text for r in QUERIES["generate_text"](spark, SF001).collect()}
+    table = get_run(spark, SF001, RANKED if mode else DEFAULT_PARAMS).token_table
+    ids = {key(r): b"".join(table[int(t)] for t in r.tokens.split() if int(t) < len(table)) for r in QUERIES[mode + "generate"](spark, SF001).collect()}
+    text = {key(r): r.text for r in QUERIES[mode + "generate_text"](spark, SF001).collect()}
     assert ids.keys() == text.keys()
     for k, data in ids.items():
         want = data.decode("utf-8", errors="replace")

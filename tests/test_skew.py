@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from seqref import fold_pieces, loader_batches
 from tokenweave.operators import batching, evaluate, packing, tokens
+from tokenweave.operators.packed import pack, unpack
+from tokenweave.operators.prefix import ordered_offsets
 
 
 def skewed_corpus(spark):
@@ -27,7 +29,7 @@ def test_skewed_corpus_packs_and_batches_exactly(spark):
     vocab = tokens.word_vocab(df, V)
     assert vocab.orderBy("token_id").first().word == "hot"
     toks = tokens.encode_words(df, vocab, V)
-    seg = packing.cut_segments(packing.doc_offsets(toks, packing.key_bounds(df, rows_per_bucket=16)), S)
+    seg = packing.cut_segments(ordered_offsets(pack(toks), ["doc_id"], fan=3), S)
 
     lengths = [len(t.split()) + 1 for _, t in sorted(docs)]
     got = sorted((r.shard_index, r.pos, r.doc_id, r.src, r.n) for r in seg.collect())
@@ -39,7 +41,8 @@ def test_skewed_corpus_packs_and_batches_exactly(spark):
     # batches: the regroup is keyed by slot, so every buffer is BT+1 tokens
     lens = batching.shard_lengths(seg)
     sched = batching.batch_schedule(lens, BT, P)
-    b = batching.batches(seg, sched, BT)
+    slots = batching.slot_table(seg, BT)
+    b = unpack(unpack(batching.batches(slots, lens, BT, P), "x", "x"), "y", "y")
     assert all(len(r.x) == BT and len(r.y) == BT for r in b.collect())
     stream = {}
     enc = {r.doc_id: list(r.ids) for r in toks.collect()}
@@ -54,7 +57,7 @@ def test_skewed_corpus_packs_and_batches_exactly(spark):
         assert want is None or len(want) == per_rank[rank]
 
     # the hot pair is one row of the bigram table, its count is exact
-    pc = batching.plan_pair_counts(batching.slot_pairs(seg, BT), sched, "batch_no")
+    pc = batching.pair_counts(batching.planned_slots(slots, sched, "batch_no"), "batch_no")
     big, _, _, _ = evaluate.ngram_tables(pc)
     hot = vocab.filter("word = 'hot'").first().token_id
     row = big.filter((F.col("x") == hot) & (F.col("y") == hot)).collect()

@@ -65,12 +65,11 @@ def test_range_assert_fails_job(spark):
 
 def test_byte_mode_pipeline_and_vocab(spark, docs):
     from tokenweave.operators import packing
-    from tokenweave.params import PackParams
-    from tokenweave.plans import corpus
+    from tokenweave.plans.run import byte_offsets
 
     vocab = {r.token_id: r.token_hex for r in tokens.byte_vocab(spark).collect()}
     assert len(vocab) == 257 and vocab[65] == "41" and vocab[256] == ""
-    seg = corpus.segments(spark, SF001, PackParams(shard_size=100_000), mode="bytes", docs=docs)
+    seg = packing.cut_segments(byte_offsets(docs), 100_000)
     total = sum(len(r.text.encode("utf-8")) + 1 for r in docs.collect())
     man = packing.shard_manifest(seg).collect()
     assert sum(r.n_tokens for r in man) == total

@@ -12,11 +12,13 @@ batches, batch ``j`` reading ``[ (r + j*P)*BT, (r + j*P)*BT + BT ]``.  Rank
 reference crashes otherwise, here the shard is skipped for that rank and
 reported by ``dropped_tail`` (Q6).
 
-The token work is one shuffle: every segment is cut into the BT-token
-*slots* it touches (slot ``k`` = positions ``[k*BT, k*BT+BT]``, one token of
-overlap for the shifted target), regrouped by ``(shard_index, slot)`` - a
-group of at most BT+1 tokens, however skewed the corpus is - and joined to
-the schedule, a table with one row per batch.
+The token work is one shuffle for all queries: every segment is cut into the
+BT-token *slots* it touches (slot ``k`` = positions ``[k*BT, k*BT+BT]``, one
+token of overlap for the shifted target), regrouped by ``(shard_index, slot)``
+- a group of at most BT+1 tokens, however skewed the corpus is - and written
+as a table clustered by shard and slot.  A batch is a row of that table: which
+rank reads it and when is arithmetic on its slot and a lookup in a table with
+one row per (rank, shard), so batch queries are narrow scans.
 """
 
 from __future__ import annotations
@@ -24,10 +26,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tokenweave.functions.common import idiv
+from tokenweave.functions.common import broadcast_if_small, idiv, ship_by_value
+from tokenweave.operators.packed import flat_ids, joined, take
+
+ship_by_value(__name__)
 
 # A plan row is ~40 bytes: 2M rows stay well under the broadcast budget.
 PLAN_BROADCAST_ROWS = 2_000_000
+TOKENS_PER_BLOCK = 4_000_000  # of neighbouring slots that stay together in a file
 
 
 def shard_lengths(segments: DataFrame) -> DataFrame:
@@ -54,23 +60,55 @@ def rank_shards(lengths: DataFrame, BT: int, P: int) -> DataFrame:
                     short.alias("too_short"))
 
 
-def batch_schedule(lengths: DataFrame, BT: int, P: int) -> DataFrame:
-    """``(rank, batch_no, shard_index, j, slot, start)`` for one epoch.
+def rank_prefix(lengths: DataFrame, BT: int, P: int) -> DataFrame:
+    """``rank_shards`` with ``first_batch``: the rank's batches before the shard (B8), where it is served at all.
 
-    ``batch_no`` runs across the split's shards in shard order (B8); the
-    window is over the shard-level table (one row per rank and shard).
+    The window is over the shard-level table (one row per rank and shard).
     """
-    rs = rank_shards(lengths, BT, P)
     w = (Window.partitionBy("split", "rank").orderBy("shard_index")
          .rowsBetween(Window.unboundedPreceding, -1))
-    rs = rs.withColumn("first_batch", F.coalesce(F.sum("nb").over(w), F.lit(0)).cast("bigint"))
-    served = rs.filter(F.col("nb") > 0)
-    b = served.withColumn("j", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("nb") - 1)))
+    rs = rank_shards(lengths, BT, P).withColumn("first_batch", F.coalesce(F.sum("nb").over(w), F.lit(0)).cast("bigint"))
+    return rs.filter(F.col("nb") > 0)
+
+
+def batch_schedule(lengths: DataFrame, BT: int, P: int) -> DataFrame:
+    """``(rank, batch_no, shard_index, j, slot, start)`` for one epoch.
+
+    ``batch_no`` runs across the split's shards in shard order.
+    """
+    b = rank_prefix(lengths, BT, P).withColumn("j", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("nb") - 1)))
     slot = F.col("rank") + F.col("j") * P
     return b.select("split", "rank", (F.col("first_batch") + F.col("j")).alias("batch_no"),
                     "shard_index", "j", slot.alias("slot"), (slot * BT).alias("start"))
 
 
+def locate_batches(wanted: DataFrame, lengths: DataFrame, BT: int, P: int) -> DataFrame:
+    """Where any running batch number is read, without a schedule: ``wanted`` with ``epoch``, ``shard_index``, ``slot``.
+
+    The inverse of the schedule.  Shards of a split but its last have one length, so a rank's batches in each are as
+    many and the shard is a division; a table with one row per rank (the split's full shards and its last one) is all
+    that is looked up.  ``wanted`` is ``(split, rank, batch_no, ...)``; numbers past one epoch wrap.
+    """
+    last = F.max(F.struct("shard_index", "L"))
+    shape = lengths.groupBy("split").agg(F.min("shard_index").alias("first"), F.count(F.lit(1)).alias("shards"), last["L"].alias("L"),
+                                         F.min(F.struct("shard_index", "L"))["L"].alias("full_L"),
+                                         F.max("L").alias("most"), F.sum("L").alias("sum_L"))
+    even = F.col("sum_L") == F.col("full_L") * (F.col("shards") - 1) + F.col("L")
+    shape = shape.filter(F.assert_true(even & (F.col("most") == F.col("full_L")), F.lit("shards before the last must have one length")).isNull())
+    tail = rank_shards(shape.select("split", F.col("first").alias("shard_index"), "L"), BT, P)
+    full = rank_shards(shape.select("split", F.col("first").alias("shard_index"), F.col("full_L").alias("L")), BT, P)
+    ranks = (full.select("split", "rank", F.col("nb").alias("nb_full"), F.col("shard_index").alias("first"))
+             .join(tail.select("split", "rank", F.col("nb").alias("nb_last")), ["split", "rank"])
+             .join(shape.select("split", "shards"), "split")
+             .withColumn("per_epoch", F.col("nb_full") * (F.col("shards") - 1) + F.col("nb_last")).filter("per_epoch > 0"))
+    at = wanted.join(F.broadcast(ranks), ["split", "rank"])  # at most two splits times P rows
+    local = F.col("batch_no") % F.col("per_epoch")
+    shard = F.least(idiv(local, F.greatest(F.col("nb_full"), F.lit(1))), F.col("shards") - 1)
+    at = at.withColumn("nth", shard).withColumn("j", local - shard * F.col("nb_full"))
+    return at.select(*wanted.columns, idiv(F.col("batch_no"), F.col("per_epoch")).alias("epoch"),
+                     (F.col("first") + F.col("nth")).cast("bigint").alias("shard_index"), (F.col("rank") + F.col("j") * P).alias("slot"))
+
+
 def epoch_totals(schedule: DataFrame) -> DataFrame:
     """Batches per rank in one pass over the split."""
     return schedule.groupBy("split", "rank").agg(F.count(F.lit(1)).cast("bigint").alias("per_epoch"))
@@ -91,103 +129,95 @@ def wrap_batches(schedule: DataFrame, wanted: DataFrame) -> DataFrame:
     return w.join(sched, ["split", "rank", "local_no"]).drop("per_epoch")
 
 
-def slot_buffers(segments: DataFrame, BT: int, wanted: DataFrame | None = None) -> DataFrame:
-    """``(split, shard_index, slot, buf)`` with ``buf`` = BT+1 tokens from ``slot*BT``.
+def slot_table(segments: DataFrame, BT: int) -> DataFrame:
+    """``(split, shard_index, slot, buf)`` with ``buf`` = BT+1 packed tokens from ``slot*BT`` (fewer at a shard's end).
 
-    Each segment is exploded only to the slots it touches; the regroup is a
-    bounded group (BT+1 tokens) and the pieces are ordered by position.
-    ``wanted`` (split, shard_index, slot) keeps only those slots, before
-    anything is regrouped.
+    Each segment is cut to the slots it touches; the regroup is a bounded
+    group (BT+1 tokens).  Neighbouring slots go to one task, so that the
+    written table is clustered.
     """
-    first = F.greatest(F.lit(0).cast("bigint"), idiv(F.col("pos") - 1, BT))
-    first = F.when(F.col("pos") == 0, F.lit(0).cast("bigint")).otherwise(first)
+    first = F.when(F.col("pos") == 0, F.lit(0).cast("bigint")).otherwise(idiv(F.col("pos") - 1, BT))
     last = idiv(F.col("pos") + F.col("n") - 1, BT)
-    d = segments.select("split", "shard_index", "pos", "n", "ids",
-                        F.explode(F.sequence(first, last)).alias("slot"))
-    if wanted is not None:
-        d = d.join(wanted, ["split", "shard_index", "slot"], "left_semi")
+    d = segments.select("split", "shard_index", "pos", "n", "data", F.explode(F.sequence(first, last)).alias("slot"))
     lo = F.greatest(F.col("pos"), F.col("slot") * BT)
     hi = F.least(F.col("pos") + F.col("n"), F.col("slot") * BT + BT + 1)
-    piece = F.slice("ids", (lo - F.col("pos") + 1).cast("int"), (hi - lo).cast("int"))
-    d = d.select("split", "shard_index", "slot", lo.alias("p"), piece.alias("piece"))
-    g = d.groupBy("split", "shard_index", "slot").agg(
-        F.array_sort(F.collect_list(F.struct("p", "piece"))).alias("parts"))
-    return g.select("split", "shard_index", "slot",
-                    F.flatten(F.transform("parts", lambda s: s["piece"])).alias("buf"))
+    block = idiv(F.col("slot"), max(1, TOKENS_PER_BLOCK // BT))
+    d = d.select("split", "shard_index", block.alias("block"), "slot", lo.alias("p"), take(F.col("data"), lo - F.col("pos"), hi - lo).alias("piece"))
+    # rows of a block meet in one task, which then needs no further exchange to group its slots
+    return (d.repartition("split", "shard_index", "block").groupBy("split", "shard_index", "block", "slot")
+            .agg(joined("piece", "p").alias("buf")).drop("block"))
+
 
+def write_slots(segments: DataFrame, BT: int, path: str) -> str:
+    """The slot table as parquet, by split and sorted by shard and slot."""
+    (slot_table(segments, BT).sortWithinPartitions("split", "shard_index", "slot")
+     .write.mode("overwrite").partitionBy("split").parquet(path))
+    return path
 
-def batches(segments: DataFrame, schedule: DataFrame, BT: int) -> DataFrame:
-    """``(split, rank, batch_no, shard_index, slot, x, y)``; y = x shifted by one."""
-    bufs = slot_buffers(segments, BT)
-    b = schedule.join(bufs, ["split", "shard_index", "slot"])
-    return b.select("split", "rank", "batch_no", "shard_index", "slot",
-                    F.slice("buf", 1, BT).alias("x"), F.slice("buf", 2, BT).alias("y"))
+
+def batches(slots: DataFrame, lengths: DataFrame, BT: int, P: int) -> DataFrame:
+    """``(split, rank, batch_no, shard_index, slot, x, y)`` of one epoch, packed; y = x shifted by one.
+
+    A narrow pass over the slot table: rank and batch follow from the slot and
+    the (rank, shard) table.
+    """
+    served = broadcast_if_small(rank_prefix(lengths, BT, P).select("split", "shard_index", "rank", "nb", "first_batch"), PLAN_BROADCAST_ROWS)
+    s = (slots.withColumn("rank", F.col("slot") % P).withColumn("j", idiv(F.col("slot"), P))
+         .join(served, ["split", "shard_index", "rank"]).filter(F.col("j") < F.col("nb")))
+    return s.select("split", "rank", (F.col("first_batch") + F.col("j")).alias("batch_no"), "shard_index", "slot",
+                    take(F.col("buf"), 0, BT).alias("x"), take(F.col("buf"), 1, BT).alias("y"))
 
 
 def batch_rows(batch_df: DataFrame, B: int, T: int) -> DataFrame:
     """Reshape every batch to B rows of T tokens."""
-    rows = F.transform(F.sequence(F.lit(0), F.lit(B - 1)),
-                       lambda i: F.struct(F.slice("x", i * T + 1, T).alias("x"),
-                                          F.slice("y", i * T + 1, T).alias("y")))
-    d = batch_df.select(*[c for c in batch_df.columns if c not in ("x", "y")],
-                        F.posexplode(rows).alias("row", "r"))
+    rows = F.array(*[F.struct(take(F.col("x"), i * T, T).alias("x"), take(F.col("y"), i * T, T).alias("y")) for i in range(B)])
+    d = batch_df.select(*[c for c in batch_df.columns if c not in ("x", "y")], F.posexplode(rows).alias("row", "r"))
     return d.select(*[c for c in d.columns if c != "r"], F.col("r.x").alias("x"), F.col("r.y").alias("y"))
 
 
-def token_pairs(batch_df: DataFrame, *keys: str) -> DataFrame:
-    """One row per (x, y) position of every batch, keeping ``keys``."""
-    z = F.explode(F.arrays_zip(F.col("x").alias("x"), F.col("y").alias("y")))
-    d = batch_df.select(*keys, z.alias("z"))
-    return d.select(*keys, F.col("z.x").cast("bigint").alias("x"), F.col("z.y").cast("bigint").alias("y"))
-
-
-def pair_counts(batch_df: DataFrame, *keys: str) -> DataFrame:
-    """(keys..., x, y, cnt): pairs aggregated with map-side combine."""
-    return token_pairs(batch_df, *keys).groupBy(*keys, "x", "y").agg(
-        F.count(F.lit(1)).cast("bigint").alias("cnt"))
+def _pair_kernel(keys: list[str]):
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for rb in batches:
+            ids, starts, n = flat_ids(rb.column(rb.schema.get_field_index("buf")))
+            if not len(n):
+                continue
+            own = [rb.column(rb.schema.get_field_index(k)) for k in keys]
+            first: dict = {}
+            group = np.array([first.setdefault(k, (len(first), i))[0] for i, k in enumerate(zip(*[c.to_pylist() for c in own]))], np.int64)
+            # every place but the last of a row is a pair's x
+            at = np.delete(np.arange(len(ids)), (starts + n - 1)[n > 0])
+            pairs = np.maximum(n - 1, 0)
+            code, count = np.unique((np.repeat(group, pairs) << 32) | (ids[at] << 16) | ids[at + 1], return_counts=True)
+            rows = np.array([i for _, i in first.values()], np.int64)[code >> 32]
+            yield pa.RecordBatch.from_arrays(
+                [*(c.take(pa.array(rows)) for c in own), pa.array((code >> 16) & 0xFFFF), pa.array(code & 0xFFFF), pa.array(count, pa.int64())],
+                names=[*keys, "x", "y", "cnt"])
+    return run
+
+
+def pair_counts(planned: DataFrame, *keys: str) -> DataFrame:
+    """``(keys..., x, y, cnt)``: next-token pairs inside the buffers ``buf`` of every row, counted.
+
+    Pairs are counted in the scan's tasks, a batch of rows at a time, and only
+    counts are shuffled.
+    """
+    fields = {f.name: f.dataType.simpleString() for f in planned.schema}
+    schema = ", ".join([*(f"{k} {fields[k]}" for k in keys), "x bigint, y bigint, cnt bigint"])
+    return (planned.select(*keys, "buf").mapInArrow(_pair_kernel(list(keys)), schema)
+            .groupBy(*keys, "x", "y").agg(F.sum("cnt").cast("bigint").alias("cnt")))
 
 
-def slot_pairs(segments: DataFrame, BT: int) -> DataFrame:
-    """B4 without buffers: ``(split, shard_index, slot, x, y)``, one row per pair.
+def planned_slots(slots: DataFrame, plan: DataFrame, *keys: str) -> DataFrame:
+    """The buffers of every planned batch ``(split, shard_index, slot, keys...)``; a slot planned twice comes twice.
 
-    The pair at shard position ``p`` (``x`` at ``p``, ``y`` at ``p+1``) belongs
-    to slot ``p div BT``.  Pairs inside a segment come from a narrow
-    ``posexplode``; the pair across two neighbouring segments comes from an
-    equi-join of segment ends to segment starts (one small row per segment).
+    The plan has one row per batch: broadcast when it is small enough, so the
+    slot table is scanned where it lies.
     """
-    n = F.col("n")
-    inner = segments.select(
-        "split", "shard_index", "pos",
-        F.posexplode(F.arrays_zip(F.slice("ids", 1, (n - 1).cast("int")).alias("x"),
-                                  F.slice("ids", 2, (n - 1).cast("int")).alias("y"))).alias("i", "z"))
-    inner = inner.select("split", "shard_index", idiv(F.col("pos") + F.col("i"), BT).alias("slot"),
-                         F.col("z.x").cast("bigint").alias("x"), F.col("z.y").cast("bigint").alias("y"))
-    has_ends = "first_id" in segments.columns and "last_id" in segments.columns
-    last = F.col("last_id") if has_ends else F.element_at("ids", -1)
-    first = F.col("first_id") if has_ends else F.element_at("ids", 1)
-    ends = segments.select("split", "shard_index", (F.col("pos") + n).alias("at"),
-                           idiv(F.col("pos") + n - 1, BT).alias("slot"),
-                           last.cast("bigint").alias("x"))
-    starts = segments.select("split", "shard_index", F.col("pos").alias("at"),
-                             first.cast("bigint").alias("y"))
-    border = ends.join(starts, ["split", "shard_index", "at"]).select(
-        "split", "shard_index", "slot", "x", "y")
-    return inner.unionByName(border)
-
-
-def plan_pair_counts(pairs: DataFrame, plan: DataFrame, *keys: str) -> DataFrame:
-    """``(keys..., x, y, cnt)``: pairs of every planned batch, counted.
-
-    A slot planned twice (epoch wrap) counts twice.  The plan has one row
-    per batch; the aggregation combines map-side before its shuffle.
-    """
-    from tokenweave.functions.common import broadcast_if_small
-
-    # one row per planned batch: broadcast when the plan is small enough, so
-    # the token-level pairs are never shuffled for this join
     sel = broadcast_if_small(plan.select("split", "shard_index", "slot", *keys), PLAN_BROADCAST_ROWS)
-    return (pairs.join(sel, ["split", "shard_index", "slot"])
-            .groupBy(*keys, "x", "y").agg(F.count(F.lit(1)).cast("bigint").alias("cnt")))
+    return slots.join(sel, ["split", "shard_index", "slot"])
 
 
 def dropped_tail(lengths: DataFrame, BT: int, P: int) -> DataFrame:
@@ -228,26 +258,3 @@ def val_plan(schedule: DataFrame, val_batches: int, ranks: int) -> DataFrame:
     """The first ``val_batches`` batches of every rank after a reset."""
     return wrap_batches(schedule, _wanted(schedule, val_batches, ranks)).select("split", "rank", "batch_no", "epoch",
                                                  "shard_index", "slot")
-
-
-def planned_batches(segments: DataFrame, plan: DataFrame, BT: int) -> DataFrame:
-    """Token buffers for a plan (``split, rank, batch_no, shard_index, slot, ...``)."""
-    from tokenweave.functions.common import broadcast_if_small
-
-    wanted = broadcast_if_small(plan.select("split", "shard_index", "slot").distinct(), PLAN_BROADCAST_ROWS)
-    bufs = slot_buffers(segments, BT, wanted)
-    b = plan.join(bufs, ["split", "shard_index", "slot"])
-    extra = [c for c in plan.columns if c not in ("split", "shard_index", "slot")]
-    return b.select("split", "shard_index", "slot", *extra,
-                    F.slice("buf", 1, BT).alias("x"), F.slice("buf", 2, BT).alias("y"))
-
-
-def array_sum(col: str) -> Column:
-    return F.aggregate(F.col(col), F.lit(0).cast("bigint"), lambda a, v: a + v)
-
-
-def array_wsum(col: str) -> Column:
-    """Position-weighted sum ``sum(v * (i % 1009 + 1))`` (order-sensitive digest)."""
-    return F.aggregate(F.zip_with(F.col(col), F.sequence(F.lit(0), F.size(col) - 1),
-                                  lambda v, i: v.cast("bigint") * (i % 1009 + 1)),
-                       F.lit(0).cast("bigint"), lambda a, v: a + v)

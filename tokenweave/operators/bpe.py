@@ -254,10 +254,3 @@ def load_ranks(path: str) -> list[bytes]:
     if [r for r, _ in pairs] != list(range(len(pairs))):
         raise ValueError(f"ranks of {path} must be dense from 0")
     return [t for _, t in pairs]
-
-
-def decode_ranks(ids: Column, table: list[bytes]) -> Column:
-    """T5 under a given rank table: ids -> UTF-8 bytes, without end-of-text."""
-    vocab = F.split(F.lit(" ".join(t.hex() for t in table)), " ")
-    own = F.filter(ids, lambda x: x < len(table))
-    return F.unhex(F.array_join(F.transform(own, lambda x: F.element_at(vocab, x + 1)), ""))

@@ -73,7 +73,7 @@ def frequent_pieces(dictionary: DataFrame, limit: int) -> int:
     A histogram of at most 64 rows decides; no pieces are sorted.
     """
     level = F.floor(F.log2(F.col("cnt").cast("double"))).cast("int").alias("level")
-    total, least = 0, 63
+    total, least = 0, 62
     for r in sorted(dictionary.groupBy(level).count().collect(), key=lambda r: -r["level"]):
         total += r["count"]
         if total > limit:

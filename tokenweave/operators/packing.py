@@ -1,4 +1,4 @@
-"""Global offsets by a two-level prefix sum, and shard cutting.
+"""Shard cutting over global offsets.
 
 The reference folds documents one by one into a 1e8-token buffer.  Here the
 fold disappears: a document with ``n`` tokens starting at global offset
@@ -6,81 +6,19 @@ fold disappears: a document with ``n`` tokens starting at global offset
 ``[max(off, s*S), min(off+n, (s+1)*S))`` of shard ``s``, so cutting is one
 ``explode`` over a short sequence, all inside one codegen stage.
 
-The offsets themselves are a running sum in ``doc_id`` order.  A single
-``sum() over (order by doc_id)`` would move every document to one task, so
-it runs in two levels:
-
-1. Buckets are ranges of the key between observed quantiles, so each holds
-   about ``ROWS_PER_BUCKET`` documents whatever the keys look like (sparse,
-   hashed, with outliers); a window partitioned by bucket gives the offset
-   inside the bucket (one hash exchange).
-2. Bucket totals get their own running sum; there are at most ``MAX_BUCKETS``
-   of them, which bounds the broadcast of the bucket bases.
-
-Order: key, then length and token hash among equal keys; null keys come last.
+The offsets themselves are a running sum in ``doc_id`` order, made by the
+tree scan of ``prefix.ordered_offsets``: a single ``sum() over (order by
+doc_id)`` would move every document to one task.  Order: key, then length and
+content among equal keys; null keys come last.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tokenweave.functions.common import idiv, shard_label
-
-MAX_BUCKETS = 65_536
-ROWS_PER_BUCKET = 16_384
-_COARSE = 256
-
-
-def key_bounds(docs: DataFrame, key: str = "doc_id", max_buckets: int = MAX_BUCKETS,
-               rows_per_bucket: int = ROWS_PER_BUCKET) -> list[float]:
-    """Upper bounds of the key buckets: quantiles observed in one pass over the key column."""
-    n = docs.count()
-    buckets = min(max_buckets, -(-n // rows_per_bucket))
-    if buckets <= 1:
-        return []
-    cuts = [i / buckets for i in range(1, buckets)]
-    found = docs.select(F.col(key).cast("double").alias("k")).approxQuantile("k", cuts, 0.25 / buckets)
-    return sorted(set(found))
-
-
-def bucket_of(key: Column, bounds: list[float]) -> Column:
-    """Number of bounds below the key, found in two steps; null keys go after the last bucket."""
-    k = key.cast("double")  # monotonic, so equal keys share a bucket and order is kept
-    if not bounds:
-        return F.when(k.isNull(), F.lit(1)).otherwise(F.lit(0))
-    array = lambda xs: F.array(*[F.lit(float(x)) for x in xs])
-    block = F.size(F.filter(array(bounds[::_COARSE]), lambda b: b < k))
-    under = F.greatest(block - 1, F.lit(0)) * _COARSE
-    fine = F.size(F.filter(F.slice(array(bounds), under + 1, F.lit(_COARSE)), lambda b: b < k))
-    return F.when(k.isNull(), F.lit(len(bounds) + 1)).otherwise(under + fine)
-
-
-def doc_offsets(rows: DataFrame, bounds: list[float], key: str = "doc_id",
-                lengths: DataFrame | None = None) -> DataFrame:
-    """Add ``off`` (tokens before this document in key order) to every row.
-
-    ``rows`` needs ``key`` and ``n``; any other columns (e.g. the token
-    arrays) ride along, so the tokens are shuffled exactly once.  ``lengths``
-    (``key``, ``n``), when given, is a cheaper plan of the same lengths
-    (e.g. JVM-only, without the encoder) used for the bucket totals, so the
-    expensive branch is not computed twice.
-    """
-    bucket = bucket_of(F.col(key), bounds)
-    d = rows.withColumn("bucket", bucket)
-    ties = ["n", *([F.xxhash64("ids")] if "ids" in rows.columns else [])]
-    inner_w = (Window.partitionBy("bucket").orderBy(F.col(key).asc_nulls_last(), *ties)
-               .rowsBetween(Window.unboundedPreceding, -1))
-    d = d.withColumn("off_in", F.coalesce(F.sum("n").over(inner_w), F.lit(0)).cast("bigint"))
-    src = d if lengths is None else lengths.withColumn("bucket", bucket)
-    # Partial aggregation per task: only (bucket, partial sum) rows are shuffled.
-    totals = src.groupBy("bucket").agg(F.sum("n").cast("bigint").alias("bucket_n"))
-    # One row per bucket, at most MAX_BUCKETS + 1 rows: a single-partition window is fine.
-    base_w = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    bases = totals.select("bucket", F.coalesce(F.sum("bucket_n").over(base_w), F.lit(0))
-                          .cast("bigint").alias("base"))
-    out = d.join(F.broadcast(bases), "bucket")
-    return out.withColumn("off", F.col("base") + F.col("off_in")).drop("base", "off_in")
+from tokenweave.operators.packed import digests, id_at, take
 
 
 def cut_segments(offsets: DataFrame, shard_size: int) -> DataFrame:
@@ -111,6 +49,10 @@ def cut_segments(offsets: DataFrame, shard_size: int) -> DataFrame:
                  # two small columns instead of the token arrays
                  F.element_at("ids", (a - F.col("off") + 1).cast("int")).alias("first_id"),
                  F.element_at("ids", (b - F.col("off")).cast("int")).alias("last_id")]
+    if "data" in offsets.columns:
+        piece = take(F.col("data"), a - F.col("off"), b - a)
+        cols += [piece.alias("data"), id_at(F.col("data"), a - F.col("off")).alias("first_id"),
+                 id_at(F.col("data"), b - F.col("off") - 1).alias("last_id")]
     return d.select(*cols)
 
 
@@ -125,20 +67,14 @@ def shard_manifest(segments: DataFrame, prefix: str = "corpus") -> DataFrame:
 
 
 def shard_token_checksum(segments: DataFrame) -> DataFrame:
-    """Per shard, a position-weighted checksum of the ordered token stream.
+    """Per shard, a position-weighted checksum of the ordered token stream of packed segments.
 
     ``sum(id * ((pos + i) % 1009))`` over every token proves that each token
     sits at its place in the shard, without building the shard array.
     """
-    weighted = F.aggregate(
-        F.zip_with(F.col("ids"), F.sequence(F.lit(0), F.size("ids") - 1),
-                   lambda t, i: t.cast("bigint") * ((F.col("pos") + i) % 1009)),
-        F.lit(0).cast("bigint"), lambda acc, v: acc + v)
-    return (segments.groupBy("split", "shard_index")
-            .agg(F.sum(weighted).cast("bigint").alias("checksum"),
-                 F.sum(F.aggregate("ids", F.lit(0).cast("bigint"), lambda acc, v: acc + v))
-                 .cast("bigint").alias("id_sum"),
-                 F.sum("n").cast("bigint").alias("n_tokens")))
+    sums = digests(segments.select("split", "shard_index", "pos", "n", "data"), {"checksum": ("data", "at"), "id_sum": ("data", "sum")})
+    return sums.groupBy("split", "shard_index").agg(
+        *[F.sum(c).cast("bigint").alias(o) for c, o in (("checksum", "checksum"), ("id_sum", "id_sum"), ("n", "n_tokens"))])
 
 
 def segment_group_totals(segments: DataFrame) -> DataFrame:

@@ -122,14 +122,15 @@ def candidate_arrays(table: DataFrame) -> DataFrame:
     return table.groupBy("x").agg(F.collect_list(F.struct("y", "p")).alias("cands"))
 
 
-def generate(prompts: DataFrame, table: DataFrame, num_sequences: int, max_length: int, seed: str,
-             max_contexts: int = 65_537, checkpoint_every: int = 8) -> DataFrame:
-    """``(item_id, seq, ids)``, each prompt continued to ``max_length`` ids, itself included.
+def generate(prompts: DataFrame, table: DataFrame, num_sequences: int, max_length: int | None, seed: str,
+             max_contexts: int = 65_537, checkpoint_every: int = 8, new_tokens: int | None = None) -> DataFrame:
+    """``(item_id, seq, ids)``, each prompt continued to ``max_length`` ids, itself included, or by ``new_tokens``.
 
     Each prompt ``(item_id, ids)`` is replicated ``num_sequences`` times
     (explode, G1).  A step looks up the candidates of the last token (G2, G4),
     draws one (G5/G6) and appends it (G7), until the sequence has
-    ``max_length`` ids; a longer prompt is cut to that length.  A context has
+    ``max_length`` ids; a longer prompt is cut to that length (with
+    ``new_tokens`` every prompt is kept whole and continued).  A context has
     its candidates in one row, so a step is a lookup in a table of at most
     ``max_contexts`` rows (one per token id; its size is checked before it is
     broadcast, beyond it the lookup is a shuffle join) and a draw inside the
@@ -143,16 +144,20 @@ def generate(prompts: DataFrame, table: DataFrame, num_sequences: int, max_lengt
                              65_536, "candidates of an unseen context")
     fallback = F.array(*[F.struct(F.lit(int(r["y"])).cast("bigint").alias("y"), F.lit(float(r["p"])).alias("p")) for r in unseen])
     lookup = broadcast_if_small(rows, max_contexts)
+    if (max_length is None) == (new_tokens is None):
+        raise ValueError("give either max_length or new_tokens")
+    own = F.col("ids") if max_length is None else F.slice("ids", 1, max_length)
+    end = F.size(own) + new_tokens if max_length is None else F.lit(max_length)
     seqs = prompts.select("item_id", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(num_sequences - 1).cast("bigint"))).alias("seq"),
-                          F.slice("ids", 1, max_length).cast("array<bigint>").alias("ids"))
-    shortest = prompts.agg(F.min(F.size("ids"))).first()[0]
-    for t in range(max_length - shortest if shortest is not None else 0):
+                          own.cast("array<bigint>").alias("ids"), end.alias("end"))
+    steps = seqs.agg(F.max(F.col("end") - F.size("ids"))).first()[0] or 0
+    for t in range(steps):
         x = F.get(F.col("ids"), F.size("ids") - 1)
         step = seqs.withColumn("x", x).join(lookup, "x", "left").withColumn("cands", F.coalesce("cands", fallback))
         key = lambda c: gumbel_key(c["p"], uniform_hash(F.lit(seed), F.col("item_id"), F.col("seq"), F.lit(t), c["y"]))  # noqa: B023, E731
         best = F.array_max(F.transform("cands", lambda c: F.struct(key(c).alias("key"), c["y"].alias("y"))))  # noqa: B023
-        seqs = step.select("item_id", "seq", F.when(F.size("ids") < max_length, F.concat("ids", F.array(best["y"])))
-                           .otherwise(F.col("ids")).alias("ids"))
+        seqs = step.select("item_id", "seq", F.when(F.size("ids") < F.col("end"), F.concat("ids", F.array(best["y"])))
+                           .otherwise(F.col("ids")).alias("ids"), "end")
         if (t + 1) % checkpoint_every == 0:
             seqs = cut_lineage(seqs)
-    return seqs
+    return seqs.drop("end")

@@ -128,7 +128,7 @@ def _words_kernel(vocab_bc, unk: int, eot: int):
     return run
 
 
-def _bytes_kernel(eot: int | None):
+def bytes_kernel(eot: int | None = BYTE_EOT):
     def run(batches):
         import numpy as np
         import pyarrow as pa
@@ -171,7 +171,7 @@ def encode_words(docs: DataFrame, vocab: DataFrame, vocab_size: int) -> DataFram
 
 def encode_bytes(docs: DataFrame, eot: bool = True) -> DataFrame:
     """T8 bytes mode: ids are the UTF-8 bytes, end-of-text 256 first (prompts have none: ``eot=False``)."""
-    return docs.select("doc_id", "text").mapInArrow(_bytes_kernel(BYTE_EOT if eot else None), TOKENS_SCHEMA)
+    return docs.select("doc_id", "text").mapInArrow(bytes_kernel(BYTE_EOT if eot else None), TOKENS_SCHEMA)
 
 
 # ---------------------------------------------------------------- decoding
@@ -188,12 +188,6 @@ def decode_bytes(seqs: DataFrame, ids: str = "ids", max_length: int | None = Non
     return F.decode(F.unhex(hexed), "UTF-8")
 
 
-def bytes_of(ids: Column) -> Column:
-    """T5 bytes mode as binary: the bytes of the ids, without end-of-text."""
-    own = F.filter(ids, lambda x: x < BYTE_EOT)
-    return F.unhex(F.array_join(F.transform(own, lambda x: F.lpad(F.hex(x), 2, "0")), ""))
-
-
 def vocab_array(words: list[str]) -> Column:
     """A literal ARRAY<STRING> of the vocabulary, indexable by id + 1.
 

@@ -7,6 +7,8 @@ from dataclasses import dataclass, replace
 from tokenweave.functions.common import TOKEN_ID_LIMIT
 
 SPLITS = ("train", "val")
+TOKEN_MODES = ("bytes", "ranks")
+RANK_FILE_CONF = "spark.tokenweave.rank.file"
 
 
 @dataclass(frozen=True)
@@ -16,7 +18,7 @@ class PackParams:
     Defaults are the small-scale stand-ins used by the tests and the
     registered queries (shard of 150,000 byte tokens instead of 1e8, B=4,
     T=384 instead of 8, 1024, four readers).  The pipeline runs on lossless
-    ids: UTF-8 bytes, or a byte-pair rank table.  The word vocabulary (T7) is
+    ids: UTF-8 bytes, or byte pairs of a given rank table (``RANKED``).  The word vocabulary (T7) is
     capped and serves counts and decoding only.
     """
 
@@ -24,6 +26,7 @@ class PackParams:
     B: int = 4
     T: int = 384
     ranks: int = 4
+    tokens: str = "bytes"  # or "ranks"
     vocab_size: int = 257  # ids of the pipeline's tokens: 256 bytes and end-of-text
     word_vocab_size: int = 20_000  # words mode: id V-2 = unknown, V-1 = end-of-text
     total_batch: int = 98_304
@@ -33,13 +36,12 @@ class PackParams:
     checkpoint_every: int = 10
     top_k: int = 50
     num_sequences: int = 10
-    max_length: int = 30  # of a generated sequence, its prompt included
-    prompt_words: int = 4
+    new_tokens: int = 30  # that a generated sequence adds to its prompt
     seed: str = "42"
     bpe_merges: int = 24
     stream_files: int = 4
     shard_prefix: str = "corpus"
-    rank_file: str = "/opt/tokenizers/byte_bpe_50k.tiktoken"  # byte-pair ranks, read on the driver
+    rank_file: str | None = None  # byte-pair ranks, read on the driver; None: see ``rank_path``
 
     @property
     def BT(self) -> int:
@@ -62,6 +64,8 @@ class PackParams:
         return replace(self, **kw)
 
     def validate(self) -> "PackParams":
+        if self.tokens not in TOKEN_MODES:
+            raise ValueError(f"tokens must be one of {TOKEN_MODES}")
         if self.shard_size <= 0:
             raise ValueError("shard_size must be positive")
         if self.B <= 0 or self.T <= 0 or self.ranks <= 0:
@@ -73,6 +77,22 @@ class PackParams:
         return self
 
 
+# The chain on byte pairs: 50,256 ranks and end-of-text; a token holds about two and a half bytes of the test tables.
+RANKED = PackParams(tokens="ranks", vocab_size=50_257, shard_size=50_000, T=128, total_batch=32_768)
+
+
+def rank_path(params: PackParams, spark=None) -> str:
+    """The rank file: the parameter, else the session's setting, else the one of the installed vocabularies."""
+    path = params.rank_file or (spark and spark.conf.get(RANK_FILE_CONF, None))
+    if path:
+        return path
+    try:
+        import public_tokenizers
+    except ImportError:
+        raise ValueError(f"no rank file: set PackParams.rank_file or {RANK_FILE_CONF}") from None
+    return public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
 def check_split(split: str) -> str:
     """only the two known splits exist."""
     if split not in SPLITS:

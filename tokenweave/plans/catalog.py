@@ -1,8 +1,10 @@
 """Registered queries: one function per operator key of the survey.
 
 Every function takes ``(spark, sf_dir)`` and returns a DataFrame whose
-columns are scalars (arrays are summarised by sums and position-weighted
-digests) so results can be compared row by row with the SQL oracle.
+columns are scalars (tokens are summarised by sums and position-weighted
+digests) so results can be compared row by row with the SQL oracle.  Queries
+of the chain take the run's parameters too and are registered twice: over
+byte tokens, and as ``bpe_...`` over byte pairs of the given rank table.
 """
 
 from __future__ import annotations
@@ -12,8 +14,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenweave.operators import batching, evaluate, packing, sampling, tokens
-from tokenweave.plans.run import get_run
+from tokenweave.operators import batching, bpe, evaluate, packed, packing, sampling, tokens
+from tokenweave.params import RANKED
+from tokenweave.plans.run import DEFAULT_PARAMS, get_run
+from tokenweave.session import hadoop_path
 from tokenweave.sources import metrics as metrics_io
 from tokenweave.sources import shards as shard_io
 from tokenweave.sources.corpus import corpus_scan as _corpus_scan
@@ -21,10 +25,6 @@ from tokenweave.sources.corpus import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-asum = batching.array_sum
-awsum = batching.array_wsum
-
-
 # ---------------------------------------------------------------- M1: minimum slice
 
 def q_corpus_scan(spark, sf):
@@ -41,20 +41,19 @@ def q_doc_token_lengths(spark, sf):
 
 
 def q_doc_offsets(spark, sf):
-    run = get_run(spark, sf)
-    return packing.doc_offsets(tokens.byte_token_lengths(run.docs), run.bounds).select("doc_id", "n", "off")
+    return get_run(spark, sf).doc_offsets
 
 
 def q_shard_segments(spark, sf):
-    seg = get_run(spark, sf).segments
-    return seg.select("split", "shard_index", "pos", "doc_id", "src", "n", "doc_n",
-                      asum("ids").alias("id_sum"),
-                      F.col("first_id").cast("bigint").alias("first_id"),
-                      F.col("last_id").cast("bigint").alias("last_id"))
+    run = get_run(spark, sf)
+    seg = run.segments().withColumn("shard_index", F.col("shard_index").cast("bigint"))
+    return packed.digests(seg, {"id_sum": ("data", "sum")}).select(
+        "split", "shard_index", "pos", "doc_id", "src", "n", "doc_n", "id_sum",
+        F.col("first_id").cast("bigint").alias("first_id"), F.col("last_id").cast("bigint").alias("last_id"))
 
 
-def q_shard_manifest(spark, sf):
-    run = get_run(spark, sf)
+def q_shard_manifest(spark, sf, p=DEFAULT_PARAMS):
+    run = get_run(spark, sf, p)
     return packing.shard_manifest(run.layout, run.p.shard_prefix)
 
 
@@ -70,11 +69,11 @@ def q_byte_token_lengths(spark, sf):
 
 def q_token_range_check(spark, sf):
     run = get_run(spark, sf)
-    return tokens.token_range_report(tokens.assert_token_range(run.doc_tokens))
+    return tokens.token_range_report(tokens.assert_token_range(tokens.encode_bytes(run.docs)))
 
 
 def q_shard_token_checksum(spark, sf):
-    return packing.shard_token_checksum(get_run(spark, sf).segments)
+    return packing.shard_token_checksum(get_run(spark, sf).segments())
 
 
 def q_list_shards(spark, sf):
@@ -85,9 +84,8 @@ def q_list_shards(spark, sf):
 def q_load_shard_tokens(spark, sf):
     run = get_run(spark, sf)
     seg = shard_io.load_shard_tokens(spark, run.shards_path)
-    return seg.select("split", "shard_index", "pos", "doc_id", "n",
-                      asum("ids").alias("id_sum"),
-                      F.element_at("ids", -1).alias("last_id"))
+    total = F.aggregate("ids", F.lit(0).cast("bigint"), lambda a, v: a + v)
+    return seg.select("split", "shard_index", "pos", "doc_id", "n", total.alias("id_sum"), F.element_at("ids", -1).alias("last_id"))
 
 
 # ---------------------------------------------------------------- M3: batching
@@ -96,34 +94,37 @@ def q_batch_schedule(spark, sf):
     return get_run(spark, sf).schedule()
 
 
-def _epoch_batches(run):
-    """Every batch of one epoch, of both splits."""
-    return batching.batches(run.split_segments(), run.schedule(), run.p.BT)
-
-
-def q_batches(spark, sf):
-    b = _epoch_batches(get_run(spark, sf))
-    return b.select("split", "rank", "batch_no", "shard_index", "slot",
-                    asum("x").alias("x_sum"), asum("y").alias("y_sum"),
-                    awsum("x").alias("x_wsum"), awsum("y").alias("y_wsum"))
+def q_batches(spark, sf, p=DEFAULT_PARAMS):
+    return packed.digests(get_run(spark, sf, p).batches(), {
+        "x_sum": ("x", "sum"), "y_sum": ("y", "sum"), "x_wsum": ("x", "wsum"), "y_wsum": ("y", "wsum")})
 
 
 def q_batch_rows(spark, sf):
     run = get_run(spark, sf)
-    r = batching.batch_rows(_epoch_batches(run), run.p.B, run.p.T)
-    return r.select("split", "rank", "batch_no", F.col("row").cast("bigint").alias("row"),
-                    asum("x").alias("x_sum"), awsum("y").alias("y_wsum"))
+    r = batching.batch_rows(run.batches(), run.p.B, run.p.T)
+    return packed.digests(r, {"x_sum": ("x", "sum"), "y_wsum": ("y", "wsum")}).select(
+        "split", "rank", "batch_no", F.col("row").cast("bigint").alias("row"), "x_sum", "y_wsum")
 
 
-def q_next_token_pairs(spark, sf):
-    return batching.pair_counts(_epoch_batches(get_run(spark, sf)), "split")
+def q_next_token_pairs(spark, sf, p=DEFAULT_PARAMS):
+    run = get_run(spark, sf, p)
+    return batching.pair_counts(batching.planned_slots(run.slots(), run.schedule()), "split")
 
 
 def q_val_batches(spark, sf):
     run = get_run(spark, sf)
-    b = run.plan_batches("val", run.val_plan)
-    return b.select("rank", "batch_no", "epoch", "shard_index", "slot",
-                    asum("x").alias("x_sum"), awsum("y").alias("y_wsum"))
+    b = batching.planned_slots(run.slots("val"), run.val_plan, "rank", "batch_no", "epoch")
+    x, y = packed.take(F.col("buf"), 0, run.p.BT), packed.take(F.col("buf"), 1, run.p.BT)
+    return packed.digests(b.select("rank", "batch_no", "epoch", "shard_index", "slot", x.alias("x"), y.alias("y")),
+                          {"x_sum": ("x", "sum"), "y_wsum": ("y", "wsum")})
+
+
+def q_locate_batches(spark, sf):
+    """Where the batches of three epochs are read, each found on its own."""
+    run = get_run(spark, sf)
+    per = batching.epoch_totals(run.schedule())
+    wanted = per.select("split", "rank", F.explode(F.sequence(F.lit(0).cast("bigint"), 3 * F.col("per_epoch") - 1)).alias("batch_no"))
+    return batching.locate_batches(wanted, run.lengths, run.p.BT, run.p.ranks)
 
 
 def q_accumulation_plan(spark, sf):
@@ -151,8 +152,8 @@ def q_tokens_per_step(spark, sf):
 
 # ---------------------------------------------------------------- M4: evaluation
 
-def q_ngram_model(spark, sf):
-    run = get_run(spark, sf)
+def q_ngram_model(spark, sf, p=DEFAULT_PARAMS):
+    run = get_run(spark, sf, p)
     big, ctx, uni, N = run.model_tables
     m = evaluate.ngram_model(big, ctx, uni, N, run.p.vocab_size)
     return m.select("x", "y", "cnt", F.round("p", 9).alias("p"))
@@ -163,19 +164,19 @@ def _scored_val(run):
     return evaluate.score(run.val_pairs, big, ctx, uni, N, run.p.vocab_size, bounded=True)
 
 
-def q_cross_entropy(spark, sf):
-    s = _scored_val(get_run(spark, sf))
+def q_cross_entropy(spark, sf, p=DEFAULT_PARAMS):
+    s = _scored_val(get_run(spark, sf, p))
     return s.agg(F.round(F.sum(F.col("nll") * F.col("cnt")) / F.sum("cnt"), 4).alias("loss"),
                  F.sum("cnt").cast("bigint").alias("n_tokens"))
 
 
-def q_val_loss_by_rank(spark, sf):
-    _, per_rank, _ = evaluate.val_losses(_scored_val(get_run(spark, sf)))
+def q_val_loss_by_rank(spark, sf, p=DEFAULT_PARAMS):
+    _, per_rank, _ = evaluate.val_losses(_scored_val(get_run(spark, sf, p)))
     return per_rank.select("rank", F.round("loss", 4).alias("loss"))
 
 
-def q_val_loss(spark, sf):
-    _, _, overall = evaluate.val_losses(_scored_val(get_run(spark, sf)))
+def q_val_loss(spark, sf, p=DEFAULT_PARAMS):
+    _, _, overall = evaluate.val_losses(_scored_val(get_run(spark, sf, p)))
     return overall.select(F.round("loss", 4).alias("loss"))
 
 
@@ -185,18 +186,18 @@ def _train_loss_by_step(run):
     return evaluate.mean_loss(scored, ["step"])
 
 
-def q_train_loss_by_step(spark, sf):
-    return _train_loss_by_step(get_run(spark, sf)).select("step", F.round("loss", 4).alias("loss"))
+def q_train_loss_by_step(spark, sf, p=DEFAULT_PARAMS):
+    return _train_loss_by_step(get_run(spark, sf, p)).select("step", F.round("loss", 4).alias("loss"))
 
 
-def q_train_loss_online(spark, sf):
-    run = get_run(spark, sf)
+def q_train_loss_online(spark, sf, p=DEFAULT_PARAMS):
+    run = get_run(spark, sf, p)
     loss = evaluate.online_step_loss(run.train_pairs_by_step, run.p.vocab_size)
     return loss.select("step", F.round("loss", 4).alias("loss"))
 
 
-def q_val_curve(spark, sf):
-    return get_run(spark, sf).curve.select("step", "split", F.round("loss", 4).alias("loss"))
+def q_val_curve(spark, sf, p=DEFAULT_PARAMS):
+    return get_run(spark, sf, p).curve.select("step", "split", F.round("loss", 4).alias("loss"))
 
 
 def _steps(run):
@@ -274,49 +275,43 @@ def q_weighted_sample(spark, sf):
     return sampling.weighted_draw(t, ["vec_id"], "idx", "p", run.p.seed)
 
 
-def q_encode_prompts(spark, sf):
-    enc = get_run(spark, sf).prompts()
-    return enc.select("item_id", "n", asum("ids").alias("id_sum"), awsum("ids").alias("id_wsum"))
+def q_encode_prompts(spark, sf, p=DEFAULT_PARAMS):
+    return packed.digests(get_run(spark, sf, p).prompts, {"id_sum": ("data", "sum"), "id_wsum": ("data", "wsum")})
 
 
-def q_generate(spark, sf):
-    """Prompt and continuation of every sequence: its ids, and their bytes in hex (T5)."""
-    return get_run(spark, sf).generated.select(
-        "item_id", "seq", F.size("ids").cast("bigint").alias("n"), F.array_join("ids", " ").alias("tokens"),
-        F.hex(tokens.bytes_of(F.col("ids"))).alias("bytes_hex"))
+def _generated(spark, sf, p):
+    """Every sequence and its bytes (T5)."""
+    run = get_run(spark, sf, p)
+    both = packed.pack(run.generated.withColumn("tokens", F.array_join("ids", " ")), data="bytes")
+    return packed.decode(both, run.token_table, "bytes")
 
 
-def q_generate_text(spark, sf):
-    """T5 on generated sequences: their text; bytes that are no UTF-8 become replacement characters."""
-    run = get_run(spark, sf)
-    return run.generated.select("item_id", "seq", F.call_function(
-        "make_valid_utf8", tokens.bytes_of(F.col("ids")).cast("string")).alias("text"))
+def q_generate(spark, sf, p=DEFAULT_PARAMS):
+    """Prompt and continuation of every sequence: its ids, and their bytes in hex."""
+    return _generated(spark, sf, p).select("item_id", "seq", F.size(F.split("tokens", " ")).cast("bigint").alias("n"), "tokens",
+                                           F.hex("bytes").alias("bytes_hex"))
 
 
-def _read_back(spark, path, shard_size, decode):
-    """Documents decoded from written shards: the pieces in order, then the text's md5.
+def q_generate_text(spark, sf, p=DEFAULT_PARAMS):
+    """T5 on generated sequences: their text; bytes that are no UTF-8 become replacement characters."""
+    return _generated(spark, sf, p).select("item_id", "seq", F.call_function("make_valid_utf8", F.col("bytes").cast("string")).alias("text"))
 
-    A document is known by its place in the token stream, as ids can be null or repeated.
-    """
-    off = F.col("shard_index").cast("bigint") * shard_size + F.col("pos") - F.col("src")
-    pieces = shard_io.read_shards(spark, path).groupBy("doc_id", off.alias("off")).agg(
-        F.array_sort(F.collect_list(F.struct("src", "ids"))).alias("parts"))
-    ids = F.flatten(F.transform("parts", lambda p: p["ids"]))
-    text = pieces.select("doc_id", ids.alias("ids")).select("doc_id", decode(F.col("ids")).alias("data"))
-    return text.select("doc_id", F.octet_length("data").cast("bigint").alias("n_bytes"), F.md5("data").alias("md5"))
 
+def q_doc_tokens(spark, sf, p=DEFAULT_PARAMS):
+    """The tokens of every document."""
+    return packed.digests(get_run(spark, sf, p).doc_tokens, {"id_sum": ("data", "sum"), "id_wsum": ("data", "wsum")})
 
-def q_shards_roundtrip(spark, sf):
-    """Every document read back from the written shards of the pipeline."""
-    run = get_run(spark, sf)
-    return _read_back(spark, run.shards_path, run.p.shard_size, tokens.bytes_of)
 
+def q_shards_roundtrip(spark, sf, p=DEFAULT_PARAMS):
+    """Every document read back from the written shards: its pieces in order, decoded to bytes.
 
-def q_bpe_shards_roundtrip(spark, sf):
-    """The same through byte-pair tokens of the given rank table: encode, pack, write, read, decode."""
-    from tokenweave.operators import bpe
-    run = get_run(spark, sf)
-    return _read_back(spark, run.bpe_shards_path, run.p.shard_size, lambda ids: bpe.decode_ranks(ids, run.rank_table))
+    A document is known by its place in the token stream, as ids can be null or repeated.
+    """
+    run = get_run(spark, sf, p)
+    off = F.col("shard_index").cast("bigint") * run.p.shard_size + F.col("pos") - F.col("src")
+    pieces = run.segments().groupBy("doc_id", off.alias("off")).agg(packed.joined("data", "src").alias("data"))
+    text = packed.decode(pieces, run.token_table)
+    return text.select("doc_id", F.octet_length("data").cast("bigint").alias("n_bytes"), F.md5("data").alias("md5"))
 
 
 def q_decode_roundtrip(spark, sf):
@@ -338,11 +333,9 @@ def q_learn_bpe_merges(spark, sf):
 
 def q_bpe_encode(spark, sf):
     """BPE encode: token counts and id sums, and the md5 of the decoded text."""
-    from tokenweave.operators import bpe
     run = get_run(spark, sf)
-    enc = run.bpe_tokens
-    return enc.select("doc_id", F.md5(bpe.decode_bpe(F.col("ids"), run.bpe_table)).alias("md5"), "n",
-                      asum("ids").alias("id_sum"))
+    enc = packed.digests(packed.pack(run.bpe_tokens).withColumn("text", F.col("data")), {"id_sum": ("data", "sum")})
+    return packed.decode(enc, bpe.token_bytes(run.bpe_table), "text").select("doc_id", F.md5("text").alias("md5"), "n", "id_sum")
 
 
 def q_stream_pack(spark, sf):
@@ -359,20 +352,34 @@ def q_stream_pack(spark, sf):
     run = get_run(spark, sf)
     docs = read_table(spark, sf, "documents").select(F.col("doc_id").cast("bigint"), "text")
     parts = run.p.stream_files
-    cuts = docs.select(F.col("doc_id").cast("double").alias("k")).approxQuantile("k", [i / parts for i in range(1, parts)], 0.01)
-    arrival = packing.bucket_of(F.col("doc_id"), sorted(set(cuts)))
-    src, sink = shard_io.scratch_path(spark, "stream-src"), shard_io.scratch_path(spark, "stream-sink")
-    last = len(set(cuts)) + 1  # the bucket of null keys
+    cuts = sorted(set(docs.select(F.col("doc_id").cast("double").alias("k")).approxQuantile("k", [i / parts for i in range(1, parts)], 0.01)))
+    arrival = F.lit(0)
+    for cut in cuts:
+        arrival = arrival + F.when(F.col("doc_id").cast("double") > cut, 1).otherwise(0)
+    last = len(cuts) + 1  # null keys
+    staged, src, sink = (shard_io.scratch_path(spark, f"stream-{w}") for w in ("staged", "src", "sink"))
+    docs.withColumn("arrival", F.when(F.col("doc_id").isNull(), last).otherwise(arrival)).write.partitionBy("arrival").parquet(staged)
+    fs, at = hadoop_path(spark, src)
+    fs.mkdirs(at)
     for i in range(last + 1):
-        rows = docs.where(arrival == i)
-        if i == last and not rows.limit(1).collect():
+        here, there = (hadoop_path(spark, f"{d}/arrival={i}")[1] for d in (staged, src))
+        if fs.exists(here):
+            fs.rename(here, there)  # the files arrive
+        elif i == last:
             break
-        rows.write.parquet(f"{src}/arrival={i:06d}")
-        seg = pack_stream(spark, src, sink, run.p.shard_size, closing=i == last)
-    return seg.select("split", "shard_index", "pos", "doc_id", "src", "n", "doc_n",
-                      asum("ids").alias("id_sum"),
-                      F.element_at("ids", 1).cast("bigint").alias("first_id"),
-                      F.element_at("ids", -1).cast("bigint").alias("last_id"))
+        pack_stream(spark, src, sink, run.p.shard_size, closing=i == last)
+    seg = spark.read.parquet(f"{sink}/segments")
+    return packed.digests(seg, {"id_sum": ("data", "sum")}).select(
+        "split", "shard_index", "pos", "doc_id", "src", "n", "doc_n", "id_sum",
+        F.col("first_id").cast("bigint").alias("first_id"), F.col("last_id").cast("bigint").alias("last_id"))
+
+
+def _ranked(query: Callable) -> Query:
+    def run(spark, sf):
+        return query(spark, sf, RANKED)
+    run.__name__ = f"bpe_{query.__name__.removeprefix('q_')}"
+    run.__doc__ = query.__doc__
+    return run
 
 
 QUERIES: dict[str, Query] = {
@@ -390,6 +397,7 @@ QUERIES: dict[str, Query] = {
     "load_shard_tokens": q_load_shard_tokens,
     "batch_schedule": q_batch_schedule,
     "batches": q_batches,
+    "locate_batches": q_locate_batches,
     "batch_rows": q_batch_rows,
     "next_token_pairs": q_next_token_pairs,
     "val_batches": q_val_batches,
@@ -418,10 +426,15 @@ QUERIES: dict[str, Query] = {
     "generate": q_generate,
     "generate_text": q_generate_text,
     "shards_roundtrip": q_shards_roundtrip,
-    "bpe_shards_roundtrip": q_bpe_shards_roundtrip,
+    "doc_tokens": q_doc_tokens,
     "decode_roundtrip": q_decode_roundtrip,
     "decode_words_roundtrip": q_decode_words_roundtrip,
     "learn_bpe_merges": q_learn_bpe_merges,
     "bpe_encode": q_bpe_encode,
     "stream_pack": q_stream_pack,
 }
+
+# The chain once more on byte pairs.
+QUERIES |= {f"bpe_{q.__name__.removeprefix('q_')}": _ranked(q) for q in (
+    q_doc_tokens, q_shard_manifest, q_shards_roundtrip, q_batches, q_next_token_pairs, q_ngram_model, q_cross_entropy,
+    q_val_loss_by_rank, q_val_loss, q_train_loss_by_step, q_train_loss_online, q_val_curve, q_encode_prompts, q_generate, q_generate_text)}

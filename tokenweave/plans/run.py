@@ -15,20 +15,27 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenweave.operators import batching, evaluate, packing, tokens
-from tokenweave.params import PackParams
-from tokenweave.plans import corpus
-from tokenweave.session import cut_lineage
+from tokenweave.operators import batching, bpe, dictionary, evaluate, packing, sampling, tokens
+from tokenweave.operators.packed import PACKED_SCHEMA, pack, unpack
+from tokenweave.operators.packed import packing as packed_by
+from tokenweave.operators.prefix import ordered_offsets
+from tokenweave.params import PackParams, rank_path
+from tokenweave.session import cut_lineage, folder_state
 from tokenweave.sources import shards as shard_io
-from tokenweave.sources.corpus import read_table
+from tokenweave.sources.corpus import read_corpus, read_table, table_path
 
 DEFAULT_PARAMS = PackParams()
 _RUNS: dict = {}
 
 
-def prompt_pattern(words: int) -> str:
-    """The first ``words`` words of a text."""
-    return rf"^[ \t\r\n]*((?:[^ \t\r\n]+[ \t\r\n]+){{0,{words - 1}}}[^ \t\r\n]+)"
+def text_order() -> list:
+    """The order of the stream: key (null last), then length and content of the text."""
+    return [F.col("doc_id").asc_nulls_last(), F.octet_length("text"), F.xxhash64("text")]
+
+
+def byte_offsets(docs: DataFrame) -> DataFrame:
+    """``(doc_id, n, data, off)``: byte tokens in stream order; the texts are sorted, then encoded where they lie."""
+    return ordered_offsets(docs.select("doc_id", "text"), text_order(), packed_by(tokens.bytes_kernel()), PACKED_SCHEMA)
 
 
 def get_run(spark: SparkSession, sf_dir: str, params: PackParams = DEFAULT_PARAMS) -> "CorpusRun":
@@ -36,15 +43,19 @@ def get_run(spark: SparkSession, sf_dir: str, params: PackParams = DEFAULT_PARAM
     app = spark.sparkContext.applicationId
     for old in [k for k in _RUNS if k[0] != app]:
         del _RUNS[old]
-    key = (app, sf_dir.rstrip("/"), params)
+    # a table that was written anew is another run
+    key = (app, sf_dir.rstrip("/"), params, *(folder_state(spark, table_path(sf_dir, t)) for t in ("documents", "benchmark")))
     run = _RUNS.get(key)
     if run is None:
         run = _RUNS[key] = CorpusRun(spark, sf_dir, params)
     return run
 
 
-def clear_runs() -> None:
+def clear_runs(spark: SparkSession | None = None) -> None:
+    """Forget all runs; with a session, delete the tables that they wrote."""
     _RUNS.clear()
+    if spark is not None:
+        shard_io.drop_scratch(spark)
 
 
 class CorpusRun:
@@ -56,7 +67,7 @@ class CorpusRun:
     # ------------------------------------------------------------ tokens
     @cached_property
     def docs(self) -> DataFrame:
-        return corpus.documents(self.spark, self.sf_dir)
+        return read_corpus(self.spark, table_path(self.sf_dir, "documents"))
 
     @cached_property
     def vocab(self) -> DataFrame:
@@ -67,14 +78,16 @@ class CorpusRun:
     def vocab_words(self) -> list[str]:
         return tokens.vocab_list(self.vocab, self.p.word_vocab_size)
 
-    def prompts(self, words: int | None = None) -> DataFrame:
-        """T4: the benchmark texts as prompts (their first ``words`` words), without end-of-text."""
-        text = F.coalesce("text", F.lit(""))
-        if words is not None:
-            text = F.regexp_extract(text, prompt_pattern(words), 1)
+    @cached_property
+    def prompts(self) -> DataFrame:
+        """T4: the benchmark texts as prompts ``(item_id, n, data)``, whole and without end-of-text."""
         src = read_table(self.spark, self.sf_dir, "benchmark", key="item_id").select(
-            F.col("item_id").cast("bigint").alias("doc_id"), text.alias("text"))
-        return tokens.encode_bytes(src, eot=False).withColumnRenamed("doc_id", "item_id")
+            F.col("item_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+        if self.p.tokens == "ranks":
+            enc = dictionary.encode_pieces(src, dictionary.piece_dictionary(src, self.token_table), None)
+        else:
+            enc = tokens.encode_bytes(src, eot=False)
+        return shard_io.written(pack(enc).withColumnRenamed("doc_id", "item_id"), "prompts")
 
     @cached_property
     def word_tokens(self) -> DataFrame:
@@ -82,62 +95,77 @@ class CorpusRun:
         return tokens.encode_words(self.docs, self.vocab, self.p.word_vocab_size)
 
     @cached_property
-    def doc_tokens(self) -> DataFrame:
-        """The pipeline's tokens: lossless, one id per UTF-8 byte, end-of-text first."""
-        return tokens.encode_bytes(self.docs)
+    def token_table(self) -> list[bytes]:
+        """The bytes of every id but end-of-text, which is one past the last."""
+        if self.p.tokens == "ranks":
+            return bpe.load_ranks(rank_path(self.p, self.spark))
+        return [bytes([i]) for i in range(256)]
 
     @cached_property
-    def bounds(self) -> list[float]:
-        return packing.key_bounds(self.docs)
+    def pieces(self) -> DataFrame:
+        """The piece dictionary of the corpus under the rank table."""
+        return dictionary.piece_dictionary(self.docs, self.token_table)
+
+    @cached_property
+    def doc_tokens(self) -> DataFrame:
+        """``(doc_id, n, data)``: the run's tokens, end-of-text first (byte pairs are written once)."""
+        if self.p.tokens == "ranks":
+            return shard_io.written(pack(dictionary.encode_pieces(self.docs, self.pieces, len(self.token_table))), "tokens")
+        return pack(tokens.encode_bytes(self.docs))
 
     @cached_property
     def offsets(self) -> DataFrame:
-        return packing.doc_offsets(self.doc_tokens, self.bounds, lengths=tokens.byte_token_lengths(self.docs))
+        """The tokens of every document and how many come before them."""
+        if self.p.tokens == "ranks":
+            return ordered_offsets(self.doc_tokens, [F.col("doc_id").asc_nulls_last(), "n", F.xxhash64("data")])
+        return byte_offsets(self.docs)
 
     @cached_property
-    def layout(self) -> DataFrame:
-        """Shard segments without tokens: lengths come from the JVM, nothing is encoded."""
-        lengths = tokens.byte_token_lengths(self.docs)
-        return packing.cut_segments(packing.doc_offsets(lengths, self.bounds), self.p.shard_size)
+    def doc_offsets(self) -> DataFrame:
+        """P2 without tokens: ``(doc_id, n, off)`` from lengths that the JVM computes."""
+        n = (F.octet_length("text") + 1).cast("bigint").alias("n")
+        return ordered_offsets(self.docs.select("doc_id", n, F.xxhash64("text").alias("h")),
+                               [F.col("doc_id").asc_nulls_last(), "n", "h"]).drop("h")
 
     @cached_property
-    def segments(self) -> DataFrame:
-        """Live plan of the shard segments with token arrays."""
-        return packing.cut_segments(self.offsets, self.p.shard_size)
+    def layout(self) -> DataFrame:
+        """Shard segments without tokens."""
+        if self.p.tokens == "ranks":
+            return shard_io.read_shards(self.spark, self.shards_path).drop("data")
+        return packing.cut_segments(self.doc_offsets, self.p.shard_size)
 
     # ------------------------------------------------------------ shards on storage
     @cached_property
     def shards_path(self) -> str:
         path = shard_io.scratch_path(self.spark, "shards")
-        return shard_io.write_shards(self.segments, path, self.p.shard_size)
-
-    @cached_property
-    def rank_table(self) -> list[bytes]:
-        from tokenweave.operators import bpe
-        return bpe.load_ranks(self.p.rank_file)
+        return shard_io.write_shards(packing.cut_segments(self.offsets, self.p.shard_size), path, self.p.shard_size)
 
     @cached_property
-    def bpe_shards_path(self) -> str:
-        """Shards of byte-pair tokens under the given rank table."""
-        from tokenweave.operators import bpe
-        # the encoder runs once; offsets need its lengths before its ids are cut
-        toks = cut_lineage(bpe.encode_ranks(self.docs, self.rank_table))
-        segments = packing.cut_segments(packing.doc_offsets(toks, self.bounds), self.p.shard_size)
-        return shard_io.write_shards(segments, shard_io.scratch_path(self.spark, "bpe-shards"), self.p.shard_size)
+    def slots_path(self) -> str:
+        """The shards cut at slot borders, written once for all batch queries."""
+        path = shard_io.scratch_path(self.spark, "slots")
+        return batching.write_slots(self.segments(), self.p.BT, path)
 
-    def split_segments(self, split: str | None = None) -> DataFrame:
+    def segments(self, split: str | None = None) -> DataFrame:
         return shard_io.read_shards(self.spark, self.shards_path, split)
 
+    def slots(self, split: str | None = None) -> DataFrame:
+        return shard_io.read_shards(self.spark, self.slots_path, split)
+
     @cached_property
     def lengths(self) -> DataFrame:
         """(split, shard_index, L) of the written shards (small: one row per shard)."""
-        return cut_lineage(batching.shard_lengths(shard_io.read_shards(self.spark, self.shards_path)))
+        return cut_lineage(batching.shard_lengths(self.segments()))
 
     def schedule(self, split: str | None = None) -> DataFrame:
         """The batches of one split, or of both."""
         lengths = self.lengths if split is None else self.lengths.filter(F.col("split") == split)
         return batching.batch_schedule(lengths, self.p.BT, self.p.ranks)
 
+    def batches(self) -> DataFrame:
+        """Every batch of one epoch, of both splits."""
+        return batching.batches(self.slots(), self.lengths, self.p.BT, self.p.ranks)
+
     # ------------------------------------------------------------ plans
     @cached_property
     def train_tokens(self) -> int:
@@ -161,16 +189,10 @@ class CorpusRun:
     def val_plan(self) -> DataFrame:
         return cut_lineage(batching.val_plan(self.schedule("val"), self.p.val_batches, self.p.ranks))
 
-    def plan_batches(self, split: str, plan: DataFrame) -> DataFrame:
-        return batching.planned_batches(self.split_segments(split), plan, self.p.BT)
-
-    def split_pairs(self, split: str) -> DataFrame:
-        return batching.slot_pairs(self.split_segments(split), self.p.BT)
-
     @cached_property
     def train_pairs_by_step(self) -> DataFrame:
         """(step, x, y, cnt): next-token pairs of every planned train batch."""
-        return cut_lineage(batching.plan_pair_counts(self.split_pairs("train"), self.train_plan, "step"))
+        return cut_lineage(batching.pair_counts(batching.planned_slots(self.slots("train"), self.train_plan, "step"), "step"))
 
     @cached_property
     def train_pairs(self) -> DataFrame:
@@ -179,8 +201,8 @@ class CorpusRun:
     @cached_property
     def val_pairs(self) -> DataFrame:
         """(rank, batch_no, x, y, cnt) of the first ``val_batches`` val batches."""
-        return cut_lineage(batching.plan_pair_counts(self.split_pairs("val"), self.val_plan,
-                                                     "rank", "batch_no"))
+        planned = batching.planned_slots(self.slots("val"), self.val_plan, "rank", "batch_no")
+        return cut_lineage(batching.pair_counts(planned, "rank", "batch_no"))
 
     @cached_property
     def model_tables(self):
@@ -193,7 +215,6 @@ class CorpusRun:
     @cached_property
     def next_table(self) -> DataFrame:
         """Top-k next tokens of every context (at most V * k rows), materialised once."""
-        from tokenweave.operators import sampling
         big, ctx, uni, N = self.model_tables
         V, k = self.p.vocab_size, self.p.top_k
         table = sampling.next_token_topk(big, ctx, uni, N, V, k)
@@ -201,10 +222,9 @@ class CorpusRun:
 
     @cached_property
     def generated(self) -> DataFrame:
-        """The continued prompts: at most ``num_sequences`` rows a prompt."""
-        from tokenweave.operators import sampling
-        return cut_lineage(sampling.generate(self.prompts(self.p.prompt_words), self.next_table, self.p.num_sequences,
-                                             self.p.max_length, self.p.seed))
+        """The continued prompts ``(item_id, seq, ids)``: ``num_sequences`` rows a prompt, each ``new_tokens`` longer."""
+        prompts = unpack(self.prompts.drop("n"))
+        return cut_lineage(sampling.generate(prompts, self.next_table, self.p.num_sequences, None, self.p.seed, new_tokens=self.p.new_tokens))
 
     @cached_property
     def curve(self) -> DataFrame:
@@ -215,15 +235,12 @@ class CorpusRun:
     # ------------------------------------------------------------ byte-pair mode
     @cached_property
     def bpe_merges(self) -> DataFrame:
-        from tokenweave.operators import bpe
         return cut_lineage(bpe.learn_merges(self.docs, self.p.bpe_merges))
 
     @cached_property
     def bpe_table(self) -> list:
-        from tokenweave.operators import bpe
         return bpe.merge_table(self.bpe_merges, self.p.bpe_merges)
 
     @cached_property
     def bpe_tokens(self) -> DataFrame:
-        from tokenweave.operators import bpe
         return bpe.encode_bpe(self.docs, self.bpe_merges, self.p.bpe_merges)

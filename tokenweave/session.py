@@ -72,3 +72,19 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     out = cached.checkpoint(eager=True)
     cached.unpersist()
     return out
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """``(file system, path)`` of the store that holds ``path``."""
+    jvm = spark._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def folder_state(spark: SparkSession, path: str) -> tuple | None:
+    """What tells one state of a table's folder from another: bytes, files and when it last changed; None if absent."""
+    fs, at = hadoop_path(spark, path)
+    if not fs.exists(at):
+        return None
+    content = fs.getContentSummary(at)
+    return content.getLength(), content.getFileCount(), fs.getFileStatus(at).getModificationTime()

@@ -1,7 +1,7 @@
 """Shard sink, shard discovery and shard load.
 
 Shards are a partitioned parquet table ``split=…/shard_index=…`` whose rows
-are segments ``(pos, doc_id, src, n, doc_n, ids)``.  Discovery is a
+are segments ``(pos, doc_id, src, n, doc_n, data)``, their ids packed in 16 bits.  Discovery is a
 partition-pruned scan of that table instead of a directory listing and a
 substring test on file names.
 """
@@ -16,12 +16,26 @@ from pyspark.sql import functions as F
 from tokenweave.functions.common import idiv, shard_label
 from tokenweave.operators.tokens import assert_token_range
 from tokenweave.params import check_split
-from tokenweave.session import ensure_checkpoint_dir
+from tokenweave.session import ensure_checkpoint_dir, hadoop_path
+
+
+_MADE: list[tuple[str, str]] = []
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    _MADE.append((spark.sparkContext.applicationId, path))
+    return path
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete the folders that this session made; tables that still read them are lost."""
+    app = spark.sparkContext.applicationId
+    for _, path in [m for m in _MADE if m[0] == app]:
+        fs, at = hadoop_path(spark, path)
+        fs.delete(at, True)
+    _MADE[:] = [m for m in _MADE if m[0] != app]
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -34,7 +48,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-# Target tokens per written file (int32 ids: about 16 MB before compression).
+# Target tokens per written file (16-bit ids: about 8 MB before compression).
 TOKENS_PER_FILE = 4_000_000
 
 
@@ -52,8 +66,9 @@ def write_shards(segments: DataFrame, path: str, shard_size: int,
     if files_per_shard is None:
         files_per_shard = max(1, -(-shard_size // TOKENS_PER_FILE))
     chunk = max(1, -(-shard_size // max(1, files_per_shard)))
-    (assert_token_range(segments)  # nothing out of range reaches a shard
-     .repartition(F.col("shard_index"), idiv(F.col("pos"), chunk))
+    # nothing out of range reaches a shard (packed tokens were checked when they were packed)
+    checked = assert_token_range(segments) if "ids" in segments.columns else segments
+    (checked.repartition(F.col("shard_index"), idiv(F.col("pos"), chunk))
      .sortWithinPartitions("shard_index", "pos")
      .write.mode(mode).partitionBy("split", "shard_index").parquet(path))
     return path
@@ -83,5 +98,9 @@ def list_shards(spark: SparkSession, path: str, split: str | None = None, prefix
 
 
 def load_shard_tokens(spark: SparkSession, path: str, split: str | None = None) -> DataFrame:
-    """Shard segments with ids widened to BIGINT, as the loader uses them."""
-    return read_shards(spark, path, split).withColumn("ids", F.col("ids").cast("array<bigint>"))
+    """Shard segments with their 16-bit ids widened to BIGINT, as the loader uses them."""
+    from tokenweave.operators.packed import unpack
+
+    rows = read_shards(spark, path, split)
+    rows = unpack(rows) if "data" in rows.columns else rows
+    return rows.withColumn("ids", F.col("ids").cast("array<bigint>"))

@@ -7,8 +7,8 @@ micro-batch (``foreachBatch``):
 
 1. reads the carry row written by the batch before it,
 2. checks that its documents come after that batch's last key,
-3. encodes them and gives them offsets from that carry (two-level running
-   sum inside the batch, in ``doc_id`` order),
+3. encodes them and gives them offsets from that carry (a tree scan inside
+   the batch, in ``doc_id`` order),
 4. cuts them into shard segments and overwrites ``batch_id=<id>`` of the sink,
 5. writes its own carry row.
 
@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tokenweave.operators import packing, tokens
+from tokenweave.plans.run import byte_offsets
 
 DOC_SCHEMA = "doc_id bigint, text string"
 CLOSED = (1 << 63) - 1  # last key after null keys
@@ -59,8 +60,7 @@ def pack_batch(batch: DataFrame, batch_id: int, sink_dir: str, shard_size: int,
             raise ValueError(f"batch {batch_id} has {nulls} documents without a key")
         if first is not None and last_key is not None and first <= last_key:
             raise ValueError(f"batch {batch_id} begins at key {first}, but key {last_key} is packed already")
-        offs = packing.doc_offsets(tokens.encode_bytes(docs), packing.key_bounds(docs), lengths=lengths)
-        segs = packing.cut_segments(offs.withColumn("off", F.col("off") + F.lit(carry)), shard_size)
+        segs = packing.cut_segments(byte_offsets(docs).withColumn("off", F.col("off") + F.lit(carry)), shard_size)
         (segs.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
          .write.mode("overwrite").parquet(f"{sink_dir}/segments/batch_id={batch_id}"))
         key = CLOSED if nulls else last if last is not None else last_key
