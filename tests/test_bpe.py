@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF001
-from tokenweave.operators import bpe, dictionary, packed
+from tokenweave.operators import bpe, dictionary, merges, packed
 from tokenweave.sources.corpus import read_corpus, table_path
 
 
@@ -48,15 +48,45 @@ def small_docs(spark):
 
 
 def test_learned_merges_match_brute_force(spark, small_docs):
-    got = [tuple(r) for r in bpe.learn_merges(small_docs, 12).orderBy("rank").collect()]
+    got = [tuple(r) for r in merges.learn_merges(small_docs, 12).orderBy("rank").collect()]
     texts = [r.text for r in small_docs.collect()]
     assert got == brute_force_merges(texts, 12)
 
 
+@pytest.mark.parametrize("batch,draft_pieces", [(64, 20_000), (16, 40), (5, 0)])
+def test_batched_merges_match_brute_force(spark, small_docs, batch, draft_pieces):
+    """Hundreds of merges, with a draft that sees all pieces, few or none: proposals never change what is learned."""
+    got = [tuple(r) for r in merges.learn_merges(small_docs, 150 if draft_pieces else 12, batch, draft_pieces).orderBy("rank").collect()]
+    assert got == brute_force_merges([r.text for r in small_docs.collect()], len(got)) and len(got) == (150 if draft_pieces else 12)
+
+
+def test_merges_run_out(spark):
+    docs = spark.createDataFrame([(1, "aaaa aaaa"), (2, "b")], "doc_id bigint, text string")
+    got = [tuple(r) for r in merges.learn_merges(docs, 50).orderBy("rank").collect()]
+    assert got == brute_force_merges(["aaaa aaaa", "b"], 50) and 0 < len(got) < 50
+    assert merges.learn_merges(docs.limit(0), 5).collect() == []
+
+
+def test_a_draft_takes_merges_back():
+    draft = merges.Draft([([1, 2, 1, 2, 3], 5), ([2, 3], 7)])
+    before, words = dict(draft.pairs), [list(w) for w in draft.words]
+    draft.merge((1, 2), 9)
+    assert draft.words[0] == [9, 9, 3] and draft.pairs[9, 9] == 5
+    draft.back()
+    assert {q: c for q, c in draft.pairs.items() if c} == before and draft.words == words
+
+
+def test_proposals_are_accepted_up_to_the_first_wrong_one():
+    series = {(1, 2): (10, {0: -10}), (3, 4): (8, {0: -1, 1: -7}), (2, 5): (8, {0: -2}), (9, 5): (0, {0: 7, 1: 1})}
+    assert merges.accepted([(1, 2), (3, 4)], series, 1) == [10, 7]  # after the first, (3, 4) and (9, 5) have 7: the smaller pair
+    assert merges.accepted([(1, 2), (9, 5)], series, 1) == [10]
+    assert merges.accepted([(1, 2), (3, 4)], series, 7.5) == [10]  # below the bound nothing was compared
+
+
 def test_encode_matches_tokenizer_library(spark, small_docs):
     tiktoken = pytest.importorskip("tiktoken")
-    merges = bpe.learn_merges(small_docs, 12)
-    table = bpe.merge_table(merges, 12)
+    learned = merges.learn_merges(small_docs, 12)
+    table = bpe.merge_table(learned, 12)
     toks = bpe.token_bytes(table)
     enc = tiktoken.Encoding(
         name="learned",
@@ -64,22 +94,22 @@ def test_encode_matches_tokenizer_library(spark, small_docs):
         mergeable_ranks={b: i for i, b in enumerate(toks)},
         special_tokens={"<|endoftext|>": len(toks)})
     docs = read_corpus(spark, table_path(SF001, "documents"))
-    ours = {r.doc_id: list(r.ids) for r in bpe.encode_bpe(docs, merges).collect()}
+    ours = {r.doc_id: list(r.ids) for r in bpe.encode_bpe(docs, learned).collect()}
     for r in docs.collect():
         assert ours[r.doc_id] == [len(toks)] + enc.encode_ordinary(r.text), r.doc_id
 
 
 def test_decode_round_trip(spark, small_docs):
-    merges = bpe.learn_merges(small_docs, 8)
-    table = bpe.merge_table(merges, 8)
-    enc = bpe.encode_bpe(small_docs, merges)
+    learned = merges.learn_merges(small_docs, 8)
+    table = bpe.merge_table(learned, 8)
+    enc = bpe.encode_bpe(small_docs, learned)
     dec = {r.doc_id: r.t for r in enc.select("doc_id", bpe.decode_bpe(F.col("ids"), table).alias("t")).collect()}
     for r in small_docs.collect():
         assert dec[r.doc_id] == r.text
 
 
 def test_long_pieces_merge_like_short_ones(spark, small_docs):
-    table = bpe.merge_table(bpe.learn_merges(small_docs, 24), 24)
+    table = bpe.merge_table(merges.learn_merges(small_docs, 24), 24)
     ranks = {(a, b): (r, t) for r, (a, b, t) in enumerate(table)}
     import random
     rng = random.Random(1)

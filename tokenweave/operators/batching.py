@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tokenweave.functions.common import broadcast_if_small, idiv, ship_by_value
-from tokenweave.operators.packed import flat_ids, joined, take
+from tokenweave.operators.packed import flat_ids, joined, slices, take
 
 ship_by_value(__name__)
 
@@ -180,8 +180,8 @@ def _pair_kernel(keys: list[str]):
         import numpy as np
         import pyarrow as pa
 
-        for rb in batches:
-            ids, starts, n = flat_ids(rb.column(rb.schema.get_field_index("buf")))
+        for rb in slices(batches, len(keys)):  # the buffer is the last column
+            ids, starts, n = flat_ids(rb.column(len(keys)))
             if not len(n):
                 continue
             own = [rb.column(rb.schema.get_field_index(k)) for k in keys]

@@ -1,12 +1,6 @@
 """T1/T5/T6 in BPE mode: byte-pair merges learned on Spark, encode, decode.
 
-Learning runs on the table of *distinct* pre-tokens with their corpus
-counts (a ``groupBy`` with map-side combine), so its cost follows the
-vocabulary of pre-tokens, not the corpus.  Each merge is a Spark job:
-adjacent pairs are exploded and summed (partial aggregation per task), the
-best pair is one scalar brought to the driver, and the merge is a string
-replacement on every piece's symbols.  The (small) table of pieces is
-checkpointed every few merges, so lineage stays short.
+Learning is in ``merges.py``, encoding under a given rank table in ``dictionary.py``.
 
 Encoding is one narrow pass: Spark splits text into pre-tokens on the JVM;
 an Arrow helper encodes each *unique* pre-token of a batch once (lowest rank
@@ -25,7 +19,6 @@ from pyspark.sql import functions as F
 
 from tokenweave.functions.common import bounded_collect, ship_by_value
 from tokenweave.operators.tokens import TOKENS_SCHEMA, _with_eot
-from tokenweave.session import cut_lineage
 
 ship_by_value(__name__)
 
@@ -55,58 +48,6 @@ def pretoken_counts(docs: DataFrame) -> DataFrame:
     return counts.where(F.octet_length("pretoken") > 1).select(symbols_of(F.col("pretoken")).alias("sym"), "cnt")
 
 
-MERGES_PER_CHECKPOINT = 16
-
-
-def _pairs(sym: Column) -> Column:
-    """Adjacent symbol pairs of a piece."""
-    ids = F.transform(F.regexp_extract_all(sym, F.lit(r"<(\d+)>"), F.lit(1)), lambda s: s.cast("int"))
-    return F.transform(F.array(ids), lambda x: F.zip_with(F.slice(x, F.lit(1), F.size(x) - 1), F.slice(x, F.lit(2), F.size(x) - 1),
-                                                          lambda a, b: F.struct(a.alias("a"), b.alias("b"))))[0]
-
-
-def _pair_sums(signed: DataFrame, bound: int) -> dict[tuple[int, int], int]:
-    """Sums by pair of rows ``(p, c)``, zeros left out."""
-    sums = signed.groupBy("p.a", "p.b").agg(F.sum("c").cast("bigint").alias("c")).where("c <> 0")
-    return {(int(r["a"]), int(r["b"])): int(r["c"]) for r in bounded_collect(sums, bound, "symbol pairs")}
-
-
-def learn_merges(docs: DataFrame, merges: int) -> DataFrame:
-    """``(rank, left, right, token_id, cnt)`` for up to ``merges`` merges.
-
-    Ties between equally frequent pairs go to the smaller (left, right).
-    Pair counts are kept between merges (at most 256 ** 2 at first; a merge
-    adds pairs of the new symbol only, at most two for each symbol).  A merge
-    is a string replacement over the distinct pre-tokens (left to right, not
-    overlapping); its job explodes only the pieces that hold the merged pair
-    and returns how the counts change.  The pieces are checkpointed to the
-    shared folder every ``MERGES_PER_CHECKPOINT`` merges, which bounds what a
-    job repeats and what a lost executor costs.
-    """
-    spark = docs.sparkSession
-    table = cut_lineage(pretoken_counts(docs))
-    counts = _pair_sums(table.select(F.explode(_pairs(F.col("sym"))).alias("p"), F.col("cnt").alias("c")), 256 ** 2)
-    learned = []
-    for r in range(merges):
-        if not counts:
-            break
-        (a, b), c = min(counts.items(), key=lambda kv: (-kv[1], kv[0]))
-        new = 256 + r
-        learned.append((r, a, b, new, c))
-        old, merged = F.lit(f"<{a}><{b}>"), F.lit(f"<{new}>")
-        hit = table.where(F.contains("sym", old))
-        change = F.concat(F.transform(_pairs(F.col("sym")), lambda p: F.struct(p.alias("p"), (-F.col("cnt")).alias("c"))),
-                          F.transform(_pairs(F.replace("sym", old, merged)), lambda p: F.struct(p.alias("p"), F.col("cnt").alias("c"))))
-        for pair, d in _pair_sums(hit.select(F.explode(change).alias("x")).select("x.p", "x.c"), 4 * (new + 1)).items():
-            counts[pair] = counts.get(pair, 0) + d
-            if not counts[pair]:
-                del counts[pair]
-        table = table.withColumn("sym", F.replace("sym", old, merged))
-        if (r + 1) % MERGES_PER_CHECKPOINT == 0:
-            table = cut_lineage(table.where(F.contains("sym", F.lit("><"))))
-    return spark.createDataFrame(learned, MERGES_SCHEMA)
-
-
 def merge_table(merges: DataFrame, bound: int) -> list[tuple[int, int, int]]:
     """The learned merges as (left, right, token_id) in rank order (bounded by ``bound``)."""
     rows = bounded_collect(merges.select("rank", "left", "right", "token_id").orderBy("rank"),

@@ -19,14 +19,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tokenweave.functions.common import bounded_collect, ship_by_value
+from tokenweave.functions.common import ship_by_value
 from tokenweave.operators.bpe import merge_parts, pretokens_of
 from tokenweave.operators.tokens import TOKENS_SCHEMA, _with_eot
 from tokenweave.sources.shards import written
 
 ship_by_value(__name__)
 
-HOT_PIECES = 100_000
+HOT_PIECES = 250_000
+ROWS_AT_ONCE = 1000
 HOLE = -1
 HELD = "row bigint, doc_id bigint, ids array<int>, holes array<string>"
 
@@ -82,22 +83,36 @@ def frequent_pieces(dictionary: DataFrame, limit: int) -> int:
     return 1 << least
 
 
+def _arrays(hot: DataFrame, limit: int):
+    """A bounded dictionary as arrays: pieces, lengths of their ids, and the ids."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    table = hot.select("piece", "ids").toArrow().combine_chunks()
+    if table.num_rows > limit:
+        raise ValueError(f"frequent pieces: more than {limit} rows; refusing to collect")
+    pieces, ids = (c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in (table["piece"], table["ids"]))
+    if not table.num_rows:
+        return pa.array([], pa.string()), np.empty(0, np.uint16), np.empty(0, np.uint16)
+    lens = pc.list_value_length(ids).to_numpy(zero_copy_only=False)
+    return pieces.cast(pa.string()), lens.astype(np.uint16), ids.flatten().to_numpy(zero_copy_only=False).astype(np.uint16)
+
+
 def _lookup_kernel(hot_bc, eot: int | None):
     def run(batches):
         import numpy as np
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        pieces, ids = hot_bc.value
-        known = pa.array(pieces, pa.string())
+        known, lens, flat_ids = hot_bc.value
         # the last entry stands for a piece that is not known
-        lens = np.array([*map(len, ids), 1], np.int64)
+        lens, flat_ids = np.append(lens, 1).astype(np.int64), np.append(flat_ids, HOLE).astype(np.int32)
         starts = np.cumsum(lens) - lens
-        flat_ids = np.array([*(i for x in ids for i in x), HOLE], np.int32)
-        for rb in batches:
+        for rb in (rb.slice(i, ROWS_AT_ONCE) for rb in batches for i in range(0, rb.num_rows, ROWS_AT_ONCE)):
             lists = rb.column(2)
             flat = lists.flatten()
-            at = pc.fill_null(pc.index_in(flat, value_set=known), len(pieces)).to_numpy(zero_copy_only=False).astype(np.int64)
+            at = pc.fill_null(pc.index_in(flat, value_set=known), len(known)).to_numpy(zero_copy_only=False).astype(np.int64)
             width = lens[at]
             ends = np.cumsum(width)
             values = flat_ids[np.arange(int(width.sum()), dtype=np.int64) + np.repeat(starts[at] - (ends - width), width)]
@@ -105,7 +120,7 @@ def _lookup_kernel(hot_bc, eot: int | None):
             bounds = bounds - bounds[0]
             before = np.concatenate([[0], ends])
             out, _ = _with_eot(before[bounds[1:]] - before[bounds[:-1]], values, eot)
-            rare = at == len(pieces)
+            rare = at == len(known)
             missed = np.concatenate([[0], np.cumsum(rare)])[bounds].astype(np.int32)
             holes = pa.ListArray.from_arrays(pa.array(missed), flat.filter(pa.array(rare)))
             yield pa.RecordBatch.from_arrays([rb.column(0), rb.column(1), out, holes], names=["row", "doc_id", "ids", "holes"])
@@ -139,8 +154,7 @@ def encode_pieces(docs: DataFrame, dictionary: DataFrame, eot: int | None, hot_p
     """
     spark = docs.sparkSession
     least = frequent_pieces(dictionary, hot_pieces)
-    hot = bounded_collect(dictionary.where(F.col("cnt") >= least).select("piece", "ids"), hot_pieces, "frequent pieces")
-    bc = spark.sparkContext.broadcast(([r["piece"] for r in hot], [list(r["ids"]) for r in hot]))
+    bc = spark.sparkContext.broadcast(_arrays(dictionary.where(F.col("cnt") >= least).limit(hot_pieces + 1), hot_pieces))
     rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", pretokens_of(F.col("text")).alias("pieces"))
     held = written(rows.mapInArrow(_lookup_kernel(bc, eot), HELD), "encoded")
     whole = held.where(F.size("holes") == 0).select("doc_id", F.size("ids").cast("bigint").alias("n"), "ids")

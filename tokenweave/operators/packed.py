@@ -67,6 +67,28 @@ def flat_ids(data):
     return ids.astype(np.int64), (ends[:-1] - ends[0]) // 2, np.diff(ends) // 2
 
 
+TOKENS_AT_ONCE = 1 << 20
+
+
+def slices(batches, size_col: int, per_token: int = 2):
+    """Arrow batches in slices of about ``TOKENS_AT_ONCE`` tokens (a longer row alone): views, nothing is copied.
+
+    The ids of a slice are widened for numpy, so this bounds a task's memory whatever the length of the rows.
+    """
+    import numpy as np
+
+    for rb in batches:
+        data = rb.column(size_col)
+        if not len(data):
+            yield rb
+            continue
+        ends = np.frombuffer(data.buffers()[1], np.int32)[data.offset:data.offset + len(data) + 1].astype(np.int64)
+        part = (ends[1:] - ends[0]) // (per_token * TOKENS_AT_ONCE)
+        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(data)]
+        for a, b in zip(cuts, cuts[1:]):
+            yield rb.slice(a, b - a)
+
+
 def packing(kernel):
     """An encoder's batches ``(doc_id, n, ids)`` with the ids packed."""
     def run(batches):
@@ -97,7 +119,7 @@ def unpack(df: DataFrame, data: str = "data", ids: str = "ids") -> DataFrame:
         import numpy as np
         import pyarrow as pa
 
-        for rb in batches:
+        for rb in slices(batches, at):
             flat, _, n = flat_ids(rb.column(at))
             ends = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
             yield rb.set_column(at, ids, pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.astype(np.int32))))
@@ -114,12 +136,13 @@ def digests(df: DataFrame, wanted: dict[str, tuple[str, str]]) -> DataFrame:
     kept = [f for f in df.schema if f.name not in arrays]
     schema = T.StructType(kept + [T.StructField(o, T.LongType()) for o in wanted])
     names = [f.name for f in kept]
+    first = df.columns.index(next(iter(wanted.values()))[0])
 
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
-        for rb in batches:
+        for rb in slices(batches, first):
             parts = {a: flat_ids(rb.column(rb.schema.get_field_index(a))) for a in arrays}
             out = []
             for a, kind in wanted.values():
@@ -150,7 +173,7 @@ def decode(df: DataFrame, table: list[bytes], data: str = "data") -> DataFrame:
         size[:len(bc.value)] = [len(t) for t in bc.value]
         first = np.cumsum(size) - size
         letters = np.frombuffer(b"".join(bc.value), np.uint8)
-        for rb in batches:
+        for rb in slices(batches, at):
             ids, starts, n = flat_ids(rb.column(at))
             width = size[ids]
             ends = np.cumsum(width)

@@ -133,8 +133,9 @@ def bytes_kernel(eot: int | None = BYTE_EOT):
         import numpy as np
         import pyarrow as pa
         import pyarrow.compute as pc
+        from tokenweave.operators.packed import slices
 
-        for rb in batches:
+        for rb in slices(batches, 1, 1):
             text = pc.cast(rb.column(1), pa.large_binary())
             lens = pc.binary_length(text).to_numpy(zero_copy_only=False)
             bufs = text.buffers()

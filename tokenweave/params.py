@@ -38,7 +38,8 @@ class PackParams:
     num_sequences: int = 10
     new_tokens: int = 30  # that a generated sequence adds to its prompt
     seed: str = "42"
-    bpe_merges: int = 24
+    bpe_merges: int = 256  # learned for the encoder that has an SQL twin
+    vocabulary_merges: int = 1000  # learned without one
     stream_files: int = 4
     shard_prefix: str = "corpus"
     rank_file: str | None = None  # byte-pair ranks, read on the driver; None: see ``rank_path``

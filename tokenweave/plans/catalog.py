@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenweave.operators import batching, bpe, evaluate, packed, packing, sampling, tokens
+from tokenweave.operators import batching, bpe, evaluate, merges, packed, packing, sampling, tokens
 from tokenweave.params import RANKED
 from tokenweave.plans.run import DEFAULT_PARAMS, get_run
 from tokenweave.session import hadoop_path
@@ -331,6 +331,12 @@ def q_learn_bpe_merges(spark, sf):
     return get_run(spark, sf).bpe_merges
 
 
+def q_learn_bpe_vocabulary(spark, sf):
+    """A vocabulary of thousands of merges, each the most frequent pair of its turn."""
+    run = get_run(spark, sf)
+    return merges.learn_merges(run.docs, run.p.vocabulary_merges)
+
+
 def q_bpe_encode(spark, sf):
     """BPE encode: token counts and id sums, and the md5 of the decoded text."""
     run = get_run(spark, sf)
@@ -430,6 +436,7 @@ QUERIES: dict[str, Query] = {
     "decode_roundtrip": q_decode_roundtrip,
     "decode_words_roundtrip": q_decode_words_roundtrip,
     "learn_bpe_merges": q_learn_bpe_merges,
+    "learn_bpe_vocabulary": q_learn_bpe_vocabulary,
     "bpe_encode": q_bpe_encode,
     "stream_pack": q_stream_pack,
 }

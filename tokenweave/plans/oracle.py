@@ -41,7 +41,7 @@ def _with(names: tuple[str, ...], own: dict) -> str:
 
     for n in names:
         visit(n)
-    kind = lambda n: "AS MATERIALIZED" if own and n != "merged" else "AS"
+    kind = lambda n: "(k, cnt, sym) USING KEY (k) AS" if n == "learned" else "AS MATERIALIZED" if n == "m0" or own and n != "merged" else "AS"
     return "WITH RECURSIVE " + ",\n".join(f"{n} {kind(n)} ({tables[n][0]})" for n in order) + "\n"
 
 
@@ -228,19 +228,20 @@ def _generation(select: str, own: dict) -> str:
 _PIECES = r"""regexp_extract_all(regexp_replace(text, '(\s)(\S)', chr(1) || '\1\2', 'g'),
         '''(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}\x01]+|\s+')"""
 _CTE["pre"] = (f"SELECT doc_id, unnest({_PIECES}) AS piece FROM docs", ("docs",))
-# a piece's symbols as a string: <116><104> for the bytes of "th", so a merge is a replacement
-_CTE["m0"] = ("""SELECT piece, count(*) AS cnt, array_to_string(list_transform(regexp_extract_all(hex(piece), '..'),
-        lambda b: '<' || CAST('0x' || b AS INTEGER) || '>'), '') AS sym FROM pre GROUP BY piece""", ("pre",))
-for _r in range(P_.bpe_merges):
-    _CTE[f"q{_r}"] = (f"""SELECT a, b, sum(cnt) AS c FROM (SELECT cnt, unnest(ids[:-2]) AS a, unnest(ids[2:]) AS b FROM (
-          SELECT cnt, list_transform(regexp_extract_all(sym, '<(\\d+)>', 1), lambda s: CAST(s AS INTEGER)) AS ids FROM m{_r})
-          WHERE len(ids) >= 2) GROUP BY a, b ORDER BY c DESC, a, b LIMIT 1""", (f"m{_r}",))
-    _CTE[f"m{_r + 1}"] = (f"""SELECT piece, cnt, coalesce(replace(sym, '<' || q.a || '><' || q.b || '>', '<{256 + _r}>'), sym) AS sym
-          FROM m{_r} LEFT JOIN q{_r} q ON true""", (f"m{_r}", f"q{_r}"))
-
-
-def _materialised(sql: str) -> str:
-    return sql.replace(" AS (", " AS MATERIALIZED (")
+_CTE["m0"] = ("""SELECT piece, cnt, CAST(row_number() OVER () AS BIGINT) AS k, '<' || array_to_string(list_transform(regexp_extract_all(hex(piece), '..'),
+        lambda b: CAST('0x' || b AS INTEGER)), '><') || '>' AS sym FROM (SELECT piece, count(*) AS cnt FROM pre GROUP BY piece)""", ("pre",))
+# One merge a step.  Keys above 0 are pieces, as strings of symbols (<116><104> for "th", so a merge is a replacement);
+# a merge of rank r is kept under the key -r with its pair and its count.
+_CTE["learned"] = (f"""SELECT k, cnt, sym FROM m0
+          UNION ALL
+          (WITH best AS MATERIALIZED (
+              SELECT a, b, sum(cnt) AS c FROM (SELECT cnt, unnest(ids[:-2]) AS a, unnest(ids[2:]) AS b FROM (
+                SELECT cnt, list_transform(string_split(sym[2:-2], '><'), lambda s: CAST(s AS INTEGER)) AS ids
+                FROM recurring.learned WHERE k > 0 AND contains(sym, '><'))) GROUP BY a, b ORDER BY c DESC, a, b LIMIT 1),
+            so_far AS (SELECT count(*) AS n FROM recurring.learned WHERE k <= 0)
+          SELECT m.k, m.cnt, replace(m.sym, '<' || a || '><' || b || '>', '<' || (256 + n) || '>') FROM recurring.learned m, best, so_far
+          WHERE n < {P_.bpe_merges} AND m.k > 0 AND contains(m.sym, '<' || a || '><' || b || '>')
+          UNION ALL SELECT -n, c, a || ' ' || b FROM best, so_far WHERE n < {P_.bpe_merges})""", ("m0",))
 
 
 # ---------------------------------------------------------------- byte pairs of the given rank table
@@ -428,16 +429,16 @@ ORACLE_SQL: dict[str, str] = {
         SELECT vec_id, arg_max(idx, ln(p) - ln(-ln({_u(f"'{SEED}'", 'vec_id', '0', 'idx')}))) AS idx
         FROM emb_top GROUP BY vec_id""",
     "decode_roundtrip": "SELECT doc_id, md5(coalesce(text, '')) AS md5 FROM documents",
-    "learn_bpe_merges": _materialised(with_(*(f"q{r}" for r in range(P_.bpe_merges)))) + " UNION ALL ".join(
-        f"SELECT {r} AS rank, a AS left, b AS right, {256 + r} AS token_id, CAST(c AS BIGINT) AS cnt FROM q{r}"
-        for r in range(P_.bpe_merges)),
-    "bpe_encode": _materialised(with_("docs", "pre", f"m{P_.bpe_merges}")) + f"""
+    "learn_bpe_merges": with_("learned") + """
+        SELECT CAST(-k AS INTEGER) AS rank, CAST(split_part(sym, ' ', 1) AS INTEGER) AS left, CAST(split_part(sym, ' ', 2) AS INTEGER) AS right,
+               CAST(256 - k AS INTEGER) AS token_id, CAST(cnt AS BIGINT) AS cnt FROM learned WHERE k <= 0""",
+    "bpe_encode": with_("docs", "pre", "m0", "learned") + """
         SELECT d.doc_id, md5(d.text) AS md5, CAST(coalesce(t.n, 0) + 1 AS BIGINT) AS n,
-               CAST(coalesce(t.s, 0) + {256 + P_.bpe_merges} AS BIGINT) AS id_sum
+               CAST(coalesce(t.s, 0) + 256 + (SELECT count(*) FROM learned WHERE k <= 0) AS BIGINT) AS id_sum
         FROM docs d LEFT JOIN (
-          SELECT p.doc_id, sum(len(ids)) AS n, sum(list_sum(ids)) AS s FROM pre p
-          JOIN (SELECT piece, list_transform(regexp_extract_all(sym, '<(\\d+)>', 1), lambda s: CAST(s AS INTEGER)) AS ids
-                FROM m{P_.bpe_merges}) m ON m.piece = p.piece GROUP BY p.doc_id) t ON t.doc_id = d.doc_id""",
+          SELECT p.doc_id, sum(len(ids)) AS n, sum(list_sum(ids)) AS s FROM pre p JOIN (
+            SELECT m0.piece, list_transform(string_split(l.sym[2:-2], '><'), lambda s: CAST(s AS INTEGER)) AS ids
+            FROM m0 JOIN learned l ON l.k = m0.k) m ON m.piece = p.piece GROUP BY p.doc_id) t ON t.doc_id = d.doc_id""",
     "decode_words_roundtrip": with_("tw", "vocab", "wl") + """
         SELECT w.doc_id, md5(CASE WHEN d.t IS NULL THEN '<|eot|>' ELSE '<|eot|> ' || d.t END) AS md5
         FROM wl w LEFT JOIN (

@@ -15,7 +15,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenweave.operators import batching, bpe, dictionary, evaluate, packing, sampling, tokens
+from tokenweave.operators import batching, bpe, dictionary, evaluate, merges, packing, sampling, tokens
 from tokenweave.operators.packed import PACKED_SCHEMA, pack, unpack
 from tokenweave.operators.packed import packing as packed_by
 from tokenweave.operators.prefix import ordered_offsets
@@ -235,7 +235,7 @@ class CorpusRun:
     # ------------------------------------------------------------ byte-pair mode
     @cached_property
     def bpe_merges(self) -> DataFrame:
-        return cut_lineage(bpe.learn_merges(self.docs, self.p.bpe_merges))
+        return cut_lineage(merges.learn_merges(self.docs, self.p.bpe_merges))
 
     @cached_property
     def bpe_table(self) -> list:
