@@ -15,8 +15,6 @@ from tokenweave.functions.common import ship_by_value
 
 ship_by_value(__name__)
 
-PACKED_SCHEMA = "doc_id bigint, n bigint, data binary"
-
 
 # ---------------------------------------------------------------- columns
 
@@ -89,14 +87,28 @@ def slices(batches, size_col: int, per_token: int = 2):
             yield rb.slice(a, b - a)
 
 
-def packing(kernel):
-    """An encoder's batches ``(doc_id, n, ids)`` with the ids packed."""
+def pack_text(df: DataFrame, eot: int, text: str = "text", data: str = "data") -> DataFrame:
+    """Column ``text`` replaced by its UTF-8 bytes as packed ids, ``eot`` first (a null text has only that)."""
+    schema = T.StructType([T.StructField(data, T.BinaryType()) if f.name == text else f for f in df.schema])
+    at = df.columns.index(text)
+
     def run(batches):
+        import numpy as np
         import pyarrow as pa
 
-        for rb in kernel(batches):
-            yield pa.RecordBatch.from_arrays([rb.column(0), rb.column(1), packed_array(rb.column(2))], names=["doc_id", "n", "data"])
-    return run
+        for rb in slices(batches, at, 1):
+            column = rb.column(at).cast(pa.binary())
+            ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1].astype(np.int64) if len(column) else np.zeros(1, np.int64)
+            out = np.empty(int(ends[-1] - ends[0]) + len(column), "<u2")
+            starts = ends - ends[0] + np.arange(len(ends))
+            body = np.ones(len(out), bool)
+            body[starts[:-1]] = False
+            out[starts[:-1]] = eot
+            if ends[-1] > ends[0]:
+                out[body] = np.frombuffer(column.buffers()[2], np.uint8)[ends[0]:ends[-1]]
+            packed = pa.Array.from_buffers(pa.binary(), len(column), [None, pa.py_buffer((starts * 2).astype(np.int32).tobytes()), pa.py_buffer(out.tobytes())])
+            yield rb.set_column(at, data, packed)
+    return df.mapInArrow(run, schema)
 
 
 def pack(df: DataFrame, ids: str = "ids", data: str = "data") -> DataFrame:

@@ -21,14 +21,14 @@ FAN = 1024
 PARTS_BROADCAST = 1_000_000
 
 
-def _running(kernel, names: list[str], n: int):
+def _running(names: list[str], n: int):
     def run(batches):
         import numpy as np
         import pyarrow as pa
         from pyspark import TaskContext
 
         part, total = TaskContext.get().partitionId(), 0
-        for rb in kernel(batches) if kernel else batches:
+        for rb in batches:
             sizes = rb.column(n).to_numpy(zero_copy_only=False).astype(np.int64)
             ends = np.cumsum(sizes) + total
             before = ends - sizes
@@ -50,17 +50,12 @@ def scan_parts(parts: DataFrame, fan: int = FAN) -> DataFrame:
     return inside.join(above.select(F.col("part").alias("up"), F.col("base").alias("above")), "up").select("part", (F.col("above") + F.col("own")).alias("base"))
 
 
-def ordered_offsets(rows: DataFrame, order: list[Column | str], kernel=None, schema: str | T.StructType | None = None, fan: int = FAN) -> DataFrame:
-    """``rows`` in ``order`` with ``off``, the sum of ``n`` before each row; written once.
-
-    ``kernel``, when given, is an Arrow function applied to the sorted rows before they are summed (an encoder: the
-    texts are then shuffled, not their tokens); ``schema`` is what it yields.
-    """
-    out = rows.schema if schema is None else schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
-    names = out.fieldNames()
-    summed = T.StructType([*out.fields, T.StructField("part", T.LongType()), T.StructField("before", T.LongType())])
+def ordered_offsets(rows: DataFrame, order: list[Column | str], fan: int = FAN) -> DataFrame:
+    """``rows`` in ``order`` with ``off``, the sum of ``n`` before each row; written once, in files of neighbouring rows."""
+    names = rows.columns
+    summed = T.StructType([*rows.schema.fields, T.StructField("part", T.LongType()), T.StructField("before", T.LongType())])
     ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    leaves = written(ranged.mapInArrow(_running(kernel, names, names.index("n")), summed), "ordered")
+    leaves = written(ranged.mapInArrow(_running(names, names.index("n")), summed), "ordered")
     parts = written(leaves.groupBy("part").agg(F.sum("n").cast("bigint").alias("total")), "parts")
     bases = broadcast_if_small(scan_parts(parts, fan), PARTS_BROADCAST)
     return leaves.join(bases, "part").select(*names, (F.col("base") + F.col("before")).alias("off"))

@@ -16,8 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tokenweave.operators import batching, bpe, dictionary, evaluate, merges, packing, sampling, tokens
-from tokenweave.operators.packed import PACKED_SCHEMA, pack, unpack
-from tokenweave.operators.packed import packing as packed_by
+from tokenweave.operators.packed import pack, pack_text, unpack
 from tokenweave.operators.prefix import ordered_offsets
 from tokenweave.params import PackParams, rank_path
 from tokenweave.session import cut_lineage, folder_state
@@ -28,14 +27,14 @@ DEFAULT_PARAMS = PackParams()
 _RUNS: dict = {}
 
 
-def text_order() -> list:
-    """The order of the stream: key (null last), then length and content of the text."""
-    return [F.col("doc_id").asc_nulls_last(), F.octet_length("text"), F.xxhash64("text")]
-
-
 def byte_offsets(docs: DataFrame) -> DataFrame:
-    """``(doc_id, n, data, off)``: byte tokens in stream order; the texts are sorted, then encoded where they lie."""
-    return ordered_offsets(docs.select("doc_id", "text"), text_order(), packed_by(tokens.bytes_kernel()), PACKED_SCHEMA)
+    """``(doc_id, data, n, off)``: byte tokens in stream order: key (null last), then length and content of the text.
+
+    The texts are sorted and written; they become tokens where they are read, so no token is shuffled.
+    """
+    rows = docs.select("doc_id", "text", (F.octet_length("text") + 1).cast("bigint").alias("n"))
+    placed = ordered_offsets(rows, [F.col("doc_id").asc_nulls_last(), "n", F.xxhash64("text")])
+    return pack_text(placed, tokens.BYTE_EOT)
 
 
 def get_run(spark: SparkSession, sf_dir: str, params: PackParams = DEFAULT_PARAMS) -> "CorpusRun":
@@ -111,7 +110,8 @@ class CorpusRun:
         """``(doc_id, n, data)``: the run's tokens, end-of-text first (byte pairs are written once)."""
         if self.p.tokens == "ranks":
             return shard_io.written(pack(dictionary.encode_pieces(self.docs, self.pieces, len(self.token_table))), "tokens")
-        return pack(tokens.encode_bytes(self.docs))
+        n = (F.octet_length("text") + 1).cast("bigint")
+        return pack_text(self.docs.select("doc_id", n.alias("n"), "text"), tokens.BYTE_EOT)
 
     @cached_property
     def offsets(self) -> DataFrame:
@@ -138,7 +138,7 @@ class CorpusRun:
     @cached_property
     def shards_path(self) -> str:
         path = shard_io.scratch_path(self.spark, "shards")
-        return shard_io.write_shards(packing.cut_segments(self.offsets, self.p.shard_size), path, self.p.shard_size)
+        return shard_io.write_shards(packing.cut_segments(self.offsets, self.p.shard_size), path, self.p.shard_size, in_order=True)
 
     @cached_property
     def slots_path(self) -> str:

@@ -53,7 +53,7 @@ TOKENS_PER_FILE = 4_000_000
 
 
 def write_shards(segments: DataFrame, path: str, shard_size: int,
-                 files_per_shard: int | None = None, mode: str = "overwrite") -> str:
+                 files_per_shard: int | None = None, mode: str = "overwrite", in_order: bool = False) -> str:
     """Write segments as ``split=…/shard_index=…`` parquet.
 
     Rows are hash-partitioned on ``(shard_index, pos div chunk)``: a shard is
@@ -62,14 +62,17 @@ def write_shards(segments: DataFrame, path: str, shard_size: int,
     ``TOKENS_PER_FILE`` tokens: a 1e8-token shard is written by 25 tasks)
     instead of one file per (task, shard).  No range sampling, so the
     upstream plan is not run twice.  The directory is created by the writer (S3).
+    ``in_order``: each task has neighbouring documents already (as after
+    ``ordered_offsets``), so a shard is written by the few tasks that hold a
+    part of it and nothing is shuffled.
     """
     if files_per_shard is None:
         files_per_shard = max(1, -(-shard_size // TOKENS_PER_FILE))
     chunk = max(1, -(-shard_size // max(1, files_per_shard)))
     # nothing out of range reaches a shard (packed tokens were checked when they were packed)
     checked = assert_token_range(segments) if "ids" in segments.columns else segments
-    (checked.repartition(F.col("shard_index"), idiv(F.col("pos"), chunk))
-     .sortWithinPartitions("shard_index", "pos")
+    placed = checked if in_order else checked.repartition(F.col("shard_index"), idiv(F.col("pos"), chunk))
+    (placed.sortWithinPartitions("shard_index", "pos")
      .write.mode(mode).partitionBy("split", "shard_index").parquet(path))
     return path
 
