@@ -29,6 +29,32 @@ def test_split_choice_is_pushed_to_the_scan(spark):
     assert df.count() == n
 
 
+def test_a_corpus_without_a_key_packs_in_file_order(spark, tmp_path):
+    """Many files, many row groups, few or many tasks: the same places and the same segments on every run."""
+    from tokenweave.operators import packing
+    from tokenweave.plans.run import byte_offsets
+
+    texts = [f"text {i} " * (i % 7) for i in range(400)]
+    src = spark.createDataFrame([(t, "x") for t in texts], "text string, doc_id string").coalesce(1)
+    path = tmp_path / "raw"
+    for k in range(5):
+        part = spark.createDataFrame([(t if t else None, "x") for t in texts[80 * k:80 * k + 80]], src.schema).coalesce(1)
+        part.write.option("parquet.block.size", "1024").parquet(str(path / f"part-{k}"))
+    path = str(path / "part-*")
+    runs = []
+    for size in ("128m", "400"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        docs = read_corpus(spark, path, key=None)
+        assert [r.text for r in docs.orderBy("doc_id").collect()] == texts
+        assert [r.doc_id for r in docs.orderBy("doc_id").collect()] == list(range(400))
+        seg = packing.cut_segments(byte_offsets(docs), 500)
+        runs.append(sorted(tuple(r) for r in seg.select("shard_index", "pos", "doc_id", "n", "data").collect()))
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert runs[0] == runs[1] and sum(r[3] for r in runs[0]) == sum(len(t) + 1 for t in texts)
+    with pytest.raises(ValueError, match="key column"):
+        read_corpus(spark, path, key=None, fmt="csv")
+
+
 def test_missing_split_raises(spark, tmp_path):
     segs = spark.createDataFrame([("val", 0, 0, 0, 0, 3, 3, [1, 2, 3])],
                                  "split string, shard_index bigint, pos bigint, doc_id bigint, "
@@ -49,6 +75,9 @@ def test_metrics_truncate_then_append(spark, tmp_path):
     assert lines == ["0 val 3.2530", "100 val 3.1497"]
     parsed = sorted(tuple(r) for r in metrics_io.parse_metrics(spark, path).collect())
     assert parsed == [(0, "val", 3.253), (100, "val", 3.1497)]
+    # the same evaluation written again, as after a failure, leaves one line
+    metrics_io.write_metrics(metrics_io.metrics_lines(rows.filter("step = 100")), path)
+    assert sorted(r.value for r in spark.read.text(path).collect()) == lines
     # a new run truncates
     metrics_io.write_metrics(metrics_io.metrics_lines(rows.filter("step = 0")), path, truncate=True)
     assert spark.read.text(path).count() == 1

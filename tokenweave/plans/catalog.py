@@ -15,13 +15,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tokenweave.operators import batching, bpe, evaluate, merges, packed, packing, sampling, tokens
+from tokenweave.operators.prefix import ordered_offsets
 from tokenweave.params import RANKED
 from tokenweave.plans.run import DEFAULT_PARAMS, get_run
 from tokenweave.session import hadoop_path
 from tokenweave.sources import metrics as metrics_io
 from tokenweave.sources import shards as shard_io
 from tokenweave.sources.corpus import corpus_scan as _corpus_scan
-from tokenweave.sources.corpus import read_table
+from tokenweave.sources.corpus import read_corpus, read_table, table_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,6 +45,13 @@ def q_doc_offsets(spark, sf):
     return get_run(spark, sf).doc_offsets
 
 
+def q_unkeyed_offsets(spark, sf):
+    """The corpus as if it had no key: places and offsets in the order of files and rows."""
+    docs = read_corpus(spark, table_path(sf, "documents"), key=None)
+    n = (F.octet_length("text") + 1).cast("bigint").alias("n")
+    return ordered_offsets(docs.select("doc_id", n), ["doc_id"])
+
+
 def q_shard_segments(spark, sf):
     run = get_run(spark, sf)
     seg = run.segments().withColumn("shard_index", F.col("shard_index").cast("bigint"))
@@ -393,6 +401,7 @@ QUERIES: dict[str, Query] = {
     "corpus_split_scan": q_corpus_split_scan,
     "doc_token_lengths": q_doc_token_lengths,
     "doc_offsets": q_doc_offsets,
+    "unkeyed_offsets": q_unkeyed_offsets,
     "shard_segments": q_shard_segments,
     "shard_manifest": q_shard_manifest,
     "word_vocab": q_word_vocab,

@@ -338,6 +338,8 @@ ORACLE_SQL: dict[str, str] = {
                          "WHERE lang = 'en'",
     "doc_token_lengths": with_("wlens") + "SELECT doc_id, n FROM wlens",
     "doc_offsets": with_("offs") + "SELECT doc_id, n, off FROM offs",
+    "unkeyed_offsets": """SELECT doc_id, n, CAST(coalesce(sum(n) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT)
+        AS off FROM (SELECT row_number() OVER () - 1 AS doc_id, CAST(strlen(coalesce(text, '')) + 1 AS BIGINT) AS n FROM documents)""",
     "shard_segments": _SEGMENT_SUMMARY,
     "stream_pack": _SEGMENT_SUMMARY,
     "word_vocab": with_("vocab") + "SELECT token_id, word, cnt FROM vocab",

@@ -1,7 +1,8 @@
 """The metrics log as a sink and as a table.
 
 Lines are ``"{step} {split} {loss:.4f}"``.  The sink truncates at the start of
-a run (overwrite) and appends afterwards; the reader parses the space
+a run (overwrite); afterwards a step's lines replace what was written for that
+step, so a write that is tried again leaves them once.  The reader parses the space
 separated fields back into ``(step BIGINT, split STRING, loss DOUBLE)``.
 """
 
@@ -20,9 +21,10 @@ def metrics_lines(df: DataFrame, step: str = "step", split: str = "split",
 
 
 def write_metrics(lines: DataFrame, path: str, truncate: bool = False) -> str:
-    """Overwrite on the first write of a run, append after that."""
-    (lines.select("value").coalesce(1)
-     .write.mode("overwrite" if truncate else "append").text(path))
+    """The lines of some steps, each step's folder replaced as a whole; ``truncate`` starts a new run."""
+    (lines.select("step", "value").repartition("step")
+     .write.mode("overwrite").option("partitionOverwriteMode", "static" if truncate else "dynamic")
+     .partitionBy("step").text(path))
     return path
 
 
