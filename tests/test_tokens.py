@@ -49,10 +49,20 @@ def test_empty_and_null_text(spark):
     assert enc[2][1:] == list("héllo wörld".encode("utf-8"))
 
 
-def test_decode_words(spark):
-    df = spark.createDataFrame([(0, [9, 0, 2, 8, 1])], "k int, ids array<int>")
-    out = df.select(tokens.decode_words(F.col("ids"), ["the", "a", "of"], 10).alias("t")).first().t
-    assert out == "<|eot|> the of <|unk|> a"
+def test_word_tokens_lose_nothing(spark):
+    """Words outside the vocabulary and any white space come back from bytes; single spaces between known words cost nothing."""
+    texts = ["the cat sat on the mat", "the  cat", " the", "the ", "zzz", "the zzz cat", "the\tcat\nsat", "é😀 the é", "", "  ", "\n", "the\x0bcat",
+             "the\u00a0cat the", "cat" * 40, "the cat", "the", " "]
+    docs = spark.createDataFrame([*enumerate(texts), (None, "the cat"), (99, None)], "doc_id bigint, text string").coalesce(1)
+    words = ["the", "cat", "sat", "on"]
+    vocab = spark.createDataFrame([(i, w, 1) for i, w in enumerate(words)], "token_id int, word string, cnt bigint")
+    enc = tokens.encode_words_lossless(docs, vocab, 10)
+    got = {r.doc_id: (r.n, list(r.ids)) for r in enc.collect()}
+    assert got[0] == (1 + 5 + 4, [9, 0, 1, 2, 3, 0, *(10 + b for b in b" mat")]) and got[None][1] == [9, 0, 1] and got[99][1] == [9]
+    back = {r.doc_id: bytes(r.text).decode() for r in tokens.decode_words(enc, words, 10).collect()}
+    assert back == {**dict(enumerate(texts)), None: "the cat", 99: ""}
+    with pytest.raises(ValueError):
+        tokens.encode_words_lossless(docs, vocab, 65_400)
 
 
 def test_range_assert_fails_job(spark):

@@ -27,6 +27,7 @@ from tokenweave.session import cut_lineage
 ship_by_value(__name__)
 
 BYTE_EOT = 256
+PIECES_PATTERN = WORD_PATTERN + r"|[ \t\r\n]+"  # words and the white space between them: together the whole text
 TOKENS_SCHEMA = "doc_id bigint, n bigint, ids array<int>"
 
 
@@ -170,6 +171,55 @@ def encode_words(docs: DataFrame, vocab: DataFrame, vocab_size: int) -> DataFram
     return encode_words_bc(docs, bc, vocab_size)
 
 
+def _lossless_kernel(vocab_bc, eot: int, first_byte: int):
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        vocab = pa.array(vocab_bc.value, type=pa.string())
+        for rb in (rb.slice(i, 1000) for rb in batches for i in range(0, rb.num_rows, 1000)):
+            lists = rb.column(1)
+            flat = lists.flatten()
+            word = pc.fill_null(pc.index_in(flat, value_set=vocab), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+            known = word >= 0
+            bounds = lists.offsets.to_numpy(zero_copy_only=False).astype(np.int64)
+            bounds = bounds - bounds[0]
+            # the space between two known words of one text goes without saying
+            implied = pc.equal(flat, " ").to_numpy(zero_copy_only=False).astype(bool)
+            implied &= np.append(False, known[:-1]) & np.append(known[1:], False)
+            edge = np.zeros(len(flat) + 1, bool)
+            edge[bounds] = True
+            implied &= ~edge[:-1] & ~edge[1:]
+            data = flat.cast(pa.large_binary())
+            offs = np.frombuffer(data.buffers()[1], np.int64)[data.offset:data.offset + len(data) + 1]
+            own = np.frombuffer(data.buffers()[2], np.uint8) if data.buffers()[2] is not None else np.empty(0, np.uint8)
+            width = np.where(known, 1, np.where(implied, 0, np.diff(offs)))
+            ends = np.cumsum(width)
+            at = np.arange(int(width.sum()), dtype=np.int64) - np.repeat(ends - width, width)
+            is_word = np.repeat(known, width)
+            values = np.repeat(word, width)
+            values[~is_word] = own[(np.repeat(offs[:-1], width) + at)[~is_word]].astype(np.int64) + first_byte
+            total = np.concatenate([[0], ends])
+            arr, n = _with_eot(total[bounds[1:]] - total[bounds[:-1]], values, eot)
+            yield pa.RecordBatch.from_arrays([rb.column(0), pa.array(n), arr], names=["doc_id", "n", "ids"])
+    return run
+
+
+def encode_words_lossless(docs: DataFrame, vocab: DataFrame, vocab_size: int) -> DataFrame:
+    """Words of the vocabulary as their ids, everything else as bytes (id ``vocab_size`` + byte), end-of-text first.
+
+    Two word ids in a row have one space between them; any other white space,
+    and words outside the vocabulary with the space before them, are bytes.
+    So the vocabulary's size decides how long a text gets, not what is kept.
+    """
+    if vocab_size + 256 > TOKEN_ID_LIMIT:
+        raise ValueError(f"a vocabulary with bytes has at most {TOKEN_ID_LIMIT - 256} words")
+    bc = docs.sparkSession.sparkContext.broadcast(vocab_list(vocab, vocab_size))
+    src = docs.select("doc_id", F.regexp_extract_all(F.col("text"), F.lit(PIECES_PATTERN), 0).alias("pieces"))
+    return src.mapInArrow(_lossless_kernel(bc, vocab_size - 1, vocab_size), TOKENS_SCHEMA)
+
+
 def encode_bytes(docs: DataFrame, eot: bool = True) -> DataFrame:
     """T8 bytes mode: ids are the UTF-8 bytes, end-of-text 256 first (prompts have none: ``eot=False``)."""
     return docs.select("doc_id", "text").mapInArrow(bytes_kernel(BYTE_EOT if eot else None), TOKENS_SCHEMA)
@@ -189,25 +239,36 @@ def decode_bytes(seqs: DataFrame, ids: str = "ids", max_length: int | None = Non
     return F.decode(F.unhex(hexed), "UTF-8")
 
 
-def vocab_array(words: list[str]) -> Column:
-    """A literal ARRAY<STRING> of the vocabulary, indexable by id + 1.
+def decode_words(tokens: DataFrame, words: list[str], vocab_size: int) -> DataFrame:
+    """T5 words mode: ``(doc_id, text)`` of lossless word tokens (binary, the text's UTF-8 bytes).
 
-    Built from one string literal split on a space (words never contain one),
-    so Catalyst folds it into a single constant rather than V expressions.
+    A space stands between two word ids that follow each other.
     """
-    return F.split(F.lit(" ".join(words)), " ")
-
-
-def decode_words(ids: Column, words: list[str], vocab_size: int,
-                 max_length: int | None = None) -> Column:
-    """T5 words mode: ids -> words joined by single spaces (O(1) index per id)."""
-    arr = ids if max_length is None else F.slice(ids, 1, max_length)
-    vocab = vocab_array(words)
-    unk, eot = vocab_size - 2, vocab_size - 1
-    tok = lambda x: (F.when(x == F.lit(eot), F.lit("<|eot|>"))
-                     .when(x == F.lit(unk), F.lit("<|unk|>"))
-                     .otherwise(F.element_at(vocab, x + 1)))
-    return F.array_join(F.transform(arr, tok), " ")
+    from tokenweave.operators.packed import decode, pack
+
+    # two tables in one: a word's bytes, and from vocab_size on single bytes; a space before a word that follows a word
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for rb in batches:
+            lists = rb.column(1)
+            flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+            bounds = lists.offsets.to_numpy(zero_copy_only=False).astype(np.int64)
+            bounds = bounds - bounds[0]
+            word = flat < vocab_size - 2
+            gap = word & np.append(False, word[:-1])
+            gap[bounds[:-1][np.diff(bounds) > 0]] = False
+            out = np.full(len(flat) + int(gap.sum()), vocab_size + ord(" "), np.int64)
+            at = np.arange(len(flat)) + np.cumsum(gap)
+            out[at] = flat
+            ends = np.concatenate([[0], np.cumsum(1 + gap)])[bounds].astype(np.int32)
+            yield pa.RecordBatch.from_arrays([rb.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(out.astype(np.int32)))], names=["doc_id", "ids"])
+
+    table = [w.encode() for w in words]
+    table += [b""] * (vocab_size - len(table)) + [bytes([i]) for i in range(256)]
+    spaced = tokens.select("doc_id", "ids").mapInArrow(run, "doc_id bigint, ids array<int>")
+    return decode(pack(spaced, data="text"), table, "text")
 
 
 # ---------------------------------------------------------------- checks

@@ -329,10 +329,10 @@ def q_decode_roundtrip(spark, sf):
 
 
 def q_decode_words_roundtrip(spark, sf):
-    """T5 words mode: decode every encoded document (md5 of the decoded text)."""
+    """T5 words mode: every document decoded from its word and byte tokens."""
     run = get_run(spark, sf)
-    text = tokens.decode_words(F.col("ids"), run.vocab_words, run.p.word_vocab_size)
-    return run.word_tokens.select("doc_id", F.md5(text).alias("md5"))
+    text = tokens.decode_words(run.word_tokens, run.vocab_words, run.p.word_vocab_size)
+    return text.select("doc_id", F.md5("text").alias("md5"))
 
 
 def q_learn_bpe_merges(spark, sf):

@@ -441,11 +441,7 @@ ORACLE_SQL: dict[str, str] = {
           SELECT p.doc_id, sum(len(ids)) AS n, sum(list_sum(ids)) AS s FROM pre p JOIN (
             SELECT m0.piece, list_transform(string_split(l.sym[2:-2], '><'), lambda s: CAST(s AS INTEGER)) AS ids
             FROM m0 JOIN learned l ON l.k = m0.k) m ON m.piece = p.piece GROUP BY p.doc_id) t ON t.doc_id = d.doc_id""",
-    "decode_words_roundtrip": with_("tw", "vocab", "wl") + """
-        SELECT w.doc_id, md5(CASE WHEN d.t IS NULL THEN '<|eot|>' ELSE '<|eot|> ' || d.t END) AS md5
-        FROM wl w LEFT JOIN (
-          SELECT tw.doc_id, string_agg(coalesce(v.word, '<|unk|>'), ' ' ORDER BY tw.i) AS t
-          FROM tw LEFT JOIN vocab v ON v.word = tw.word GROUP BY tw.doc_id) d ON d.doc_id = w.doc_id""",
+    "decode_words_roundtrip": "SELECT doc_id, md5(coalesce(text, '')) AS md5 FROM documents",
 }
 
 ORACLE_SQL |= _chain_sql({}, f"""upper(array_to_string(list_transform(list_filter(ids, lambda i: i < {EOT}), lambda i: printf('%02x', i)), ''))""")

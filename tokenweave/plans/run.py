@@ -90,8 +90,8 @@ class CorpusRun:
 
     @cached_property
     def word_tokens(self) -> DataFrame:
-        """Words-mode tokens (T7): capped, for counts and decoding only."""
-        return tokens.encode_words(self.docs, self.vocab, self.p.word_vocab_size)
+        """Words-mode tokens (T7): words of the vocabulary, bytes for everything else."""
+        return tokens.encode_words_lossless(self.docs, self.vocab, self.p.word_vocab_size)
 
     @cached_property
     def token_table(self) -> list[bytes]:
