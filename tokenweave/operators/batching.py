@@ -151,7 +151,7 @@ def slot_table(segments: DataFrame, BT: int) -> DataFrame:
 def write_slots(segments: DataFrame, BT: int, path: str) -> str:
     """The slot table as parquet, by split and sorted by shard and slot."""
     (slot_table(segments, BT).sortWithinPartitions("split", "shard_index", "slot")
-     .write.mode("overwrite").partitionBy("split").parquet(path))
+     .write.mode("overwrite").option("compression", "zstd").partitionBy("split").parquet(path))
     return path
 
 

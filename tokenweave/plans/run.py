@@ -109,13 +109,13 @@ class CorpusRun:
     def doc_tokens(self) -> DataFrame:
         """``(doc_id, n, data)``: the run's tokens, end-of-text first (byte pairs are written once)."""
         if self.p.tokens == "ranks":
-            return shard_io.written(pack(dictionary.encode_pieces(self.docs, self.pieces, len(self.token_table))), "tokens")
+            with shard_io.passing(self.spark, "encoded"):
+                return shard_io.written(pack(dictionary.encode_pieces(self.docs, self.pieces, len(self.token_table))), "tokens")
         n = (F.octet_length("text") + 1).cast("bigint")
         return pack_text(self.docs.select("doc_id", n.alias("n"), "text"), tokens.BYTE_EOT)
 
-    @cached_property
     def offsets(self) -> DataFrame:
-        """The tokens of every document and how many come before them."""
+        """The tokens of every document and how many come before them (written anew on each call)."""
         if self.p.tokens == "ranks":
             return ordered_offsets(self.doc_tokens, [F.col("doc_id").asc_nulls_last(), "n", F.xxhash64("data")])
         return byte_offsets(self.docs)
@@ -138,7 +138,8 @@ class CorpusRun:
     @cached_property
     def shards_path(self) -> str:
         path = shard_io.scratch_path(self.spark, "shards")
-        return shard_io.write_shards(packing.cut_segments(self.offsets, self.p.shard_size), path, self.p.shard_size, in_order=True)
+        with shard_io.passing(self.spark, "ordered", "parts"):
+            return shard_io.write_shards(packing.cut_segments(self.offsets(), self.p.shard_size), path, self.p.shard_size, in_order=True)
 
     @cached_property
     def slots_path(self) -> str:

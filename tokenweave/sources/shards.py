@@ -9,6 +9,7 @@ substring test on file names.
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,13 +30,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def drop_scratch(spark: SparkSession) -> None:
-    """Delete the folders that this session made; tables that still read them are lost."""
+def drop_scratch(spark: SparkSession, made: list[tuple[str, str]] | None = None) -> None:
+    """Delete the folders that this session made, or only ``made``; tables that still read them are lost."""
     app = spark.sparkContext.applicationId
-    for _, path in [m for m in _MADE if m[0] == app]:
-        fs, at = hadoop_path(spark, path)
-        fs.delete(at, True)
-    _MADE[:] = [m for m in _MADE if m[0] != app]
+    for entry in list(_MADE) if made is None else made:
+        if entry[0] == app and entry in _MADE:
+            fs, at = hadoop_path(spark, entry[1])
+            fs.delete(at, True)
+            _MADE.remove(entry)
+
+
+@contextmanager
+def passing(spark: SparkSession, *names: str):
+    """Folders of these names made inside are deleted at the end: steps on the way to a table that is then written."""
+    before = set(_MADE)
+    yield
+    drop_scratch(spark, [m for m in _MADE if m not in before and m[1].rsplit("/", 1)[1].rsplit("-", 1)[0] in names])
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -44,7 +54,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     One job computes and writes the rows; a lost executor costs a re-read.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -73,7 +83,7 @@ def write_shards(segments: DataFrame, path: str, shard_size: int,
     checked = assert_token_range(segments) if "ids" in segments.columns else segments
     placed = checked if in_order else checked.repartition(F.col("shard_index"), idiv(F.col("pos"), chunk))
     (placed.sortWithinPartitions("shard_index", "pos")
-     .write.mode(mode).partitionBy("split", "shard_index").parquet(path))
+     .write.mode(mode).option("compression", "zstd").partitionBy("split", "shard_index").parquet(path))
     return path
 
 
