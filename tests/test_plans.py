@@ -33,7 +33,8 @@ def test_check_flags_a_global_running_sum(spark):
     assert single and all("doc_id" in c for c in single)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+# learn_bpe_vocabulary is learn_bpe_merges with more rounds
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"learn_bpe_vocabulary"}))
 def test_plan_shape(spark, name):
     df = QUERIES[name](spark, SF001)
     plan = df._jdf.queryExecution().executedPlan().toString()
