@@ -77,6 +77,10 @@ def test_batches_equal_sliced_stream(spark, tmp_path):
     got = {tuple(r) for r in batching.pair_counts(batching.planned_slots(slots, plan, "batch_no"), "batch_no").collect()}
     want = Counter((r.batch_no, x, y) for r in rows for x, y in zip(r.x, r.y) for _ in range(2 if r.batch_no == 0 else 1))
     assert got == {(*k, c) for k, c in want.items()}
+    total = Counter()
+    for (_, x, y), c in want.items():
+        total[x, y] += c
+    assert {tuple(r) for r in batching.pair_counts(batching.planned_slots(slots, plan)).collect()} == {(*k, c) for k, c in total.items()}
 
 
 def test_slots_of_a_segment_longer_than_many_slots(spark):

@@ -186,7 +186,8 @@ def _pair_kernel(keys: list[str]):
                 continue
             own = [rb.column(rb.schema.get_field_index(k)) for k in keys]
             first: dict = {}
-            group = np.array([first.setdefault(k, (len(first), i))[0] for i, k in enumerate(zip(*[c.to_pylist() for c in own]))], np.int64)
+            named = zip(*[c.to_pylist() for c in own]) if own else [()] * len(n)
+            group = np.array([first.setdefault(k, (len(first), i))[0] for i, k in enumerate(named)], np.int64)
             # every place but the last of a row is a pair's x
             at = np.delete(np.arange(len(ids)), (starts + n - 1)[n > 0])
             pairs = np.maximum(n - 1, 0)
