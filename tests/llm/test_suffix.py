@@ -52,6 +52,7 @@ def run(spark, texts, p, **kw):
     (2, SuffixParams(length=20, seed=6, group_rows=3)),  # nearly every seed takes the path for frequent ones
     (3, SuffixParams(length=30, seed=12, pair_rows=2, run_rows=50)),  # classes for each distance, many short runs
     (4, SuffixParams(length=40, seed=8, group_rows=30, pair_rows=3)),
+    (5, SuffixParams(length=24, seed=8, group_rows=1)),  # halves down to single distances
 ])
 def test_equals_brute_force(spark, seed, p):
     texts = corpus(seed)
@@ -115,3 +116,46 @@ def test_null_ids_whose_hashes_agree_in_31_bits_keep_their_own_ranges(spark):
     got = suffix.remove_repeats(df).collect()
     assert sorted((r.doc_id or 0, r.n_bytes, r.n_removed, bytes(r.kept)) for r in got) == sorted([
         (0, 256, 256, b""), (0, 256, 0, b.encode()), (1, 258, 256, "é".encode())])
+
+
+def test_a_passage_of_all_documents_is_divided_and_equals_brute_force(spark):
+    rng = random.Random(9)
+    some = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passage = some(150)
+    texts = [some(rng.randint(0, 60)) + passage + some(rng.randint(0, 60)) for _ in range(60)] + [passage * 3]
+    p = SuffixParams(length=40, seed=8, group_rows=10)
+    got = [(r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256, bytes(r.kept)) for r in run(spark, texts, p)]
+    assert got == brute([t.encode() for t in texts], p.length)
+
+
+def test_halves_are_few_rows_and_equal_contexts_one():
+    rng = random.Random(10)
+    some = lambda n: bytes(rng.choice(b"abcdefgh ") for _ in range(n))
+    p, passage = SuffixParams(), some(1000)
+    texts = [some(300) + passage + some(300) for _ in range(50)]
+    marks = [[{"at": int(a) << 16 | int(n) << 8 | int(z), "seed": int(h)} for a, n, z, h in zip(*suffix.picks(t, p)) if 300 <= a <= 1268]
+             for t in texts]
+    import pyarrow as pa
+    batch = pa.RecordBatch.from_pydict({"doc": list(range(50)), "salt": [0] * 50, "text": pa.array(texts, pa.binary()), "marks": marks})
+    rows = [r for b in suffix._halves(p, suffix._whole_classes)(iter([batch])) for r in b.to_pylist()]
+    inside = [r for r in rows if r["key"] is None]
+    assert len(inside) == 50  # one joined range a document, however many suffixes the passage has
+    assert len(rows) - 50 < 50 * 8  # two rows for each suffix at an edge, not one for each of its 169 windows
+
+
+def test_sent_suffixes_do_not_grow_with_the_square_of_equal_rows(spark, monkeypatch):
+    rng = random.Random(11)
+    text = "".join(rng.choice("abcdefgh ") for _ in range(3000))
+
+    def sent(k):
+        df = spark.createDataFrame([(None, text)] * k + [(1, "xy" + text)], "doc_id bigint, text string").repartition(4)
+        seen = []
+        keep = suffix._merged
+        monkeypatch.setattr(suffix, "_merged", lambda runs, p: seen.append(runs) or keep(runs, p))
+        got = suffix.remove_repeats(df, keep_bytes=False).collect()
+        monkeypatch.setattr(suffix, "_merged", keep)
+        assert sorted((r.doc_id or 0, r.n_bytes, r.n_removed, r.n_spans) for r in got) == [(0, 3000, 3000, 1)] * k + [(1, 3002, 3000, 1)]
+        return sum(len(list(suffix.decode_run(r.run))) for r in seen[0].collect())
+
+    few, many = sent(5), sent(80)
+    assert many <= 4 * few  # at most once a task, not once a copy

@@ -13,11 +13,15 @@ detection, as in prefix-doubling string sorts).  The others are sorted:
 
 Suffixes of one seed are neighbours there.  Two of them, equal on ``r`` bytes to the right and ``l`` to the left of the
 seed's start, share the windows that start ``length - r`` to ``l`` bytes before it; a window is repeated if some other
-suffix shares it.  A seed that occurs over ``group_rows`` times is not sorted in one task: its windows are compared
-by 128-bit digests, equal ones counted in the map tasks before they are shuffled (``_hot_spans``).
-
-Defined cases: a null text counts as empty; a text shorter than ``length`` keeps all; repeated rows remove each other's
-strings like any copies; null ids are kept; an empty table gives an empty result; only the named columns are read.
+suffix shares it.  A seed that occurs over ``group_rows`` times is too much for one task.  Its windows are divided by
+their distance from the pick: those of one half of the distances have a longer string in common than the seed, and by
+its hash the suffixes are grouped anew, with equal contexts made one in the task that meets them.  Halves are halved
+until a group is small enough to be sorted and merged like any other (``_refined``).  Hashes only form groups; that
+strings are equal is always found by comparing their bytes.
+
+Defined cases: a null text counts as empty; a text shorter than ``length`` keeps all; rows that repeat an id and a text
+lose every byte if the text has ``length`` bytes, and are sorted as one text, so k of them cost k times one; null ids
+are kept; an empty table gives an empty result; only the named columns are read.
 """
 
 from __future__ import annotations
@@ -34,21 +38,24 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tokenweave.functions.common import ship_by_value
+from tokenweave.functions.common import broadcast_if_small, ship_by_value
 from tokenweave.llm.common import as_bytes, column, materialise
 
 ship_by_value(__name__)
 
 _B = 0x9E3779B97F4A7C15
 _B_INV = pow(_B, -1, 1 << 64)
-HELD_WINDOWS = 200_000  # distinct windows of frequent seeds that a task holds before it passes them on
+HELD_CLASSES = 100_000  # suffixes of frequent seeds that a task compares before it passes them on
+RUN_ROWS_MOST = 200_000
+HOT_SEEDS_BROADCAST = 500_000
 _STEP = 1 << 19  # window starts handled at once; places fit in 20 bits
 _powers: dict[int, np.ndarray] = {}
 
 
 @dataclass(frozen=True)
 class SuffixParams:
-    """``run_rows``: suffixes a task sorts at once; ``pair_rows``: distinct contexts compared pair by pair."""
+    """``run_rows``: suffixes a task sorts at once (more if there are many parts); ``pair_rows``: distinct contexts
+    compared pair by pair; ``group_rows``: suffixes that are merged as one group, without a further division."""
 
     length: int = 200
     seed: int = 32
@@ -252,8 +259,8 @@ def shared_windows(group: list[tuple[int, Suffix]], p: SuffixParams) -> Iterator
         order = sorted(range(m), key=lambda i: contexts[i][1])
         left = np.array([0, *(common_prefix(contexts[a][1], contexts[b][1]) for a, b in zip(order, order[1:]))])
         to_right, back = np.array(right), np.array(order)
-        far = max(s[4] & 255 for c in contexts for s in members[c])
-        for d in range(far + 1):
+        near, far = (f(s[4] >> b & 255 for c in contexts for s in members[c]) for f, b in ((min, 8), (max, 0)))
+        for d in range(near, far + 1):
             code = np.cumsum(to_right < length - d) * (m + 1)
             code[back] += np.cumsum(left < d)
             _, where, n = np.unique(code, return_inverse=True, return_counts=True)
@@ -271,18 +278,38 @@ def shared_windows(group: list[tuple[int, Suffix]], p: SuffixParams) -> Iterator
                     yield doc, salt, place - z, place - a + length
 
 
-def _marked(b: pa.RecordBatch) -> Iterator[tuple]:
-    """Documents of a batch with their marked suffixes."""
-    marks = column(b, "marks")
-    flat = marks.flatten()
-    at, seed = (flat.field(c).to_numpy(zero_copy_only=False).tolist() for c in ("at", "seed"))
-    ends = np.cumsum(marks.value_lengths().to_numpy(zero_copy_only=False)).tolist()
-    for i, (doc, salt, a, z) in enumerate(zip(column(b, "doc").to_pylist(), column(b, "salt").to_pylist(), [0, *ends], ends)):
-        yield column(b, "text")[i].as_buffer().to_pybytes(), doc, salt, zip(at[a:z], seed[a:z])
+def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """Documents with their marked suffixes; rows of one document that follow each other are copies and given once."""
+    last = None
+    for b in batches:
+        marks, texts = column(b, "marks"), column(b, "text")
+        flat = marks.flatten()
+        at, seed = (flat.field(c).to_numpy(zero_copy_only=False).tolist() for c in ("at", "seed"))
+        ends = np.cumsum(marks.value_lengths().to_numpy(zero_copy_only=False)).tolist()
+        for i, (doc, salt, a, z) in enumerate(zip(column(b, "doc").to_pylist(), column(b, "salt").to_pylist(), [0, *ends], ends)):
+            if (doc, salt) != last:
+                last = doc, salt
+                yield texts[i].as_buffer().to_pybytes(), doc, salt, zip(at[a:z], seed[a:z])
+
+
+def _marked_suffixes(batches: Iterator[pa.RecordBatch], p: SuffixParams) -> Iterator[Suffix]:
+    for text, doc, salt, marks in _marked(batches):
+        for at, seed in marks:
+            yield suffix(text, seed, at, doc, salt, p)
+
+
+def _class_suffixes(batches: Iterator[pa.RecordBatch], p: SuffixParams) -> Iterator[Suffix]:
+    """Suffixes of divided groups: the group's key stands for the seed."""
+    for b in batches:
+        for seed, doc, salt, at, context in zip(*(column(b, c).to_pylist() for c in ("key", "doc", "salt", "at", "context"))):
+            far = at & 255
+            yield (seed * _B & 0xFFFFFFFFFFFFFFFF).to_bytes(8, "big") + context[far:], context[:far][::-1], doc, salt, at
 
 
-def _runs(p: SuffixParams, parts: int):
+def _runs(p: SuffixParams, parts: int, suffixes=_marked_suffixes):
     """Sorted runs of a task's suffixes, cut into the parts of the key range and front-coded."""
+    rows = max(p.run_rows, min(8 * parts, RUN_ROWS_MOST))  # so that a part's share is worth coding
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[Suffix] = []
 
@@ -295,12 +322,10 @@ def _runs(p: SuffixParams, parts: int):
             return pa.RecordBatch.from_arrays([pa.array(list(cut), pa.int32()), pa.array([encode_run(x) for x in cut.values()], pa.binary())],
                                               names=["part", "run"])
 
-        for b in batches:
-            for text, doc, salt, marks in _marked(b):
-                for at, seed in marks:
-                    held.append(suffix(text, seed, at, doc, salt, p))
-                    if len(held) >= p.run_rows:
-                        yield send()
+        for s in suffixes(batches, p):
+            held.append(s)
+            if len(held) >= rows:
+                yield send()
         if held:
             yield send()
     return run
@@ -345,69 +370,117 @@ def _merge(p: SuffixParams):
     return run
 
 
-HOT_SCHEMA = "digest binary, n bigint, doc bigint, salt bigint, begin bigint, end bigint"
+# A class: the windows of a suffix whose distances from the pick are in a half (of a half ...) of all distances.
+# ``at`` has the place and the smallest and largest distance, ``context`` the bytes that its windows cover.
+# Rows without a key are removed ranges.
+CLASS_SCHEMA = ("key bigint, doc bigint, salt bigint, at bigint, low int, high int, context binary, begin bigint, end bigint")
+_CLASS_TYPES = pa.schema([("key", pa.int64()), ("doc", pa.int64()), ("salt", pa.int64()), ("at", pa.int64()), ("low", pa.int32()),
+                          ("high", pa.int32()), ("context", pa.binary()), ("begin", pa.int64()), ("end", pa.int64())])
+
+# document, salt, place, smallest and largest distance, smallest and largest of the half, context
+Class = tuple[int, int, int, int, int, int, int, bytes]
+
+
+def _whole_classes(batches: Iterator[pa.RecordBatch], p: SuffixParams) -> Iterator[Class]:
+    for text, doc, salt, marks in _marked(batches):
+        for at, _ in marks:
+            place, near, far = at >> 16, at >> 8 & 255, at & 255
+            yield doc, salt, place, near, far, 0, p.span - 1, text[place - far:place - near + p.length]
+
+
+def _stored_classes(batches: Iterator[pa.RecordBatch], p: SuffixParams) -> Iterator[Class]:
+    for b in batches:
+        cols = (column(b, c).to_pylist() for c in ("doc", "salt", "at", "low", "high", "context"))
+        for doc, salt, at, low, high, context in zip(*cols):
+            yield doc, salt, at >> 16, at >> 8 & 255, at & 255, low, high, context
 
 
-def _hot_rows(p: SuffixParams):
-    """Windows of suffixes with frequent seeds, equal ones counted in the task.
+def _halves(p: SuffixParams, classes):
+    """Each class in two halves, keyed by the hash of the string that all windows of a half contain.
 
-    Windows that the task has met twice are repeated whatever else the corpus holds: their ranges are rows without
-    digest.  Each distinct window is one row with its digest and count; a window met once carries its own range.
+    Halves with equal bytes are made one: all their windows are repeated, so their ranges are removed (those of a
+    document that overlap as one), and one of them stands for all in the next comparison.
     """
-    types = (pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
-    names = ["digest", "n", "doc", "salt", "begin", "end"]
-
-    def known(held: list, counts: dict) -> Iterator[pa.RecordBatch]:
-        rows = []
-        for doc, salt, place, near, digests in held:
-            twice = np.array([counts[x] > 1 for x in digests])
-            d = np.flatnonzero(twice) + near
-            if len(d):
-                cut = np.flatnonzero(np.diff(d) > 1)
-                for a, z in zip(d[np.concatenate(([0], cut + 1))].tolist(), d[np.append(cut, len(d) - 1)].tolist()):
-                    rows.append((None, None, doc, salt, place - z, place - a + p.length))
-            for i in np.flatnonzero(~twice).tolist():
-                start = place - near - i
-                rows.append((digests[i], 1, doc, salt, start, start + p.length))
-        rows += [(x, n, None, None, None, None) for x, n in counts.items() if n > 1]
-        for i in range(0, len(rows), 50_000):
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[i:i + 50_000]), types)], names=names)
+    def known(held: dict) -> Iterator[pa.RecordBatch]:
+        rows, ranges = [], defaultdict(list)
+        for (low, high, near, far, context), members in held.items():
+            doc, salt, place = members[0]
+            text = context[far - low:far - high + p.length]
+            key = xxhash.xxh3_64_intdigest(text, low << 8 | high) - (1 << 63)
+            rows.append((key, doc, salt, place << 16 | near << 8 | far, low, high, context, None, None))
+            if len(members) > 1:
+                for doc, salt, place in members:
+                    ranges[doc, salt].append((place - far, place - near + p.length))
+        for (doc, salt), found in ranges.items():
+            rows += [(None, doc, salt, None, None, None, None, a, z) for a, z in _joined(found)]
+        for i in range(0, len(rows), 20_000):
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[i:i + 20_000]), _CLASS_TYPES.types)], schema=_CLASS_TYPES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        counts: dict[bytes, int] = defaultdict(int)
-        for b in batches:
-            for text, doc, salt, marks in _marked(b):
-                for at, _ in marks:
-                    place, near, far = at >> 16, at >> 8 & 255, at & 255
-                    digests = [xxhash.xxh3_128_digest(text[place - d:place - d + p.length]) for d in range(near, far + 1)]
-                    for x in digests:
-                        counts[x] += 1
-                    held.append((doc, salt, place, near, digests))
-                    if len(counts) > HELD_WINDOWS or len(held) > HELD_WINDOWS:
-                        yield from known(held, counts)
-                        held, counts = [], defaultdict(int)
+        held: dict[tuple, list] = defaultdict(list)
+        n = 0
+        for doc, salt, place, near, far, low, high, context in classes(batches, p):
+            middle = (low + high) // 2
+            for lo, hi in ((low, middle), (middle + 1, high)):
+                a, z = max(near, lo), min(far, hi)
+                if a <= z:
+                    held[lo, hi, a, z, context[far - z:far - a + p.length]].append((doc, salt, place))
+                    n += 1
+            if n >= HELD_CLASSES:
+                yield from known(held)
+                held, n = defaultdict(list), 0
         if held:
-            yield from known(held, counts)
+            yield from known(held)
     return run
 
 
-def _hot_spans(marked: DataFrame, p: SuffixParams) -> DataFrame:
-    """Removed ranges of suffixes whose seed is too frequent for one task: their windows compared by digest.
+def _joined(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Ranges by place, those that touch as one."""
+    out: list[tuple[int, int]] = []
+    for a, z in sorted(ranges):
+        if out and a <= out[-1][1]:
+            out[-1] = out[-1][0], max(out[-1][1], z)
+        else:
+            out.append((a, z))
+    return out
+
 
-    Equal windows are counted in the map tasks before anything moves, so a passage that a third of all rows share is
-    a few rows a task, and only windows that are alone in their task wait for the comparison.
+def _merged(runs: DataFrame, p: SuffixParams) -> DataFrame:
+    tasks = int(runs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # small by bytes but long by work, so the tasks are counted, not sized
+    return runs.repartition(tasks, "part").sortWithinPartitions("part").mapInArrow(_merge(p), RANGE_SCHEMA)
+
+
+def _refined(marked: DataFrame, p: SuffixParams, parts: int) -> DataFrame:
+    """Removed ranges of suffixes whose seed is too frequent for one task.
+
+    A suffix at the edge of a passage that all documents share has its own context in each of them, but in every round
+    only the half that reaches from the passage over its edge stays in a large group: two rows a round, and the rounds
+    end after the logarithm of the distances.  A half of one distance has as many rows as tasks that hold it, at most.
     """
-    rows = materialise(marked.mapInArrow(_hot_rows(p), HOT_SCHEMA), "hot-windows")
-    windows = rows.where("digest is not null")
-    repeated = windows.groupBy("digest").agg(F.sum("n").alias("all")).where("all > 1").select("digest")
-    alone = windows.where("n = 1").join(repeated, "digest")
-    span = ["doc", "salt", "begin", "end"]
-    return alone.select(*span).unionByName(rows.where("digest is null").select(*span))
+    spans = ["doc", "salt", "begin", "end"]
+    classes = materialise(marked.mapInArrow(_halves(p, _whole_classes), CLASS_SCHEMA), "suffix-classes")
+    out = None
+    while True:
+        keyed = classes.where("key is not null")
+        # at most a key for every group_rows rows
+        large = keyed.where("low < high").groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > p.group_rows).select("key")
+        large = materialise(large, "suffix-large")
+        some = bool(large.limit(1).collect())
+        large = broadcast_if_small(large, HOT_SEEDS_BROADCAST)
+        ready = keyed.join(large, "key", "left_anti") if some else keyed
+        runs = ready.select("key", "doc", "salt", "at", "context").mapInArrow(_runs(p, parts, _class_suffixes), "part int, run binary")
+        found = _merged(runs, p).unionByName(classes.where("key is null").select(*spans))
+        out = found if out is None else out.unionByName(found)
+        if not some:
+            return out
+        rest = keyed.join(large, "key", "left_semi")
+        classes = materialise(rest.mapInArrow(_halves(p, _stored_classes), CLASS_SCHEMA), "suffix-classes")
 
 
 def repeated_ranges(docs: DataFrame, p: SuffixParams) -> DataFrame:
-    """Byte ranges that repeated strings cover (``doc``, ``salt``, ``begin``, ``end``); ranges may overlap.
+    """Byte ranges that repeated strings cover (``doc``, ``salt``, ``begin``, ``end``); ranges may overlap and end
+    behind the text.
 
     ``docs`` has ``id``, ``doc``, ``salt`` and ``text``.
     """
@@ -415,21 +488,25 @@ def repeated_ranges(docs: DataFrame, p: SuffixParams) -> DataFrame:
     found = materialise(docs.drop("id").mapInArrow(_picks(p), "doc bigint, salt bigint, at bigint, seed bigint"), "suffix-picks")
     # written, so that the join deals both sides anew and can split a frequent seed
     counts = materialise(found.groupBy("seed").agg(F.count("*").alias("n")).where("n > 1"), "suffix-seeds")
-    marks = materialise(found.join(counts, "seed"), "suffix-marks")
+    # copies of a row (equal id and text) have the same marks: a set keeps one of each, in the map tasks already
+    mark = F.struct("at", "seed", "n")
+    marks = materialise(found.join(counts, "seed").groupBy("doc", "salt")
+                        .agg(F.collect_set(mark).alias("marks"), F.count("*").alias("rows")), "suffix-marks")
 
-    def with_text(rows: DataFrame) -> DataFrame:
-        own = rows.groupBy("doc", "salt").agg(F.collect_list(F.struct("at", "seed")).alias("marks"))
+    def with_text(wanted) -> DataFrame:
+        own = marks.select("doc", "salt", F.filter("marks", wanted).alias("marks")).where(F.size("marks") > 0)
         # all columns, so that the exchange of the texts is one with that of the last join
-        return docs.join(own, ["doc", "salt"]).select(*docs.columns, "marks")
+        joined = docs.join(own, ["doc", "salt"]).select(*docs.columns, "marks")
+        return joined.sortWithinPartitions("doc", "salt")  # as the join leaves them; copies are neighbours
 
     # parts of the key range: the keys begin with a hash, so equal ranges hold equal shares
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    parts = 4 * tasks
-    runs = with_text(marks.where(F.col("n") <= p.group_rows)).mapInArrow(_runs(p, parts), "part int, run binary")
-    # small by bytes but long by work, so the tasks are counted, not sized
-    out = runs.repartition(tasks, "part").sortWithinPartitions("part").mapInArrow(_merge(p), RANGE_SCHEMA)
+    parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    runs = with_text(lambda m: m["n"] <= p.group_rows).mapInArrow(_runs(p, parts), "part int, run binary")
+    out = _merged(runs, p)
+    whole = marks.where(F.col("rows") > F.size("marks"))  # a text that is there again is repeated as a whole
+    out = out.unionByName(whole.select("doc", "salt", F.lit(0).cast("bigint").alias("begin"), F.lit(1 << 62).alias("end")))
     if counts.where(F.col("n") > p.group_rows).limit(1).collect():
-        out = out.unionByName(_hot_spans(with_text(marks.where(F.col("n") > p.group_rows)), p))
+        out = out.unionByName(_refined(with_text(lambda m: m["n"] > p.group_rows), p, parts))
     return out
 
 
@@ -439,13 +516,7 @@ def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept_texts = []
         lists = column(b, "ranges")
         for i, text in enumerate(as_bytes(column(b, "text"))):
-            ranges = lists[i].as_py() or []
-            merged: list[list[int]] = []
-            for r in sorted(ranges, key=lambda r: (r["begin"], r["end"])):
-                if merged and r["begin"] <= merged[-1][1]:
-                    merged[-1][1] = max(merged[-1][1], r["end"])
-                else:
-                    merged.append([r["begin"], r["end"]])
+            merged = _joined([(r["begin"], min(r["end"], len(text))) for r in lists[i].as_py() or []])
             kept = b"".join([text[a:z] for a, z in zip([0, *(e for _, e in merged)], [*(s for s, _ in merged), len(text)])])
             for c, v in zip(cols, (len(text), len(text) - len(kept), len(merged), hashlib.sha256(kept).hexdigest())):
                 c.append(v)
