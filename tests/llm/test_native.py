@@ -1,6 +1,7 @@
 """Personal data, chat formatting and mixing on small fixtures, against plain Python."""
 
 import re
+import time
 from fractions import Fraction
 
 import pytest
@@ -142,3 +143,23 @@ def test_position_inverts_the_demand(spark):
             assert abs((1 - d) * t + d * t * t - x) < 1e-9
 
 
+
+
+@pytest.mark.parametrize("word,kind", [("é a@b.co ", "email"), ("10.0.0.1 x ", "ip")])
+def test_forty_thousand_spans_in_one_text(spark, word, kind):
+    n = 40_000
+    df = spark.createDataFrame([(1, word * n), (2, word)], "doc_id bigint, text string")
+    pii.find_pii(df.where("doc_id = 2")).collect()  # the plan's code is compiled
+    begin = time.monotonic()
+    row = pii.find_pii(df.where("doc_id = 1")).select(F.size("pii").alias("n"), F.col("pii")[n - 1]["start"].alias("last")).first()
+    assert (row.n, row["last"]) == (n, len(word) * (n - 1) + re.search(r"[a0-9]", word).start())
+    assert pii.redact(df.where("doc_id = 1")).first().text == re.sub(r"a@b\.co|10\.0\.0\.1", f"[{kind.upper()}]", word) * n
+    assert time.monotonic() - begin < 15  # appending to one array took a minute for either
+
+
+def test_redaction_across_blocks_of_a_text(spark, monkeypatch):
+    monkeypatch.setattr(pii, "TEXT_BLOCK", 7)
+    monkeypatch.setattr(pii, "BLOCK", 2)
+    text = "😀é write to me@mail.example.com or\n+1 (171) 555-2028, 1.2.3.4 " * 5 + "end"
+    row = pii.redact(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).first()
+    assert row.text == "😀é write to [EMAIL] or\n[PHONE], [IP] " * 5 + "end"

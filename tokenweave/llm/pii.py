@@ -13,7 +13,8 @@ The score is the kind's prior, plus ``CONTEXT_BONUS`` when a word of the kind's
 Defined cases: a null text counts as empty and has no spans; repeated rows are searched each; an empty table
 gives an empty result; input columns named like an output column are replaced.  Patterns use possessive
 repeats and start only where a run starts, so that long runs neither overflow the stack nor take
-quadratic time; they match what the plain patterns match.
+quadratic time; they match what the plain patterns match.  Places are summed in blocks of ``BLOCK`` matches, and
+texts are cut by blocks of ``TEXT_BLOCK`` code points, so that the time follows the text and not its square.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ from tokenweave.llm.common import drop_columns_ignoring_case
 CONTEXT_CHARS = 40
 CONTEXT_BONUS = 0.3
 THRESHOLD = 0.5
+BLOCK = 64
+TEXT_BLOCK = 4096
 SPAN = "struct<start:bigint,rank:int,end:bigint,kind:string,score:double>"
 
 
@@ -68,6 +71,33 @@ def _digits(s: Column) -> Column:
     return F.regexp_replace(s, "[^0-9]", "")
 
 
+def bound(value: Column, body) -> Column:
+    """``body`` of a value that is computed once (an outer expression is computed for each element of a lambda)."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def before_each(values: Column, op) -> Column:
+    """For each of an array's numbers (at least 0) what ``op``, a sum or a maximum, makes of those before it.
+
+    ``aggregate`` copies what it carries at every step, so only a block's results are carried, and then one for each
+    block.
+    """
+    zero = F.lit(0).cast("bigint")
+    grown = lambda items, start: F.aggregate(
+        items, F.array(start), lambda acc, v: F.concat(acc, F.array(op(F.element_at(acc, -1), v))))
+    some = lambda items, grow: F.slice(grow, F.lit(1), F.size(items))
+
+    def blocks(x: Column) -> Column:
+        last = F.floor(F.greatest(F.size(x) - 1, F.lit(0)) / BLOCK).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(x, b * BLOCK + 1, F.lit(BLOCK)))
+
+    def joined(c: Column) -> Column:
+        wholes = F.transform(c, lambda block: F.aggregate(block, zero, op))
+        return F.flatten(F.zip_with(c, some(c, grown(wholes, zero)), lambda block, start: some(block, grown(block, start))))
+
+    return bound(values, lambda x: bound(blocks(x), joined))
+
+
 def mod97(iban: Column) -> Column:
     """Remainder of an account number by 97: the first four characters go last, letters count 10 to 35."""
     s = F.replace(iban, F.lit(" "), F.lit(""))
@@ -100,25 +130,27 @@ def kind_spans(text: Column, kind: Kind, rank: int) -> Column:
     steps = F.zip_with(F.zip_with(gaps, found, lambda g, m: F.struct(g.alias("gap"), m.alias("hit"))),
                        F.slice(gaps, F.lit(2), F.size(gaps)),
                        lambda s, after: F.struct(s["gap"].alias("gap"), s["hit"].alias("hit"), after.alias("after")))
-    empty = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(f"array<{SPAN}>").alias("spans"))
     near = rf"(?i)(?:^|[^A-Za-z])(?:{kind.words})(?:[^A-Za-z]|$)"
 
-    def step(acc: Column, s: Column) -> Column:
-        start = acc["at"] + F.length(s["gap"])
-        end = start + F.coalesce(F.length(s["hit"]), F.lit(0))
+    def candidate(s: Column, at: Column) -> Column:
+        start = at + F.length(s["gap"])
         context = (F.right(s["gap"], F.lit(CONTEXT_CHARS)).rlike(near)
                    | F.left(F.coalesce(s["after"], F.lit("")), F.lit(CONTEXT_CHARS)).rlike(near))
-        score = F.lit(kind.prior) + F.when(context, CONTEXT_BONUS).otherwise(0.0)
-        span = F.struct(start.cast("bigint").alias("start"), F.lit(rank).alias("rank"), end.cast("bigint").alias("end"),
-                        F.lit(kind.name).alias("kind"), F.least(score, F.lit(1.0)).alias("score")).cast(SPAN)
-        keep = s["hit"].isNotNull() & confirmed(kind.name, s["hit"])
-        if not kind.base:
-            keep = keep & (score >= THRESHOLD)
-        return F.struct(end.cast("bigint").alias("at"),
-                        F.when(keep, F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"]).alias("spans"))
+        score = F.least(F.lit(kind.prior) + F.when(context, CONTEXT_BONUS).otherwise(0.0), F.lit(1.0))
+        return F.struct(s["hit"].alias("hit"), start.cast("bigint").alias("start"),
+                        (start + F.length(s["hit"])).cast("bigint").alias("end"), score.alias("score"))
+
+    def kept(c: Column) -> Column:
+        good = c["hit"].isNotNull() & confirmed(kind.name, c["hit"])
+        return good if kind.base else good & (c["score"] >= THRESHOLD)
+
+    def located(x: Column) -> Column:
+        sizes = F.transform(x, lambda s: (F.length(s["gap"]) + F.coalesce(F.length(s["hit"]), F.lit(0))).cast("bigint"))
+        return F.transform(F.filter(F.zip_with(x, before_each(sizes, lambda a, v: a + v), candidate), kept), lambda c: F.struct(
+            c["start"].alias("start"), F.lit(rank).alias("rank"), c["end"].alias("end"), F.lit(kind.name).alias("kind"),
+            c["score"].alias("score")).cast(SPAN))
 
-    return F.when(text.rlike(kind.needs), F.aggregate(steps, empty, step)["spans"]).otherwise(
-        F.array().cast(f"array<{SPAN}>"))
+    return F.when(text.rlike(kind.needs), bound(steps, located)).otherwise(F.array().cast(f"array<{SPAN}>"))
 
 
 def find_pii(docs: DataFrame, text_col: str = "text", out_col: str = "pii") -> DataFrame:
@@ -135,22 +167,27 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     A null text stays null.
     """
     found = find_pii(docs, text_col, "_pii_spans")
-    blank = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<struct<from:bigint,to:bigint,tag:string>>").alias("cuts"))
 
-    def step(acc: Column, s: Column) -> Column:
-        inside = s["start"] < acc["at"]
-        cut = F.struct(acc["at"].alias("from"), s["start"].alias("to"),
-                       F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")).alias("tag"))
-        # an overlapping span hides its rest: an empty piece without a tag moves the place on
-        more = F.struct(s["end"].alias("from"), s["end"].alias("to"), F.lit("").alias("tag"))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"),
-                        F.concat(acc["cuts"], F.array(F.when(inside, more).otherwise(cut))).alias("cuts"))
+    def cut(s: Column, at: Column) -> Column:
+        inside = s["start"] < at  # an overlapping span hides its rest: an empty piece without a tag
+        return F.struct(F.when(inside, s["end"]).otherwise(at).alias("from"),
+                        F.when(inside, s["end"]).otherwise(s["start"]).alias("to"),
+                        F.when(inside, F.lit("")).otherwise(F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))).alias("tag"))
 
     text = F.col(text_col)
-    plan = F.aggregate("_pii_spans", blank, step)
-    return (found.withColumn("_pii_plan", plan)
-            .withColumn(text_col, F.when(F.size("_pii_spans") == 0, text).otherwise(F.concat(
-                F.array_join(F.transform("_pii_plan.cuts", lambda c: F.concat(
-                    F.substr(text, (c["from"] + 1).cast("int"), (c["to"] - c["from"]).cast("int")), c["tag"])), ""),
-                F.substr(text, (F.col("_pii_plan.at") + 1).cast("int")))))
-            .drop("_pii_plan", "_pii_spans"))
+    cuts = bound(F.col("_pii_spans"), lambda x: F.zip_with(
+        x, before_each(F.transform(x, lambda s: s["end"]), lambda a, v: F.greatest(a, v)), cut))
+    tail = F.coalesce(F.array_max(F.transform("_pii_spans", lambda s: s["end"])), F.lit(0))
+    # a place in a long text is found by counting from its start, so a piece is cut from the blocks that hold it
+    blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{TEXT_BLOCK}}}"), F.lit(0))
+
+    def piece(held: Column, c: Column) -> Column:
+        first, last = (F.floor(x / TEXT_BLOCK).cast("int") for x in (c["from"], F.greatest(c["from"], c["to"] - 1)))
+        own = F.array_join(F.slice(held, first + 1, last - first + 1), "")
+        start = (c["from"] - first * TEXT_BLOCK + 1).cast("int")
+        return F.concat(F.substr(own, start, (c["to"] - c["from"]).cast("int")), c["tag"])
+
+    pieces = bound(blocks, lambda held: F.concat(
+        F.transform(cuts, lambda c: piece(held, c)), F.array(F.substr(text, (tail + 1).cast("int")))))
+    return (found.withColumn(text_col, F.when(F.size("_pii_spans") == 0, text).otherwise(F.array_join(pieces, "")))
+            .drop("_pii_spans"))
