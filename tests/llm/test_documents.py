@@ -54,6 +54,18 @@ def test_repeated_ids_keep_every_row(spark):
     assert sorted((r.doc_id, r.n_chars) for r in got) == [(4, 0), (5, 6), (5, 6), (5, 6)]
 
 
+def test_null_and_repeated_ids_are_spread_and_keep_their_order(spark):
+    ids = F.when(F.col("id") % 3 == 0, F.lit(None)).when(F.col("id") % 3 == 1, F.lit(77)).otherwise(F.col("id") % 500)
+    df = spark.range(3000).select(ids.cast("bigint").alias("doc_id"), F.sha2((F.col("id") % 2900).cast("string"), 256).alias("text")).repartition(5)
+    binned = merkle._in_order(df, "doc_id", "text").where("not copy")
+    sizes = [r["count"] for r in binned.groupBy("bin").count().collect()]
+    assert sum(sizes) == 3000 and max(sizes) < 400  # a third in one bin would be 1,000
+    rows = [r.text for r in df.orderBy(F.col("doc_id").desc_nulls_last(), F.xxhash64("text")).collect()]
+    want = sorted(hashlib.sha256((a[:32] + b[:32]).encode()).hexdigest() for a, b in zip(rows, rows[1:] + rows[:1]))
+    got = merkle.fingerprint_successors(df).collect()
+    assert sorted(r.edited_sha256 for r in got) == want
+
+
 def test_tree_locates_edits():
     rng = random.Random(1)
     word = lambda: "".join(rng.choice("abcdef") for _ in range(6))

@@ -163,3 +163,13 @@ def test_redaction_across_blocks_of_a_text(spark, monkeypatch):
     text = "😀é write to me@mail.example.com or\n+1 (171) 555-2028, 1.2.3.4 " * 5 + "end"
     row = pii.redact(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).first()
     assert row.text == "😀é write to [EMAIL] or\n[PHONE], [IP] " * 5 + "end"
+
+
+def test_rows_without_an_id_are_spread_over_the_buckets(spark):
+    df = spark.range(2000).select(F.lit(None).cast("bigint").alias("doc_id"), F.concat(F.lit("w "), F.col("id").cast("string")).alias("text"),
+                                  F.lit("a").alias("source"))
+    out = curriculum.mix(df).collect()
+    assert sum(r.taken for r in out) == 4000
+    assert len({r.first_position for r in out}) == 2000  # every row has its own place in the source
+    key = F.substring(F.md5("text"), 1, 3)
+    assert df.groupBy(key).count().agg(F.max("count")).first()[0] < 20  # its buckets

@@ -10,8 +10,8 @@ documents inside (source, bucket) windows, so a source with a third of all rows
 ``buckets`` windows.  Bucket bases are one window over at most ``sources * buckets`` rows.
 
 Defined cases: a null text or a text without words has size 0 and takes 0 words; a null source is a
-source of its own, last in order; a null ``doc_id`` is ordered like empty text; repeated rows are
-documents of their own; an empty table gives an empty result; input columns named like an output
+source of its own, last in order; a row without ``doc_id`` is ordered by its text, so that many of them are
+spread like others; repeated rows are documents of their own; an empty table gives an empty result; input columns named like an output
 column are replaced.
 """
 
@@ -89,7 +89,7 @@ def mix(docs: DataFrame, params: MixParams = MixParams(), id_col: str = "doc_id"
     last document of a source's last pass is cut so that a source's words sum to its target, rounded
     down), ``epochs`` (passes begun), ``first_position`` and ``last_position`` (null if nothing is taken).
     """
-    key = F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary"))
+    key = F.md5(F.coalesce(F.col(id_col).cast("string"), F.col(text_col), F.lit("")).cast("binary"))
     base = drop_columns_ignoring_case(docs, [c for c in OUT if c not in (id_col, text_col, source_col)])
     sized = (base.withColumn("_mix_size", word_count(F.col(text_col)))
              .withColumn("_mix_key", key)

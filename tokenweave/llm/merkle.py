@@ -26,6 +26,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tokenweave.functions.common import bounded_collect, ship_by_value
 from tokenweave.llm.common import column
@@ -116,14 +117,16 @@ def changed_ranges(a: str, b: str) -> list[tuple[int, int]]:
 def _in_order(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Rows in bins of descending id, each bin followed by a copy of the row that follows its last one.
 
-    Bin bounds are quantiles of the ids.  A bin's first row goes to the bin before it as well (the very first
-    row to the last bin), so every row meets its successor in one task and the texts are shuffled once.
+    Bin bounds are quantiles of the ids.  An id that holds several of them, and rows without an id, are divided further
+    by the hash of the text, which orders rows of one id.  A bin's first row goes to the bin before it as well (the
+    very first row to the last bin), so every row meets its successor in one task and the texts are shuffled once.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     n = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     ids = rows.select(F.col("id").cast("double").alias("d"))
-    bounds = sorted(set(ids.approxQuantile("d", [i / n for i in range(1, n)], 0.25 / n)))
+    quantiles = Counter(ids.approxQuantile("d", [i / n for i in range(1, n)], 0.25 / n))
+    bounds = sorted(quantiles)
     # the bounds at or above the id are counted in two steps, first every 64th
     coarse = F.array(*[F.lit(b) for b in bounds[::64]]).cast("array<double>")
     fine = F.array(*[F.lit(b) for b in bounds]).cast("array<double>")
@@ -131,20 +134,26 @@ def _in_order(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     block = F.size(F.filter(coarse, lambda b: b < d))
     under = F.greatest(block - 1, F.lit(0)) * 64
     below = under + F.size(F.filter(F.slice(fine, under + 1, F.lit(64)), lambda b: b < d))
-    binned = rows.withColumn("bin", F.when(d.isNull(), F.lit(len(bounds))).otherwise(F.lit(len(bounds)) - below).cast("int"))
-    tops = sorted(bounded_collect(binned.groupBy("bin").agg(F.max("id").alias("top")), MAX_BINS, "bins"), key=lambda r: r[0])
+    # a frequent id is the largest of its bin, so its parts come first; doubles name ids exactly below 2**53
+    frequent = [F.lit(x) for b, k in quantiles.items() if k > 1 and abs(b) < 1 << 53 for x in (b, k)]
+    shares = F.coalesce(F.element_at(F.create_map(*frequent), d), F.lit(0)) if frequent else F.lit(0)
+    part = lambda k: F.least(F.floor((F.col("hash") / F.lit(2.0 ** 64) + 0.5) * k), k - 1)
+    base = F.when(d.isNull(), F.lit(len(bounds) + 1)).otherwise(F.lit(len(bounds)) - below).cast("bigint") * (n + 1)
+    inside = F.when(d.isNull(), part(F.lit(n))).when(shares > 0, part(shares)).otherwise(F.lit(n))
+    binned = (rows.withColumn("hash", F.xxhash64("text")).withColumn("bin", base + inside)
+              .withColumn("first", F.struct(F.col("id").isNull().alias("none"), F.bitwise_not("id").alias("down"), "hash")))
+    tops = sorted(bounded_collect(binned.groupBy("bin").agg(F.min("first").alias("top")), MAX_BINS, "bins"), key=lambda r: r[0])
     if not tops:
         return rows.select("id", "text", F.lit(0).alias("bin"), F.lit(False).alias("copy"))
     order = [r.bin for r in tops]
-    before = dict(zip(order, [order[-1], *order]))
-    top = F.element_at(F.create_map(*[F.lit(x) for r in tops for x in (r.bin, r.top)]).cast("map<int,bigint>"), F.col("bin"))
-    goes = F.element_at(F.create_map(*[F.lit(x) for r in tops for x in (r.bin, before[r.bin])]).cast("map<int,int>"), F.col("bin"))
+    plan = spark.createDataFrame([(r.bin, r.top, goes) for r, goes in zip(tops, [order[-1], *order])], T.StructType([
+        T.StructField("bin", T.LongType()), T.StructField("top", binned.schema["first"].dataType), T.StructField("goes", T.LongType())]))
     here = F.struct(F.col("bin").alias("bin"), F.lit(False).alias("copy"))
-    there = F.struct(goes.alias("bin"), F.lit(True).alias("copy"))
-    placed = binned.withColumn("place", F.explode(
-        F.when(F.col("id").eqNullSafe(top), F.array(here, there)).otherwise(F.array(here))))
-    return (placed.select("id", "text", "place.bin", "place.copy").repartition("bin")
-            .sortWithinPartitions("bin", "copy", F.col("id").desc_nulls_last(), F.xxhash64("text")))
+    there = F.struct(F.col("goes").alias("bin"), F.lit(True).alias("copy"))
+    placed = binned.join(F.broadcast(plan), "bin").withColumn("place", F.explode(  # at most MAX_BINS rows
+        F.when(F.col("first").eqNullSafe(F.col("top")), F.array(here, there)).otherwise(F.array(here))))
+    return (placed.select("id", "text", "place.bin", "place.copy", "hash").repartition("bin")
+            .sortWithinPartitions("bin", "copy", F.col("id").desc_nulls_last(), "hash").drop("hash"))
 
 
 RESULT = ("id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, "

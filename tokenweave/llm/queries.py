@@ -183,7 +183,7 @@ FROM n GROUP BY conv_id"""
 _MIX_SQL = r"""
 WITH RECURSIVE d AS (
  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
-  md5(coalesce(doc_id::VARCHAR, '')) AS key FROM documents),
+  md5(coalesce(doc_id::VARCHAR, text, '')) AS key FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS n, row_number() OVER (ORDER BY source NULLS LAST) AS r FROM d GROUP BY source),
 w AS (SELECT source, n, (r - 1) % 3 + 1 AS weight,
   CASE WHEN r % 2 = 1 THEN 0.5 ELSE -0.5 END AS drift,
