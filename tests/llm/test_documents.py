@@ -169,6 +169,17 @@ def brute_leaks(docs, items, k=5, threshold=0.8):
     return out
 
 
+def test_windows_of_a_long_text_are_looked_at_in_stretches(monkeypatch):
+    rng = random.Random(12)
+    words = [f"w{rng.randrange(30)}" for _ in range(4000)]
+    items = [(i, " ".join(words[s:s + 20])) for i, s in enumerate(range(0, 4000, 90))]
+    index = decontam.Index([(i, t.encode()) for i, t in items], 5)
+    text = " ".join(words).encode()
+    whole = decontam.matches_of(index, text, 0.8)
+    monkeypatch.setattr(decontam, "STRETCH", 64)
+    assert decontam.matches_of(index, text, 0.8) == whole and {x["item_id"] for x in whole} == {i for i, _ in items}
+
+
 def test_leaks_equal_brute_force(spark):
     rng = random.Random(4)
     vocab = [f"w{i}" for i in range(60)]

@@ -8,8 +8,9 @@ most ``FLIPS`` bits of some block.  Candidates are verified exactly: the shingle
 and item, weighted by how often they occur, must have a Jaccard similarity of ``threshold`` or more.
 
 Windows that share no shingle with any item have similarity 0 and are not fingerprinted; that leaves out most of
-a corpus and no match.  One narrow pass reads the texts and nothing is shuffled.  The benchmark is a stated query
-set: it is read in blocks of at most ``block_items`` items and ``block_bytes`` bytes, each block against all rows.
+a corpus and no match.  Nothing is shuffled; texts are read by a narrow pass a block.  The benchmark is a stated query
+set: it is read in blocks of at most ``block_items`` items and ``block_bytes`` bytes, each against all rows; what one
+block found is written before the next is read, so the driver and a task hold one block.
 
 Defined cases: null and wordless texts or items match nothing; items of fewer words than a shingle are one
 shingle; each (document, item) pair gives one match, its best window, the first of equals; repeated documents
@@ -29,11 +30,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tokenweave.functions.common import ship_by_value
-from tokenweave.llm.common import as_bytes, drop_columns_ignoring_case
+from tokenweave.llm.common import as_bytes, drop_columns_ignoring_case, materialise
 
 ship_by_value(__name__)
 
 RADIUS, BLOCKS, FLIPS = 15, 8, 1  # BLOCKS * (FLIPS + 1) > RADIUS
+STRETCH, STRETCH_PAIRS = 65_536, 1 << 24  # words, and pairs of windows and items, looked at at once
 MATCH = "array<struct<item_id:bigint,first_word:bigint,n_words:bigint,distance:int,similarity:double>>"
 _SPLIT = bytes.maketrans(bytes(range(65, 91)) + b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~", bytes(range(97, 123)) + b" " * 32)
 
@@ -121,6 +123,27 @@ class Index:
                     yield p, i, k
 
 
+def near_pairs(words: list[bytes], at: np.ndarray, size: int, table: tuple) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of window starts and items within the radius, and their distances; a bounded stretch of words at a time."""
+    members, codes, probes = table
+    step = max(1, min(STRETCH, STRETCH_PAIRS // len(members)))
+    out = []
+    for group in np.split(at, np.searchsorted(at, np.arange(at[0] + step, at[-1] + 1, step))):
+        if not len(group):
+            continue
+        lo = int(group[0])
+        own = window_simhashes(words[lo:int(group[-1]) + size], group - lo, size)
+        blocks = own[:, None].view(np.uint8).reshape(-1, BLOCKS)
+        hit = np.zeros((len(group), len(members)), bool)
+        for b in range(BLOCKS):
+            hit |= probes[b, blocks[:, b]]
+        w, m = np.nonzero(hit)
+        far = np.bitwise_count(own[w] ^ codes[m])
+        inside = far <= RADIUS
+        out.append((group[w[inside]], m[inside], far[inside]))
+    return tuple(np.concatenate(x) for x in zip(*out))
+
+
 def matches_of(index: Index, text: bytes, threshold: float) -> list[dict]:
     """Items found in the text, one entry for each with its best window."""
     words = words_of(text)
@@ -137,21 +160,11 @@ def matches_of(index: Index, text: bytes, threshold: float) -> list[dict]:
     out = []
     for size, starts in near.items():
         wide = min(size, n)
-        at = np.array(sorted(starts))
-        lo, hi = int(at[0]), int(at[-1]) + wide
-        members, codes, table = index.tables[size]
-        own = window_simhashes(words[lo:hi], at - lo, wide)
-        blocks = own[:, None].view(np.uint8).reshape(-1, BLOCKS)
-        hit = np.zeros((len(at), len(members)), bool)
-        for b in range(BLOCKS):
-            hit |= table[b, blocks[:, b]]
-        w, m = np.nonzero(hit)
-        far = np.bitwise_count(own[w] ^ codes[m])
-        inside = far <= RADIUS
-        w, m, far = w[inside], m[inside], far[inside]
+        w, m, far = near_pairs(words, np.array(sorted(starts)), wide, index.tables[size])
+        members = index.tables[size][0]
         best: dict[int, tuple] = {}
-        for x in np.lexsort((at[w], far, m)).tolist():
-            item, start = int(members[m[x]]), int(at[w[x]])
+        for x in np.lexsort((w, far, m)).tolist():
+            item, start = int(members[m[x]]), int(w[x])
             if item in best and best[item][0] == 1.0:
                 continue
             like = similarity(shingles(words[start:start + wide], index.shingle), index.counts[item])
@@ -195,7 +208,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, shingle: int = 5, threshol
                block_bytes: int = 32 << 20, out_col: str = "leaks") -> DataFrame:
     """``docs`` with ``out_col``: the benchmark items each text contains, and where (words)."""
     base = drop_columns_ignoring_case(docs, [out_col])
-    found = [_finder(block, shingle, threshold)(F.col(text_col))
-             for block in item_blocks(benchmark, item_col, item_text_col, block_items, block_bytes)]
-    leaks = F.concat(*found) if len(found) > 1 else found[0] if found else F.array().cast(MATCH)
-    return base.withColumn(out_col, leaks)
+    found = None
+    for block in item_blocks(benchmark, item_col, item_text_col, block_items, block_bytes):
+        leaks = _finder(block, shingle, threshold)(F.col(text_col))
+        if found is None:
+            found = base.withColumn(out_col, leaks)
+        else:  # written in between, so that the driver and a task hold one block
+            found = materialise(found, "leaks").withColumn(out_col, F.concat(out_col, leaks))
+    return base.withColumn(out_col, F.array().cast(MATCH)) if found is None else found
