@@ -344,3 +344,34 @@ def test_language_model_without_training_rows(spark):
     got = maxent.score_texts(docs, F.lit(True), p).collect()
     assert [(r.n_known, r.train_tokens, r.base_score) for r in sorted(got, key=lambda r: r.doc_id)] == [(0, 0, 0.0), (0, 0, 0.0)]
     assert maxent.score_texts(docs.limit(0), F.lit(False), p).collect() == []
+
+
+def test_words_of_a_class_follow_the_words_before(spark):
+    # all words of a kind share an ending and so a class; which of them comes next depends on the word before
+    rng = random.Random(10)
+    names = [f"w{i}" for i in range(6)]
+    rows = [(i, " ".join(f"{n}ing {n}ed" for n in rng.choices(names, k=20))) for i in range(200)]
+    pairs = list(zip(names, names[1:] + names[:1]))
+    rows += [(1000, " ".join(f"{n}ing {n}ed" for n, _ in pairs)), (1001, " ".join(f"{n}ing {o}ed" for n, o in pairs))]
+    p = maxent.LMParams(head=1, tail=10, hashed=121, rounds=4, word_hashed_bits=12, word_rounds=4, word_prior=1.0)
+    got = {r.doc_id: r for r in maxent.score_texts(spark.createDataFrame(rows, SCHEMA), F.col("doc_id") >= 1000, p).collect()}
+    assert got[1000].base_score == pytest.approx(got[1001].base_score)
+    assert got[1000].score > got[1001].score + 1
+
+
+def test_word_trees_raise_the_fit_and_normalise(spark):
+    p = maxent.LMParams(head=2, tail=6, bits=3, word_hashed_bits=8, word_rounds=4, word_prior=1.0)
+    rng = random.Random(11)
+    rows = []
+    for _ in range(60):
+        classes, leaves = [2], [0]
+        for _ in range(40):
+            classes.append(rng.randrange(2, 8))
+            leaves.append((leaves[-1] + 1) % 8 if rng.random() < 0.8 else rng.randrange(8))
+        rows.append((False, bytearray(classes), bytearray(np.array(leaves, "<u2").tobytes())))
+    weights, fits = maxent.train_words(spark.createDataFrame(rows, "held_out boolean, classes binary, leaves binary").repartition(3), p)
+    assert len(fits) == 4 and fits[3] > fits[1] > fits[0]
+    for before, skip in ((2 << 3 | 5, 3 << 3 | 1), (0, 0), (7 << 3, 2 << 3 | 7)):
+        words = np.arange(4 << 3, 5 << 3)
+        total = np.exp(weights.log_probabilities(words, np.full(8, before), np.full(8, skip))).sum()
+        assert total == pytest.approx(1, abs=1e-5)

@@ -1,10 +1,15 @@
 """Language-model scores by a hashed, class-factored maximum-entropy model.
 
-P(word | history) = P(class | two classes before) * P(word | class).  The most frequent words are classes of their
-own; other words share classes by a hash of their ending, so unseen words have a class as well.  The class softmax
-has a bias and three kinds of features of the history: the class before (bigram), the class before that (skip) and a
-hash of both (trigram).  Inside a class of several words P(word | class) = (c + 1) / (C + V + 1), the maximum-entropy
-solution for word counts with one added, with one place for all unseen words.
+P(word | history) = P(class | two classes before) * P(word | class, two words before).  The most frequent words are
+classes of their own; other words share classes by a hash of their ending, so unseen words have a class as well.  The
+class softmax has a bias and three kinds of features of the history: the class before (bigram), the class before that
+(skip) and a hash of both (trigram).
+
+A class of several words is a binary tree of classes with ``2 ** bits`` leaves: frequent words have a leaf of their own
+(the most frequent ``2 ** bits`` of the class), others one by a hash.  On the way to the leaf each turn is a softmax of
+two outcomes inside its node, with a bias and hashed features of the word before (bigram), the word before that (skip)
+and both (trigram).  Words that share a leaf have (c + 1) / (C + V + 1) of it, with one place for all unseen words, so
+probabilities after a history add up to 1.
 
 Passes over the data:
 
@@ -15,12 +20,15 @@ Passes over the data:
 3. Class trigrams of the training rows, at most ``classes ** 3`` sums.  Gradient updates run over them as Spark jobs:
    each task returns the rows of the gradient that its contexts touch.  With ``hashed`` at ``classes ** 2`` a context
    has a trigram row of its own, which only its task sends.
-4. Scoring reads the class numbers: a batch is a gather from the table of log probabilities, in numpy.
+4. The turns learn from every training token: a pass for the observed sums and one for each of ``word_rounds``
+   updates.  A pass has as many tasks as the cluster has cores, whatever the corpus, and a task returns one sum for
+   each weight that it touched; the weights are bounded by the parameters.
+5. Scoring reads the class and leaf numbers: a batch is a gather from the tables, in numpy.
 
 Defined cases: a null text counts as empty and has the end token only; a null id is a training row unless the crc of
-the empty text says otherwise; repeated rows are scored each and counted each; without training rows classes are
-equally likely and words have probability 1 in their class; an empty table gives an empty result; only the named
-columns are read.
+the empty text says otherwise; repeated rows are scored each and counted each; without training rows classes and
+leaves are equally likely and words have probability 1 in their leaf; an empty table gives an empty result; only the
+named columns are read.
 """
 
 from __future__ import annotations
@@ -36,7 +44,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tokenweave.functions.common import ship_by_value
-from tokenweave.llm.common import as_bytes, column, materialise, pieces
+from tokenweave.llm.common import as_bytes, column, materialise, passing, pieces
 
 ship_by_value(__name__)
 
@@ -47,7 +55,10 @@ LONGEST_FREQUENT = 64  # bytes of a word in the table of frequent ones
 
 @dataclass(frozen=True)
 class LMParams:
-    """``head`` classes of one word and ``tail`` classes by ending; ``hashed`` trigram features: as many as contexts."""
+    """``head`` classes of one word and ``tail`` classes by ending; ``hashed`` trigram features: as many as contexts.
+
+    Trees of words have ``2 ** bits`` leaves and share ``2 ** word_hashed_bits`` weights for each kind of feature.
+    """
 
     head: int = 48
     tail: int = 80
@@ -57,11 +68,19 @@ class LMParams:
     rounds: int = 12
     rate: float = 0.6
     prior: float = 2.0  # counts added to both sides of an update's scale
+    bits: int = 10
+    word_hashed_bits: int = 17
+    word_rounds: int = 3
+    word_prior: float = 8.0
 
     @property
     def classes(self) -> int:
         return self.head + self.tail
 
+    @property
+    def leaves(self) -> int:
+        return 1 << self.bits
+
 
 def tokens(text: bytes) -> list[bytes]:
     words = text.lower().split()  # bytes: A-Z only, and exactly the six white-space bytes
@@ -105,8 +124,12 @@ def _tail_class(token: Column, p: LMParams) -> Column:
     return F.lit(p.head) + F.crc32(last) % F.lit(p.tail)
 
 
-def frequent_tokens(counts: DataFrame, p: LMParams) -> list:
-    """At most ``p.frequent`` of the most frequent tokens, with their counts.
+def leaf_number(word: bytes, p: LMParams) -> int:
+    return zlib.crc32(word) % p.leaves
+
+
+def frequent_tokens(counts: DataFrame, p: LMParams) -> tuple[list, Column]:
+    """At most ``p.frequent`` of the most frequent tokens, with their counts, and what tells the others.
 
     A histogram over powers of 2 ** (1/8) gives the count at which the table is full; only tokens above it move.
     """
@@ -120,8 +143,9 @@ def frequent_tokens(counts: DataFrame, p: LMParams) -> list:
             break
         lowest = r.level
     if lowest is None:
-        return []
-    return short.where(level >= lowest).select("token", "c").collect()  # at most p.frequent rows
+        return [], F.lit(True)
+    rest = (F.octet_length("token") > LONGEST_FREQUENT) | (level < lowest)
+    return short.where(level >= lowest).select("token", "c").collect(), rest  # at most p.frequent rows
 
 
 def _rows(table, p: LMParams):
@@ -129,31 +153,33 @@ def _rows(table, p: LMParams):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        where, logs, known, klass = table.value
+        where, logs, known, klass, leaf = table.value
         task, n = TaskContext.get().partitionId() << 33, 0
         memo: dict[bytes, int] = {}
-        names = ["key", "id", "held_out", "n_tokens", "frequent_log", "head_log", "frequent_known", "classes", "rare", "rare_n"]
+        names = ["key", "id", "held_out", "n_tokens", "frequent_log", "head_log", "frequent_known", "classes", "leaves",
+                 "rare", "rare_n"]
         for b in pieces(batches, 500):
             cols: list[list] = [[] for _ in names[3:]]
             for text in as_bytes(column(b, "text")):
                 words = tokens(text)
                 at = np.fromiter(map(where.get, words, [-1] * len(words)), np.int64, len(words))
                 rare = np.flatnonzero(at < 0)
-                own = klass[at]
+                own, place = klass[at], leaf[at]
                 unknown = [words[i] for i in rare.tolist()]
                 for i, w in zip(rare.tolist(), unknown):
                     end = w[-2:]
                     if end not in memo:  # at most 65,792 endings
                         memo[end] = tail_class(end, p.head, p.tail)
-                    own[i] = memo[end]
+                    own[i], place[i] = memo[end], leaf_number(w, p)
                 common = at[at >= 0]
                 sums, few = logs[common], Counter(unknown)
                 row = (len(words), sums.sum(), sums[klass[common] < p.head].sum(), int(known[common].sum()),
-                       own.astype(np.uint8).tobytes(), list(few.keys()), list(few.values()))
+                       own.astype(np.uint8).tobytes(), place.astype("<u2").tobytes(), list(few.keys()), list(few.values()))
                 for c, v in zip(cols, row):
                     c.append(v)
             m = b.num_rows
-            types = [pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int32())]
+            types = [pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.binary()),
+                     pa.list_(pa.int32())]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.arange(n, n + m) + task), column(b, "id"), column(b, "held_out"),
                  *[pa.array(c, t) for c, t in zip(cols, types)]], names=names)
@@ -162,7 +188,7 @@ def _rows(table, p: LMParams):
 
 
 ROW_SCHEMA = ("key bigint, id bigint, held_out boolean, n_tokens bigint, frequent_log double, head_log double, "
-              "frequent_known bigint, classes binary, rare array<binary>, rare_n array<int>")
+              "frequent_known bigint, classes binary, leaves binary, rare array<binary>, rare_n array<int>")
 
 
 def _trigrams(size: int):
@@ -275,17 +301,147 @@ def train(rows: DataFrame, p: LMParams) -> tuple[Weights, list[float]]:
     return weights, fits
 
 
+TOKENS_AT_ONCE = 16_384
+LARGEST = 8.0  # of a hashed weight, so that exponentials stay in range
+WEIGHTS_SENT = 65_536
+
+
+class WordWeights:
+    """Bias and feature weights of the turns on the way to a word's leaf: for the second outcome against the first."""
+
+    def __init__(self, p: LMParams) -> None:
+        self.head, self.bits, self.hashed_bits = p.head, p.bits, p.word_hashed_bits
+        # a bias for each node, hashed weights of bigram, skip and trigram features
+        self.parts = [np.zeros(n, np.float32) for n in (p.classes << p.bits, *[1 << p.word_hashed_bits] * 3)]
+
+    def words(self, classes: list[bytes], leaves: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Texts end to end, two end classes before each: class and leaf in one number, and the places of words in trees."""
+        klass = np.frombuffer(b"".join(b"\0\0" + t for t in classes), np.uint8).astype(np.int64)
+        leaf = np.frombuffer(b"".join(b"\0\0\0\0" + t for t in leaves), "<u2")
+        return klass << self.bits | leaf, np.flatnonzero(klass >= self.head)
+
+    def features(self, word: np.ndarray, before: np.ndarray, skip: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+        """For each kind of feature the weight that is on at each turn of each word, and the turns taken."""
+        depth = np.arange(self.bits)
+        leaf = np.arange(1 << self.bits)[:, None]
+        own, turns = (1 << depth) + (leaf >> self.bits - depth), leaf >> self.bits - 1 - depth & 1  # of every leaf
+        leaf = word & (1 << self.bits) - 1
+        node = own.take(leaf, axis=0)
+        node += (word - leaf)[:, None]
+        at, mixed = [node], node.astype(np.uint32)
+        mixed *= np.uint32(0x85EBCA6B)
+        for kind, history in enumerate((before, skip, before << 24 | skip), 1):
+            h = (history << 3 | kind).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+            x = mixed ^ (h >> np.uint64(32)).astype(np.uint32)[:, None]
+            x *= np.uint32(0xC2B2AE35)
+            x >>= np.uint32(32 - self.hashed_bits)
+            at.append(x.astype(np.int64))
+        return at, turns.astype(np.float32).take(leaf, axis=0)
+
+    def scores(self, at: list[np.ndarray]) -> np.ndarray:
+        """Of the second outcome of each turn, against the first."""
+        x = self.parts[0].take(at[0])
+        for w, a in zip(self.parts[1:], at[1:]):
+            x += w.take(a)
+        return x
+
+    def log_probabilities(self, word: np.ndarray, before: np.ndarray, skip: np.ndarray) -> np.ndarray:
+        """Of each word's leaf in its class."""
+        at, turn = self.features(word, before, skip)
+        x = self.scores(at)
+        x *= 1 - 2 * turn
+        np.exp(x, out=x)
+        x += 1
+        return -np.log(x.prod(axis=1, dtype=np.float64))
+
+
+def _word_sums(model):
+    """A task's sums over its training words.
+
+    Observed: how often each weight was on and how often with the second outcome.  Otherwise: how often the weights
+    expect the second outcome.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights, observed = model.value
+        names = ["on", "second"] if observed else ["second"]
+        total, fit = {n: [np.zeros(len(w)) for w in weights.parts] for n in names}, 0.0
+        for b in pieces(batches, 500):
+            word, places = weights.words(as_bytes(column(b, "classes")), as_bytes(column(b, "leaves")))
+            for i in range(0, len(places), TOKENS_AT_ONCE):
+                x = places[i:i + TOKENS_AT_ONCE]
+                at, turn = weights.features(word[x], word[x - 1], word[x - 2])
+                if observed:
+                    second = turn.ravel()
+                    for t, a in zip(total["on"], at):
+                        t += np.bincount(a.ravel(), minlength=len(t))
+                else:
+                    second = np.exp(-weights.scores(at))
+                    second += 1
+                    np.reciprocal(second, out=second)
+                    fit += float(np.log(np.maximum(np.abs(1 - turn - second), 1e-30).prod(axis=1, dtype=np.float64)).sum())
+                    second = second.ravel()
+                for t, a in zip(total["second"], at):
+                    t += np.bincount(a.ravel(), second, len(t))
+        sums = {n: np.concatenate(t) for n, t in total.items()}
+        at = np.flatnonzero(np.any(list(sums.values()), axis=0)).astype(np.int32)
+        for i in range(0, max(1, len(at)), WEIGHTS_SENT):
+            part = at[i:i + WEIGHTS_SENT]
+            yield pa.RecordBatch.from_pydict({
+                "fit": [fit if i == 0 else 0.0], "at": pa.array([part.tobytes()], pa.binary()),
+                **{n: pa.array([s[part].astype(np.float32).tobytes()], pa.binary()) for n, s in sums.items()}})
+    return run
+
+
+def _collect_word_sums(rows: DataFrame, weights: WordWeights, observed: bool) -> tuple[list[np.ndarray], float]:
+    """The sums of all tasks, written by one job and added up on the driver, a part of one task's at a time."""
+    sent = rows.sparkSession.sparkContext.broadcast((weights, observed))
+    names = ["on", "second"] if observed else ["second"]
+    total, fit = [np.zeros(sum(map(len, weights.parts))) for _ in names], 0.0
+    schema = ", ".join(["fit double, at binary", *(f"{n} binary" for n in names)])
+    with passing(rows.mapInArrow(_word_sums(sent), schema), "word-sums") as sums:
+        for r in sums.toLocalIterator():
+            for t, n in zip(total, names):
+                t[np.frombuffer(r["at"], np.int32)] += np.frombuffer(r[n], np.float32)  # a task names a weight once
+            fit += r.fit
+    sent.destroy()
+    return total, fit
+
+
+def train_words(rows: DataFrame, p: LMParams) -> tuple[WordWeights, list[float]]:
+    """Fit the trees to all words of the training rows by distributed gradient updates; also the fit before each."""
+    weights, fits = WordWeights(p), []
+    own = rows.where("not held_out").select("classes", "leaves").coalesce(max(p.gradient_tasks, rows.sparkSession.sparkContext.defaultParallelism))
+    (on, seen), _ = _collect_word_sums(own, weights, observed=True)
+    if not on.any():
+        return weights, fits
+    starts = np.cumsum([0, *map(len, weights.parts)])
+    nodes = slice(0, starts[1])
+    weights.parts[0][:] = np.log((seen[nodes] + 0.5) / (on[nodes] - seen[nodes] + 0.5))  # without features the fit is in closed form
+    for _ in range(p.word_rounds):
+        (due,), fit = _collect_word_sums(own, weights, observed=False)
+        fits.append(fit)
+        # a gradient step for each outcome, in units of its counts
+        step = p.rate * 2 * (seen - due) * (1 / (seen + due + 2 * p.word_prior) + 1 / (2 * on - seen - due + 2 * p.word_prior))
+        for i, w in enumerate(weights.parts):
+            w += step[starts[i]:starts[i + 1]]
+            np.clip(w, *((-LARGEST, LARGEST) if i else (-3 * LARGEST, 3 * LARGEST)), out=w)
+    return weights, fits
+
+
 def _score(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        logs, size, norms = model.value
-        for b in pieces(batches, 2000):
+        logs, size, norms, weights = model.value
+        for b in pieces(batches, 500):
             texts = as_bytes(column(b, "classes"))
-            # the batch end to end, two end classes before each text
-            x = np.frombuffer(b"".join(b"\0\0" + t for t in texts), np.uint8).astype(np.int64)
+            word, places = weights.words(texts, as_bytes(column(b, "leaves")))
+            x = word >> weights.bits
             ends = np.cumsum([len(t) + 2 for t in texts])
             starts = ends - [len(t) for t in texts]
             value = np.zeros(len(x))
-            value[2:] = logs[x[:-2] * size + x[1:-1], x[2:]] - norms[x[2:]]
+            value[2:] = logs[x[:-2] * size + x[1:-1], x[2:]] - norms[word[2:]]
+            for i in range(0, len(places), TOKENS_AT_ONCE):
+                at = places[i:i + TOKENS_AT_ONCE]
+                value[at] += weights.log_probabilities(word[at], word[at - 1], word[at - 2]) / np.log(10)
             total = np.array([value[a:z].sum() for a, z in zip(starts, ends)])
             yield pa.RecordBatch.from_arrays([column(b, "key"), pa.array(total)], names=["key", "class_log"])
     return run
@@ -302,35 +458,42 @@ def score_texts(docs: DataFrame, held_out: Column, p: LMParams = LMParams(), id_
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"), held_out.alias("held_out"))
     counts = token_counts(rows)
     n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.when(F.col("c") > 0, 1))).collect()[0]
-    table = sorted(frequent_tokens(counts, p), key=lambda r: (-r.c, bytes(r.token)))
+    table, others = frequent_tokens(counts, p)
+    table.sort(key=lambda r: (-r.c, bytes(r.token)))
     words = [bytes(r.token) for r in table]
     head = [END, *[w for w in words if w != END]][:p.head]
     number = {w: i for i, w in enumerate(head)}
     klass = np.array([number.get(w, -1) for w in words], np.int64)
+    leaf, placed = np.zeros(len(words), np.int64), Counter()
     for i in np.flatnonzero(klass < 0).tolist():
         klass[i] = tail_class(words[i], p.head, p.tail)
+        leaf[i] = placed[klass[i]] % p.leaves  # frequent ones first, each in a leaf of its own while there are any
+        placed[klass[i]] += 1
     c = np.array([r.c for r in table], np.float64)
     # the entry after the last is the one that -1 points to
     lookup = spark.sparkContext.broadcast(({w: i for i, w in enumerate(words)}, np.append(np.log10(c + 1), 0),
-                                           np.append(c > 0, False), np.append(klass, 0)))
+                                           np.append(c > 0, False), np.append(klass, 0), np.append(leaf, 0)))
     coded = materialise(rows.mapInArrow(_rows(lookup, p), ROW_SCHEMA), "lm-rows")
 
-    # words of the tail classes: tokens and distinct tokens in training
-    tails = (counts.where(~F.col("token").isin([bytearray(w) for w in head]) & (F.col("c") > 0))
-             .groupBy(_tail_class(F.col("token"), p).alias("class")).agg(F.sum("c").alias("c"), F.count("*").alias("v")).collect())
-    norms = np.zeros(p.classes)
-    for r in tails:
-        norms[r["class"]] = np.log10(r.c + r.v + 1)
+    # tokens and distinct tokens of every leaf in training; at most classes * leaves rows
+    members = np.zeros(p.classes * p.leaves)
+    np.add.at(members, klass * p.leaves + leaf, np.where((klass >= p.head) & (c > 0), c + 1, 0))
+    for r in (counts.where(others & (F.col("c") > 0))
+              .groupBy(_tail_class(F.col("token"), p).alias("class"), (F.crc32("token") % F.lit(p.leaves)).alias("leaf"))
+              .agg((F.sum("c") + F.count("*")).alias("n")).collect()):
+        members[r["class"] * p.leaves + r["leaf"]] += r.n
+    norms = np.log10(members + 1)
     weights, _ = train(coded, p)
+    word_weights, _ = train_words(coded, p)
     logs = np.concatenate([weights.log_probabilities(x) for x in np.split(np.arange(p.classes ** 2), p.classes)]) / np.log(10)
-    model = spark.sparkContext.broadcast((logs.astype(np.float32), p.classes, norms))
-    classes = coded.select("key", "classes").mapInArrow(_score(model), "key bigint, class_log double")
+    model = spark.sparkContext.broadcast((logs.astype(np.float32), p.classes, norms, word_weights))
+    classes = coded.select("key", "classes", "leaves").mapInArrow(_score(model), "key bigint, class_log double")
 
     rare = (coded.select("key", F.explode(F.arrays_zip("rare", "rare_n")).alias("r"))
             .select("key", F.col("r.rare").alias("token"), F.col("r.rare_n").alias("k"))
             .join(counts.where("c > 0").select("token", "c"), "token")
             .groupBy("key").agg(F.sum(F.col("k") * F.log10(F.col("c") + 1)).alias("rare_log"), F.sum("k").alias("rare_known")))
-    out = coded.drop("classes", "rare", "rare_n").join(classes, "key").join(rare, "key", "left")
+    out = coded.drop("classes", "leaves", "rare", "rare_n").join(classes, "key").join(rare, "key", "left")
     rare_log = F.coalesce("rare_log", F.lit(0.0))
     return out.select(
         F.col("id").alias(id_col), "held_out", "n_tokens",
