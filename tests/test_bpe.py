@@ -178,3 +178,19 @@ def test_rank_file_is_configuration(spark, monkeypatch, tmp_path):
         params.rank_path(params.RANKED, spark)
     with pytest.raises(ValueError, match="every single byte"):
         dictionary.piece_dictionary(spark.createDataFrame([], "doc_id bigint, text string"), [b"a"])
+
+
+def test_encoding_kernels_cut_large_batches():
+    import types
+
+    import pyarrow as pa
+
+    from tokenweave.operators import tokens
+
+    rows = [["ab", " ", "abc"] * 20_000] * 20
+    rb = pa.RecordBatch.from_arrays([pa.array(range(20)), pa.array(rows, pa.list_(pa.string()))], names=["doc_id", "pieces"])
+    value = lambda v: types.SimpleNamespace(value=v)
+    for kernel in (bpe._bpe_kernel(value([(97, 98, 256)]), 257), tokens._lossless_kernel(value(["ab"]), 9, 10)):
+        out = list(kernel(iter([rb])))
+        assert [i for b in out for i in b.column(0).to_pylist()] == list(range(20))
+        assert max(b.num_rows for b in out) <= 3  # 131,072 items at once; the rest of a row goes with it
