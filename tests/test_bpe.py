@@ -194,3 +194,18 @@ def test_encoding_kernels_cut_large_batches():
         out = list(kernel(iter([rb])))
         assert [i for b in out for i in b.column(0).to_pylist()] == list(range(20))
         assert max(b.num_rows for b in out) <= 3  # 131,072 items at once; the rest of a row goes with it
+
+
+def test_rank_encoding_is_one_narrow_pass(spark, rank_table, small_docs):
+    """Pieces beyond the dictionary are encoded in place: as by the join, which is not there."""
+    extra = spark.createDataFrame([(None, None), (None, "x x"), (1, ""), (1, "zq" * 500 + " zqé\n\n 77")], "doc_id bigint, text string")
+    docs = small_docs.select("doc_id", "text").unionByName(extra)
+    everything = dictionary.piece_dictionary(docs, rank_table)
+    rows = lambda df: sorted(((r.doc_id, r.n, list(r.ids)) for r in df.collect()), key=repr)
+    want = rows(dictionary.encode_pieces(docs, everything, len(rank_table)))
+    for limit in (0, 5, 10_000):
+        few = dictionary.piece_dictionary(docs, rank_table, limit)
+        assert few.count() <= limit
+        got = dictionary.encode_pieces(docs, few, len(rank_table), limit, table=rank_table)
+        assert "Join" not in got._jdf.queryExecution().executedPlan().toString()
+        assert rows(got) == want
