@@ -83,6 +83,53 @@ def test_proposals_are_accepted_up_to_the_first_wrong_one():
     assert merges.accepted([(1, 2), (3, 4)], series, 7.5) == [10]  # below the bound nothing was compared
 
 
+def test_pieces_laid_end_to_end_merge_like_one_piece():
+    """Runs of one symbol, pairs beside each other and pairs across the ends of pieces."""
+    import random
+
+    rng = random.Random(3)
+    words = [[rng.randrange(3) for _ in range(rng.randrange(1, 9))] for _ in range(200)] + [[1] * 7, [1], [1, 1]]
+    for pair in [(a, b) for a in range(3) for b in range(3)]:
+        line = merges.Line(sum(words, []), [len(w) for w in words])
+        piece, keys, sign = line.merge(pair, 300)
+        diff, after = Counter(), []
+        for i, w in enumerate(words):
+            out = []
+            for x in w:
+                out.append(x)
+                if tuple(out[-2:]) == pair:
+                    out[-2:] = [300]
+            after.append(out)
+            diff.update({(i, q): c for q, c in Counter(zip(out, out[1:])).items()})
+            diff.subtract({(i, q): c for q, c in Counter(zip(w, w[1:])).items()})
+        told = Counter()
+        for i, k, d in zip(piece.tolist(), keys.tolist(), sign.tolist()):
+            told[i, (k >> 16, k & 0xFFFF)] += d
+        assert line.symbols().tolist() == sum(after, []) and line.lengths().tolist() == [len(w) for w in after]
+        assert {k: d for k, d in told.items() if d} == {k: d for k, d in diff.items() if d}
+
+
+def test_rounds_do_not_write_the_pieces_anew(spark, small_docs, monkeypatch):
+    """30 rounds of 5 merges write the table of pieces twice: at first and when enough merges have gathered."""
+    made, write = [], merges.written
+    monkeypatch.setattr(merges, "written", lambda df, name: made.append(name) or write(df, name))
+    got = [tuple(r) for r in merges.learn_merges(small_docs, 150, 5).orderBy("rank").collect()]
+    assert got == brute_force_merges([r.text for r in small_docs.collect()], 150)
+    assert made.count("pieces") == 2 and len(made) > 30
+
+
+def test_few_compared_pairs_and_pieces_written_often(spark, small_docs, monkeypatch):
+    """Pairs left out of the comparison, with equal counts too, and merges applied in several rewrites."""
+    monkeypatch.setattr(merges, "TOP_PAIRS", 3)
+    monkeypatch.setattr(merges, "REWRITE", 4)
+    monkeypatch.setattr(merges, "MOST_ROWS", 10)
+    got = [tuple(r) for r in merges.learn_merges(small_docs, 15).orderBy("rank").collect()]
+    assert got == brute_force_merges([r.text for r in small_docs.collect()], 15)
+    docs = spark.createDataFrame([(1, "ab cd ef gh ij kl"), (2, None)], "doc_id bigint, text string")
+    got = [tuple(r) for r in merges.learn_merges(docs, 50).orderBy("rank").collect()]
+    assert got == brute_force_merges(["ab cd ef gh ij kl"], 50)
+
+
 def test_encode_matches_tokenizer_library(spark, small_docs):
     tiktoken = pytest.importorskip("tiktoken")
     learned = merges.learn_merges(small_docs, 12)
